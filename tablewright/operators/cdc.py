@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import shift_seconds
 from ..util import DEFAULT_BROADCAST_ROWS, as_list, has_at_most, qcol
 from . import rank
 
@@ -52,9 +53,12 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     error (MERGE cardinality rule); duplicated unmatched rows all insert.
 
     Plan: when the change set is proven small (at most ``broadcast_rows``
-    rows) it is broadcast and the target is never shuffled; otherwise one
-    full outer join of the target with the changes pre-aggregated per key
-    (the exchange is reused by both output branches)."""
+    rows) it is broadcast and the target is never shuffled.  Otherwise the
+    target joins the changes pre-aggregated per key (map-side combined, so a
+    hot key is reduced before the shuffle); Catalyst plans that as a left
+    outer join for kept/updated rows plus a key-only full outer join that
+    finds unmatched change keys, so only the target's key column is shuffled
+    a second time."""
     pk = as_list(pk)
     if load_type not in (INCREMENTAL, INITIAL):
         raise ValueError(f"load_type must be {INCREMENTAL!r} or {INITIAL!r}, got {load_type!r}")
@@ -173,13 +177,6 @@ def apply_snapshot(target: DataFrame, snapshot: DataFrame, keys) -> DataFrame:
     return merge_flagged(target, diff, keys, flag="__change", load_type=INCREMENTAL, broadcast_rows=0)
 
 
-def shift_seconds(c: Column, seconds: int, ntz: bool) -> Column:
-    """``ts`` plus whole seconds with the sub-second part dropped
-    (``from_unixtime(unix_timestamp(ts) + s)``), keeping the NTZ type."""
-    shifted = F.timestamp_add("SECOND", F.lit(seconds), F.date_trunc("second", c))
-    return shifted.cast("timestamp_ntz" if ntz else "timestamp")
-
-
 def change_batch(df: DataFrame, flag: str, tiles: int, tile: int, order, ts_col: str | None = None,
                  seconds: int = 10, key_col: str | None = None, start_key: int | None = None,
                  id_col: str | None = None, id_value=None, flag_col: str = "delta_flg",

@@ -6,8 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, StructType,
+                               TimestampNTZType)
 
-from ..operators import cdc, rank, reconcile as rec
+from ..functions import casts, text as tx, timefmt
+from ..operators import aggregates as agg, cdc, dml, quality, rank, reconcile as rec, shape
+from ..sources import files as src
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +65,260 @@ QUERIES: dict[str, Query] = {
     "reconcile": q_reconcile,
     "reconcile_counts": q_reconcile_counts,
 }
+
+
+# ---------------------------------------------------------------- typing
+
+
+def q_cast_to_schema(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    k = F.col("event_id")
+    as_text = ev.select(
+        F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, F.lit("abc")).otherwise(F.lit(""))
+         .alias("event_id"),
+        F.col("ts").cast("string").alias("ts"),
+        F.col("value").cast("string").alias("value"))
+    return casts.cast_to_schema(as_text, "event_id bigint, ts timestamp_ntz, value double")
+
+
+def q_cast_by_type(spark, sf):
+    return casts.cast_by_type(fx.table(spark, sf, "lineitem"), {"double": "bigint"})
+
+
+RESCUE_SCHEMA = StructType([
+    StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
+    StructField("user_id", LongType()), StructField("event_type", IntegerType()),
+    StructField("value", DoubleType())])
+
+
+def q_rescue_unexpected(spark, sf):
+    return src.rescue_unexpected(fx.table(spark, sf, "events"), RESCUE_SCHEMA)
+
+
+# ---------------------------------------------------------------- text and shaping
+REPLACE_PAIRS = [("a", "4"), ("4", "four"), ("e", "3"), ("the", "THE")]
+
+
+def q_filter_ilike(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return shape.filter_ilike(d, "text", ["%licen%", "the%"]).select("doc_id", "lang", "n_chars")
+
+
+def q_filter_not_ilike(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return shape.filter_ilike(d, "text", ["%the%"], negate=True).select("doc_id", "lang", "n_chars")
+
+
+def q_replace_chain(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return d.select("doc_id", tx.replace_chain("text", REPLACE_PAIRS).alias("text"))
+
+
+def q_select_except(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    out = shape.select_except(o, drop=["o_totalprice"],
+                              o_orderkey=F.col("o_orderkey") + F.lit(fx.NEW_KEY))
+    return shape.with_literal(shape.rename_column(out, "o_orderstatus", "status"),
+                              "record_insert_id", "loader")
+
+
+def q_filter_predicate(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return shape.filter_predicate(
+        o, "o_orderstatus IN ('F', 'O') AND o_orderpriority <> '' AND NOT (o_totalprice > 200000)")
+
+
+def q_filter_key_text(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return shape.filter_key_text(o, "o_orderkey", "42")
+
+
+def q_union_all(spark, sf):
+    c = fx.table(spark, sf, "customer")
+    return rec.union_all(c.where("c_nationkey = 1"), c.where("c_mktsegment = 'BUILDING'"))
+
+
+def q_sort_limit(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return shape.sample_rows(o, 100, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+
+
+def q_path_stem(spark, sf):
+    p = fx.table(spark, sf, "pages")
+    host = tx.split_part("url", "/", 3)
+    return p.select("page_id", tx.path_stem("url").alias("stem"), host.alias("host"),
+                    tx.split_part(host, ".", 1).alias("host_head"),
+                    F.size(tx.split_fields("url", "/")).alias("n_parts"))
+
+
+def q_split_text(spark, sf):
+    p = fx.table(spark, sf, "pages")
+    words = tx.word_list(F.regexp_replace(F.lower(F.col("url")), r"[/?#&=.:]", " "),
+                         strip_chars="()")
+    return p.select("page_id", F.array_join(words, ",").alias("words"),
+                    tx.tail_after("url", "://").alias("after_scheme"),
+                    tx.strip_affixes("url", ["https://", "http://", ".example"]).alias("stripped"))
+
+
+PG_FMT = "YYYY-MM-DD HH24:MI:SS"
+
+
+def q_parse_ts(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    txt = o.select("o_orderkey", timefmt.format_ts("o_orderdate", PG_FMT).alias("txt"))
+    return txt.select("o_orderkey", "txt", timefmt.parse_ts("txt", PG_FMT).alias("parsed"))
+
+
+# ---------------------------------------------------------------- DML
+DML_COND = "nullif(c_mktsegment, 'BUILDING') <> 'AUTOMOBILE'"
+
+
+def q_update_where(spark, sf):
+    c = fx.table(spark, sf, "customer")
+    return dml.update_where(c, DML_COND, {"c_acctbal": 0.0,
+                                          "c_name": F.concat(F.col("c_name"), F.lit("*"))})
+
+
+def q_delete_where(spark, sf):
+    return dml.delete_where(fx.table(spark, sf, "customer"), DML_COND)
+
+
+def q_replace_where(spark, sf):
+    c = fx.table(spark, sf, "customer")
+    rows = c.where("c_nationkey = 3").withColumn("c_name", F.concat(F.col("c_name"), F.lit("#r")))
+    return dml.replace_where(c, "c_nationkey = 3", rows)
+
+
+# ---------------------------------------------------------------- quality
+def q_fk_violations(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    c = fx.table(spark, sf, "customer").where("c_acctbal > 0")
+    return quality.fk_violations(o, "o_custkey", c, "c_custkey")
+
+
+def q_pk_violations(spark, sf):
+    return quality.pk_violations(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def q_not_null_violations(spark, sf):
+    d = fx.table(spark, sf, "documents").join(fx.table(spark, sf, "labels"), "doc_id", "left")
+    return quality.not_null_violations(d, ["doc_id", "lang", "quality", "toxic"])
+
+
+def q_schema_gate(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    shuffled = o.select(*reversed(o.columns))
+    return quality.conform(shuffled, o.schema)
+
+
+LINEITEM_RULES = {
+    "qty_positive": "l_quantity > 0",
+    "discount_small": "l_discount <= 0.05",
+    "flag_known": "l_returnflag IN ('A', 'N')",
+    "tax_below_price": "l_tax < l_extendedprice",
+}
+
+
+def q_expect_report(spark, sf):
+    return quality.expect_report(fx.table(spark, sf, "lineitem"), LINEITEM_RULES)
+
+
+def q_expect_pass(spark, sf):
+    li = fx.table(spark, sf, "lineitem")
+    return quality.expect_all_or_fail(li, {"qty_positive": "l_quantity > 0"})
+
+
+# ---------------------------------------------------------------- aggregates (A1-A5)
+def q_row_count(spark, sf):
+    return agg.row_count(fx.table(spark, sf, "events"), by="event_type")
+
+
+def q_distinct_flags(spark, sf):
+    return agg.distinct_flags(fx.table(spark, sf, "events"), "event_type")
+
+
+def q_max_key(spark, sf):
+    return agg.max_key(fx.table(spark, sf, "orders"), "o_orderkey")
+
+
+def q_distinct_profile(spark, sf):
+    return agg.distinct_profile(fx.table(spark, sf, "orders"),
+                                ["o_custkey", "o_orderstatus", "o_orderdate"])
+
+
+def q_group_collect(spark, sf):
+    return agg.group_collect(fx.table(spark, sf, "nation"), "n_regionkey", "n_name",
+                             "n_nationkey", sep=",")
+
+
+def q_group_positions(spark, sf):
+    return agg.group_positions(fx.table(spark, sf, "orders"), "o_custkey", "o_orderkey",
+                               ["o_orderdate", "o_orderkey"])
+
+
+# ---------------------------------------------------------------- ranking (N1, N2) and M7
+def q_ntile_split(spark, sf):
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return rank.ntile_split(o, 5, ["o_orderkey"])
+
+
+def q_assign_keys(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    start = agg.max_key_value(o, "o_orderkey")
+    return rank.assign_surrogate_keys(o.where("o_orderstatus = 'F'"), "o_orderkey",
+                                      ["o_orderkey"], start=start)
+
+
+def q_change_batch_u(spark, sf):
+    return cdc.change_batch(fx.table(spark, sf, "orders"), "U", 5, 2, ["o_orderkey"],
+                            ts_col="o_orderdate", seconds=10, id_col="o_orderpriority",
+                            id_value="changed")
+
+
+def q_change_batch_d(spark, sf):
+    return cdc.change_batch(fx.table(spark, sf, "events"), "D", 5, 3, ["event_id"],
+                            ts_col="ts", seconds=10)
+
+
+def q_change_batch_i(spark, sf):
+    c = fx.table(spark, sf, "customer")
+    return cdc.change_batch(c, "I", 4, 1, ["c_custkey"], key_col="c_custkey",
+                            start_key=agg.max_key_value(c, "c_custkey"))
+
+
+QUERIES.update({
+    "cast_to_schema": q_cast_to_schema,
+    "cast_by_type": q_cast_by_type,
+    "rescue_unexpected": q_rescue_unexpected,
+    "filter_ilike": q_filter_ilike,
+    "filter_not_ilike": q_filter_not_ilike,
+    "replace_chain": q_replace_chain,
+    "select_except": q_select_except,
+    "filter_predicate": q_filter_predicate,
+    "filter_key_text": q_filter_key_text,
+    "union_all": q_union_all,
+    "sort_limit": q_sort_limit,
+    "path_stem": q_path_stem,
+    "split_text": q_split_text,
+    "parse_ts": q_parse_ts,
+    "update_where": q_update_where,
+    "delete_where": q_delete_where,
+    "replace_where": q_replace_where,
+    "fk_violations": q_fk_violations,
+    "pk_violations": q_pk_violations,
+    "not_null_violations": q_not_null_violations,
+    "schema_gate": q_schema_gate,
+    "expect_report": q_expect_report,
+    "expect_all_or_fail": q_expect_pass,
+    "row_count": q_row_count,
+    "distinct_flags": q_distinct_flags,
+    "max_key": q_max_key,
+    "distinct_profile": q_distinct_profile,
+    "group_collect": q_group_collect,
+    "group_positions": q_group_positions,
+    "ntile_split": q_ntile_split,
+    "assign_keys": q_assign_keys,
+    "change_batch_u": q_change_batch_u,
+    "change_batch_d": q_change_batch_d,
+    "change_batch_i": q_change_batch_i,
+})

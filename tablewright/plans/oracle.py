@@ -99,3 +99,128 @@ SELECT CASE WHEN o.o_orderkey IS NULL THEN 'missing' WHEN n.o_orderkey IS NULL T
 FROM new n FULL OUTER JOIN old o ON o.o_orderkey = n.o_orderkey)
 SELECT status, count(*) AS n FROM r GROUP BY status""",
 }
+
+DML_COND = "nullif(c_mktsegment, 'BUILDING') <> 'AUTOMOBILE'"
+
+SQL.update({
+    "cast_to_schema": """
+SELECT try_cast(CASE event_id % 3 WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN 'abc' ELSE '' END AS BIGINT)
+         AS event_id,
+       ts, value
+FROM events""",
+    "cast_by_type": """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+       CAST(trunc(l_quantity) AS BIGINT) AS l_quantity,
+       CAST(trunc(l_extendedprice) AS BIGINT) AS l_extendedprice,
+       CAST(trunc(l_discount) AS BIGINT) AS l_discount,
+       CAST(trunc(l_tax) AS BIGINT) AS l_tax,
+       l_returnflag, l_linestatus, l_shipdate
+FROM lineitem""",
+    "rescue_unexpected": """
+SELECT event_id, ts, user_id, CAST(NULL AS INTEGER) AS event_type, value,
+       CAST(json_object('event_type', event_type, 'props', props) AS VARCHAR) AS _rescued_data
+FROM events""",
+    "filter_ilike": "SELECT doc_id, lang, n_chars FROM documents WHERE text ILIKE '%licen%' OR text ILIKE 'the%'",
+    "filter_not_ilike": "SELECT doc_id, lang, n_chars FROM documents WHERE NOT (text ILIKE '%the%')",
+    "replace_chain": """
+SELECT doc_id, replace(replace(replace(replace(text, 'a', '4'), '4', 'four'), 'e', '3'), 'the', 'THE') AS text
+FROM documents""",
+    "select_except": f"""
+SELECT o_orderkey + {NEW_KEY} AS o_orderkey, o_custkey, o_orderstatus AS status, o_orderdate, o_orderpriority,
+       'loader' AS record_insert_id
+FROM orders""",
+    "filter_predicate": """
+SELECT * FROM orders
+WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority <> '' AND NOT (o_totalprice > 200000)""",
+    "filter_key_text": "SELECT * FROM orders WHERE o_orderkey = CAST('42' AS BIGINT)",
+    "union_all": """
+SELECT * FROM customer WHERE c_nationkey = 1
+UNION ALL
+SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'""",
+    "sort_limit": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100",
+    "path_stem": """
+SELECT page_id,
+       split_part(regexp_extract(url, '[^/]*$'), '.', 1) AS stem,
+       split_part(url, '/', 3) AS host,
+       split_part(split_part(url, '/', 3), '.', 1) AS host_head,
+       CAST(len(string_split(url, '/')) AS INTEGER) AS n_parts
+FROM pages""",
+    "split_text": """
+SELECT page_id,
+       array_to_string(list_filter(string_split(regexp_replace(lower(url), '[/?#&=.:]', ' ', 'g'), ' '),
+                                   lambda x: x <> ''), ',') AS words,
+       CASE WHEN strpos(url, '://') > 0 THEN split_part(url, '://', -1) ELSE url END AS after_scheme,
+       replace(replace(replace(url, 'https://', ''), 'http://', ''), '.example', '') AS stripped
+FROM pages""",
+    "parse_ts": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS txt,
+       strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed
+FROM orders""",
+    "update_where": f"""
+SELECT c_custkey,
+       CASE WHEN coalesce({DML_COND}, false) THEN c_name || '*' ELSE c_name END AS c_name,
+       c_nationkey,
+       CASE WHEN coalesce({DML_COND}, false) THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+       c_mktsegment
+FROM customer""",
+    "delete_where": f"SELECT * FROM customer WHERE NOT coalesce({DML_COND}, false)",
+    "replace_where": """
+SELECT * FROM customer WHERE NOT coalesce(c_nationkey = 3, false)
+UNION ALL
+SELECT c_custkey, c_name || '#r' AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_nationkey = 3""",
+    "fk_violations": """
+SELECT * FROM orders o
+WHERE o.o_custkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal > 0 AND c.c_custkey = o.o_custkey)""",
+    "pk_violations": """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber
+HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
+    "not_null_violations": """
+WITH d AS (SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT 'doc_id' AS column_name, count(*) FILTER (WHERE doc_id IS NULL) AS null_rows FROM d
+UNION ALL SELECT 'lang', count(*) FILTER (WHERE lang IS NULL) FROM d
+UNION ALL SELECT 'quality', count(*) FILTER (WHERE quality IS NULL) FROM d
+UNION ALL SELECT 'toxic', count(*) FILTER (WHERE toxic IS NULL) FROM d""",
+    "schema_gate": "SELECT * FROM orders",
+    "expect_report": """
+SELECT 'qty_positive' AS rule, count(*) FILTER (WHERE NOT coalesce(l_quantity > 0, false)) AS failed_rows FROM lineitem
+UNION ALL SELECT 'discount_small', count(*) FILTER (WHERE NOT coalesce(l_discount <= 0.05, false)) FROM lineitem
+UNION ALL SELECT 'flag_known', count(*) FILTER (WHERE NOT coalesce(l_returnflag IN ('A', 'N'), false)) FROM lineitem
+UNION ALL SELECT 'tax_below_price', count(*) FILTER (WHERE NOT coalesce(l_tax < l_extendedprice, false)) FROM lineitem""",
+    "expect_all_or_fail": "SELECT * FROM lineitem",
+    "row_count": "SELECT event_type, count(*) AS rows FROM events GROUP BY event_type",
+    "distinct_flags": """
+SELECT string_agg(event_type, ', ' ORDER BY event_type) AS flags
+FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL)""",
+    "max_key": "SELECT coalesce(max(o_orderkey), 0) AS max_key FROM orders",
+    "distinct_profile": """
+SELECT count(DISTINCT o_custkey) AS o_custkey_distinct, count(DISTINCT o_orderstatus) AS o_orderstatus_distinct,
+       count(DISTINCT o_orderdate) AS o_orderdate_distinct
+FROM orders""",
+    "group_collect": """
+SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_nationkey) AS "values" FROM nation GROUP BY n_regionkey""",
+    "group_positions": """
+SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS pos,
+       o_orderkey
+FROM orders""",
+    "ntile_split": """
+SELECT o_orderkey, o_custkey, CAST(ntile(5) OVER (ORDER BY o_orderkey) AS INTEGER) AS tile FROM orders""",
+    "assign_keys": """
+SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_orderkey) AS o_orderkey,
+       o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderstatus = 'F'""",
+    "change_batch_u": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       date_trunc('second', o_orderdate) + INTERVAL 10 SECOND AS o_orderdate,
+       'changed' AS o_orderpriority, 'U' AS delta_flg
+FROM (SELECT *, ntile(5) OVER (ORDER BY o_orderkey) AS t FROM orders) WHERE t = 2""",
+    "change_batch_d": """
+SELECT event_id, date_trunc('second', ts) + INTERVAL 10 SECOND AS ts, user_id, event_type, value, props,
+       'D' AS delta_flg
+FROM (SELECT *, ntile(5) OVER (ORDER BY event_id) AS t FROM events) WHERE t = 3""",
+    "change_batch_i": """
+SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY c_custkey) AS c_custkey,
+       c_name, c_nationkey, c_acctbal, c_mktsegment, 'I' AS delta_flg
+FROM (SELECT *, ntile(4) OVER (ORDER BY c_custkey) AS t FROM customer) WHERE t = 1""",
+})
