@@ -12,8 +12,12 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, S
 
 from ..functions import casts, text as tx, timefmt
 from ..operators import aggregates as agg, cdc, dml, quality, rank, reconcile as rec, shape
+from ..session import scratch_path
+from ..sinks import tables as sink
 from ..sources import files as src
-from . import fixtures as fx
+from ..streaming import changes as stream
+from ..operators import ledger as led
+from . import fixtures as fx, staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -322,3 +326,159 @@ QUERIES.update({
     "change_batch_d": q_change_batch_d,
     "change_batch_i": q_change_batch_i,
 })
+
+
+# ---------------------------------------------------------------- text ingestion
+def q_parse_delimited(spark, sf):
+    cust = fx.table(spark, sf, "customer")
+    path = staging.stage_text(spark, staging.render_delimited(cust, key="c_custkey"), "customer-text")
+    lines = src.scan_text_records(spark, path)
+    fields = src.parse_delimited(lines, staging.CARET_A, cust.columns, skip_pattern="cat%")
+    return casts.cast_to_schema(fields, cust.schema)
+
+
+def q_scan_text_records(spark, sf):
+    cust = fx.table(spark, sf, "customer")
+    recs = cust.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value"))
+    path = staging.stage_text(spark, recs, "customer-records", line_sep=";")
+    rows = src.scan_text_records(spark, path, record_sep=";").where(F.col("value") != "")
+    parts = tx.split_fields("value", ",")
+    return rows.select(parts[0].cast("bigint").alias("c_custkey"), parts[1].alias("c_name"))
+
+
+# ---------------------------------------------------------------- streams
+EVENT_KEYS, EVENT_SEQ, EVENT_DELETE = "user_id", ["ts", "event_id"], "event_type = 'error'"
+
+
+def q_stream_append(spark, sf):
+    schema = fx.table(spark, sf, "events").schema
+    root, _ = staging.stage_event_drops(spark, sf)
+    out = scratch_path(spark, "events-landed")
+    s = stream.stream_files(spark, f"{root}/drop_*/*.parquet", schema, max_files=2)
+    stream.stream_append(s, out, scratch_path(spark, "ckpt-append"))
+    return spark.read.schema(schema).parquet(out)
+
+
+def q_stream_apply_changes(spark, sf):
+    schema = fx.table(spark, sf, "events").schema
+    root, _ = staging.stage_event_drops(spark, sf)
+    log = scratch_path(spark, "events-log")
+    s = stream.stream_files(spark, f"{root}/drop_*/*.parquet", schema, max_files=1)
+    stream.stream_apply_changes(s, log, scratch_path(spark, "ckpt-apply"), EVENT_KEYS, EVENT_SEQ,
+                                EVENT_DELETE)
+    return stream.current_state(spark, log, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, schema=schema)
+
+
+# ---------------------------------------------------------------- ledger
+LEDGER_NOW = "2024-02-01 00:00:00"
+LOADED_NOW = "2024-02-02 00:00:00"
+
+
+def _daily_ledger(spark, sf):
+    root = staging.stage_daily_drops(spark, sf)
+    counts = led.drop_counts(spark, root)
+    return led.register_files(led.empty_ledger(spark), counts, now=LEDGER_NOW)
+
+
+def _odd_days(ledger):
+    return (ledger.where(F.substring("file_name", -2, 2).cast("int") % 2 == 1)
+                  .select("file_name"))
+
+
+def q_ledger_register(spark, sf):
+    return _daily_ledger(spark, sf)
+
+
+def q_ledger_mark(spark, sf):
+    ledger = _daily_ledger(spark, sf)
+    odd = [r.file_name for r in _odd_days(ledger).collect()]
+    return led.mark_loaded(ledger, odd, now=LOADED_NOW)
+
+
+def q_ledger_pending(spark, sf):
+    ledger = _daily_ledger(spark, sf)
+    odd = [r.file_name for r in _odd_days(ledger).collect()]
+    marked = led.mark_loaded(ledger, odd, now=LOADED_NOW)
+    return led.pending_files(marked).select("file_name", "file_number_of_rows")
+
+
+def q_apply_pending(spark, sf):
+    cust = fx.table(spark, sf, "customer")
+    stage = scratch_path(spark, "customer-drops")
+    for name, drop in staging.customer_flagged_drops(cust):
+        sink.write_drop(drop, f"{stage}/{name}")
+    counts = led.drop_counts(spark, f"{stage}/*").withColumn(
+        "file_arrival_timestamp",
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.element_at(F.split("file_name", "_"), -1).cast("long")))
+    ledger = led.register_files(led.empty_ledger(spark), counts)
+    target = spark.createDataFrame([], cust.schema)
+    final, _ = led.apply_pending(spark, ledger, target, stage, scratch_path(spark, "customer-load"),
+                                 "c_custkey", load_type=cdc.INCREMENTAL, now=LOADED_NOW)
+    return final
+
+
+# ---------------------------------------------------------------- writes and layout
+def q_cluster_write(spark, sf):
+    path = sink.cluster_write(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"],
+                              scratch_path(spark, "lineitem-clustered"), files=8)
+    return spark.read.parquet(path)
+
+
+def q_compact(spark, sf):
+    small = scratch_path(spark, "orders-small")
+    fx.table(spark, sf, "orders").repartition(32).write.parquet(small)
+    out = sink.compact(spark, small, scratch_path(spark, "orders-compact"), 4,
+                       cluster_cols=["o_orderkey"])
+    return spark.read.parquet(out)
+
+
+def q_create_table_as(spark, sf):
+    path = scratch_path(spark, "customer-ctas")
+    sink.create_table_as(fx.table(spark, sf, "customer"), path)
+    return spark.read.parquet(path)
+
+
+def q_insert_positional(spark, sf):
+    """Empty table from a template's footer, then a positional insert of
+    the same rows rendered as text (cast back on the way in)."""
+    cust_path = f"{sf}/customer.parquet"
+    target = scratch_path(spark, "customer-empty")
+    sink.create_empty_like(spark, cust_path, target)
+    cust = fx.table(spark, sf, "customer")
+    as_text = cust.select(*[F.col(c).cast("string").alias(f"col{i}") for i, c in enumerate(cust.columns)])
+    sink.insert_positional(as_text, target, mode="append")
+    return spark.read.parquet(target)
+
+
+def q_truncate_load(spark, sf):
+    target = scratch_path(spark, "customer-truncate")
+    cust = fx.table(spark, sf, "customer")
+    sink.create_table_as(cust, target)
+    sink.truncate_load(cust.where("c_nationkey < 5"), target)
+    return spark.read.parquet(target)
+
+
+def q_append_select(spark, sf):
+    target = scratch_path(spark, "orders-append")
+    o = fx.table(spark, sf, "orders")
+    sink.create_table_as(o.where("o_orderstatus = 'F'"), target)
+    sink.append_select(o.where("o_orderstatus = 'O'").select(*reversed(o.columns)), target)
+    return spark.read.parquet(target)
+
+
+QUERIES.update({
+    "parse_delimited": q_parse_delimited,
+    "scan_text_records": q_scan_text_records,
+    "stream_append": q_stream_append,
+    "stream_apply_changes": q_stream_apply_changes,
+    "ledger_register": q_ledger_register,
+    "ledger_mark": q_ledger_mark,
+    "ledger_pending": q_ledger_pending,
+    "apply_pending": q_apply_pending,
+    "cluster_write": q_cluster_write,
+    "compact": q_compact,
+    "create_table_as": q_create_table_as,
+    "insert_positional": q_insert_positional,
+    "truncate_load": q_truncate_load,
+    "append_select": q_append_select,
+})

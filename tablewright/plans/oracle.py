@@ -224,3 +224,38 @@ SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY c_cus
        c_name, c_nationkey, c_acctbal, c_mktsegment, 'I' AS delta_flg
 FROM (SELECT *, ntile(4) OVER (ORDER BY c_custkey) AS t FROM customer) WHERE t = 1""",
 })
+
+DAILY = """
+SELECT 'day=' || strftime(ts, '%Y-%m-%d') AS file_name, count(*) AS file_number_of_rows
+FROM events GROUP BY 1"""
+
+ODD_DAY = "CAST(right(file_name, 2) AS INTEGER) % 2 = 1"
+
+SQL.update({
+    "parse_delimited": "SELECT * FROM customer",
+    "scan_text_records": "SELECT c_custkey, c_name FROM customer",
+    "stream_append": "SELECT * FROM events",
+    "stream_apply_changes": SQL["apply_changes"],
+    "ledger_register": f"""
+SELECT file_name, TIMESTAMP '2024-02-01 00:00:00' AS file_arrival_timestamp, file_number_of_rows,
+       CAST(NULL AS TIMESTAMP) AS file_processed_timestamp, false AS file_loaded
+FROM ({DAILY})""",
+    "ledger_mark": f"""
+SELECT file_name, TIMESTAMP '2024-02-01 00:00:00' AS file_arrival_timestamp, file_number_of_rows,
+       CASE WHEN {ODD_DAY} THEN TIMESTAMP '2024-02-02 00:00:00' END AS file_processed_timestamp,
+       {ODD_DAY} AS file_loaded
+FROM ({DAILY})""",
+    "ledger_pending": f"SELECT file_name, file_number_of_rows FROM ({DAILY}) WHERE NOT ({ODD_DAY})",
+    "apply_pending": f"""
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 1 THEN c_name || '#2' ELSE c_name END AS c_name,
+       c_nationkey, c_acctbal, c_mktsegment
+FROM customer WHERE c_custkey % 5 <> 2
+UNION ALL
+SELECT c_custkey + {NEW_KEY}, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 5 = 3""",
+    "cluster_write": "SELECT * FROM lineitem",
+    "compact": "SELECT * FROM orders",
+    "create_table_as": "SELECT * FROM customer",
+    "insert_positional": "SELECT * FROM customer",
+    "truncate_load": "SELECT * FROM customer WHERE c_nationkey < 5",
+    "append_select": "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')",
+})
