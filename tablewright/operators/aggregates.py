@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..util import as_list, col, qcol
+from . import rank
 
 
 def row_count(df: DataFrame, by=None) -> DataFrame:
@@ -62,9 +63,13 @@ def group_collect(df: DataFrame, key, value: str, order, sep: str | None = None,
     return df.groupBy(*[qcol(k) for k in key]).agg(out.alias(out_col))
 
 
-def group_positions(df: DataFrame, key, value: str, order, pos_col: str = "pos") -> DataFrame:
+def group_positions(df: DataFrame, key, value: str, order, pos_col: str = "pos",
+                    n_ranges: int | None = None) -> DataFrame:
     """Long form of ``group_collect``: (key, pos, value), 1-based position of
-    each value inside its group in ``order``."""
-    key = as_list(key)
-    w = Window.partitionBy(*[qcol(k) for k in key]).orderBy(*[col(o) for o in as_list(order)])
-    return df.select(*[qcol(k) for k in key], F.row_number().over(w).alias(pos_col), qcol(value))
+    each value inside its group in ``order`` (column names, ascending).  A
+    group holding a third of the table is numbered by many tasks (see
+    ``rank.ranked``), never gathered in one."""
+    key, order = as_list(key), as_list(order)
+    cols = list(dict.fromkeys(key + order + [value]))
+    out = rank.ranked(df.select(*[qcol(c) for c in cols]), order, key, rank_col=pos_col, n_ranges=n_ranges)
+    return out.select(*[qcol(k) for k in key], F.col(pos_col), qcol(value))

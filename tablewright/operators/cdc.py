@@ -169,12 +169,21 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys, change_col: str = "_chan
 
 
 def apply_snapshot(target: DataFrame, snapshot: DataFrame, keys) -> DataFrame:
-    """SCD type 1 from a full snapshot: the target ends equal to the snapshot
-    per key.  Computed as the snapshot difference merged into the target
-    (inserts, updates and deletes of changed keys only)."""
-    diff = snapshot_diff(target, snapshot, keys, change_col="__change")
-    # the diff is as large as the change, not bounded: shuffle form
-    return merge_flagged(target, diff, keys, flag="__change", load_type=INCREMENTAL, broadcast_rows=0)
+    """SCD type 1 from a full snapshot, batch form: afterwards the target
+    holds, per key, exactly the snapshot's row and no key the snapshot lacks
+    - i.e. the snapshot itself, conformed to the target's column order and
+    types (keys must be unique in the snapshot).  No join is needed for the
+    table; incremental maintenance that writes only changed keys is
+    ``streaming.changes.snapshot_to_log`` (diff appended to the change log),
+    and ``snapshot_diff`` gives the I/U/D rows."""
+    keys = as_list(keys)
+    missing = [k for k in keys if k not in snapshot.columns]
+    if missing:
+        raise ValueError(f"apply_snapshot: key columns {missing} missing from the snapshot")
+    present = set(snapshot.columns)
+    cols = [(qcol(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in target.schema.fields]
+    return snapshot.select(*cols)
 
 
 def change_batch(df: DataFrame, flag: str, tiles: int, tile: int, order, ts_col: str | None = None,

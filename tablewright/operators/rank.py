@@ -1,27 +1,43 @@
-"""Ranking: last change per key (N3), deterministic global row numbers and
-tiles (N1, N2).
-
-Global numbering never uses a window without a partition (that runs in one
-task).  Instead the leading order column is cut into ranges at bounds taken
-once from ``approxQuantile`` and inlined as literals, rows are numbered inside
-each range with a partitioned window, and each range gets the offset of the
-ranges before it from a per-range count (one row per range, so its size is
-bounded by the range count).  Because the bounds are literals, recomputing any
-stage after an executor loss gives the same numbers.
+"""Ranking: last change per key (N3), deterministic row numbers and tiles
+over a whole table or within groups (N1, N2, A5 long form).
+
+Numbering never uses a window without a partition (one task for the whole
+table) or a window partitioned by the group key alone (one task for a hot
+group).  Instead:
+
+1. range bounds are picked once from a bounded sample of the ordering tuple
+   (group keys, then order columns) and inlined as literals;
+2. each row gets its range with a balanced tree of lexicographic
+   comparisons against the bounds (stays in generated code);
+3. rows are numbered inside (range, group) with a partitioned window - a
+   group holding a third of the table spans many ranges, so many tasks;
+4. each (range, group) gets the count of the same group's rows in earlier
+   ranges from a small per-(range, group) count table, joined back on
+   (range, group) - co-partitioned with the window's shuffle.
+
+Because the bounds are literals, recomputing any stage after an executor
+loss gives the same numbers.  Rows equal on the whole ordering tuple may be
+numbered in either order; use a unique ordering for repeatable numbers.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ..session import default_parallelism
-from ..util import as_list as _as_list, col as _col
+from ..util import as_list as _as_list, col as _col, qcol
 
 _RANGE = "__range"
 _ROW = "__row_in_range"
+_OFFSET = "__offset"
+SAMPLES_PER_RANGE = 64
+MAX_SAMPLE = 200_000
 
 
 def latest_per_key(df: DataFrame, keys, sequence_by, tiebreak=None) -> DataFrame:
@@ -40,52 +56,103 @@ def latest_per_key(df: DataFrame, keys, sequence_by, tiebreak=None) -> DataFrame
               .select("__latest.*"))
 
 
-def _range_expr(x: Column, bounds: Sequence[float]) -> Column:
-    """Index of the range holding x: number of bounds <= x, as a balanced
-    tree of comparisons (log2 depth, stays in generated code)."""
+def _sort_key(row: tuple):
+    # Spark's ascending order: NULLs first
+    return tuple((True, v) if v is not None else (False, 0) for v in row)
+
+
+def _sample_bounds(df: DataFrame, cols: list[str], n_ranges: int, total: int) -> list[tuple]:
+    """Up to n_ranges - 1 distinct bound tuples at even quantiles of a
+    seeded sample (at most about MAX_SAMPLE rows reach the driver)."""
+    if n_ranges <= 1 or total <= 1:
+        return []
+    want = min(MAX_SAMPLE, SAMPLES_PER_RANGE * n_ranges)
+    frac = min(1.0, want / total)
+    sample = [tuple(r) for r in df.select(*[qcol(c) for c in cols]).sample(False, frac, seed=17).collect()]
+    if not sample:
+        return []
+    sample.sort(key=_sort_key)
+    bounds, seen = [], set()
+    for i in range(1, n_ranges):
+        b = sample[min(len(sample) - 1, (i * len(sample)) // n_ranges)]
+        k = _sort_key(b)
+        if k not in seen:
+            seen.add(k)
+            bounds.append(b)
+    return bounds
+
+
+def _literal(v, dtype) -> Column:
+    """A literal of the column's own type.  Wall-clock (NTZ) timestamps go
+    through their text form so no time zone is applied."""
+    if v is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, TimestampNTZType):
+        return F.lit(v.isoformat(sep=" ")).cast(dtype)
+    return F.lit(v).cast(dtype)
+
+
+def _less_than(cols: list[Column], types: list, bound: tuple) -> Column:
+    """Lexicographic ``cols < bound`` in ascending NULLs-first order."""
+    lits = [_literal(v, t) for v, t in zip(bound, types)]
+
+    def one(c: Column, v, lit: Column) -> Column:
+        if v is None:
+            return F.lit(False)            # nothing sorts before NULL
+        return c.isNull() | (c < lit)
+    terms = []
+    for i, c in enumerate(cols):
+        eq_prefix = [cols[j].eqNullSafe(lits[j]) for j in range(i)]
+        terms.append(reduce(lambda a, b: a & b, eq_prefix + [one(c, bound[i], lits[i])]))
+    return reduce(lambda a, b: a | b, terms)
+
+
+def _range_expr(cols: list[Column], types: list, bounds: list[tuple]) -> Column:
+    """Index of the range holding the row: number of bounds <= row."""
     def build(lo: int, hi: int) -> Column:
-        # ranges lo..hi, separated by bounds[lo..hi-1]
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(x < F.lit(bounds[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
+        return F.when(_less_than(cols, types, bounds[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
     return build(0, len(bounds))
 
 
-def _range_bounds(df: DataFrame, lead: str, n_ranges: int, rel_err: float) -> list[float]:
-    if n_ranges <= 1:
-        return []
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    qs = df.select(F.col(lead).cast("double").alias(lead)).approxQuantile(lead, probs, rel_err)
-    return sorted(set(q for q in qs if q is not None))
+def _n_ranges(df: DataFrame, n_ranges: int | None, total: int) -> int:
+    n = n_ranges or default_parallelism(df.sparkSession)
+    return max(1, min(n, int(math.ceil(total / 2))))
+
+
+def ranked(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), rank_col: str = "rank",
+           n_ranges: int | None = None, total: int | None = None) -> DataFrame:
+    """1-based position of every row in ``order`` within its ``keys`` group
+    (the whole table when ``keys`` is empty), computed as described in the
+    module docstring.  ``order`` items are column names, ascending."""
+    keys, order = list(keys), list(order)
+    total = df.count() if total is None else total
+    n = _n_ranges(df, n_ranges, total)
+    tup = keys + order
+    bounds = _sample_bounds(df, tup, n, total)
+    types = [df.schema[c].dataType for c in tup]
+    with_range = df.withColumn(_RANGE, _range_expr([qcol(c) for c in tup], types, bounds))
+    part = [F.col(_RANGE)] + [qcol(k) for k in keys]
+    w = Window.partitionBy(*part).orderBy(*[qcol(c).asc() for c in order])
+    numbered = with_range.withColumn(_ROW, F.row_number().over(w))
+    counts = with_range.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(_RANGE) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_OFFSET))
+    if not keys:
+        # one row per range: bounded by the range count, safe to broadcast
+        offsets = F.broadcast(offsets)
+    return (numbered.join(offsets, [_RANGE] + keys, "inner")
+                    .withColumn(rank_col, F.col(_OFFSET) + F.col(_ROW))
+                    .drop(_RANGE, _ROW, _OFFSET))
 
 
 def global_rank(df: DataFrame, order: Sequence[str], n_ranges: int | None = None,
-                rank_col: str = "rank", rel_err: float = 0.001) -> DataFrame:
-    """Consecutive 1-based row numbers over the whole DataFrame in ``order``
-    (ascending, must be unique; the first column must be numeric).
-
-    Work is spread over ``n_ranges`` tasks (default: the cluster's default
-    parallelism).  Rows equal in the leading column always share a range, so
-    the order inside a range is exact."""
-    order = list(order)
-    n_ranges = n_ranges or default_parallelism(df.sparkSession)
-    bounds = _range_bounds(df, order[0], n_ranges, rel_err)
-    lead = F.col(order[0]).cast("double")
-    # nulls sort first in the window, so they go to the first range
-    ranged = df.withColumn(_RANGE, F.when(lead.isNull(), F.lit(0)).otherwise(_range_expr(lead, bounds)))
-    w = Window.partitionBy(_RANGE).orderBy(*[F.col(c).asc() for c in order])
-    numbered = ranged.withColumn(_ROW, F.row_number().over(w))
-    # offsets: one row per range, bounded by n_ranges -> safe to broadcast
-    counts = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        _RANGE,
-        (F.sum("__n").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__offset"))
-    out = (numbered.join(F.broadcast(offsets), _RANGE, "inner")
-                   .withColumn(rank_col, F.coalesce(F.col("__offset"), F.lit(0)) + F.col(_ROW))
-                   .drop(_RANGE, _ROW, "__offset"))
-    return out
+                rank_col: str = "rank", total: int | None = None) -> DataFrame:
+    """Consecutive 1-based row numbers over the whole DataFrame in ``order``."""
+    return ranked(df, order, (), rank_col, n_ranges, total)
 
 
 def tile_of(rank0: Column, total: int, tiles: int) -> Column:
@@ -94,7 +161,7 @@ def tile_of(rank0: Column, total: int, tiles: int) -> Column:
     q, r = divmod(total, tiles)
     if q == 0:
         # fewer rows than tiles: each row is its own tile
-        return rank0 + 1
+        return (rank0 + 1).cast("int")
     big = r * (q + 1)
     return (F.when(rank0 < F.lit(big), F.floor(rank0 / F.lit(q + 1)) + 1)
              .otherwise(F.floor((rank0 - F.lit(big)) / F.lit(q)) + F.lit(r) + 1)).cast("int")
@@ -104,9 +171,9 @@ def ntile_split(df: DataFrame, tiles: int, order: Sequence[str], pick: int | Non
                 tile_col: str = "tile", n_ranges: int | None = None) -> DataFrame:
     """Split the whole table into ``tiles`` equal tiles in ``order``; keep
     only tile ``pick`` when given (1-based, as SQL ntile)."""
-    ranked = global_rank(df, order, n_ranges=n_ranges, rank_col="__rank")
     total = df.count()
-    tiled = ranked.withColumn(tile_col, tile_of(F.col("__rank") - 1, total, tiles)).drop("__rank")
+    r = global_rank(df, order, n_ranges=n_ranges, rank_col="__rank", total=total)
+    tiled = r.withColumn(tile_col, tile_of(F.col("__rank") - 1, total, tiles)).drop("__rank")
     if pick is not None:
         tiled = tiled.where(F.col(tile_col) == F.lit(pick))
     return tiled
@@ -116,7 +183,7 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, order: Sequence[str], sta
                           n_ranges: int | None = None) -> DataFrame:
     """Replace ``key_col`` with dense new keys ``start + 1, start + 2, ...`` in
     ``order``.  Column order of ``df`` is kept."""
-    ranked = global_rank(df, order, n_ranges=n_ranges, rank_col="__rank")
-    cols = [(F.lit(start).cast("long") + F.col("__rank")).alias(key_col) if c == key_col else F.col(c)
+    r = global_rank(df, order, n_ranges=n_ranges, rank_col="__rank")
+    cols = [(F.lit(start).cast("long") + F.col("__rank")).alias(key_col) if c == key_col else qcol(c)
             for c in df.columns]
-    return ranked.select(*cols)
+    return r.select(*cols)

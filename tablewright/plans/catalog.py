@@ -49,6 +49,18 @@ def q_apply_snapshot(spark, sf):
     return cdc.apply_snapshot(fx.orders_old(o), fx.orders_new(o), "o_orderkey")
 
 
+def q_apply_snapshot_log(spark, sf):
+    """Two snapshots through the change log: the first as version 1, then
+    only the keys that changed as version 2."""
+    o = fx.table(spark, sf, "orders")
+    old, new = fx.orders_old(o), fx.orders_new(o)
+    log = scratch_path(spark, "orders-snapshot-log")
+    stream.snapshot_to_log(spark, log, None, old, "o_orderkey", 1)
+    stream.snapshot_to_log(spark, log, spark.read.parquet(f"{log}/v=1").drop(
+        stream.SNAPSHOT_SEQ, stream.SNAPSHOT_OP), new, "o_orderkey", 2)
+    return stream.snapshot_state(spark, log, "o_orderkey")
+
+
 def q_reconcile(spark, sf):
     o = fx.table(spark, sf, "orders")
     return rec.reconcile(fx.orders_new(o), fx.orders_old(o), "o_orderkey")
@@ -66,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "merge_flagged_initial": _merge(cdc.INITIAL),
     "snapshot_diff": q_snapshot_diff,
     "apply_snapshot": q_apply_snapshot,
+    "apply_snapshot_log": q_apply_snapshot_log,
     "reconcile": q_reconcile,
     "reconcile_counts": q_reconcile_counts,
 }

@@ -79,6 +79,7 @@ WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL
    OR o.o_totalprice IS DISTINCT FROM n.o_totalprice OR o.o_orderdate IS DISTINCT FROM n.o_orderdate
    OR o.o_orderpriority IS DISTINCT FROM n.o_orderpriority""",
     "apply_snapshot": f"WITH {ORDERS_NEW} SELECT * FROM new",
+    "apply_snapshot_log": f"WITH {ORDERS_NEW} SELECT * FROM new",
     "reconcile": f"""
 WITH {ORDERS_OLD}, {ORDERS_NEW}
 SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
@@ -201,7 +202,7 @@ FROM orders""",
     "group_collect": """
 SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_nationkey) AS "values" FROM nation GROUP BY n_regionkey""",
     "group_positions": """
-SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS pos,
+SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos,
        o_orderkey
 FROM orders""",
     "ntile_split": """

@@ -110,3 +110,31 @@ def compact_log(spark: SparkSession, log_path: str, out_path: str, keys, sequenc
     cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak) \
         .write.mode("overwrite").parquet(out_path)
     return out_path
+
+
+SNAPSHOT_SEQ = "__snapshot_version"
+SNAPSHOT_OP = "__snapshot_op"
+
+
+def snapshot_to_log(spark: SparkSession, log_path: str, previous: DataFrame | None, snapshot: DataFrame,
+                    keys, version: int) -> str:
+    """Continuous SCD type 1 from snapshots: append the difference between
+    ``previous`` (None for the first snapshot) and ``snapshot`` to the change
+    log as version ``version`` (I/U rows carry the new values, D rows are
+    tombstones).  Only changed keys are written; read the table with
+    ``snapshot_state``."""
+    if previous is None:
+        rows = snapshot.withColumn("_change", F.lit("I"))
+    else:
+        rows = cdc.snapshot_diff(previous, snapshot, keys, change_col="_change")
+    out = (rows.withColumn(SNAPSHOT_SEQ, F.lit(version).cast("long"))
+               .withColumnRenamed("_change", SNAPSHOT_OP))
+    path = f"{log_path}/{VERSION_COL}={version}"
+    out.write.mode("overwrite").parquet(path)
+    return path
+
+
+def snapshot_state(spark: SparkSession, log_path: str, keys) -> DataFrame:
+    """The table after the latest snapshot written by ``snapshot_to_log``."""
+    return current_state(spark, log_path, keys, SNAPSHOT_SEQ, f"{SNAPSHOT_OP} = 'D'",
+                         except_columns=[SNAPSHOT_SEQ, SNAPSHOT_OP])

@@ -151,3 +151,27 @@ def test_rescue(spark):
     df = spark.createDataFrame([("1", "x"), ("z", None)], "a string, extra string")
     out = src.rescue_unexpected(df, StructType([StructField("a", IntegerType())])).collect()
     assert [(r.a, r._rescued_data) for r in out] == [(1, '{"extra":"x"}'), (None, '{"a":"z"}')]
+
+
+def test_group_positions_hot_group_is_split_and_exact(spark):
+    # key 0 holds 60 % of the rows
+    df = spark.range(0, 2000).select(F.when(F.col("id") % 10 < 6, 0).otherwise(F.col("id") % 7 + 1).alias("k"),
+                                     ((F.col("id") * 7919) % 2000).alias("o"))
+    out = agg.group_positions(df, "k", "o", "o", n_ranges=8)
+    got = sorted((r.k, r.pos, r.o) for r in out.collect())
+    exp = []
+    for k, vals in sorted({k: sorted(r.o for r in df.where(F.col("k") == k).collect())
+                           for k in [r.k for r in df.select("k").distinct().collect()]}.items()):
+        exp += [(k, i + 1, v) for i, v in enumerate(vals)]
+    assert got == sorted(exp)
+    from tablewright.operators.rank import _sample_bounds
+    bounds = _sample_bounds(df, ["k", "o"], 8, 2000)
+    assert sum(1 for b in bounds if b[0] == 0) >= 3        # the hot key spans several ranges
+
+
+def test_global_rank_timestamp_ntz_order(spark):
+    df = spark.range(0, 50).select(F.col("id"),
+                                   F.timestamp_add("SECOND", F.col("id"), F.lit("2024-01-01 00:00:00")
+                                                   .cast("timestamp_ntz")).alias("ts"))
+    got = sorted((r.id, r["rank"]) for r in rank.global_rank(df, ["ts"], n_ranges=4).collect())
+    assert got == [(i, i + 1) for i in range(50)]
