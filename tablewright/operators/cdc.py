@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import shift_seconds
-from ..util import DEFAULT_BROADCAST_ROWS, as_list, has_at_most, qcol
+from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast, qcol
 from . import rank
 
 INCREMENTAL = "Incremental"
@@ -39,7 +39,8 @@ def _target_projection(target: DataFrame, source_cols: list[str], pick) -> list[
 
 def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_flg",
                   load_type: str = INCREMENTAL,
-                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                  broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Apply a flagged change drop to ``target`` the way
     ``MERGE ... ON target.pk = source.pk`` does with the clauses
 
@@ -53,7 +54,8 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     error (MERGE cardinality rule); duplicated unmatched rows all insert.
 
     Plan: when the change set is proven small (at most ``broadcast_rows``
-    rows) it is broadcast and the target is never shuffled.  Otherwise the
+    rows and ``broadcast_bytes`` bytes, checked by one bounded pass) it is
+    broadcast and the target is never shuffled.  Otherwise the
     target joins the changes pre-aggregated per key (map-side combined, so a
     hot key is reduced before the shuffle); Catalyst plans that as a left
     outer join for kept/updated rows plus a key-only full outer join that
@@ -90,7 +92,7 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     def inserted(name, dtype, in_source):
         return qcol(name).cast(dtype) if in_source else F.lit(None).cast(dtype)
 
-    small = broadcast_rows is not None and broadcast_rows > 0 and has_at_most(changes, broadcast_rows)
+    small = fits_broadcast(changes, broadcast_rows, broadcast_bytes)
     if small:
         # (a) keep / update / delete: target probes the broadcast per-key table
         kept = target.join(F.broadcast(per_key), pk, "left").where(keep_cond)
@@ -148,16 +150,43 @@ def current_rows(latest: DataFrame, apply_as_deletes=None, except_columns=()) ->
     return out.drop(*drop)
 
 
+DUPLICATE_KEY_ERROR = "snapshot key occurs more than once on one side"
+
+
+def pair_by_key(left: DataFrame, right: DataFrame, keys, cols, left_col: str = "__old",
+                right_col: str = "__new") -> DataFrame:
+    """Line up two keyed tables: one row per key with the ``cols`` of each
+    side as a struct (NULL when the side lacks the key).  Built as a union
+    and one per-key aggregate (combined map-side), so no pair of rows is ever
+    emitted; a key present twice on one side fails the job instead of
+    multiplying rows."""
+    keys = as_list(keys)
+    side = "__side"
+    payload = "__payload"
+    tag = lambda df, i: df.select(*[qcol(k) for k in keys],
+                                  F.struct(*[qcol(c) for c in cols]).alias(payload),
+                                  F.lit(i).alias(side))
+    both = tag(left, 0).unionByName(tag(right, 1))
+    is_left, is_right = F.col(side) == 0, F.col(side) == 1
+    g = both.groupBy(*[qcol(k) for k in keys]).agg(
+        F.count_if(is_left).alias("__nl"), F.count_if(is_right).alias("__nr"),
+        F.max_by(F.col(payload), is_left).alias("__l"), F.max_by(F.col(payload), is_right).alias("__r"))
+    dup = (F.col("__nl") > 1) | (F.col("__nr") > 1)
+    guard = F.when(dup, F.raise_error(F.lit(DUPLICATE_KEY_ERROR)))
+    return g.select(
+        *[qcol(k) for k in keys],
+        F.coalesce(guard, F.when(F.col("__nl") > 0, F.col("__l"))).alias(left_col),
+        F.when(F.col("__nr") > 0, F.col("__r")).alias(right_col))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys, change_col: str = "_change") -> DataFrame:
     """Rows that differ between two snapshots of a keyed table: 'I' for keys
     only in ``new``, 'D' for keys only in ``old`` (old values), 'U' for keys
     whose other columns differ (null-safe).  Unchanged keys are omitted.
-    One full outer join on the keys."""
+    Keys must be unique within each snapshot (a duplicate fails the job)."""
     keys = as_list(keys)
     vals = [c for c in new.columns if c not in keys]
-    o = old.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in vals]).alias("__old"))
-    n = new.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in vals]).alias("__new"))
-    j = o.join(n, keys, "full_outer")
+    j = pair_by_key(old, new, keys, vals)
     change = (F.when(F.col("__old").isNull(), F.lit("I"))
                .when(F.col("__new").isNull(), F.lit("D"))
                .when(~F.equal_null(F.col("__old"), F.col("__new")), F.lit("U")))

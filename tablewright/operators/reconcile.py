@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..util import as_list, qcol
+from .cdc import pair_by_key
 
 MISSING = "missing"      # in source, not in target
 EXTRA = "extra"          # in target, not in source
@@ -25,16 +26,17 @@ def reconcile(source: DataFrame, target: DataFrame, keys, cols=None,
               status_col: str = "status") -> DataFrame:
     """Per key: ``missing`` / ``extra`` / ``different`` / ``equal`` between
     a source and the table loaded from it.  ``cols`` (default: all non-key
-    columns of the source) are compared null-safely.  One full outer join."""
+    columns of the source) are compared null-safely.  Keys are lined up by
+    one per-key aggregate (``cdc.pair_by_key``): no pairs are emitted and a
+    duplicated key fails the job."""
     keys = as_list(keys)
     cols = [c for c in (as_list(cols) or source.columns) if c not in keys]
-    s = source.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in cols]).alias("__s"))
-    t = target.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in cols]).alias("__t"))
+    j = pair_by_key(source, target, keys, cols, "__s", "__t")
     status = (F.when(F.col("__t").isNull(), F.lit(MISSING))
                .when(F.col("__s").isNull(), F.lit(EXTRA))
                .when(F.equal_null(F.col("__s"), F.col("__t")), F.lit(EQUAL))
                .otherwise(F.lit(DIFFERENT)))
-    return s.join(t, keys, "full_outer").select(*[qcol(k) for k in keys], status.alias(status_col))
+    return j.select(*[qcol(k) for k in keys], status.alias(status_col))
 
 
 def reconcile_counts(source: DataFrame, target: DataFrame, keys, cols=None) -> DataFrame:

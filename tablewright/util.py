@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Row bound under which a change set is broadcast instead of shuffling the
-# target.  The bound is proven by counting at most this many rows + 1.
+# Bounds under which a change set is broadcast instead of shuffling the
+# target.  Both are proven by one pass over at most rows + 1 rows.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+    T.DoubleType: 8, T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8,
+    T.TimestampNTZType: 8, T.DecimalType: 16, T.NullType: 1,
+}
 
 
 def as_list(x) -> list:
@@ -27,6 +37,29 @@ def qcol(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _value_bytes(f: T.StructField) -> Column:
+    c = qcol(f.name)
+    t = type(f.dataType)
+    if t in _FIXED_WIDTH:
+        return F.lit(_FIXED_WIDTH[t])
+    if t in (T.StringType, T.BinaryType, T.CharType, T.VarcharType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + F.lit(8)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows whose values take at
+    most ``max_bytes`` bytes (fixed widths plus actual string lengths).
+    Reads at most ``max_rows + 1`` rows per task, so the check is bounded."""
+    if not max_rows or max_rows <= 0:
+        return False
+    sizes = [_value_bytes(f) for f in df.schema.fields] or [F.lit(0)]
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.sum(reduce(lambda a, b: a + b, sizes)).alias("b")).first()
+    return r["n"] <= max_rows and (max_bytes is None or (r["b"] or 0) <= max_bytes)
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows.  Reads at most
     ``max_rows + 1`` rows, so the check itself is bounded."""

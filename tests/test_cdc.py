@@ -172,3 +172,19 @@ def test_change_batch_flags(spark):
     assert {r.name for r in u.collect()} == {"loader"} and u.count() == 5
     i = cdc.change_batch(base, "I", 5, 2, ["k"], key_col="k", start_key=100)
     assert sorted(r.k for r in i.collect()) == [101, 102, 103, 104, 105]
+
+
+def test_snapshot_duplicate_key_fails(spark):
+    old = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], T_SCHEMA)
+    new = spark.createDataFrame([(1, "a", 1)], T_SCHEMA)
+    with pytest.raises(Exception, match="more than once"):
+        cdc.snapshot_diff(old, new, "id").collect()
+
+
+def test_fits_broadcast_counts_bytes(spark):
+    from tablewright.util import fits_broadcast
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "k int, s string")
+    assert fits_broadcast(df, 100, 10 ** 6)
+    assert not fits_broadcast(df, 10, 10 ** 6)          # too many rows
+    assert not fits_broadcast(df, 100, 20_000)          # too many bytes
+    assert not fits_broadcast(df, 0)
