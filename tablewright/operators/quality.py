@@ -119,6 +119,19 @@ def schema_gate(df: DataFrame, target, ignore=(), ordered: bool = True,
     return df
 
 
+def schema_drift(spark: SparkSession, drops, target, ignore=()) -> DataFrame:
+    """Per drop and column: the ``schema_report`` status against the target
+    (drop, column, src_pos, tgt_pos, src_type, tgt_type, status).  Reads only
+    parquet footers; the loop is over drop paths (metadata, no data)."""
+    rows = []
+    for path in drops:
+        for r in schema_report_rows(spark.read.parquet(path), target, ignore):
+            rows.append((path,) + tuple(r))
+    return spark.createDataFrame(
+        rows, "drop string, column string, src_pos int, tgt_pos int, src_type string, "
+              "tgt_type string, status string")
+
+
 def conform(df: DataFrame, target, ignore=()) -> DataFrame:
     """Gate by names only, then reorder ``df`` to the target's column order
     (ignored columns kept at the end)."""

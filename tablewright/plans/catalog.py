@@ -282,8 +282,8 @@ def q_ntile_split(spark, sf):
 def q_assign_keys(spark, sf):
     o = fx.table(spark, sf, "orders")
     start = agg.max_key_value(o, "o_orderkey")
-    return rank.assign_surrogate_keys(o.where("o_orderstatus = 'F'"), "o_orderkey",
-                                      ["o_orderkey"], start=start)
+    return rank.assign_surrogate_keys(o, "o_orderkey", ["o_custkey", "o_orderdate", "o_orderkey"],
+                                      start=start)
 
 
 def q_change_batch_u(spark, sf):
@@ -356,7 +356,8 @@ def q_scan_text_records(spark, sf):
     path = staging.stage_text(spark, recs, "customer-records", line_sep=";")
     rows = src.scan_text_records(spark, path, record_sep=";").where(F.col("value") != "")
     parts = tx.split_fields("value", ",")
-    return rows.select(parts[0].cast("bigint").alias("c_custkey"), parts[1].alias("c_name"))
+    return rows.select(F.try_element_at(parts, F.lit(1)).cast("bigint").alias("c_custkey"),
+                       F.try_element_at(parts, F.lit(2)).alias("c_name"))
 
 
 # ---------------------------------------------------------------- streams

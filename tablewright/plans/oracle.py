@@ -208,9 +208,10 @@ FROM orders""",
     "ntile_split": """
 SELECT o_orderkey, o_custkey, CAST(ntile(5) OVER (ORDER BY o_orderkey) AS INTEGER) AS tile FROM orders""",
     "assign_keys": """
-SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_orderkey) AS o_orderkey,
+SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey)
+         AS o_orderkey,
        o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-FROM orders WHERE o_orderstatus = 'F'""",
+FROM orders""",
     "change_batch_u": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        date_trunc('second', o_orderdate) + INTERVAL 10 SECOND AS o_orderdate,

@@ -47,14 +47,15 @@ def parse_delimited(lines: DataFrame, sep: str, names, skip_pattern: str | None
     """Split each text line on the literal separator ``sep`` (any length)
     into positional string columns ``names``.  Blank lines and lines matching
     ``skip_pattern`` (case-insensitive LIKE, header lines) are dropped; fields
-    past ``names`` (the empty one after a trailing separator) are discarded.
-    Runs as one projection on the executors."""
+    past ``names`` (the empty one after a trailing separator) are discarded
+    and fields missing from a short line are NULL.  Runs as one projection on
+    the executors."""
     v = F.col(value_col)
     keep = v != F.lit("")
     if skip_pattern:
         keep = keep & ~v.ilike(skip_pattern)
     parts = F.split(v, re.escape(sep), -1)
-    cols = [parts.getItem(i).alias(n) for i, n in enumerate(names)]
+    cols = [F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
     return lines.where(keep).select(*cols)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators import cdc
+from ..operators import cdc, quality
 from ..util import as_list
 
 VERSION_COL = "v"
@@ -57,10 +57,21 @@ def stream_append(stream: DataFrame, path: str, checkpoint: str, wait: bool = Tr
 
 
 def stream_apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys, sequence_by,
-                         apply_as_deletes=None, tiebreak=None, wait: bool = True) -> StreamingQuery:
+                         apply_as_deletes=None, tiebreak=None, wait: bool = True,
+                         target_schema: StructType | None = None, ignore=(),
+                         expectations: dict | None = None) -> StreamingQuery:
     """Apply a change stream continuously (SCD type 1): each micro-batch is
-    folded to one row per key and written to its own log version."""
+    folded to one row per key and written to its own log version.
+
+    ``target_schema`` stops the stream before it starts when its columns
+    (minus ``ignore``) do not match by name and position;
+    ``expectations`` ({name: SQL rule}) fail the running query on the first
+    row that breaks a rule, before anything of that batch is written."""
     keys = as_list(keys)
+    if target_schema is not None:
+        quality.schema_gate(stream, target_schema, ignore=ignore, ordered=True)
+    if expectations:
+        stream = quality.expect_all_or_fail(stream, expectations)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         folded = cdc.fold_changes(batch, keys, sequence_by, apply_as_deletes, tiebreak)

@@ -70,10 +70,10 @@ def test_casts(spark):
 
 def test_parse_delimited_and_headers(spark, tmp_path):
     p = tmp_path / "t.txt"
-    p.write_text("CAT header^Aa^Ab^A\n1^Ax^A\n\ncat again\n2^Ay^Az^A\n")
+    p.write_text("CAT header^Aa^Ab^A\n1^Ax^A\n\ncat again\n2^Ay^Az^A\n3\n")
     lines = src.scan_text_records(spark, str(p))
     out = src.parse_delimited(lines, "^A", ["k", "v"])
-    assert sorted(tuple(r) for r in out.collect()) == [("1", "x"), ("2", "y")]
+    assert sorted(tuple(r) for r in out.collect()) == [("1", "x"), ("2", "y"), ("3", None)]
 
 
 def test_text_records_custom_separator(spark, tmp_path):

@@ -97,3 +97,35 @@ def test_ledger_register_replaces_and_pending_order(spark):
     assert [r.file_name for r in led.pending_files(ledger).collect()] == ["b", "a"]
     marked = led.mark_loaded(ledger, "b", now="2024-02-01 00:00:00")
     assert [r.file_name for r in led.pending_files(marked).collect()] == ["a"]
+
+
+def test_stream_gates(spark, sf_small):
+    import pytest
+    from tablewright.operators import quality
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    stage = scratch_path(spark, "t-stage3")
+    ev.write.parquet(f"{stage}/drop_0")
+    s = stream.stream_files(spark, f"{stage}/drop_*/*.parquet", ev.schema)
+    moved = ev.select(*reversed(ev.columns)).schema
+    with pytest.raises(quality.SchemaMismatch):
+        stream.stream_apply_changes(s, scratch_path(spark, "t-log3"), scratch_path(spark, "t-ck3"),
+                                    KEYS, SEQ, DEL, target_schema=moved)
+    with pytest.raises(Exception, match="expectation failed: small_value"):
+        stream.stream_apply_changes(s, scratch_path(spark, "t-log4"), scratch_path(spark, "t-ck4"),
+                                    KEYS, SEQ, DEL, expectations={"small_value": "value < 0"})
+    log = scratch_path(spark, "t-log5")
+    stream.stream_apply_changes(s, log, scratch_path(spark, "t-ck5"), KEYS, SEQ, DEL,
+                                target_schema=ev.schema, expectations={"has_user": "user_id IS NOT NULL"})
+    assert stream.current_state(spark, log, KEYS, SEQ, DEL).count() == cdc.apply_changes(ev, KEYS, SEQ, DEL).count()
+
+
+def test_schema_drift_report(spark):
+    from tablewright.operators import quality
+    a = scratch_path(spark, "t-drift-a")
+    b = scratch_path(spark, "t-drift-b")
+    spark.createDataFrame([(1, "x")], "k int, s string").write.parquet(a)
+    spark.createDataFrame([("x", 1, 2.0)], "s string, k int, extra double").write.parquet(b)
+    target = spark.createDataFrame([], "k int, s string").schema
+    rep = {(r.drop == b, r.column): r.status for r in quality.schema_drift(spark, [a, b], target).collect()}
+    assert rep == {(False, "k"): "ok", (False, "s"): "ok", (True, "k"): "moved", (True, "s"): "moved",
+                   (True, "extra"): "source_only"}
