@@ -55,12 +55,11 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
 
     Plan: when the change set is proven small (at most ``broadcast_rows``
     rows and ``broadcast_bytes`` bytes, checked by one bounded pass) it is
-    broadcast and the target is never shuffled.  Otherwise the
-    target joins the changes pre-aggregated per key (map-side combined, so a
-    hot key is reduced before the shuffle); Catalyst plans that as a left
-    outer join for kept/updated rows plus a key-only full outer join that
-    finds unmatched change keys, so only the target's key column is shuffled
-    a second time."""
+    broadcast and the target is never shuffled.  Otherwise the target is
+    left-joined with the changes pre-aggregated per key (map-side combined,
+    so a hot change key is reduced before the shuffle), and unmatched change
+    keys come from an anti join against the target's distinct keys; only
+    the target's key column is shuffled a second time."""
     pk = as_list(pk)
     if load_type not in (INCREMENTAL, INITIAL):
         raise ValueError(f"load_type must be {INCREMENTAL!r} or {INITIAL!r}, got {load_type!r}")
@@ -101,10 +100,13 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
         # (c) inserts: change rows whose key is not matched (NULL keys never match)
         inserts = insertable.join(F.broadcast(matched), pk, "left_anti")
     else:
-        marked = target.withColumn("__in_target", F.lit(True))
-        joined = marked.join(per_key.withColumn("__in_changes", F.lit(True)), pk, "full_outer")
-        kept = joined.where(F.col("__in_target")).where(keep_cond)
-        unmatched = joined.where(F.col("__in_target").isNull()).select(*pk)
+        # kept / updated / deleted target rows: a left outer join (AQE splits
+        # a hot target key across tasks); the per-key table is unique by key
+        kept = target.join(per_key, pk, "left").where(keep_cond)
+        # change keys with no target row: anti join against the target's
+        # distinct keys (a hot target key collapses map-side)
+        target_keys = target.select(*pk).where(_all_not_null(pk)).distinct()
+        unmatched = per_key.select(*pk).join(target_keys, pk, "left_anti")
         inserts = (insertable.where(_all_not_null(pk)).join(unmatched, pk, "left_semi")
                    .unionByName(insertable.where(~_all_not_null(pk))))
 

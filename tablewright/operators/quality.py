@@ -50,11 +50,13 @@ def pk_violations(df: DataFrame, key) -> DataFrame:
 
 def fk_violations(child: DataFrame, key, parent: DataFrame, parent_key=None) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row (NOT EXISTS).
-    A left anti join; Spark/AQE broadcasts the parent keys when they are
-    small and skew-splits a hot child key otherwise."""
+    A left anti join against the parent's distinct keys: a hot parent key
+    collapses map-side, AQE splits a hot child key, and Spark broadcasts the
+    parent keys only when its size estimate is under the broadcast
+    threshold."""
     key = as_list(key)
     parent_key = as_list(parent_key) or key
-    pk = parent.select(*[qcol(p).alias(f"__pk{i}") for i, p in enumerate(parent_key)])
+    pk = parent.select(*[qcol(p).alias(f"__pk{i}") for i, p in enumerate(parent_key)]).distinct()
     cond = reduce(lambda a, b: a & b,
                   [qcol(k) == F.col(f"__pk{i}") for i, k in enumerate(key)])
     not_null = reduce(lambda a, b: a & b, [qcol(k).isNotNull() for k in key])

@@ -95,9 +95,12 @@ def create_empty_like(spark: SparkSession, template_path: str, target: str, drop
 def cluster_write(df: DataFrame, cols, path: str, files: int, mode: str = "overwrite") -> str:
     """Write ``df`` range-partitioned and sorted on ``cols`` (lexicographic
     order), so each file covers a narrow key range and parquet min/max
-    statistics let filters on those columns skip files and row groups."""
+    statistics let filters on those columns skip files and row groups.  A
+    hash of the row is the last range key, so one very frequent value is
+    spread over several files instead of one."""
     cols = [qcol(c) for c in as_list(cols)]
-    (df.repartitionByRange(files, *cols).sortWithinPartitions(*cols)
+    spread = F.xxhash64(*[qcol(c) for c in df.columns])
+    (df.repartitionByRange(files, *cols, spread).sortWithinPartitions(*cols)
        .write.mode(mode).parquet(path))
     return path
 

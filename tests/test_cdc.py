@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tablewright.operators import cdc, reconcile
