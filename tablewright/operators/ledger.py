@@ -2,8 +2,10 @@
 
 The ledger is a small table with one row per arrived drop:
 ``file_name, file_arrival_timestamp, file_number_of_rows,
-file_processed_timestamp, file_loaded``.  Functions return the new ledger as
-a DataFrame; ``apply_pending`` writes each version to a new directory.
+file_processed_timestamp, file_loaded``.  Times are UTC wall-clock values
+(``timestamp_ntz``), so every session and client reads the same value
+whatever its time zone.  Functions return the new ledger as a DataFrame;
+``apply_pending`` writes each version to a new directory.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType,
-                               TimestampType)
+                               TimestampNTZType)
 
 from ..sources.files import scan_parquet
 from ..util import DEFAULT_BROADCAST_ROWS
@@ -22,9 +24,9 @@ from . import cdc, dml, quality
 
 LEDGER_SCHEMA = StructType([
     StructField("file_name", StringType()),
-    StructField("file_arrival_timestamp", TimestampType()),
+    StructField("file_arrival_timestamp", TimestampNTZType()),
     StructField("file_number_of_rows", LongType()),
-    StructField("file_processed_timestamp", TimestampType()),
+    StructField("file_processed_timestamp", TimestampNTZType()),
     StructField("file_loaded", BooleanType()),
 ])
 
@@ -33,12 +35,21 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def utc_wall_clock(ts: F.Column) -> F.Column:
+    """An instant (``timestamp``) as UTC wall-clock ``timestamp_ntz``."""
+    return F.convert_timezone(None, F.lit("UTC"), ts)
+
+
 def _ts(now) -> F.Column:
+    """``now`` as UTC wall-clock time: None is the current time; text or a
+    naive datetime is taken as UTC wall-clock already."""
     if now is None:
-        return F.current_timestamp()
+        return utc_wall_clock(F.current_timestamp())
+    if isinstance(now, F.Column):
+        return now
     if isinstance(now, (dt.datetime, dt.date)):
-        return F.lit(now).cast("timestamp")
-    return F.lit(now).cast("timestamp")
+        now = now.isoformat(sep=" ") if isinstance(now, dt.datetime) else now.isoformat()
+    return F.lit(now).cast("timestamp_ntz")
 
 
 def drop_name(path_col: F.Column, level: str = "dir") -> F.Column:
@@ -56,16 +67,24 @@ def drop_counts(spark: SparkSession, path, level: str = "dir") -> DataFrame:
               .groupBy("file_name").agg(F.count(F.lit(1)).alias("file_number_of_rows")))
 
 
+def _arrival(counts: DataFrame) -> F.Column:
+    c = F.col("file_arrival_timestamp")
+    t = counts.schema["file_arrival_timestamp"].dataType.typeName()
+    if t == "timestamp":
+        return utc_wall_clock(c)
+    return c.cast("timestamp_ntz")
+
+
 def register_files(ledger: DataFrame, counts: DataFrame, now=None) -> DataFrame:
     """Add one ledger row per drop in ``counts`` (file_name,
     file_number_of_rows), not loaded yet.  Registering a name again replaces
     its row (INSERT ... REPLACE WHERE file_name = ...)."""
     rows = counts.select(
         F.col("file_name").cast("string"),
-        (F.col("file_arrival_timestamp") if "file_arrival_timestamp" in counts.columns else _ts(now))
-        .cast("timestamp").alias("file_arrival_timestamp"),
+        (_arrival(counts) if "file_arrival_timestamp" in counts.columns else _ts(now))
+        .alias("file_arrival_timestamp"),
         F.col("file_number_of_rows").cast("long"),
-        F.lit(None).cast("timestamp").alias("file_processed_timestamp"),
+        F.lit(None).cast("timestamp_ntz").alias("file_processed_timestamp"),
         F.lit(False).alias("file_loaded"))
     kept = ledger.join(rows.select("file_name"), "file_name", "left_anti")
     return kept.unionByName(rows)

@@ -424,6 +424,7 @@ def q_apply_pending(spark, sf):
     counts = led.drop_counts(spark, f"{stage}/*").withColumn(
         "file_arrival_timestamp",
         F.timestamp_seconds(F.lit(1_700_000_000) + F.element_at(F.split("file_name", "_"), -1).cast("long")))
+    # the drop name's suffix orders the arrivals
     ledger = led.register_files(led.empty_ledger(spark), counts)
     target = spark.createDataFrame([], cust.schema)
     final, _ = led.apply_pending(spark, ledger, target, stage, scratch_path(spark, "customer-load"),

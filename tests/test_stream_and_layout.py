@@ -129,3 +129,16 @@ def test_schema_drift_report(spark):
     rep = {(r.drop == b, r.column): r.status for r in quality.schema_drift(spark, [a, b], target).collect()}
     assert rep == {(False, "k"): "ok", (False, "s"): "ok", (True, "k"): "moved", (True, "s"): "moved",
                    (True, "extra"): "source_only"}
+
+
+def test_ledger_now_is_utc_wall_clock(spark):
+    import datetime as dt
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        counts = spark.createDataFrame([("a", 1)], "file_name string, file_number_of_rows long")
+        got = led.register_files(led.empty_ledger(spark), counts).first().file_arrival_timestamp
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    utc_now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((got - utc_now).total_seconds()) < 120
