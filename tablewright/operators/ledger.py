@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+from ..functions.casts import cast_by_type
 from ..sources.files import scan_parquet
 from ..util import DEFAULT_BROADCAST_ROWS
-from . import cdc, dml, quality
+from . import aggregates, cdc, dml, quality
 
 LEDGER_SCHEMA = StructType([
     StructField("file_name", StringType()),
@@ -108,6 +109,26 @@ def mark_loaded(ledger: DataFrame, files: Sequence[str] | str, now=None) -> Data
                             {"file_loaded": True, "file_processed_timestamp": _ts(now)})
 
 
+def stage_drop(df: DataFrame, stage_dir: str, name: str, ledger: DataFrame, now=None,
+               flag_from: str | None = "newline", flag: str = "delta_flg",
+               cast_map: dict | None = None) -> tuple[DataFrame, int, str]:
+    """Stage one drop: rename the control column ``flag_from`` to ``flag``,
+    apply ``cast_map`` type changes (e.g. ``{'double': 'bigint'}``), write it
+    to ``<stage_dir>/<name>`` and register it in the ledger.  Returns (new
+    ledger, row count, distinct flags joined by ', ')."""
+    out = df.withColumnRenamed(flag_from, flag) if flag_from and flag_from in df.columns else df
+    if cast_map:
+        out = cast_by_type(out, cast_map)
+    path = f"{stage_dir}/{name}"
+    out.write.mode("overwrite").parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    stats = written.agg(F.count(F.lit(1)).alias("n")).first()
+    flags = aggregates.distinct_flags(written, flag).first()
+    counts = df.sparkSession.createDataFrame([(name, int(stats["n"]))],
+                                             "file_name string, file_number_of_rows long")
+    return register_files(ledger, counts, now), int(stats["n"]), (flags["flags"] if flags else "")
+
+
 def apply_pending(spark: SparkSession, ledger: DataFrame, target: DataFrame, stage_dir: str,
                   out_root: str, pk, flag: str = "delta_flg", load_type: str = cdc.INCREMENTAL,
                   now=None, table_prefix: str | None = None,

@@ -432,6 +432,18 @@ def q_apply_pending(spark, sf):
     return final
 
 
+def q_stage_drop(spark, sf):
+    """Raw drop with a 'newline' control column -> staged drop (flag renamed,
+    doubles to bigint) registered in the ledger; returns the staged rows."""
+    o = fx.table(spark, sf, "orders")
+    raw = o.withColumn("newline", F.when(F.col("o_orderstatus") == "F", "U").otherwise("I"))
+    stage = scratch_path(spark, "orders-stage")
+    ledger, _, _ = led.stage_drop(raw, stage, "orders.parquet", led.empty_ledger(spark), now=LEDGER_NOW,
+                                  cast_map={"double": "bigint"})
+    names = [r.file_name for r in led.pending_files(ledger).collect()]
+    return src.scan_parquet(spark, [f"{stage}/{n}" for n in names])
+
+
 # ---------------------------------------------------------------- writes and layout
 def q_cluster_write(spark, sf):
     path = sink.cluster_write(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"],
@@ -490,6 +502,7 @@ QUERIES.update({
     "ledger_mark": q_ledger_mark,
     "ledger_pending": q_ledger_pending,
     "apply_pending": q_apply_pending,
+    "stage_drop": q_stage_drop,
     "cluster_write": q_cluster_write,
     "compact": q_compact,
     "create_table_as": q_create_table_as,

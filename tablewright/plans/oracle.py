@@ -254,6 +254,10 @@ SELECT c_custkey, CASE WHEN c_custkey % 5 = 1 THEN c_name || '#2' ELSE c_name EN
 FROM customer WHERE c_custkey % 5 <> 2
 UNION ALL
 SELECT c_custkey + {NEW_KEY}, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 5 = 3""",
+    "stage_drop": """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(trunc(o_totalprice) AS BIGINT) AS o_totalprice, o_orderdate,
+       o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 'U' ELSE 'I' END AS delta_flg
+FROM orders""",
     "cluster_write": "SELECT * FROM lineitem",
     "compact": "SELECT * FROM orders",
     "create_table_as": "SELECT * FROM customer",

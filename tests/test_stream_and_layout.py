@@ -142,3 +142,20 @@ def test_ledger_now_is_utc_wall_clock(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     utc_now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs((got - utc_now).total_seconds()) < 120
+
+
+def test_stage_drop_counts_and_flags(spark):
+    raw = spark.createDataFrame([(1, 2.9, "I"), (2, -1.5, "U"), (3, 7.0, "I")], "k int, x double, newline string")
+    stage = scratch_path(spark, "t-stage-drop")
+    ledger, n, flags = led.stage_drop(raw, stage, "t.parquet_U_1", led.empty_ledger(spark),
+                                      cast_map={"double": "bigint"})
+    assert (n, flags) == (3, "I, U")
+    back = spark.read.parquet(f"{stage}/t.parquet_U_1")
+    assert back.columns == ["k", "x", "delta_flg"] and sorted(r.x for r in back.collect()) == [-1, 2, 7]
+    assert [(r.file_name, r.file_number_of_rows, r.file_loaded) for r in ledger.collect()] == [("t.parquet_U_1", 3, False)]
+
+
+def test_scan_table_reads_a_named_table(spark, sf_small):
+    from tablewright.sources import files as src
+    spark.read.parquet(f"{sf_small}/nation.parquet").createOrReplaceTempView("nation_t")
+    assert src.scan_table(spark, "nation_t").count() == 25
