@@ -95,8 +95,9 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     if small:
         # (a) keep / update / delete: target probes the broadcast per-key table
         kept = target.join(F.broadcast(per_key), pk, "left").where(keep_cond)
-        # (b) target keys that some change row names: bounded by the change count
-        matched = target.select(*pk).join(F.broadcast(keyed.select(*pk)), pk, "left_semi")
+        # (b) target keys that some change row names, de-duplicated map-side:
+        #     at most one row per change key, so bounded like the changes
+        matched = target.select(*pk).join(F.broadcast(keyed.select(*pk)), pk, "left_semi").distinct()
         # (c) inserts: change rows whose key is not matched (NULL keys never match)
         inserts = insertable.join(F.broadcast(matched), pk, "left_anti")
     else:
