@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from ..session import default_parallelism
+from ..session import checkpoint_root, default_parallelism
 from ..util import as_list as _as_list, col as _col, qcol
 
 _RANGE = "__range"
@@ -123,11 +123,19 @@ def _n_ranges(df: DataFrame, n_ranges: int | None, total: int) -> int:
 
 
 def ranked(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), rank_col: str = "rank",
-           n_ranges: int | None = None, total: int | None = None) -> DataFrame:
+           n_ranges: int | None = None, total: int | None = None,
+           materialize: bool = False) -> DataFrame:
     """1-based position of every row in ``order`` within its ``keys`` group
     (the whole table when ``keys`` is empty), computed as described in the
-    module docstring.  ``order`` items are column names, ascending."""
+    module docstring.  ``order`` items are column names, ascending.
+
+    The input is read four times (count, sample, numbering, counts); with
+    ``materialize`` an expensive input is computed once into a reliable
+    checkpoint under the shared checkpoint folder (lineage cut there)."""
     keys, order = list(keys), list(order)
+    if materialize:
+        checkpoint_root(df.sparkSession)      # make sure a checkpoint dir is set
+        df = df.checkpoint(eager=True)
     total = df.count() if total is None else total
     n = _n_ranges(df, n_ranges, total)
     tup = keys + order
@@ -150,9 +158,10 @@ def ranked(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), rank_c
 
 
 def global_rank(df: DataFrame, order: Sequence[str], n_ranges: int | None = None,
-                rank_col: str = "rank", total: int | None = None) -> DataFrame:
+                rank_col: str = "rank", total: int | None = None,
+                materialize: bool = False) -> DataFrame:
     """Consecutive 1-based row numbers over the whole DataFrame in ``order``."""
-    return ranked(df, order, (), rank_col, n_ranges, total)
+    return ranked(df, order, (), rank_col, n_ranges, total, materialize)
 
 
 def tile_of(rank0: Column, total: int, tiles: int) -> Column:

@@ -175,3 +175,10 @@ def test_global_rank_timestamp_ntz_order(spark):
                                                    .cast("timestamp_ntz")).alias("ts"))
     got = sorted((r.id, r["rank"]) for r in rank.global_rank(df, ["ts"], n_ranges=4).collect())
     assert got == [(i, i + 1) for i in range(50)]
+
+
+def test_ranked_materialized_input(spark):
+    joined = spark.range(0, 300).join(spark.range(0, 300).withColumnRenamed("id", "k"),
+                                      F.col("id") == F.col("k")).select("id")
+    got = sorted((r.id, r["rank"]) for r in rank.global_rank(joined, ["id"], 4, materialize=True).collect())
+    assert got == [(i, i + 1) for i in range(300)]
