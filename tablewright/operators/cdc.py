@@ -17,10 +17,13 @@ from ..functions.timefmt import shift_seconds
 from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast, qcol
 from . import rank
 
+# The change flags of a flagged drop (insert, update, delete)
+# and the two load types of the flagged merge.
+FLAG_INSERT, FLAG_UPDATE, FLAG_DELETE = "I", "U", "D"
 INCREMENTAL = "Incremental"
 INITIAL = "Initial"
 
-_HIT_FLAGS = ("U", "D")
+_HIT_FLAGS = (FLAG_UPDATE, FLAG_DELETE)
 MULTI_MATCH_ERROR = ("merge_flagged: more than one change row with flag U or D "
                      "matches the same target row")
 
@@ -54,7 +57,7 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     error (MERGE cardinality rule); duplicated unmatched rows all insert.
 
     Plan: when the change set is proven small (at most ``broadcast_rows``
-    rows and ``broadcast_bytes`` bytes, checked by one bounded pass) it is
+    rows and ``broadcast_bytes`` bytes, checked by one aggregation pass) it is
     broadcast and the target is never shuffled.  Otherwise the target is
     left-joined with the changes pre-aggregated per key (map-side combined,
     so a hot change key is reduced before the shuffle), and unmatched change
@@ -71,7 +74,7 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
 
     fl = qcol(flag)
     keyed = changes.where(_all_not_null(pk))
-    insertable = changes if load_type == INITIAL else changes.where(fl == F.lit("I"))
+    insertable = changes if load_type == INITIAL else changes.where(fl == F.lit(FLAG_INSERT))
 
     # per change key: how many rows can act on a matched target row, and that row
     hit_payload = F.struct(fl.alias("__flag"), *[qcol(c).alias(c) for c in value_cols])
@@ -81,12 +84,12 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
 
     hit_flag = F.when(F.col("__hits") > 0, F.col("__hit.__flag"))
     keep_cond = F.when(F.col("__hits") > 1, F.raise_error(F.lit(MULTI_MATCH_ERROR))) \
-                 .otherwise(hit_flag.isNull() | (hit_flag == F.lit("U")))
+                 .otherwise(hit_flag.isNull() | (hit_flag == F.lit(FLAG_UPDATE)))
 
     def updated(name, dtype, in_source):
         if name in pk or not in_source:
             return qcol(name)
-        return F.when(hit_flag == F.lit("U"), F.col("__hit")[name].cast(dtype)).otherwise(qcol(name))
+        return F.when(hit_flag == F.lit(FLAG_UPDATE), F.col("__hit")[name].cast(dtype)).otherwise(qcol(name))
 
     def inserted(name, dtype, in_source):
         return qcol(name).cast(dtype) if in_source else F.lit(None).cast(dtype)

@@ -51,26 +51,12 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows whose values take at
     most ``max_bytes`` bytes (fixed widths plus actual string lengths).
-    Reads at most ``max_rows + 1`` rows per task, so the check is bounded."""
+
+    One aggregation pass, combined map-side (no single-task funnel such as a
+    global LIMIT): it costs one scan of ``df``, which is the (smaller) change
+    side of the operations that use it."""
     if not max_rows or max_rows <= 0:
         return False
     sizes = [_value_bytes(f) for f in df.schema.fields] or [F.lit(0)]
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                   F.sum(reduce(lambda a, b: a + b, sizes)).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(reduce(lambda a, b: a + b, sizes)).alias("b")).first()
     return r["n"] <= max_rows and (max_bytes is None or (r["b"] or 0) <= max_bytes)
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows, so the check itself is bounded."""
-    if max_rows is None or max_rows < 0:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def type_of(df: DataFrame, name: str):
-    return df.schema[name].dataType
-
-
-def null_of(df: DataFrame, name: str) -> Column:
-    return F.lit(None).cast(type_of(df, name))
