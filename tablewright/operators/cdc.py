@@ -193,9 +193,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys, change_col: str = "_chan
     keys = as_list(keys)
     vals = [c for c in new.columns if c not in keys]
     j = pair_by_key(old, new, keys, vals)
-    change = (F.when(F.col("__old").isNull(), F.lit("I"))
-               .when(F.col("__new").isNull(), F.lit("D"))
-               .when(~F.equal_null(F.col("__old"), F.col("__new")), F.lit("U")))
+    change = (F.when(F.col("__old").isNull(), F.lit(FLAG_INSERT))
+               .when(F.col("__new").isNull(), F.lit(FLAG_DELETE))
+               .when(~F.equal_null(F.col("__old"), F.col("__new")), F.lit(FLAG_UPDATE)))
     side = F.when(F.col("__new").isNull(), F.col("__old")).otherwise(F.col("__new"))
     return (j.withColumn(change_col, change)
              .where(F.col(change_col).isNotNull())
