@@ -47,6 +47,23 @@ def build_session(master: str | None = None, app: str = "tablewright",
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 512 * 1024 * 1024,
+               min_partitions: int = 200, max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for a job reading about ``input_bytes``: enough initial
+    shuffle partitions that each holds about ``partition_bytes`` (AQE can
+    coalesce small partitions afterwards but never splits large ones except
+    for skew), and the same advisory size for AQE.  Pass the result as
+    ``build_session(extra=...)`` or set it on the cluster."""
+    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for scratch tables and checkpoints.
 

@@ -18,6 +18,7 @@ Per batch the cost is O(batch); readers pay the fold.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -88,11 +89,18 @@ def stream_apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys
 def read_log(spark: SparkSession, log_path: str, schema: StructType | None = None,
              min_version: int | None = None) -> DataFrame:
     """All log versions (the version column removed).  ``min_version``
-    prunes older version directories at planning time."""
+    prunes older version directories at planning time (partition pruning
+    on ``v``).  A log with no version yet reads as an empty table when
+    ``schema`` is given."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(StructType(list(schema.fields) + [StructField(VERSION_COL, LongType())]))
-    df = reader.parquet(log_path)
+    try:
+        df = reader.parquet(log_path)
+    except AnalysisException:
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)
     if min_version is not None:
         df = df.where(F.col(VERSION_COL) >= min_version)
     return df.drop(VERSION_COL)
@@ -100,10 +108,12 @@ def read_log(spark: SparkSession, log_path: str, schema: StructType | None = Non
 
 def current_state(spark: SparkSession, log_path: str, keys, sequence_by, apply_as_deletes=None,
                   except_columns=(), tiebreak=None, base: DataFrame | None = None,
-                  schema: StructType | None = None) -> DataFrame:
+                  schema: StructType | None = None, since_version: int | None = None) -> DataFrame:
     """The table as of the latest log version: newest row per key over base
-    and log, deletes removed, ``except_columns`` dropped."""
-    rows = read_log(spark, log_path, schema)
+    and log, deletes removed, ``except_columns`` dropped.  When ``base`` is
+    a compaction of versions below ``since_version``, those are not read
+    (folding them again would be harmless, only slower)."""
+    rows = read_log(spark, log_path, schema, min_version=since_version)
     if base is not None:
         rows = base.unionByName(rows, allowMissingColumns=True)
     latest = cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak)

@@ -159,3 +159,22 @@ def test_scan_table_reads_a_named_table(spark, sf_small):
     from tablewright.sources import files as src
     spark.read.parquet(f"{sf_small}/nation.parquet").createOrReplaceTempView("nation_t")
     assert src.scan_table(spark, "nation_t").count() == 25
+
+
+def test_current_state_of_an_empty_log_and_since_version(spark, sf_small):
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    empty = stream.current_state(spark, scratch_path(spark, "t-nolog"), KEYS, SEQ, DEL, schema=ev.schema)
+    assert empty.count() == 0 and empty.columns == ev.columns
+    log = scratch_path(spark, "t-log6")
+    ev.where("event_id % 2 = 0").write.parquet(f"{log}/v=0")
+    ev.where("event_id % 2 = 1").write.parquet(f"{log}/v=1")
+    base = spark.read.parquet(stream.compact_log(spark, log, scratch_path(spark, "t-base6"), KEYS, SEQ, DEL))
+    state = stream.current_state(spark, log, KEYS, SEQ, DEL, base=base, since_version=2)
+    assert _rows(state) == _rows(cdc.apply_changes(ev, KEYS, SEQ, DEL))
+
+
+def test_scale_conf():
+    from tablewright.session import scale_conf
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_conf(1024 ** 4)["spark.sql.shuffle.partitions"] == "2048"
