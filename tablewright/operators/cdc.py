@@ -140,6 +140,14 @@ def _delete_col(apply_as_deletes) -> Column | None:
     return F.coalesce(cond, F.lit(False))
 
 
+def flag_rank(flag_col: str = "delta_flg") -> Column:
+    """Tiebreak for change rows with equal sequence: D > U > I > anything
+    else (pass as ``tiebreak`` to ``apply_changes`` / ``fold_changes``)."""
+    f = qcol(flag_col)
+    return (F.when(f == F.lit(FLAG_DELETE), 3).when(f == F.lit(FLAG_UPDATE), 2)
+             .when(f == F.lit(FLAG_INSERT), 1).otherwise(0))
+
+
 def fold_changes(rows: DataFrame, keys, sequence_by, apply_as_deletes=None, tiebreak=None) -> DataFrame:
     """Newest row per key, deletes kept (the compacted change log)."""
     order = as_list(sequence_by) + as_list(tiebreak)

@@ -187,3 +187,17 @@ def test_fits_broadcast_counts_bytes(spark):
     assert not fits_broadcast(df, 10, 10 ** 6)          # too many rows
     assert not fits_broadcast(df, 100, 20_000)          # too many bytes
     assert not fits_broadcast(df, 0)
+
+
+def test_flag_rank_breaks_equal_sequence(spark):
+    ch = spark.createDataFrame([(1, 5, "I", "i"), (1, 5, "U", "u"), (2, 5, "U", "u"), (2, 5, "D", None)],
+                               "k int, seq int, delta_flg string, val string")
+    out = cdc.apply_changes(ch, "k", "seq", "delta_flg = 'D'", tiebreak=cdc.flag_rank())
+    assert [(r.k, r.val) for r in out.collect()] == [(1, "u")]
+
+
+def test_reconcile_rows_unkeyed(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (3, "z")], "k int, v string")
+    got = sorted((r.k, r.side) for r in reconcile.reconcile_rows(a, b).collect())
+    assert got == [(1, "source_only"), (2, "source_only"), (3, "target_only")]
