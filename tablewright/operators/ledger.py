@@ -131,21 +131,30 @@ def stage_drop(df: DataFrame, stage_dir: str, name: str, ledger: DataFrame, now=
 
 def apply_pending(spark: SparkSession, ledger: DataFrame, target: DataFrame, stage_dir: str,
                   out_root: str, pk, flag: str = "delta_flg", load_type: str = cdc.INCREMENTAL,
-                  now=None, table_prefix: str | None = None,
+                  now=None, table_prefix: str | None = None, name_filter=None,
+                  expectations: dict | None = None,
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """Load every pending drop in arrival order: schema gate, flagged merge
     into the target, mark loaded.  Each step writes a new target version
     ``<out_root>/target/<n>`` and ledger version ``<out_root>/ledger/<n>``
     and reads it back, so lineage stays one step deep and a failed step
     leaves the previous versions intact.  The loop is over drop names only
-    (control); every step runs distributed.  Returns (target, ledger)."""
+    (control); every step runs distributed.  ``table_prefix`` keeps the drops
+    of one table; ``name_filter`` (SQL text or Column on ``file_name``)
+    selects a kind of drop, e.g. initial loads only; ``expectations``
+    ({name: SQL rule}) fail the load on a drop row that breaks a rule, before
+    the new target version is committed.  Returns (target, ledger)."""
     pend = pending_files(ledger)
     if table_prefix is not None:
         pend = pend.where(F.col("file_name").startswith(table_prefix))
+    if name_filter is not None:
+        pend = pend.where(F.expr(name_filter) if isinstance(name_filter, str) else name_filter)
     names = [r.file_name for r in pend.select("file_name", "file_arrival_timestamp").collect()]
     for i, name in enumerate(names, start=1):
         changes = quality.schema_gate(scan_parquet(spark, f"{stage_dir}/{name}"), target,
                                       ignore=[flag], ordered=False)
+        if expectations:
+            changes = quality.expect_all_or_fail(changes, expectations)
         merged = cdc.merge_flagged(target, changes, pk, flag, load_type, broadcast_rows)
         tpath = f"{out_root}/target/{i}"
         merged.write.mode("overwrite").parquet(tpath)

@@ -11,12 +11,11 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, S
                                TimestampNTZType)
 
 from ..functions import casts, text as tx, timefmt
-from ..operators import aggregates as agg, cdc, dml, quality, rank, reconcile as rec, shape
+from ..operators import aggregates as agg, cdc, dml, ledger as led, quality, rank, reconcile as rec, shape
 from ..session import scratch_path
 from ..sinks import tables as sink
 from ..sources import files as src
 from ..streaming import changes as stream
-from ..operators import ledger as led
 from . import fixtures as fx, staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,6 +349,17 @@ def q_parse_delimited(spark, sf):
     return casts.cast_to_schema(fields, cust.schema)
 
 
+def q_load_delimited(spark, sf):
+    """Delimited text -> empty table made from the customer footer ->
+    positional typed load, read back."""
+    cust = fx.table(spark, sf, "customer")
+    path = staging.stage_text(spark, staging.render_delimited(cust, key="c_custkey"), "customer-text")
+    target = scratch_path(spark, "customer-loaded")
+    sink.create_empty_like(spark, f"{sf}/customer.parquet", target)
+    sink.load_delimited(spark, path, target, staging.CARET_A, skip_pattern="cat%")
+    return spark.read.parquet(target)
+
+
 def q_scan_text_records(spark, sf):
     cust = fx.table(spark, sf, "customer")
     recs = cust.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value"))
@@ -495,6 +505,7 @@ def q_append_select(spark, sf):
 
 QUERIES.update({
     "parse_delimited": q_parse_delimited,
+    "load_delimited": q_load_delimited,
     "scan_text_records": q_scan_text_records,
     "stream_append": q_stream_append,
     "stream_apply_changes": q_stream_apply_changes,

@@ -235,6 +235,7 @@ ODD_DAY = "CAST(right(file_name, 2) AS INTEGER) % 2 = 1"
 
 SQL.update({
     "parse_delimited": "SELECT * FROM customer",
+    "load_delimited": "SELECT * FROM customer",
     "scan_text_records": "SELECT c_custkey, c_name FROM customer",
     "stream_append": "SELECT * FROM events",
     "stream_apply_changes": SQL["apply_changes"],

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.casts import cast_by_type
+from ..sources.files import parse_delimited, scan_text_records
 from ..util import as_list, qcol
 
 
@@ -122,3 +123,15 @@ def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
     return (df.groupBy(F.col("_metadata.file_path").alias("file"))
               .agg(F.count(F.lit(1)).alias("rows"), F.min(qcol(col)).alias("min_v"),
                    F.max(qcol(col)).alias("max_v")))
+
+
+def load_delimited(spark: SparkSession, path, target: str, sep: str, skip_pattern: str | None = "cat%",
+                   mode: str = "overwrite", record_sep: str = "\n") -> None:
+    """Load delimited text into an existing table (name or path) the way a
+    positional INSERT of typed columns does: records -> fields -> the
+    target's declared types (``try_cast``) -> positional write.  One lazy
+    plan on the executors; nothing passes through the driver."""
+    schema = _target_schema(spark, target)
+    lines = scan_text_records(spark, path, record_sep)
+    fields = parse_delimited(lines, sep, [f.name for f in schema.fields], skip_pattern)
+    insert_positional(fields, target, mode=mode)

@@ -178,3 +178,20 @@ def test_scale_conf():
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
     assert scale_conf(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "200000"
     assert scale_conf(1024 ** 4)["spark.sql.shuffle.partitions"] == "2048"
+
+
+def test_apply_pending_expectation_stops_the_load(spark):
+    import pytest
+    stage = scratch_path(spark, "t-pend-stage")
+    out = scratch_path(spark, "t-pend-out")
+    spark.createDataFrame([(1, "a", "I"), (2, None, "I")], "k int, s string, delta_flg string") \
+        .write.parquet(f"{stage}/t.parquet_I_1")
+    counts = led.drop_counts(spark, f"{stage}/*")
+    ledger = led.register_files(led.empty_ledger(spark), counts)
+    target = spark.createDataFrame([], "k int, s string")
+    with pytest.raises(Exception, match="expectation failed: s_present"):
+        led.apply_pending(spark, ledger, target, stage, out, "k", expectations={"s_present": "s IS NOT NULL"})
+    final, new_ledger = led.apply_pending(spark, ledger, target, stage, out, "k",
+                                          expectations={"k_positive": "k > 0"})
+    assert sorted(r.k for r in final.collect()) == [1, 2]
+    assert [r.file_loaded for r in new_ledger.collect()] == [True]
