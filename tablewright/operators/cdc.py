@@ -59,10 +59,11 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     Plan: when the change set is proven small (at most ``broadcast_rows``
     rows and ``broadcast_bytes`` bytes, checked by one aggregation pass) it is
     broadcast and the target is never shuffled.  Otherwise the target is
-    left-joined with the changes pre-aggregated per key (map-side combined,
-    so a hot change key is reduced before the shuffle), and unmatched change
-    keys come from an anti join against the target's distinct keys; only
-    the target's key column is shuffled a second time."""
+    left-joined with the U/D change rows aggregated per key (map-side
+    combined, so a hot change key is reduced before the shuffle), and
+    unmatched change keys come from the distinct change keys anti-joined
+    with the target's distinct keys; only the target's key column is
+    shuffled a second time."""
     pk = as_list(pk)
     if load_type not in (INCREMENTAL, INITIAL):
         raise ValueError(f"load_type must be {INCREMENTAL!r} or {INITIAL!r}, got {load_type!r}")
@@ -76,13 +77,13 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     keyed = changes.where(_all_not_null(pk))
     insertable = changes if load_type == INITIAL else changes.where(fl == F.lit(FLAG_INSERT))
 
-    # per change key: how many rows can act on a matched target row, and that row
+    # per change key with U/D rows: how many there are, and the row (only
+    # these can act on a matched target row; more than one is an error)
     hit_payload = F.struct(fl.alias("__flag"), *[qcol(c).alias(c) for c in value_cols])
-    per_key = keyed.groupBy(*pk).agg(
-        F.count_if(fl.isin(*_HIT_FLAGS)).alias("__hits"),
-        F.max_by(hit_payload, fl.isin(*_HIT_FLAGS)).alias("__hit"))
+    hits = keyed.where(fl.isin(*_HIT_FLAGS)).groupBy(*pk).agg(
+        F.count(F.lit(1)).alias("__hits"), F.any_value(hit_payload).alias("__hit"))
 
-    hit_flag = F.when(F.col("__hits") > 0, F.col("__hit.__flag"))
+    hit_flag = F.col("__hit.__flag")
     keep_cond = F.when(F.col("__hits") > 1, F.raise_error(F.lit(MULTI_MATCH_ERROR))) \
                  .otherwise(hit_flag.isNull() | (hit_flag == F.lit(FLAG_UPDATE)))
 
@@ -96,8 +97,8 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
 
     small = fits_broadcast(changes, broadcast_rows, broadcast_bytes)
     if small:
-        # (a) keep / update / delete: target probes the broadcast per-key table
-        kept = target.join(F.broadcast(per_key), pk, "left").where(keep_cond)
+        # (a) keep / update / delete: target probes the broadcast U/D table
+        kept = target.join(F.broadcast(hits), pk, "left").where(keep_cond)
         # (b) target keys that some change row names, de-duplicated map-side:
         #     at most one row per change key, so bounded like the changes
         matched = target.select(*pk).join(F.broadcast(keyed.select(*pk)), pk, "left_semi").distinct()
@@ -105,12 +106,12 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
         inserts = insertable.join(F.broadcast(matched), pk, "left_anti")
     else:
         # kept / updated / deleted target rows: a left outer join (AQE splits
-        # a hot target key across tasks); the per-key table is unique by key
-        kept = target.join(per_key, pk, "left").where(keep_cond)
-        # change keys with no target row: anti join against the target's
-        # distinct keys (a hot target key collapses map-side)
+        # a hot target key across tasks); the U/D table is unique by key
+        kept = target.join(hits, pk, "left").where(keep_cond)
+        # change keys with no target row: distinct change keys anti-joined
+        # with the target's distinct keys (hot keys collapse map-side)
         target_keys = target.select(*pk).where(_all_not_null(pk)).distinct()
-        unmatched = per_key.select(*pk).join(target_keys, pk, "left_anti")
+        unmatched = keyed.select(*pk).distinct().join(target_keys, pk, "left_anti")
         inserts = (insertable.where(_all_not_null(pk)).join(unmatched, pk, "left_semi")
                    .unionByName(insertable.where(~_all_not_null(pk))))
 
