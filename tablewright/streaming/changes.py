@@ -60,14 +60,16 @@ def stream_append(stream: DataFrame, path: str, checkpoint: str, wait: bool = Tr
 def stream_apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys, sequence_by,
                          apply_as_deletes=None, tiebreak=None, wait: bool = True,
                          target_schema: StructType | None = None, ignore=(),
-                         expectations: dict | None = None) -> StreamingQuery:
+                         expectations: dict | None = None, after_batch=None) -> StreamingQuery:
     """Apply a change stream continuously (SCD type 1): each micro-batch is
     folded to one row per key and written to its own log version.
 
     ``target_schema`` stops the stream before it starts when its columns
     (minus ``ignore``) do not match by name and position;
     ``expectations`` ({name: SQL rule}) fail the running query on the first
-    row that breaks a rule, before anything of that batch is written."""
+    row that breaks a rule, before anything of that batch is written.
+    ``after_batch(batch_id)`` runs after a batch's log version is written
+    (metrics, notifications)."""
     keys = as_list(keys)
     if target_schema is not None:
         quality.schema_gate(stream, target_schema, ignore=ignore, ordered=True)
@@ -77,6 +79,8 @@ def stream_apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         folded = cdc.fold_changes(batch, keys, sequence_by, apply_as_deletes, tiebreak)
         folded.write.mode("overwrite").parquet(f"{log_path}/{VERSION_COL}={batch_id}")
+        if after_batch is not None:
+            after_batch(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)

@@ -195,3 +195,34 @@ def test_apply_pending_expectation_stops_the_load(spark):
                                           expectations={"k_positive": "k > 0"})
     assert sorted(r.k for r in final.collect()) == [1, 2]
     assert [r.file_loaded for r in new_ledger.collect()] == [True]
+
+
+def test_stream_batch_replayed_after_failure_gives_the_same_state(spark, sf_small):
+    """A batch fails after writing its log version; the restart replays it
+    (overwriting its own version), then a late drop arrives."""
+    import pytest
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    stage = scratch_path(spark, "t-fail-stage")
+    log = scratch_path(spark, "t-fail-log")
+    ckpt = scratch_path(spark, "t-fail-ckpt")
+    for i in range(3):
+        ev.where(f"event_id % 4 = {i}").write.parquet(f"{stage}/drop_{i}")
+    seen = []
+
+    def fail_once(batch_id):
+        seen.append(batch_id)
+        if batch_id == 1 and seen.count(1) == 1:
+            raise RuntimeError("injected failure after the write")
+
+    def run():
+        s = stream.stream_files(spark, f"{stage}/drop_*/*.parquet", ev.schema, max_files=1)
+        stream.stream_apply_changes(s, log, ckpt, KEYS, SEQ, DEL, after_batch=fail_once)
+
+    with pytest.raises(Exception):
+        run()
+    run()
+    ev.where("event_id % 4 = 3").write.parquet(f"{stage}/drop_3")
+    run()
+    assert seen == [0, 1, 1, 2, 3]
+    state = stream.current_state(spark, log, KEYS, SEQ, DEL, schema=ev.schema)
+    assert _rows(state) == _rows(cdc.apply_changes(ev, KEYS, SEQ, DEL))
