@@ -201,3 +201,19 @@ def test_reconcile_rows_unkeyed(spark):
     b = spark.createDataFrame([(1, "x"), (3, "z")], "k int, v string")
     got = sorted((r.k, r.side) for r in reconcile.reconcile_rows(a, b).collect())
     assert got == [(1, "source_only"), (2, "source_only"), (3, "target_only")]
+
+
+def test_snapshot_scenarios_through_the_log(spark):
+    from tablewright.session import scratch_path
+    from tablewright.streaming import changes as stream
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    b0 = spark.createDataFrame([(1, 0, t0), (2, 0, t0), (3, 0, t0), (4, 1, t0)], S_SCHEMA)
+    b1 = spark.createDataFrame([(1, 1, t1), (3, 0, t1), (4, 1, t0), (5, 1, t1)], S_SCHEMA)
+    log = scratch_path(spark, "t-snap-log")
+    stream.snapshot_to_log(spark, log, None, b0, "sk", 1)
+    stream.snapshot_to_log(spark, log, b0, b1, "sk", 2)
+    v2 = spark.read.parquet(f"{log}/v=2")
+    assert sorted((r.sk, r[stream.SNAPSHOT_OP]) for r in v2.collect()) == [(1, "U"), (2, "D"), (3, "U"), (5, "I")]
+    state = stream.snapshot_state(spark, log, "sk")
+    assert state.columns == b1.columns
+    assert sorted(tuple(r) for r in state.collect()) == sorted(tuple(r) for r in b1.collect())
