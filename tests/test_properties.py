@@ -78,3 +78,32 @@ def test_apply_changes_matches_model(spark, ops, seed):
     df = spark.createDataFrame(rows, "k int, seq int, op string, val string").repartition(3)
     got = cdc.apply_changes(df, "k", "seq", "op = 'D'", except_columns=["op"])
     assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2]), st.one_of(st.none(), st.integers(-50, 50))),
+                     min_size=1, max_size=60, unique_by=lambda r: r),
+       n_ranges=st.integers(1, 9))
+def test_ranked_matches_model(spark, rows, n_ranges):
+    from tablewright.operators import rank
+    data = [(g, o, i) for i, (g, o) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g int, o int, i int")
+    got = sorted((r.i, r.pos) for r in rank.ranked(df, ["o"], ["g"], "pos", n_ranges).collect())
+    expected = []
+    for g in {g for g, _, _ in data}:
+        members = sorted((r for r in data if r[0] == g), key=lambda r: (r[1] is not None, r[1] or 0))
+        expected += [(r[2], p + 1) for p, r in enumerate(members)]
+    assert got == sorted(expected)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(old=st.dictionaries(st.integers(0, 8), st.one_of(st.none(), st.integers(0, 3)), max_size=8),
+       new=st.dictionaries(st.integers(0, 8), st.one_of(st.none(), st.integers(0, 3)), max_size=8))
+def test_snapshot_diff_matches_model(spark, old, new):
+    o = spark.createDataFrame(list(old.items()), "k int, v int")
+    n = spark.createDataFrame(list(new.items()), "k int, v int")
+    got = {r.k: (r.v, r._change) for r in cdc.snapshot_diff(o, n, "k").collect()}
+    exp = {k: (v, "I") for k, v in new.items() if k not in old}
+    exp.update({k: (v, "D") for k, v in old.items() if k not in new})
+    exp.update({k: (new[k], "U") for k in old if k in new and old[k] != new[k]})
+    assert got == exp
