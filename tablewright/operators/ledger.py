@@ -102,8 +102,16 @@ def pending_files(ledger: DataFrame, arrived: DataFrame | None = None) -> DataFr
     return pend.orderBy(*order)
 
 
-def mark_loaded(ledger: DataFrame, files: Sequence[str] | str, now=None) -> DataFrame:
-    """Set ``file_loaded`` and the processed time for the named drops."""
+def mark_loaded(ledger: DataFrame, files, now=None) -> DataFrame:
+    """Set ``file_loaded`` and the processed time for the named drops: a
+    name, a list of names, or a DataFrame with a ``file_name`` column
+    (applied with a join, so any number of drops)."""
+    if isinstance(files, DataFrame):
+        hit = files.select(F.col("file_name"), F.lit(True).alias("__hit")).distinct()
+        marked = ledger.join(hit, "file_name", "left")
+        out = dml.update_where(marked, F.col("__hit"),
+                               {"file_loaded": True, "file_processed_timestamp": _ts(now)})
+        return out.select(*ledger.columns)
     names = [files] if isinstance(files, str) else list(files)
     return dml.update_where(ledger, F.col("file_name").isin(names),
                             {"file_loaded": True, "file_processed_timestamp": _ts(now)})

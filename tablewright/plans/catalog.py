@@ -415,14 +415,12 @@ def q_ledger_register(spark, sf):
 
 def q_ledger_mark(spark, sf):
     ledger = _daily_ledger(spark, sf)
-    odd = [r.file_name for r in _odd_days(ledger).collect()]
-    return led.mark_loaded(ledger, odd, now=LOADED_NOW)
+    return led.mark_loaded(ledger, _odd_days(ledger), now=LOADED_NOW)
 
 
 def q_ledger_pending(spark, sf):
     ledger = _daily_ledger(spark, sf)
-    odd = [r.file_name for r in _odd_days(ledger).collect()]
-    marked = led.mark_loaded(ledger, odd, now=LOADED_NOW)
+    marked = led.mark_loaded(ledger, _odd_days(ledger), now=LOADED_NOW)
     return led.pending_files(marked).select("file_name", "file_number_of_rows")
 
 
