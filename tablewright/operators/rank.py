@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from ..session import checkpoint_root, default_parallelism
+from ..session import default_parallelism, scratch_path
 from ..util import as_list as _as_list, col as _col, qcol
 
 _RANGE = "__range"
@@ -117,27 +117,56 @@ def _range_expr(cols: list[Column], types: list, bounds: list[tuple]) -> Column:
     return build(0, len(bounds))
 
 
-def _n_ranges(df: DataFrame, n_ranges: int | None, total: int) -> int:
-    n = n_ranges or default_parallelism(df.sparkSession)
-    return max(1, min(n, int(math.ceil(total / 2))))
+ROWS_PER_RANGE = 2_000_000
+MAX_LITERAL_BOUNDS = 128
+
+
+def _planned_ranges(df: DataFrame, n_ranges: int | None, total: int, rows_per_range: int) -> int:
+    if n_ranges:
+        return max(1, min(n_ranges, int(math.ceil(total / 2))))
+    by_size = int(math.ceil(total / rows_per_range))
+    by_cores = min(default_parallelism(df.sparkSession), int(math.ceil(total / 10_000)))
+    return max(1, by_size, by_cores)
 
 
 def ranked(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), rank_col: str = "rank",
-           n_ranges: int | None = None, total: int | None = None,
-           materialize: bool = False) -> DataFrame:
+           n_ranges: int | None = None, total: int | None = None, method: str = "auto",
+           rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """1-based position of every row in ``order`` within its ``keys`` group
-    (the whole table when ``keys`` is empty), computed as described in the
-    module docstring.  ``order`` items are column names, ascending.
-
-    The input is read four times (count, sample, numbering, counts); with
-    ``materialize`` an expensive input is computed once into a reliable
-    checkpoint under the shared checkpoint folder (lineage cut there)."""
+    (the whole table when ``keys`` is empty).  ``order`` items are column
+    names, ascending (NULLs first).
+
+    The number of ranges follows the data (about ``rows_per_range`` rows
+    each, at least the cluster's parallelism).  ``method``:
+
+    * ``bounds`` - literal sampled bounds and a comparison tree (module
+      docstring); no data is written.  Used up to MAX_LITERAL_BOUNDS bounds,
+      beyond which the expression grows too large to compile well.
+    * ``range_write`` - Spark's range partitioner (native binary search over
+      its own sampled bounds) on (keys, order, row hash), sorted within
+      partitions; the partition id and the position inside the partition
+      are taken in that same stage and written with the rows as a table in
+      the shared checkpoint folder, so every later read sees the same
+      numbers (lineage cut, executor loss safe).  Offsets come from
+      per-partition counts; group starts from a per-(partition, group)
+      minimum joined on (partition, group), which stays balanced because a
+      hot group spans many partitions.
+    * ``auto`` - ``bounds`` while the range count allows it, else
+      ``range_write``."""
     keys, order = list(keys), list(order)
-    if materialize:
-        checkpoint_root(df.sparkSession)      # make sure a checkpoint dir is set
-        df = df.checkpoint(eager=True)
     total = df.count() if total is None else total
-    n = _n_ranges(df, n_ranges, total)
+    n = _planned_ranges(df, n_ranges, total, rows_per_range)
+    if method == "auto":
+        method = "bounds" if n <= MAX_LITERAL_BOUNDS + 1 else "range_write"
+    if method == "bounds":
+        return _ranked_by_bounds(df, order, keys, rank_col, n, total)
+    if method == "range_write":
+        return _ranked_by_written_ranges(df, order, keys, rank_col, n)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def _ranked_by_bounds(df: DataFrame, order: list[str], keys: list[str], rank_col: str, n: int,
+                      total: int) -> DataFrame:
     tup = keys + order
     bounds = _sample_bounds(df, tup, n, total)
     types = [df.schema[c].dataType for c in tup]
@@ -151,17 +180,61 @@ def ranked(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), rank_c
     offsets = counts.select(*part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_OFFSET))
     if not keys:
         # one row per range: bounded by the range count, safe to broadcast
-        offsets = F.broadcast(offsets)
-    return (numbered.join(offsets, [_RANGE] + keys, "inner")
-                    .withColumn(rank_col, F.col(_OFFSET) + F.col(_ROW))
-                    .drop(_RANGE, _ROW, _OFFSET))
+        return (numbered.join(F.broadcast(offsets), _RANGE, "inner")
+                        .withColumn(rank_col, F.col(_OFFSET) + F.col(_ROW))
+                        .drop(_RANGE, _ROW, _OFFSET))
+    # NULL group keys form a group too: join them null-safely
+    return (_join_on(numbered, offsets, [_RANGE], keys)
+            .withColumn(rank_col, F.col(_OFFSET) + F.col(_ROW))
+            .drop(_RANGE, _ROW, _OFFSET))
+
+
+def _join_on(left: DataFrame, right: DataFrame, plain: list[str], null_safe: list[str]) -> DataFrame:
+    """Inner join on ``plain`` (equality) and ``null_safe`` (<=>) columns;
+    the right side's copies of the join columns are dropped."""
+    r = right.select(*[qcol(c).alias(f"__r_{c}") if c in plain + null_safe else qcol(c)
+                       for c in right.columns])
+    cond = [qcol(c) == F.col(f"`__r_{c}`") for c in plain] + \
+           [qcol(c).eqNullSafe(F.col(f"`__r_{c}`")) for c in null_safe]
+    joined = left.join(r, reduce(lambda a, b: a & b, cond), "inner")
+    return joined.drop(*[f"__r_{c}" for c in plain + null_safe])
+
+
+def _ranked_by_written_ranges(df: DataFrame, order: list[str], keys: list[str], rank_col: str,
+                              n: int) -> DataFrame:
+    spark = df.sparkSession
+    tup = [qcol(c) for c in keys + order]
+    pid = F.spark_partition_id()
+    staged = (df.withColumn("__h", F.xxhash64(*[qcol(c) for c in df.columns]))
+                .repartitionByRange(n, *tup, F.col("__h"))
+                .sortWithinPartitions(*tup, F.col("__h"))
+                .withColumn("__pid", pid)
+                .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+                .drop("__h"))
+    path = scratch_path(spark, "ranked")
+    staged.write.mode("overwrite").parquet(path)
+    mat = spark.read.parquet(path)
+    counts = mat.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: bounded by the partition count
+    offsets = F.broadcast(counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0))
+                                        .alias(_OFFSET)))
+    pos = (mat.join(offsets, "__pid", "inner")
+              .withColumn("__g0", F.col(_OFFSET) + F.col("__local")).drop(_OFFSET))
+    if not keys:
+        return pos.withColumn(rank_col, F.col("__g0") + 1).drop("__pid", "__local", "__g0")
+    firsts = pos.groupBy("__pid", *[qcol(k) for k in keys]).agg(F.min("__g0").alias("__first"))
+    starts = firsts.groupBy(*[qcol(k) for k in keys]).agg(F.min("__first").alias("__start"))
+    per_part = _join_on(firsts, starts, [], keys).drop("__first")
+    out = _join_on(pos, per_part, ["__pid"], keys)
+    return (out.withColumn(rank_col, F.col("__g0") - F.col("__start") + 1)
+               .drop("__pid", "__local", "__g0", "__start"))
 
 
 def global_rank(df: DataFrame, order: Sequence[str], n_ranges: int | None = None,
-                rank_col: str = "rank", total: int | None = None,
-                materialize: bool = False) -> DataFrame:
+                rank_col: str = "rank", total: int | None = None, method: str = "auto") -> DataFrame:
     """Consecutive 1-based row numbers over the whole DataFrame in ``order``."""
-    return ranked(df, order, (), rank_col, n_ranges, total, materialize)
+    return ranked(df, order, (), rank_col, n_ranges, total, method)
 
 
 def tile_of(rank0: Column, total: int, tiles: int) -> Column:

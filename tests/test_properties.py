@@ -80,18 +80,20 @@ def test_apply_changes_matches_model(spark, ops, seed):
     assert sorted(tuple(r) for r in got.collect()) == expected
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(rows=st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2]), st.one_of(st.none(), st.integers(-50, 50))),
-                     min_size=1, max_size=60, unique_by=lambda r: r),
-       n_ranges=st.integers(1, 9))
-def test_ranked_matches_model(spark, rows, n_ranges):
+@settings(max_examples=16, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2, None]), st.one_of(st.none(), st.integers(-50, 50))),
+                     min_size=1, max_size=60),
+       n_ranges=st.integers(1, 9), method=st.sampled_from(["bounds", "range_write"]),
+       grouped=st.booleans())
+def test_ranked_matches_model(spark, rows, n_ranges, method, grouped):
     from tablewright.operators import rank
-    data = [(g, o, i) for i, (g, o) in enumerate(rows)]
+    data = [(g if grouped else 0, o, i) for i, (g, o) in enumerate(rows)]
     df = spark.createDataFrame(data, "g int, o int, i int")
-    got = sorted((r.i, r.pos) for r in rank.ranked(df, ["o"], ["g"], "pos", n_ranges).collect())
+    keys = ["g"] if grouped else []
+    got = sorted((r.i, r.pos) for r in rank.ranked(df, ["o", "i"], keys, "pos", n_ranges, method=method).collect())
     expected = []
     for g in {g for g, _, _ in data}:
-        members = sorted((r for r in data if r[0] == g), key=lambda r: (r[1] is not None, r[1] or 0))
+        members = sorted((r for r in data if r[0] == g), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
         expected += [(r[2], p + 1) for p, r in enumerate(members)]
     assert got == sorted(expected)
 

@@ -177,8 +177,22 @@ def test_global_rank_timestamp_ntz_order(spark):
     assert got == [(i, i + 1) for i in range(50)]
 
 
-def test_ranked_materialized_input(spark):
+def test_ranked_by_written_ranges(spark):
     joined = spark.range(0, 300).join(spark.range(0, 300).withColumnRenamed("id", "k"),
                                       F.col("id") == F.col("k")).select("id")
-    got = sorted((r.id, r["rank"]) for r in rank.global_rank(joined, ["id"], 4, materialize=True).collect())
+    got = sorted((r.id, r["rank"]) for r in rank.global_rank(joined, ["id"], 4, method="range_write").collect())
     assert got == [(i, i + 1) for i in range(300)]
+
+
+def test_grouped_written_ranges_hot_group_and_nulls(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 10 < 6, F.lit(0)).when(F.col("id") % 10 == 6, F.lit(None))
+         .otherwise(F.col("id") % 5).alias("g"),
+        F.when(F.col("id") % 97 == 0, F.lit(None)).otherwise((F.col("id") * 7919) % 3000).alias("o"),
+        F.col("id"))
+    a = sorted((r.id, r.pos) for r in rank.ranked(df, ["o", "id"], ["g"], "pos", 16, method="range_write").collect())
+    b = sorted((r.id, r.pos) for r in rank.ranked(df, ["o", "id"], ["g"], "pos", 16, method="bounds").collect())
+    assert a == b
+    first = [r for r in rank.ranked(df, ["o", "id"], ["g"], "pos", 16, method="range_write").collect()
+             if r.g is None and r.pos == 1]
+    assert len(first) == 1 and first[0].o is None
