@@ -3,21 +3,29 @@ over a whole table or within groups (N1, N2, A5 long form).
 
 Numbering never uses a window without a partition (one task for the whole
 table) or a window partitioned by the group key alone (one task for a hot
-group).  Instead:
-
-1. range bounds are picked once from a bounded sample of the ordering tuple
-   (group keys, then order columns) and inlined as literals;
-2. each row gets its range with a balanced tree of lexicographic
-   comparisons against the bounds (stays in generated code);
-3. rows are numbered inside (range, group) with a partitioned window - a
-   group holding a third of the table spans many ranges, so many tasks;
-4. each (range, group) gets the count of the same group's rows in earlier
-   ranges from a small per-(range, group) count table, joined back on
-   (range, group) - co-partitioned with the window's shuffle.
-
-Because the bounds are literals, recomputing any stage after an executor
-loss gives the same numbers.  Rows equal on the whole ordering tuple may be
-numbered in either order; use a unique ordering for repeatable numbers.
+group).  The ordering tuple (group keys, then order columns) is cut into
+ranges - a group holding a third of the table spans many ranges, so many
+tasks - in one of two ways (``ranked(method=...)``):
+
+``bounds`` (up to MAX_LITERAL_BOUNDS ranges, no data written)
+  1. range bounds are picked once from a bounded sample and inlined as
+     literals; each row gets its range with a balanced tree of
+     lexicographic comparisons (stays in generated code);
+  2. rows are numbered inside (range, group) with a partitioned window;
+  3. each (range, group) gets the count of the same group's rows in earlier
+     ranges from a small per-(range, group) count table, joined back.
+  Because the bounds are literals, recomputing any stage after an executor
+  loss gives the same numbers.
+
+``range_write`` (any number of ranges)
+  Spark's range partitioner does the binary search over its own sampled
+  bounds; partition id and position are taken in the sorting stage and
+  written with the rows to the shared checkpoint folder, so the numbers are
+  fixed on disk; offsets and group starts come from small per-partition
+  tables (see ``ranked``).
+
+Rows equal on the whole ordering tuple may be numbered in either order; use
+a unique ordering for repeatable numbers.
 """
 
 from __future__ import annotations

@@ -273,6 +273,20 @@ def q_group_positions(spark, sf):
 
 
 # ---------------------------------------------------------------- ranking (N1, N2) and M7
+def q_group_positions_written(spark, sf):
+    """group_positions through Spark's range partitioner and written positions."""
+    o = fx.table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    out = rank.ranked(o, ["o_orderdate", "o_orderkey"], ["o_custkey"], "pos", method="range_write")
+    return out.select("o_custkey", "pos", "o_orderkey")
+
+
+def q_ntile_split_written(spark, sf):
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    total = o.count()
+    r = rank.ranked(o, ["o_orderkey"], (), "__rank", total=total, method="range_write")
+    return r.withColumn("tile", rank.tile_of(F.col("__rank") - 1, total, 5)).drop("__rank")
+
+
 def q_ntile_split(spark, sf):
     o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return rank.ntile_split(o, 5, ["o_orderkey"])
@@ -333,6 +347,8 @@ QUERIES.update({
     "group_collect": q_group_collect,
     "group_positions": q_group_positions,
     "ntile_split": q_ntile_split,
+    "ntile_split_written": q_ntile_split_written,
+    "group_positions_written": q_group_positions_written,
     "assign_keys": q_assign_keys,
     "change_batch_u": q_change_batch_u,
     "change_batch_d": q_change_batch_d,

@@ -207,6 +207,11 @@ SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate
 FROM orders""",
     "ntile_split": """
 SELECT o_orderkey, o_custkey, CAST(ntile(5) OVER (ORDER BY o_orderkey) AS INTEGER) AS tile FROM orders""",
+    "ntile_split_written": """
+SELECT o_orderkey, o_custkey, CAST(ntile(5) OVER (ORDER BY o_orderkey) AS INTEGER) AS tile FROM orders""",
+    "group_positions_written": """
+SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos, o_orderkey
+FROM orders""",
     "assign_keys": """
 SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey)
          AS o_orderkey,
