@@ -399,6 +399,17 @@ def q_stream_append(spark, sf):
     return spark.read.schema(schema).parquet(out)
 
 
+def q_stream_rescue(spark, sf):
+    """Staged events streamed into the expected schema; unexpected columns
+    and values that do not cast land in _rescued_data."""
+    schema = fx.table(spark, sf, "events").schema
+    root, _ = staging.stage_event_drops(spark, sf)
+    out = scratch_path(spark, "events-rescued")
+    s = stream.stream_files(spark, f"{root}/drop_*/*.parquet", schema, max_files=2, expected=RESCUE_SCHEMA)
+    stream.stream_append(s, out, scratch_path(spark, "ckpt-rescue"))
+    return spark.read.parquet(out)
+
+
 def q_stream_apply_changes(spark, sf):
     schema = fx.table(spark, sf, "events").schema
     root, _ = staging.stage_event_drops(spark, sf)
@@ -523,6 +534,7 @@ QUERIES.update({
     "scan_text_records": q_scan_text_records,
     "stream_append": q_stream_append,
     "stream_apply_changes": q_stream_apply_changes,
+    "stream_rescue": q_stream_rescue,
     "ledger_register": q_ledger_register,
     "ledger_mark": q_ledger_mark,
     "ledger_pending": q_ledger_pending,

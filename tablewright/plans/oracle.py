@@ -244,6 +244,7 @@ SQL.update({
     "scan_text_records": "SELECT c_custkey, c_name FROM customer",
     "stream_append": "SELECT * FROM events",
     "stream_apply_changes": SQL["apply_changes"],
+    "stream_rescue": SQL["rescue_unexpected"],
     "ledger_register": f"""
 SELECT file_name, TIMESTAMP '2024-02-01 00:00:00' AS file_arrival_timestamp, file_number_of_rows,
        CAST(NULL AS TIMESTAMP) AS file_processed_timestamp, false AS file_loaded

@@ -22,9 +22,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators import cdc, quality
+from ..sources.files import rescue_unexpected
 from ..util import as_list
 
 VERSION_COL = "v"
@@ -32,17 +33,24 @@ SOURCE_FILE_COL = "_source_file"
 
 
 def stream_files(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None,
-                 with_source: bool = False) -> DataFrame:
+                 with_source: bool = False, expected: StructType | None = None) -> DataFrame:
     """Incremental, exactly-once discovery of parquet files under ``path``
     (a directory or a glob such as ``stage/drop_*/*.parquet``).  The source
     records processed files in the query checkpoint, so a restart reads only
-    new files.  ``with_source`` adds the file path of each row."""
+    new files.  ``with_source`` adds the file path of each row.  With
+    ``expected``, the rows read with the files' ``schema`` are fitted to the
+    expected schema and whatever does not fit is kept as JSON in
+    ``_rescued_data`` (``sources.files.rescue_unexpected``)."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     df = reader.parquet(path)
     if with_source:
         df = df.withColumn(SOURCE_FILE_COL, F.col("_metadata.file_path"))
+    if expected is not None:
+        keep = StructType(list(expected.fields) + ([StructField(SOURCE_FILE_COL, StringType())]
+                                                   if with_source else []))
+        df = rescue_unexpected(df, keep)
     return df
 
 

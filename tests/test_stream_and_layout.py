@@ -226,3 +226,19 @@ def test_stream_batch_replayed_after_failure_gives_the_same_state(spark, sf_smal
     assert seen == [0, 1, 1, 2, 3]
     state = stream.current_state(spark, log, KEYS, SEQ, DEL, schema=ev.schema)
     assert _rows(state) == _rows(cdc.apply_changes(ev, KEYS, SEQ, DEL))
+
+
+def test_stream_rescues_unexpected_columns(spark, sf_small):
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    stage = scratch_path(spark, "t-rescue-stage")
+    ev.write.parquet(f"{stage}/drop_0")
+    expected = StructType([StructField("event_id", LongType()), StructField("event_type", IntegerType())])
+    s = stream.stream_files(spark, f"{stage}/drop_*/*.parquet", ev.schema, expected=expected)
+    out = scratch_path(spark, "t-rescue-out")
+    stream.stream_append(s, out, scratch_path(spark, "t-rescue-ckpt"))
+    landed = spark.read.parquet(out)
+    assert landed.columns == ["event_id", "event_type", "_rescued_data"]
+    assert landed.count() == ev.count() and landed.where("event_type IS NOT NULL").count() == 0
+    r = landed.orderBy("event_id").first()
+    assert '"ts":' in r._rescued_data and '"event_type":' in r._rescued_data and '"props":' in r._rescued_data
