@@ -399,6 +399,23 @@ def q_stream_append(spark, sf):
     return spark.read.schema(schema).parquet(out)
 
 
+def q_stream_apply_flagged(spark, sf):
+    """Flagged drops arriving newest first, applied as a change stream:
+    sequence by order date, 'D' deletes, every other flag upserts, flag
+    column left out of the table."""
+    o = fx.table(spark, sf, "orders")
+    stage = scratch_path(spark, "orders-flagged")
+    for name, drop in staging.orders_flagged_drops(o):
+        sink.write_drop(drop, f"{stage}/{name}")
+    schema = spark.read.parquet(f"{stage}/*").schema
+    log = scratch_path(spark, "orders-flagged-log")
+    s = stream.stream_files(spark, f"{stage}/*/*.parquet", schema, max_files=1)
+    stream.stream_apply_changes(s, log, scratch_path(spark, "ckpt-flagged"), "o_orderkey", "o_orderdate",
+                                "delta_flg = 'D'", tiebreak=cdc.flag_rank())
+    return stream.current_state(spark, log, "o_orderkey", "o_orderdate", "delta_flg = 'D'",
+                                except_columns=["delta_flg"], tiebreak=cdc.flag_rank(), schema=schema)
+
+
 def q_stream_rescue(spark, sf):
     """Staged events streamed into the expected schema; unexpected columns
     and values that do not cast land in _rescued_data."""
@@ -535,6 +552,7 @@ QUERIES.update({
     "stream_append": q_stream_append,
     "stream_apply_changes": q_stream_apply_changes,
     "stream_rescue": q_stream_rescue,
+    "stream_apply_flagged": q_stream_apply_flagged,
     "ledger_register": q_ledger_register,
     "ledger_mark": q_ledger_mark,
     "ledger_pending": q_ledger_pending,

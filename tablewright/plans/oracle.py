@@ -245,6 +245,11 @@ SQL.update({
     "stream_append": "SELECT * FROM events",
     "stream_apply_changes": SQL["apply_changes"],
     "stream_rescue": SQL["rescue_unexpected"],
+    "stream_apply_flagged": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN o_orderkey % 5 = 1 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate,
+       CASE WHEN o_orderkey % 5 = 1 THEN o_orderpriority || '+' ELSE o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderkey % 5 <> 2""",
     "ledger_register": f"""
 SELECT file_name, TIMESTAMP '2024-02-01 00:00:00' AS file_arrival_timestamp, file_number_of_rows,
        CAST(NULL AS TIMESTAMP) AS file_processed_timestamp, false AS file_loaded

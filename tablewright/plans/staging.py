@@ -78,3 +78,21 @@ def customer_flagged_drops(customer: DataFrame, flag: str = "delta_flg") -> list
                        .select(*[(k + fx.NEW_KEY).alias(c) if c == "c_custkey" else F.col(c) for c in cols])
                        .withColumn(flag, F.lit("I"))))
     return [("customer.parquet_I_1", d1), ("customer.parquet_U_2", d2), ("customer.parquet_D_3", d3)]
+
+
+def orders_flagged_drops(orders: DataFrame, flag: str = "delta_flg") -> list[tuple[str, DataFrame]]:
+    """Flagged change drops for ``orders`` with the order date as sequence,
+    listed in *reverse* arrival order (deletes first): 'I' for every order;
+    'U' one day later for key % 5 = 1 (priority changed); 'D' two days
+    later for key % 5 = 2."""
+    k = F.col("o_orderkey")
+    day = F.expr("INTERVAL 1 DAY")
+    ins = orders.withColumn(flag, F.lit("I"))
+    upd = (orders.where(k % 5 == 1)
+           .withColumn("o_orderdate", F.col("o_orderdate") + day)
+           .withColumn("o_orderpriority", F.concat(F.col("o_orderpriority"), F.lit("+")))
+           .withColumn(flag, F.lit("U")))
+    dele = (orders.where(k % 5 == 2)
+            .withColumn("o_orderdate", F.col("o_orderdate") + day + day)
+            .withColumn(flag, F.lit("D")))
+    return [("orders.parquet_D_3", dele), ("orders.parquet_U_2", upd), ("orders.parquet_I_1", ins)]
