@@ -69,21 +69,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Read from the session (``spark.checkpoint.dir`` or an already-set
     SparkContext checkpoint dir).  When neither is set - local runs and
-    tests - a fresh local folder is created once per context and registered
+    tests - a fresh local folder is created once per session and registered
     as the checkpoint dir, so ``DataFrame.checkpoint()`` works too."""
-    sc = spark.sparkContext
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        sc = None
+    conf_dir = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None
+                else spark.conf.get("spark.checkpoint.dir", None))
     if conf_dir:
         return conf_dir.rstrip("/")
-    ctx_dir = sc.getCheckpointDir()
-    if ctx_dir:
-        return ctx_dir.rstrip("/")
-    key = id(sc)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    key = id(sc if sc is not None else spark)
     if key not in _FALLBACK_ROOT:
         # local/test fallback only: the session names no shared folder
         root = tempfile.mkdtemp(prefix="tablewright-")
-        sc.setCheckpointDir(root)
-        _FALLBACK_ROOT[key] = sc.getCheckpointDir().rstrip("/")
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir()
+        _FALLBACK_ROOT[key] = root.rstrip("/")
     return _FALLBACK_ROOT[key]
 
 
