@@ -63,6 +63,39 @@ def fk_violations(child: DataFrame, key, parent: DataFrame, parent_key=None) ->
     return child.where(not_null).join(pk, cond, "left_anti")
 
 
+def check_constraints(df: DataFrame, primary_key=None, not_null=(), foreign_keys: dict | None = None
+                      ) -> DataFrame:
+    """A table's declared contract checked as one report, one row per
+    constraint: (constraint, kind, violations).
+
+    * ``not_null``: rows with NULL in each column (one aggregation pass);
+    * ``primary_key``: rows whose key is NULL or occurs more than once;
+    * ``foreign_keys``: {name: (child key, parent DataFrame, parent key)} -
+      child rows whose non-NULL key has no parent row."""
+    parts = []
+    nn = as_list(not_null)
+    if nn:
+        parts.append(not_null_violations(df, nn).select(
+            F.concat(F.col("column_name"), F.lit("_not_null")).alias("constraint"),
+            F.lit("not_null").alias("kind"), F.col("null_rows").alias("violations")))
+    if primary_key:
+        pk = as_list(primary_key)
+        parts.append(pk_violations(df, pk).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
+                     .select(F.lit("_".join(pk) + "_pk").alias("constraint"),
+                             F.lit("primary_key").alias("kind"), F.col("violations").cast("long")))
+    for name, (key, parent, parent_key) in (foreign_keys or {}).items():
+        parts.append(fk_violations(df, key, parent, parent_key)
+                     .agg(F.count(F.lit(1)).alias("violations"))
+                     .select(F.lit(name).alias("constraint"), F.lit("foreign_key").alias("kind"),
+                             F.col("violations")))
+    if not parts:
+        raise ValueError("check_constraints: nothing to check")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _fields(schema: StructType | DataFrame, ignore) -> list[tuple[str, str]]:
     if isinstance(schema, DataFrame):
         schema = schema.schema

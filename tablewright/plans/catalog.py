@@ -221,6 +221,14 @@ def q_not_null_violations(spark, sf):
     return quality.not_null_violations(d, ["doc_id", "lang", "quality", "toxic"])
 
 
+def q_check_constraints(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    paying = fx.table(spark, sf, "customer").where("c_acctbal > 0")
+    return quality.check_constraints(o, primary_key="o_orderkey",
+                                     not_null=["o_custkey", "o_orderdate", "o_orderpriority"],
+                                     foreign_keys={"orders_customer_fk1": ("o_custkey", paying, "c_custkey")})
+
+
 def q_schema_gate(spark, sf):
     o = fx.table(spark, sf, "orders")
     shuffled = o.select(*reversed(o.columns))
@@ -338,6 +346,7 @@ QUERIES.update({
     "pk_violations": q_pk_violations,
     "not_null_violations": q_not_null_violations,
     "schema_gate": q_schema_gate,
+    "check_constraints": q_check_constraints,
     "expect_report": q_expect_report,
     "expect_all_or_fail": q_expect_pass,
     "row_count": q_row_count,

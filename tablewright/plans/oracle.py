@@ -184,6 +184,16 @@ UNION ALL SELECT 'lang', count(*) FILTER (WHERE lang IS NULL) FROM d
 UNION ALL SELECT 'quality', count(*) FILTER (WHERE quality IS NULL) FROM d
 UNION ALL SELECT 'toxic', count(*) FILTER (WHERE toxic IS NULL) FROM d""",
     "schema_gate": "SELECT * FROM orders",
+    "check_constraints": """
+SELECT 'o_custkey_not_null' AS "constraint", 'not_null' AS kind, count(*) FILTER (WHERE o_custkey IS NULL) AS violations
+FROM orders
+UNION ALL SELECT 'o_orderdate_not_null', 'not_null', count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders
+UNION ALL SELECT 'o_orderpriority_not_null', 'not_null', count(*) FILTER (WHERE o_orderpriority IS NULL) FROM orders
+UNION ALL SELECT 'o_orderkey_pk', 'primary_key', CAST(coalesce(sum(n), 0) AS BIGINT)
+  FROM (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1 OR o_orderkey IS NULL)
+UNION ALL SELECT 'orders_customer_fk1', 'foreign_key', count(*) FROM orders o
+  WHERE o.o_custkey IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal > 0 AND c.c_custkey = o.o_custkey)""",
     "expect_report": """
 SELECT 'qty_positive' AS rule, count(*) FILTER (WHERE NOT coalesce(l_quantity > 0, false)) AS failed_rows FROM lineitem
 UNION ALL SELECT 'discount_small', count(*) FILTER (WHERE NOT coalesce(l_discount <= 0.05, false)) FROM lineitem

@@ -196,3 +196,12 @@ def test_grouped_written_ranges_hot_group_and_nulls(spark):
     first = [r for r in rank.ranked(df, ["o", "id"], ["g"], "pos", 16, method="range_write").collect()
              if r.g is None and r.pos == 1]
     assert len(first) == 1 and first[0].o is None
+
+
+def test_check_constraints_counts_each_kind(spark):
+    df = spark.createDataFrame([(1, "a", 10), (1, None, 20), (None, "c", 99), (3, "d", None)],
+                               "k int, s string, p int")
+    parent = spark.createDataFrame([(10,), (20,)], "pk int")
+    rep = {r.constraint: (r.kind, r.violations) for r in quality.check_constraints(
+        df, primary_key="k", not_null=["s"], foreign_keys={"p_fk": ("p", parent, "pk")}).collect()}
+    assert rep == {"s_not_null": ("not_null", 1), "k_pk": ("primary_key", 3), "p_fk": ("foreign_key", 1)}
