@@ -217,3 +217,16 @@ def test_snapshot_scenarios_through_the_log(spark):
     state = stream.snapshot_state(spark, log, "sk")
     assert state.columns == b1.columns
     assert sorted(tuple(r) for r in state.collect()) == sorted(tuple(r) for r in b1.collect())
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_merge_composite_key_and_column_mismatch(spark, broadcast_rows):
+    target = spark.createDataFrame([(1, 1, "a", "keep"), (1, 2, "b", "keep"), (2, 1, "c", "keep")],
+                                   "k1 int, k2 int, v string, extra_t string")
+    changes = spark.createDataFrame([(1, 2, "B", "x", "U"), (2, 1, None, "x", "D"), (3, 3, "new", "x", "I"),
+                                     (1, None, "nullkey", "x", "I")],
+                                    "k1 int, k2 int, v string, extra_c string, delta_flg string")
+    out = cdc.merge_flagged(target, changes, ["k1", "k2"], broadcast_rows=broadcast_rows)
+    assert out.columns == target.columns
+    got = sorted((r.k1, r.k2 if r.k2 is not None else -1, r.v, r.extra_t) for r in out.collect())
+    assert got == [(1, -1, "nullkey", None), (1, 1, "a", "keep"), (1, 2, "B", "keep"), (3, 3, "new", None)]
