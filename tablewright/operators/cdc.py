@@ -59,8 +59,8 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     Plan: when the change set is proven small (at most ``broadcast_rows``
     rows and ``broadcast_bytes`` bytes, checked by one aggregation pass) it is
     broadcast and the target is never shuffled.  Otherwise the target is
-    left-joined with the U/D change rows aggregated per key (map-side
-    combined, so a hot change key is reduced before the shuffle), and
+    left-joined with the U/D change rows aggregated per key (at most one per
+    key, else the cardinality error), and
     unmatched change keys come from the distinct change keys anti-joined
     with the target's distinct keys; only the target's key column is
     shuffled a second time."""
@@ -80,8 +80,10 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     # per change key with U/D rows: how many there are, and the row (only
     # these can act on a matched target row; more than one is an error)
     hit_payload = F.struct(fl.alias("__flag"), *[qcol(c).alias(c) for c in value_cols])
-    hits = keyed.where(fl.isin(*_HIT_FLAGS)).groupBy(*pk).agg(
-        F.count(F.lit(1)).alias("__hits"), F.any_value(hit_payload).alias("__hit"))
+    # (hash-partitioned by key first: more than one row per key is an error,
+    # so a map-side combine would only add a sort; the join reuses it)
+    hits = (keyed.where(fl.isin(*_HIT_FLAGS)).repartition(*[qcol(k) for k in pk])
+            .groupBy(*pk).agg(F.count(F.lit(1)).alias("__hits"), F.any_value(hit_payload).alias("__hit")))
 
     hit_flag = F.col("__hit.__flag")
     keep_cond = F.when(F.col("__hits") > 1, F.raise_error(F.lit(MULTI_MATCH_ERROR))) \
