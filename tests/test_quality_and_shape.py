@@ -205,3 +205,9 @@ def test_check_constraints_counts_each_kind(spark):
     rep = {r.constraint: (r.kind, r.violations) for r in quality.check_constraints(
         df, primary_key="k", not_null=["s"], foreign_keys={"p_fk": ("p", parent, "pk")}).collect()}
     assert rep == {"s_not_null": ("not_null", 1), "k_pk": ("primary_key", 3), "p_fk": ("foreign_key", 1)}
+
+
+def test_drop_and_rename_columns(spark):
+    df = spark.createDataFrame([(1, "I", "x")], "k int, newline string, dummy string")
+    out = shape.drop_columns(shape.rename_column(df, "newline", "delta_flg"), ["dummy", "absent"])
+    assert out.columns == ["k", "delta_flg"] and out.first().delta_flg == "I"
