@@ -18,6 +18,8 @@ Per batch the cost is O(batch); readers pay the fold.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators import cdc, quality
 from ..sources.files import rescue_unexpected
-from ..util import as_list
+from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast, qcol
 
 VERSION_COL = "v"
 SOURCE_FILE_COL = "_source_file"
@@ -120,15 +122,35 @@ def read_log(spark: SparkSession, log_path: str, schema: StructType | None = Non
 
 def current_state(spark: SparkSession, log_path: str, keys, sequence_by, apply_as_deletes=None,
                   except_columns=(), tiebreak=None, base: DataFrame | None = None,
-                  schema: StructType | None = None, since_version: int | None = None) -> DataFrame:
+                  schema: StructType | None = None, since_version: int | None = None,
+                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                  broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """The table as of the latest log version: newest row per key over base
-    and log, deletes removed, ``except_columns`` dropped.  When ``base`` is
-    a compaction of versions below ``since_version``, those are not read
-    (folding them again would be harmless, only slower)."""
+    and log, deletes removed, ``except_columns`` dropped.
+
+    ``base`` is a compaction (``compact_log`` output: one row per key,
+    tombstones kept) of the versions below ``since_version``, which are then
+    not read.  When the log's distinct keys are proven small, only base rows
+    of keys the log touches are folded with it: the rest of the base passes
+    through a broadcast anti join, so reading the table does not shuffle
+    the base."""
+    keys = as_list(keys)
     rows = read_log(spark, log_path, schema, min_version=since_version)
-    if base is not None:
-        rows = base.unionByName(rows, allowMissingColumns=True)
-    latest = cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak)
+    if base is None:
+        latest = cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak)
+        return cdc.current_rows(latest, apply_as_deletes, except_columns)
+    log_keys = rows.select(*[qcol(k) for k in keys]).distinct()
+    if fits_broadcast(log_keys, broadcast_rows, broadcast_bytes):
+        bk = F.broadcast(log_keys.select(*[qcol(k).alias(f"__lk{i}") for i, k in enumerate(keys)]))
+        cond = reduce(lambda a, b: a & b, [qcol(k).eqNullSafe(F.col(f"__lk{i}")) for i, k in enumerate(keys)])
+        untouched = base.join(bk, cond, "left_anti")
+        touched = base.join(bk, cond, "left_semi")
+        folded = cdc.fold_changes(touched.unionByName(rows, allowMissingColumns=True), keys, sequence_by,
+                                  apply_as_deletes, tiebreak)
+        latest = untouched.unionByName(folded.select(*untouched.columns))
+    else:
+        latest = cdc.fold_changes(base.unionByName(rows, allowMissingColumns=True), keys, sequence_by,
+                                  apply_as_deletes, tiebreak)
     return cdc.current_rows(latest, apply_as_deletes, except_columns)
 
 

@@ -242,3 +242,18 @@ def test_stream_rescues_unexpected_columns(spark, sf_small):
     assert landed.count() == ev.count() and landed.where("event_type IS NOT NULL").count() == 0
     r = landed.orderBy("event_id").first()
     assert '"ts":' in r._rescued_data and '"event_type":' in r._rescued_data and '"props":' in r._rescued_data
+
+
+def test_current_state_with_base_touches_only_logged_keys(spark, sf_small):
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    old_log = scratch_path(spark, "t-base-log")
+    ev.where("event_id % 3 <> 0").write.parquet(f"{old_log}/v=0")
+    base = spark.read.parquet(stream.compact_log(spark, old_log, scratch_path(spark, "t-base7"), KEYS, SEQ, DEL))
+    log = scratch_path(spark, "t-new-log")
+    ev.where("event_id % 3 = 0 AND user_id % 4 = 0").write.parquet(f"{log}/v=1")
+    expected = cdc.apply_changes(ev.where("event_id % 3 <> 0 OR user_id % 4 = 0"), KEYS, SEQ, DEL)
+    fast = stream.current_state(spark, log, KEYS, SEQ, DEL, base=base, since_version=1)
+    full = stream.current_state(spark, log, KEYS, SEQ, DEL, base=base, since_version=1, broadcast_rows=0)
+    assert _rows(fast) == _rows(expected) == _rows(full)
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
