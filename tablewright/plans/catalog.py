@@ -425,6 +425,21 @@ def q_stream_apply_flagged(spark, sf):
                                 except_columns=["delta_flg"], tiebreak=cdc.flag_rank(), schema=schema)
 
 
+def q_compacted_state(spark, sf):
+    """A change log whose older versions are compacted into a base: the
+    current state is read from base + newer versions, folding only the keys
+    those versions touch."""
+    ev = fx.table(spark, sf, "events")
+    log = scratch_path(spark, "events-compacting-log")
+    ev.where(F.col("event_id") % 3 != 0).write.parquet(f"{log}/v=0")
+    ev.where(F.col("event_id") % 3 == 0).write.parquet(f"{log}/v=1")
+    older = scratch_path(spark, "events-older")
+    ev.where(F.col("event_id") % 3 != 0).write.parquet(f"{older}/v=0")
+    base = spark.read.parquet(stream.compact_log(spark, older, scratch_path(spark, "events-base"),
+                                                 EVENT_KEYS, EVENT_SEQ, EVENT_DELETE))
+    return stream.current_state(spark, log, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, base=base, since_version=1)
+
+
 def q_stream_rescue(spark, sf):
     """Staged events streamed into the expected schema; unexpected columns
     and values that do not cast land in _rescued_data."""
@@ -561,6 +576,7 @@ QUERIES.update({
     "stream_append": q_stream_append,
     "stream_apply_changes": q_stream_apply_changes,
     "stream_rescue": q_stream_rescue,
+    "compacted_state": q_compacted_state,
     "stream_apply_flagged": q_stream_apply_flagged,
     "ledger_register": q_ledger_register,
     "ledger_mark": q_ledger_mark,

@@ -255,6 +255,7 @@ SQL.update({
     "stream_append": "SELECT * FROM events",
     "stream_apply_changes": SQL["apply_changes"],
     "stream_rescue": SQL["rescue_unexpected"],
+    "compacted_state": SQL["apply_changes"],
     "stream_apply_flagged": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        CASE WHEN o_orderkey % 5 = 1 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate,
