@@ -122,7 +122,8 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
 
 
 def apply_changes(changes: DataFrame, keys, sequence_by, apply_as_deletes: str | Column | None = None,
-                  except_columns=(), tiebreak=None, log: DataFrame | None = None) -> DataFrame:
+                  except_columns=(), tiebreak=None, log: DataFrame | None = None,
+                  base: DataFrame | None = None) -> DataFrame:
     """SCD type 1 from a change feed: per key the row with the greatest
     ``sequence_by`` (then ``tiebreak``) wins, whatever order rows arrive in;
     when that row satisfies ``apply_as_deletes`` the key is absent from the
@@ -130,9 +131,14 @@ def apply_changes(changes: DataFrame, keys, sequence_by, apply_as_deletes: str |
 
     ``log`` is an earlier change log (raw rows, deletes included) to fold in;
     keeping deletes there as tombstones stops a late, older upsert from
-    reviving a deleted key.  On equal sequence a delete wins."""
+    reviving a deleted key.  ``base`` is an already folded state (one row per
+    key, tombstones kept); only its keys that the changes touch are folded
+    again (``fold_into_base``).  On equal sequence a delete wins."""
     log_rows = changes if log is None else log.unionByName(changes, allowMissingColumns=True)
-    latest = fold_changes(log_rows, keys, sequence_by, apply_as_deletes, tiebreak)
+    if base is not None:
+        latest = fold_into_base(base, log_rows, keys, sequence_by, apply_as_deletes, tiebreak)
+    else:
+        latest = fold_changes(log_rows, keys, sequence_by, apply_as_deletes, tiebreak)
     return current_rows(latest, apply_as_deletes, except_columns)
 
 
@@ -151,6 +157,29 @@ def flag_rank(flag_col: str = "delta_flg") -> Column:
              .when(f == F.lit(FLAG_INSERT), 1).otherwise(0))
 
 
+def fold_into_base(base: DataFrame, rows: DataFrame, keys, sequence_by, apply_as_deletes=None, tiebreak=None,
+                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                   broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Fold new change ``rows`` into a ``base`` that is already folded (one
+    row per key, tombstones kept - e.g. ``fold_changes`` or a compacted
+    log).  When the distinct keys of ``rows`` are proven small, only the
+    base rows of those keys are folded with them and the rest of the base
+    passes through a broadcast anti join: the base is never shuffled.
+    Otherwise one fold over both."""
+    keys = as_list(keys)
+    row_keys = rows.select(*[qcol(k) for k in keys]).distinct()
+    if not fits_broadcast(row_keys, broadcast_rows, broadcast_bytes):
+        return fold_changes(base.unionByName(rows, allowMissingColumns=True), keys, sequence_by,
+                            apply_as_deletes, tiebreak)
+    bk = F.broadcast(row_keys.select(*[qcol(k).alias(f"__rk{i}") for i, k in enumerate(keys)]))
+    cond = reduce(lambda a, b: a & b, [qcol(k).eqNullSafe(F.col(f"__rk{i}")) for i, k in enumerate(keys)])
+    untouched = base.join(bk, cond, "left_anti")
+    touched = base.join(bk, cond, "left_semi")
+    folded = fold_changes(touched.unionByName(rows, allowMissingColumns=True), keys, sequence_by,
+                          apply_as_deletes, tiebreak)
+    return untouched.unionByName(folded.select(*untouched.columns))
+
+
 def fold_changes(rows: DataFrame, keys, sequence_by, apply_as_deletes=None, tiebreak=None) -> DataFrame:
     """Newest row per key, deletes kept (the compacted change log)."""
     order = as_list(sequence_by) + as_list(tiebreak)

@@ -18,8 +18,6 @@ Per batch the cost is O(batch); readers pay the fold.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +26,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators import cdc, quality
 from ..sources.files import rescue_unexpected
-from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast, qcol
+from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list
 
 VERSION_COL = "v"
 SOURCE_FILE_COL = "_source_file"
@@ -138,19 +136,9 @@ def current_state(spark: SparkSession, log_path: str, keys, sequence_by, apply_a
     rows = read_log(spark, log_path, schema, min_version=since_version)
     if base is None:
         latest = cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak)
-        return cdc.current_rows(latest, apply_as_deletes, except_columns)
-    log_keys = rows.select(*[qcol(k) for k in keys]).distinct()
-    if fits_broadcast(log_keys, broadcast_rows, broadcast_bytes):
-        bk = F.broadcast(log_keys.select(*[qcol(k).alias(f"__lk{i}") for i, k in enumerate(keys)]))
-        cond = reduce(lambda a, b: a & b, [qcol(k).eqNullSafe(F.col(f"__lk{i}")) for i, k in enumerate(keys)])
-        untouched = base.join(bk, cond, "left_anti")
-        touched = base.join(bk, cond, "left_semi")
-        folded = cdc.fold_changes(touched.unionByName(rows, allowMissingColumns=True), keys, sequence_by,
-                                  apply_as_deletes, tiebreak)
-        latest = untouched.unionByName(folded.select(*untouched.columns))
     else:
-        latest = cdc.fold_changes(base.unionByName(rows, allowMissingColumns=True), keys, sequence_by,
-                                  apply_as_deletes, tiebreak)
+        latest = cdc.fold_into_base(base, rows, keys, sequence_by, apply_as_deletes, tiebreak,
+                                    broadcast_rows, broadcast_bytes)
     return cdc.current_rows(latest, apply_as_deletes, except_columns)
 
 

@@ -230,3 +230,13 @@ def test_merge_composite_key_and_column_mismatch(spark, broadcast_rows):
     assert out.columns == target.columns
     got = sorted((r.k1, r.k2 if r.k2 is not None else -1, r.v, r.extra_t) for r in out.collect())
     assert got == [(1, -1, "nullkey", None), (1, 1, "a", "keep"), (1, 2, "B", "keep"), (3, 3, "new", None)]
+
+
+def test_apply_changes_into_a_folded_base(spark):
+    base_rows = spark.createDataFrame([(1, 1, "I", "a"), (2, 1, "I", "b"), (3, 4, "D", None), (4, 1, "I", "d")],
+                                      E_SCHEMA)
+    base = cdc.fold_changes(base_rows, "k", "seq", "op = 'D'")
+    ch = spark.createDataFrame([(1, 2, "U", "a2"), (2, 3, "D", None), (3, 2, "U", "late"), (5, 1, "I", "e")], E_SCHEMA)
+    fast = cdc.apply_changes(ch, "k", "seq", "op = 'D'", base=base)
+    full = cdc.apply_changes(base_rows.unionByName(ch), "k", "seq", "op = 'D'")
+    assert rows(fast) == rows(full) == [(1, 2, "U", "a2"), (4, 1, "I", "d"), (5, 1, "I", "e")]
