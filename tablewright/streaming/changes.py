@@ -177,7 +177,16 @@ def snapshot_to_log(spark: SparkSession, log_path: str, previous: DataFrame | No
     return path
 
 
-def snapshot_state(spark: SparkSession, log_path: str, keys) -> DataFrame:
-    """The table after the latest snapshot written by ``snapshot_to_log``."""
+def snapshot_state(spark: SparkSession, log_path: str, keys, base: DataFrame | None = None,
+                   since_version: int | None = None) -> DataFrame:
+    """The table after the latest snapshot written by ``snapshot_to_log``;
+    ``base`` / ``since_version`` as in ``current_state`` (a compaction of
+    the older versions, see ``compact_snapshot_log``)."""
     return current_state(spark, log_path, keys, SNAPSHOT_SEQ, f"{SNAPSHOT_OP} = 'D'",
-                         except_columns=[SNAPSHOT_SEQ, SNAPSHOT_OP])
+                         except_columns=[SNAPSHOT_SEQ, SNAPSHOT_OP], base=base,
+                         since_version=since_version)
+
+
+def compact_snapshot_log(spark: SparkSession, log_path: str, out_path: str, keys) -> str:
+    """Fold every version of a snapshot log into a new base directory."""
+    return compact_log(spark, log_path, out_path, keys, SNAPSHOT_SEQ, f"{SNAPSHOT_OP} = 'D'")

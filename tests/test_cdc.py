@@ -240,3 +240,19 @@ def test_apply_changes_into_a_folded_base(spark):
     fast = cdc.apply_changes(ch, "k", "seq", "op = 'D'", base=base)
     full = cdc.apply_changes(base_rows.unionByName(ch), "k", "seq", "op = 'D'")
     assert rows(fast) == rows(full) == [(1, 2, "U", "a2"), (4, 1, "I", "d"), (5, 1, "I", "e")]
+
+
+def test_snapshot_log_compaction(spark):
+    from tablewright.session import scratch_path
+    from tablewright.streaming import changes as stream
+    t0 = dt.datetime(2024, 1, 1)
+    s1 = spark.createDataFrame([(1, 0, t0), (2, 0, t0), (3, 0, t0)], S_SCHEMA)
+    s2 = spark.createDataFrame([(1, 1, t0), (3, 0, t0)], S_SCHEMA)
+    s3 = spark.createDataFrame([(1, 1, t0), (2, 5, t0), (4, 4, t0)], S_SCHEMA)
+    log = scratch_path(spark, "t-snap-compact")
+    stream.snapshot_to_log(spark, log, None, s1, "sk", 1)
+    stream.snapshot_to_log(spark, log, s1, s2, "sk", 2)
+    base = spark.read.parquet(stream.compact_snapshot_log(spark, log, scratch_path(spark, "t-snap-base"), "sk"))
+    stream.snapshot_to_log(spark, log, s2, s3, "sk", 3)
+    state = stream.snapshot_state(spark, log, "sk", base=base, since_version=3)
+    assert sorted(tuple(r) for r in state.collect()) == sorted(tuple(r) for r in s3.collect())
