@@ -65,3 +65,13 @@ def test_snapshot_diff_emits_no_pairs(spark, sf_small):
     p = plan(cdc.snapshot_diff(fx.orders_old(o), fx.orders_new(o), "o_orderkey"))
     assert "Join" not in p
     assert "partial_max_by" in p
+
+
+def test_fold_into_base_keeps_the_base_unshuffled(spark, sf_small):
+    o = fx.table(spark, sf_small, "orders").selectExpr("*", "0 AS seq", "'I' AS op")
+    ch = fx.table(spark, sf_small, "orders").where("o_orderkey % 50 = 0").selectExpr("*", "1 AS seq", "'U' AS op")
+    fast = plan(cdc.fold_into_base(o, ch, "o_orderkey", "seq", "op = 'D'"))
+    # the base is split by broadcast joins; only its touched rows and the changes are shuffled
+    assert fast.count("BroadcastHashJoin") >= 2 and "LeftAnti" in fast and "SortMergeJoin" not in fast
+    slow = plan(cdc.fold_into_base(o, ch, "o_orderkey", "seq", "op = 'D'", broadcast_rows=0))
+    assert "LeftAnti" not in slow and "partial_max_by" in slow
