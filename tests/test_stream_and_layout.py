@@ -257,3 +257,28 @@ def test_current_state_with_base_touches_only_logged_keys(spark, sf_small):
     assert _rows(fast) == _rows(expected) == _rows(full)
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
+def test_checkpoint_root_falls_back_when_the_session_names_none(tmp_path):
+    """In a session without spark.checkpoint.dir (no spark-defaults read), a
+    local folder is created and registered as the checkpoint dir."""
+    import subprocess
+    import sys
+    script = tmp_path / "probe.py"
+    script.write_text(
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "from tablewright.session import checkpoint_root, scratch_path\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "root = checkpoint_root(s)\n"
+        "p = scratch_path(s, 'fallback'); s.range(3).write.parquet(p)\n"
+        "print('ROOT', root, s.read.parquet(p).count(), s.sparkContext.getCheckpointDir() == root)\n"
+        % os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    conf_dir = tmp_path / "conf"
+    conf_dir.mkdir()
+    env = dict(os.environ, SPARK_CONF_DIR=str(conf_dir))
+    out = subprocess.run([sys.executable, str(script)], env=env, capture_output=True, text=True, timeout=300)
+    line = [x for x in out.stdout.splitlines() if x.startswith("ROOT")]
+    assert line, out.stderr[-2000:]
+    _, root, n, same = line[0].split()
+    assert "tablewright-" in root and n == "3" and same == "True"
