@@ -28,7 +28,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return repr(v)  # exact: values are compared bit for bit
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None).isoformat()
     if hasattr(v, "isoformat"):
