@@ -3,11 +3,11 @@ batches inside tasks, and writing intermediate tables to the shared folder."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.session import scratch_path
@@ -41,6 +41,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def beside_group(df: DataFrame, keys: list[str], spread: Column,
+                 values: dict[str, tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+    """``df`` with each group's values beside its rows.
+
+    ``values`` maps a name to an aggregate and to what joins partial aggregates
+    of it.  A group is dealt by ``spread`` over as many salts as there are
+    shuffle partitions: each salt's rows are aggregated map-side, one row per
+    (group, salt) meets in a window, and rows get their values by joining on
+    group and salt.  So a group of a third of all rows loads no task more than
+    the others.  Keys must not be null."""
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(shuffle_partitions(df.sparkSession))))
+    some = salted.groupBy(*keys, "__salt").agg(*[agg.alias(n) for n, (agg, _) in values.items()])
+    group = Window.partitionBy(*keys)
+    whole = some.select(*keys, "__salt", *[merge(n).over(group).alias(n) for n, (_, merge) in values.items()])
+    return salted.join(whole, [*keys, "__salt"]).drop("__salt")
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text",
           step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of ``batches`` with about ``step_bytes`` of text each,
@@ -83,8 +100,3 @@ def fixed_binary(rows) -> pa.Array:
     n, width = rows.shape
     ends = np.arange(n + 1, dtype=np.int32) * width
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(rows)])
-
-
-def words_of(col: Column) -> Column:
-    """Runs between ASCII white space, A-Z lower-cased where only ASCII matters."""
-    return F.filter(F.split(col, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")

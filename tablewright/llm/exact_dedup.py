@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import as_binary, raw, shuffle_partitions, steps, texts_of, written
+from tablewright.llm.common import beside_group, raw, steps, texts_of, written
 
 #: Chunk sizes in bytes: least, most, and (a power of two) the usual distance of boundaries.
 MIN_CHUNK, MAX_CHUNK, USUAL = 512, 16384, 1024
@@ -62,7 +62,7 @@ def boundaries(data: np.ndarray, at: list[int]) -> list[list[int]]:
     return out
 
 
-def _keys(width: int, seed: int):
+def chunk_key(width: int, seed: int):
     def key(chunk) -> bytes:
         return xxhash.xxh3_128_digest(chunk, seed)[:width]
     return key
@@ -70,7 +70,7 @@ def _keys(width: int, seed: int):
 
 def _chunk_rows(width: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = _keys(width, seed)
+        key = chunk_key(width, seed)
         for part in steps(batches):
             mv, at = raw(part.column(part.schema.get_field_index("text")))
             cuts = boundaries(np.frombuffer(mv, np.uint8), at)
@@ -88,7 +88,7 @@ def _chunk_rows(width: int, seed: int):
 
 def _recipe_rows(width: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = _keys(width, seed)
+        key = chunk_key(width, seed)
         for part in steps(batches):
             mv, at = raw(part.column(part.schema.get_field_index("text")))
             cuts = boundaries(np.frombuffer(mv, np.uint8), at)
@@ -102,11 +102,12 @@ def _recipe_rows(width: int, seed: int):
     return run
 
 
-def verified_width(rows: DataFrame, widths=WIDTHS) -> tuple[int, int]:
+def verified_width(rows: DataFrame, chunk_rows, widths=WIDTHS) -> tuple[int, int]:
     """The first (width, seed) whose keys name one chunk each over the whole
-    corpus, shown by comparing the bytes of all distinct chunks."""
+    corpus, shown by comparing the bytes of all distinct chunks.
+    ``chunk_rows(width, seed)`` makes the task that lists (key, chunk)."""
     for seed, width in enumerate(widths):
-        pairs = rows.mapInArrow(_chunk_rows(width, seed), "key binary, chunk binary").distinct()
+        pairs = rows.mapInArrow(chunk_rows(width, seed), "key binary, chunk binary").distinct()
         if pairs.groupBy("key").count().where("count > 1").isEmpty():
             return width, seed
     raise ValueError("every key width named two different chunks alike; give a wider one")
@@ -121,22 +122,16 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     is kept, so ``kept`` holds once per distinct text.  An empty table gives an
     empty result.
 
-    A group holding a third of all rows is dealt over as many salts as there
-    are shuffle partitions: aggregated map-side, then per salt, and only one
-    row per (group, salt) meets in one place."""
+    A large group is spread over many tasks (``common.beside_group``)."""
     rows = texts_of(docs, id_col, text_col)
-    width, seed = verified_width(rows, widths)
+    width, seed = verified_width(rows, _chunk_rows, widths)
     listed = (rows.mapInArrow(_recipe_rows(width, seed), "doc_id long, recipe binary, text_sha256 string")
               .withColumn("rid", F.monotonically_increasing_id()))
     listed = written(listed, "recipes")
-    salt = F.pmod(F.xxhash64("rid"), F.lit(shuffle_partitions(docs.sparkSession)))
-    listed = listed.withColumn("salt", salt)
-    some = listed.groupBy("recipe", "salt").agg(F.max(F.struct("doc_id", "rid")).alias("top"), F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("recipe")
-    group = some.select("recipe", "salt", F.max("top").over(whole).alias("top"), F.sum("n").over(whole).alias("group_size"))
-    return listed.join(group, ["recipe", "salt"]).select(
-        "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
-        (F.col("rid") == F.col("top.rid")).alias("kept"), "text_sha256")
+    grouped = beside_group(listed, ["recipe"], F.col("rid"), {"top": (F.max(F.struct("doc_id", "rid")), F.max),
+                                                             "group_size": (F.count(F.lit(1)), F.sum)})
+    return grouped.select("doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
+                          (F.col("rid") == F.col("top.rid")).alias("kept"), "text_sha256")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,6 +146,3 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     same = marked["__sha"].eqNullSafe(stay["__stay_sha"]) & marked[id_col].cast("long").eqNullSafe(stay["__stay_id"])
     return (marked.join(stay, same, "left_semi").dropDuplicates([id_col, "__sha"])
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
-
-
-__all__ = ["as_binary", "boundaries", "drop_exact_duplicates", "duplicate_groups", "verified_width"]

@@ -5,13 +5,37 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, exact_dedup, token_counts
+from tablewright.llm import byte_bpe, exact_dedup, fingerprints, hilbert, license_scan, line_dedup, packing, token_counts, toxicity
 from tablewright.llm.common import documents
 
 JSON_50K, RANKS_50K = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("spans")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeated_chunks(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "removed_lines", F.char_length("text").cast("long").alias("clean_chars"),
+        F.sha2("text", 256).alias("clean_sha256"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path(JSON_50K), public_tokenizers.PATTERN)
+
+
+def op5_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard(documents(spark, sf_dir), ["text", "source", "lang"])
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(JSON_50K), public_tokenizers.PATTERN)
 
@@ -20,12 +44,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path(RANKS_50K),
                                      public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts, op8_exact_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_line_dedup, op4_packing, op5_hilbert_sharding, op7_token_counts,
+                                    op8_exact_dedup, op9_fingerprints, op10_byte_bpe)}
 
 SQL = {
     "op8_exact_dedup": """
