@@ -9,16 +9,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tablewright.llm import exact_dedup  # noqa: E402
+import public_tokenizers  # noqa: E402
+
+from tablewright.llm import exact_dedup, jaccard_join, packing, toxicity  # noqa: E402
 from tablewright.llm.common import documents, written  # noqa: E402
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain does not call toxic (operator 1)."""
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.drop_toxic(docs, chain)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each distinct text (operator 8)."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
-STAGES = [("exact_dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group linked by shingle likeness (operator 6)."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences: the pieces of all documents and their places (operator 4)."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("packing", pack)]
 
 #: Stage 1 is a trained classifier, which SQL cannot express; tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None

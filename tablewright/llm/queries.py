@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, exact_dedup, fingerprints, hilbert, license_scan, line_dedup, packing, token_counts, toxicity
+from tablewright.llm import byte_bpe, exact_dedup, fingerprints, hilbert, jaccard_join, license_scan, line_dedup, packing, token_counts, toxicity
 from tablewright.llm.common import documents
 
 JSON_50K, RANKS_50K = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -36,6 +36,10 @@ def op5_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard(documents(spark, sf_dir), ["text", "source", "lang"])
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(JSON_50K), public_tokenizers.PATTERN)
 
@@ -53,10 +57,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_line_dedup, op4_packing, op5_hilbert_sharding, op7_token_counts,
-                                    op8_exact_dedup, op9_fingerprints, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_line_dedup, op4_packing, op5_hilbert_sharding,
+                                    op6_jaccard_join, op7_token_counts, op8_exact_dedup, op9_fingerprints, op10_byte_bpe)}
 
 SQL = {
+    "op6_jaccard_join": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE
+                  WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+        reach(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN e ON e.a = r.c)
+        SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+        FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
     "op8_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
