@@ -67,9 +67,9 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text",
         if not n:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        ends = pc.binary_length(col).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
         lo, size = 0, 0
-        for i, k in enumerate(ends):
+        for i, k in enumerate(sizes):
             if size and size + k > step_bytes:
                 yield batch.slice(lo, i - lo)
                 lo, size = i, 0
