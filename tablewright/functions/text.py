@@ -59,13 +59,19 @@ def word_list(c, strip_chars: str = "()", sep: str = " ", drop=("",)) -> Column:
     return arr
 
 
-def index_columns(c, on_marker: str = " on ", method_marker: str = " btree ",
-                  ignore=("text_pattern_ops",)) -> tuple[Column, Column]:
-    """From an index definition ('create index i on s.t using btree (a, b)'):
-    the table name and the comma-joined column list (lower case)."""
-    low = F.lower(F.replace(col(c), F.lit("\n"), F.lit("")))
-    target = tail_after(low, on_marker)
-    table = F.substring_index(F.substring_index(target, " using", 1), ".", -1)
-    cols = word_list(F.replace(tail_after(target, method_marker), F.lit(","), F.lit(" ")),
-                     drop=("",) + tuple(ignore))
-    return table, F.array_join(cols, ",")
+# Fixed value: an operator class that may follow a column in an index.
+OPERATOR_CLASSES = ("text_pattern_ops",)
+
+
+def index_columns(c, operator_classes: Sequence[str] = OPERATOR_CLASSES) -> tuple[Column, Column]:
+    """From an index definition ('CREATE INDEX i ON s.t USING btree (a, b)'):
+    the table name and the comma-joined column list, lower case.  One pattern
+    of the statement's grammar captures both; text that is no such statement
+    gives empty strings."""
+    name = r'(?:"?\w+"?\.)?"?(\w+)"?'
+    statement = rf"(?is)\bon\s+(?:only\s+)?{name}\s+(?:using\s+\w+\s*)?\(([^)]*)\)"
+    text = col(c)
+    listed = F.lower(F.regexp_extract(text, statement, 2))
+    drop = "|".join(map(re.escape, operator_classes))
+    plain = F.regexp_replace(listed, rf'\s+(?:{drop})\b|[\s"]', "") if drop else F.regexp_replace(listed, r'[\s"]', "")
+    return F.lower(F.regexp_extract(text, statement, 1)), plain

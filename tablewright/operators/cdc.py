@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import shift_seconds
+from ..session import scratch_path
 from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast, qcol
 from . import rank
 
@@ -54,13 +55,16 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
 
     Matched rows with any other flag (I, NULL, unknown) keep the target row.
     A NULL key never matches.  Two U/D rows hitting one target row raise an
-    error (MERGE cardinality rule); duplicated unmatched rows all insert.
+    error (MERGE cardinality rule); duplicated unmatched rows all insert.  A
+    change column that the target lacks is an error, as in a MERGE that names
+    it; a target column that the changes lack keeps its value.
 
     Plan: when the change set is proven small (at most ``broadcast_rows``
     rows and ``broadcast_bytes`` bytes, checked by one aggregation pass) it is
-    broadcast and the target is never shuffled.  Otherwise the target is
-    left-joined with the U/D change rows aggregated per key (at most one per
-    key, else the cardinality error), and
+    broadcast and the target is never shuffled.  Otherwise the U/D change rows
+    are aggregated per key (map-side first) and written to the shared folder;
+    the target is left-joined with that table - two plain exchanges, so AQE
+    splits a hot target key - and
     unmatched change keys come from the distinct change keys anti-joined
     with the target's distinct keys; only the target's key column is
     shuffled a second time."""
@@ -71,7 +75,10 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     for k in pk:
         if k not in src_cols or k not in target.columns:
             raise ValueError(f"key column {k!r} missing from target or changes")
-    value_cols = [c for c in src_cols if c not in pk and c in target.columns]
+    unknown = [c for c in src_cols if c not in target.columns]
+    if unknown:
+        raise ValueError(f"merge_flagged: the target lacks the change columns {unknown}")
+    value_cols = [c for c in src_cols if c not in pk]
 
     fl = qcol(flag)
     keyed = changes.where(_all_not_null(pk))
@@ -80,10 +87,7 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
     # per change key with U/D rows: how many there are, and the row (only
     # these can act on a matched target row; more than one is an error)
     hit_payload = F.struct(fl.alias("__flag"), *[qcol(c).alias(c) for c in value_cols])
-    # (hash-partitioned by key first: more than one row per key is an error,
-    # so a map-side combine would only add a sort; the join reuses it)
-    hits = (keyed.where(fl.isin(*_HIT_FLAGS)).repartition(*[qcol(k) for k in pk])
-            .groupBy(*pk).agg(F.count(F.lit(1)).alias("__hits"), F.any_value(hit_payload).alias("__hit")))
+    hits = (keyed.where(fl.isin(*_HIT_FLAGS)).groupBy(*pk).agg(F.count(F.lit(1)).alias("__hits"), F.any_value(hit_payload).alias("__hit")))
 
     hit_flag = F.col("__hit.__flag")
     keep_cond = F.when(F.col("__hits") > 1, F.raise_error(F.lit(MULTI_MATCH_ERROR))) \
@@ -107,9 +111,10 @@ def merge_flagged(target: DataFrame, changes: DataFrame, pk, flag: str = "delta_
         # (c) inserts: change rows whose key is not matched (NULL keys never match)
         inserts = insertable.join(F.broadcast(matched), pk, "left_anti")
     else:
-        # kept / updated / deleted target rows: a left outer join (AQE splits
-        # a hot target key across tasks); the U/D table is unique by key
-        kept = target.join(hits, pk, "left").where(keep_cond)
+        # kept / updated / deleted target rows: a left outer join with the
+        # written U/D table, unique by key (an aggregate above its own exchange
+        # would keep AQE from splitting a hot target key across tasks)
+        kept = target.join(_written(hits, "merge-hits"), pk, "left").where(keep_cond)
         # change keys with no target row: distinct change keys anti-joined
         # with the target's distinct keys (hot keys collapse map-side)
         target_keys = target.select(*pk).where(_all_not_null(pk)).distinct()
@@ -177,7 +182,8 @@ def fold_into_base(base: DataFrame, rows: DataFrame, keys, sequence_by, apply_as
     touched = base.join(bk, cond, "left_semi")
     folded = fold_changes(touched.unionByName(rows, allowMissingColumns=True), keys, sequence_by,
                           apply_as_deletes, tiebreak)
-    return untouched.unionByName(folded.select(*untouched.columns))
+    # like the one fold over both: a column that only the new rows have is added
+    return untouched.unionByName(folded, allowMissingColumns=True)
 
 
 def fold_changes(rows: DataFrame, keys, sequence_by, apply_as_deletes=None, tiebreak=None) -> DataFrame:
@@ -196,16 +202,25 @@ def current_rows(latest: DataFrame, apply_as_deletes=None, except_columns=()) ->
     return out.drop(*drop)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 DUPLICATE_KEY_ERROR = "snapshot key occurs more than once on one side"
 
 
 def pair_by_key(left: DataFrame, right: DataFrame, keys, cols, left_col: str = "__old",
-                right_col: str = "__new") -> DataFrame:
+                right_col: str = "__new", report: bool = False) -> DataFrame:
     """Line up two keyed tables: one row per key with the ``cols`` of each
     side as a struct (NULL when the side lacks the key).  Built as a union,
     one shuffle by key and one per-key aggregate, so no pair of rows is ever
     emitted; a key present twice on one side fails the job instead of
-    multiplying rows."""
+    multiplying rows.  With ``report`` it does not fail: the counts of the
+    key's rows are added as ``__nl`` and ``__nr`` (and combined map-side, as
+    keys may repeat)."""
     keys = as_list(keys)
     side = "__side"
     payload = "__payload"
@@ -215,11 +230,15 @@ def pair_by_key(left: DataFrame, right: DataFrame, keys, cols, left_col: str = "
     # hash-partition by key first: with unique keys a map-side combine saves
     # nothing, and this way both aggregate phases run after the shuffle on
     # one sort (the cost of a sort-merge join) instead of sorting map-side too
-    both = tag(left, 0).unionByName(tag(right, 1)).repartition(*[qcol(k) for k in keys])
+    both = tag(left, 0).unionByName(tag(right, 1))
+    if not report:
+        both = both.repartition(*[qcol(k) for k in keys])
     is_left, is_right = F.col(side) == 0, F.col(side) == 1
     g = both.groupBy(*[qcol(k) for k in keys]).agg(
         F.count_if(is_left).alias("__nl"), F.count_if(is_right).alias("__nr"),
         F.max_by(F.col(payload), is_left).alias("__l"), F.max_by(F.col(payload), is_right).alias("__r"))
+    if report:
+        return g.select(*[qcol(k) for k in keys], F.col("__l").alias(left_col), F.col("__r").alias(right_col), "__nl", "__nr")
     dup = (F.col("__nl") > 1) | (F.col("__nr") > 1)
     guard = F.when(dup, F.raise_error(F.lit(DUPLICATE_KEY_ERROR)))
     return g.select(
@@ -228,6 +247,15 @@ def pair_by_key(left: DataFrame, right: DataFrame, keys, cols, left_col: str = "
         F.when(F.col("__nr") > 0, F.col("__r")).alias(right_col))
 
 
+def unique_by_key(df: DataFrame, keys) -> DataFrame:
+    """``df`` unchanged; running it fails when a key occurs twice.  Only keys
+    are shuffled for the check, combined map-side."""
+    keys = as_list(keys)
+    twice = df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    broken = F.raise_error(F.lit(DUPLICATE_KEY_ERROR))
+    return df.unionByName(twice.select(*[broken.cast(f.dataType).alias(f.name) for f in df.schema.fields]))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys, change_col: str = "_change") -> DataFrame:
     """Rows that differ between two snapshots of a keyed table: 'I' for keys
     only in ``new``, 'D' for keys only in ``old`` (old values), 'U' for keys
@@ -250,7 +278,8 @@ def apply_snapshot(target: DataFrame, snapshot: DataFrame, keys) -> DataFrame:
     """SCD type 1 from a full snapshot, batch form: afterwards the target
     holds, per key, exactly the snapshot's row and no key the snapshot lacks
     - i.e. the snapshot itself, conformed to the target's column order and
-    types (keys must be unique in the snapshot).  No join is needed for the
+    types.  A key that occurs twice (NULL counts as one) fails the job, as in
+    ``streaming.changes.snapshot_to_log``.  No join is needed for the
     table; incremental maintenance that writes only changed keys is
     ``streaming.changes.snapshot_to_log`` (diff appended to the change log),
     and ``snapshot_diff`` gives the I/U/D rows."""
@@ -258,6 +287,7 @@ def apply_snapshot(target: DataFrame, snapshot: DataFrame, keys) -> DataFrame:
     missing = [k for k in keys if k not in snapshot.columns]
     if missing:
         raise ValueError(f"apply_snapshot: key columns {missing} missing from the snapshot")
+    snapshot = unique_by_key(snapshot, keys)
     present = set(snapshot.columns)
     cols = [(qcol(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in target.schema.fields]
@@ -276,16 +306,19 @@ def change_batch(df: DataFrame, flag: str, tiles: int, tile: int, order, ts_col:
     if flag not in ("I", "U", "D"):
         raise ValueError("flag must be I, U or D")
     base = df.drop(*[c for c in as_list(drop) if c in df.columns])
-    part = rank.ntile_split(base, tiles, as_list(order), pick=tile, tile_col="__tile",
-                            n_ranges=n_ranges).drop("__tile")
+    if flag == "I" and key_col is None:
+        raise ValueError("flag I needs key_col")
+    # ranks within a tile are consecutive: one ranking gives the tile and the new keys
+    total = base.count()
+    first, last = rank.tile_bounds(total, tiles, tile)
+    part = (rank.global_rank(base, as_list(order), n_ranges=n_ranges, rank_col="__rank", total=total)
+            .where(F.col("__rank").between(first, last)))
     if flag in ("U", "D") and ts_col:
         ntz = part.schema[ts_col].dataType.typeName() == "timestamp_ntz"
         part = part.withColumn(ts_col, shift_seconds(qcol(ts_col), seconds, ntz))
     if flag == "U" and id_col:
         part = part.withColumn(id_col, F.lit(id_value).cast(part.schema[id_col].dataType))
     if flag == "I":
-        if key_col is None:
-            raise ValueError("flag I needs key_col")
-        part = rank.assign_surrogate_keys(part, key_col, as_list(order), start=start_key or 0,
-                                          n_ranges=n_ranges)
-    return part.withColumn(flag_col, F.lit(flag))
+        new_key = F.lit((start_key or 0) - first + 1).cast("long") + F.col("__rank")
+        part = part.withColumn(key_col, new_key)
+    return part.drop("__rank").withColumn(flag_col, F.lit(flag))

@@ -16,15 +16,13 @@ def _cond(c) -> Column:
 def update_where(df: DataFrame, cond, sets: dict) -> DataFrame:
     """``UPDATE t SET k = v ... WHERE cond``: rows where ``cond`` is true get
     the new values (a NULL condition leaves the row unchanged).  Values may
-    be Columns, SQL text (``expr:...``) or literals; types are kept."""
+    be Columns (for expressions) or literals; types are kept."""
     c = F.coalesce(_cond(cond), F.lit(False))
     out = []
     for f in df.schema.fields:
         if f.name in sets:
             v = sets[f.name]
-            if isinstance(v, str) and v.startswith("expr:"):
-                v = F.expr(v[5:])
-            elif not isinstance(v, Column):
+            if not isinstance(v, Column):
                 v = F.lit(v)
             out.append(F.when(c, v.cast(f.dataType)).otherwise(qcol(f.name)).alias(f.name))
         else:

@@ -5,13 +5,13 @@ The ledger is a small table with one row per arrived drop:
 file_processed_timestamp, file_loaded``.  Times are UTC wall-clock values
 (``timestamp_ntz``), so every session and client reads the same value
 whatever its time zone.  Functions return the new ledger as a DataFrame;
-``apply_pending`` writes each version to a new directory.
+``apply_pending`` commits target and ledger together as a new version.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +19,11 @@ from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, S
                                TimestampNTZType)
 
 from ..functions.casts import cast_by_type
+from ..session import create_marker, list_names
 from ..sources.files import scan_parquet
-from ..util import DEFAULT_BROADCAST_ROWS
+from ..util import qcol
 from . import aggregates, cdc, dml, quality
+from .reconcile import union_all
 
 LEDGER_SCHEMA = StructType([
     StructField("file_name", StringType()),
@@ -55,17 +57,30 @@ def _ts(now) -> F.Column:
 
 def drop_name(path_col: F.Column, level: str = "dir") -> F.Column:
     """Name of the drop a data file belongs to: its parent directory (drops
-    are directories named like files), or the file name itself."""
+    are directories named like files), or the file name itself.  ``path_col``
+    is the file's plain (not URL-encoded) path."""
     parts = F.split(path_col, "/")
     return F.element_at(parts, -2) if level == "dir" else F.element_at(parts, -1)
 
 
+def decoded_path(uri: F.Column) -> F.Column:
+    """A file URI's path as it is written in the store."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def drop_counts(spark: SparkSession, path, level: str = "dir") -> DataFrame:
-    """Rows per drop under ``path`` (directory or glob): one scan that reads
-    no data columns, counted per drop with a map-side combined aggregate."""
-    df = scan_parquet(spark, path)
-    return (df.select(drop_name(F.col("_metadata.file_path"), level).alias("file_name"))
-              .groupBy("file_name").agg(F.count(F.lit(1)).alias("file_number_of_rows")))
+    """Rows per drop under ``path`` (a directory of drops, or a glob): the
+    drops of the file listing, those without rows included (0), with their
+    rows from one scan that reads no data columns, combined map-side."""
+    paths = [path] if isinstance(path, str) else list(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    listed = files.select(drop_name(F.col("path"), level).alias("file_name")).distinct()
+    # no column is read, so any schema will do for drops of all schemas
+    counts = (spark.read.schema("__none int").option("recursiveFileLookup", "true").parquet(*paths)
+              .select(drop_name(decoded_path(F.col("_metadata.file_path")), level).alias("__name"))
+              .groupBy("__name").agg(F.count(F.lit(1)).alias("__n")))
+    return (listed.join(counts, listed["file_name"] == counts["__name"], "left")
+            .select("file_name", F.coalesce("__n", F.lit(0)).cast("long").alias("file_number_of_rows")))
 
 
 def _arrival(counts: DataFrame) -> F.Column:
@@ -137,37 +152,162 @@ def stage_drop(df: DataFrame, stage_dir: str, name: str, ledger: DataFrame, now=
     return register_files(ledger, counts, now), int(stats["n"]), (flags["flags"] if flags else "")
 
 
+def write_ledger(ledger: DataFrame, path: str) -> DataFrame:
+    """The ledger written once and read back: a table, not a plan that scans
+    the drops again with every use."""
+    ledger.write.mode("overwrite").parquet(path)
+    return ledger.sparkSession.read.schema(ledger.schema).parquet(path)
+
+
+# ------------------------------------------------------------------ committed versions
+# <root>/versions/<n>-<id>/{target,ledger}   one load's two tables
+# <root>/commits/<n>-<id>                    empty marker, written last
+# One load at a time: a second one that commits meanwhile is noticed, not merged.
+def committed(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """(number, directory) of the newest committed version under ``root``."""
+    names = list_names(spark, f"{root}/commits")
+    if not names:
+        return None
+    last = max(names)
+    return int(last.split("-")[0]), f"{root}/versions/{last}"
+
+
+def _commit(spark: SparkSession, root: str, began: tuple[int, str] | None, name: str) -> None:
+    """Make a fully written version the current one, unless another load has
+    committed since this one ``began``."""
+    if committed(spark, root) != began:
+        raise RuntimeError(f"another load has committed to {root}; call again")
+    create_marker(spark, f"{root}/commits/{name}")
+
+
+def _joined_ledgers(old: DataFrame, new: DataFrame) -> DataFrame:
+    """One row per drop: the later arrival (a drop registered again is pending
+    again), of equal arrivals the one already loaded."""
+    both = old.unionByName(new)
+    order = F.struct(F.col("file_arrival_timestamp"), F.coalesce("file_loaded", F.lit(False)))
+    row = F.struct(*[F.col(c) for c in old.columns])
+    return both.groupBy("file_name").agg(F.max_by(row, order).alias("r")).select("r.*")
+
+
+def _fold_drops(spark: SparkSession, target: DataFrame, drops: DataFrame, pk: list[str], flag: str,
+                load_type: str, label: str) -> DataFrame:
+    """What merging the drops one after the other gives, in one pass.
+
+    ``drops`` holds the change rows with their drop's place ``__seq``.  Per key,
+    what a drop can do is one of few things, so an aggregate per (key, drop)
+    (map-side combined) and then per key (one entry for each drop that names
+    it) is enough to know, for a key the target has and for one it lacks: is it
+    there in the end, which drop's inserted rows make it (0: the target's own),
+    and which later update gave its values.  Target and change rows then pick
+    that up by one join each."""
+    keyed = drops.where(cdc._all_not_null(pk))
+    fl = qcol(flag)
+    hit = fl.isin(cdc.FLAG_UPDATE, cdc.FLAG_DELETE)
+    can_insert = F.lit(True) if load_type == cdc.INITIAL else F.coalesce(fl == cdc.FLAG_INSERT, F.lit(False))
+    values = [f.name for f in target.schema.fields if f.name not in pk]
+    payload = F.struct(*[qcol(c).cast(target.schema[c].dataType).alias(c) for c in values]) if values else F.struct(F.lit(0).alias("__none"))
+    per_drop = keyed.groupBy(*[qcol(k) for k in pk], "__seq").agg(
+        F.count(F.when(hit, 1)).alias("hits"), F.max(F.when(hit, fl)).alias("flag"),
+        F.max_by(payload, F.when(fl == cdc.FLAG_UPDATE, 1)).alias("payload"),
+        F.max(can_insert).alias("inserts"))
+    entries = per_drop.groupBy(*[qcol(k) for k in pk]).agg(
+        F.array_sort(F.collect_list(F.struct("__seq", "hits", "flag", "inserts", "payload"))).alias("e"))
+
+    def outcome(there: bool):
+        start = F.struct(F.lit(there).alias("there"), F.lit(0).cast("long").alias("made"), F.lit(0).cast("long").alias("update"),
+                         F.lit(False).alias("broken"))
+
+        def step(acc, x):
+            gone = acc["there"] & (x["flag"] == cdc.FLAG_DELETE)
+            made = ~acc["there"] & x["inserts"]
+            updated = acc["there"] & (x["flag"] == cdc.FLAG_UPDATE)
+            return F.struct(
+                F.when(acc["there"], ~F.coalesce(gone, F.lit(False))).otherwise(x["inserts"]).alias("there"),
+                F.when(made, x["__seq"]).otherwise(acc["made"]).alias("made"),
+                F.when(made, F.lit(0).cast("long")).when(F.coalesce(updated, F.lit(False)), x["__seq"]).otherwise(acc["update"]).alias("update"),
+                (acc["broken"] | (acc["there"] & (x["hits"] > 1))).alias("broken"))
+        return F.aggregate("e", start, step)
+
+    def with_values(o):
+        chosen = F.filter("e", lambda x: x["__seq"] == o["update"])
+        return F.struct(o["there"].alias("there"), o["made"].alias("made"), o["broken"].alias("broken"),
+                        F.get(chosen, F.lit(0))["payload"].alias("payload"))
+
+    both = entries.withColumn("a", outcome(True)).withColumn("b", outcome(False))
+    both = both.select(*[qcol(k) for k in pk], with_values(F.col("a")).alias("__old"), with_values(F.col("b")).alias("__new"))
+    # plain tables on both sides of the joins below, so adaptive execution can split a hot key
+    both = cdc._written(both, f"{label}-outcome")
+    o = F.when(F.col("__o.broken"), F.raise_error(F.lit(cdc.MULTI_MATCH_ERROR)))
+
+    def out(columns_from):
+        return [qcol(f.name) if f.name in pk else
+                F.when(F.col("__o.payload").isNotNull(), F.col("__o.payload")[f.name]).otherwise(columns_from(f)).alias(f.name)
+                for f in target.schema.fields]
+
+    kept = (target.join(both.withColumnRenamed("__old", "__o"), pk, "left")
+            .where(F.coalesce(o, F.col("__o").isNull() | (F.col("__o.there") & (F.col("__o.made") == 0))))
+            .select(*out(lambda f: qcol(f.name))))
+    own_keys = target.select(*[qcol(k) for k in pk]).where(cdc._all_not_null(pk)).distinct().withColumn("__has", F.lit(True))
+    chosen = both.join(own_keys, pk, "left").select(
+        *[qcol(k) for k in pk], F.when(F.col("__has"), F.col("__old")).otherwise(F.col("__new")).alias("__o"))
+    chosen = cdc._written(chosen.where("__o.there AND __o.made > 0 OR __o.broken"), f"{label}-made")
+    made = (keyed.where(can_insert).join(chosen, pk)
+            .where(F.coalesce(o, F.col("__o.made") == F.col("__seq")))
+            .select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(out(lambda f: qcol(f.name)), target.schema.fields)]))
+    unkeyed = drops.where(~cdc._all_not_null(pk)).where(can_insert).select(
+        *[qcol(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return kept.unionByName(made).unionByName(unkeyed)
+
+
 def apply_pending(spark: SparkSession, ledger: DataFrame, target: DataFrame, stage_dir: str,
                   out_root: str, pk, flag: str = "delta_flg", load_type: str = cdc.INCREMENTAL,
-                  now=None, table_prefix: str | None = None, name_filter=None,
-                  expectations: dict | None = None,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Load every pending drop in arrival order: schema gate, flagged merge
-    into the target, mark loaded.  Each step writes a new target version
-    ``<out_root>/target/<n>`` and ledger version ``<out_root>/ledger/<n>``
-    and reads it back, so lineage stays one step deep and a failed step
-    leaves the previous versions intact.  The loop is over drop names only
-    (control); every step runs distributed.  ``table_prefix`` keeps the drops
-    of one table; ``name_filter`` (SQL text or Column on ``file_name``)
-    selects a kind of drop, e.g. initial loads only; ``expectations``
-    ({name: SQL rule}) fail the load on a drop row that breaks a rule, before
-    the new target version is committed.  Returns (target, ledger)."""
+                  now=None, table: str | None = None, name_filter=None,
+                  expectations: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Load every pending drop, in arrival order, into the table kept under
+    ``out_root``, and mark it loaded.  Returns (target, ledger).
+
+    Call it as often as drops arrive.  The first call starts from ``target``,
+    every later one from the version the last call committed; ``ledger``
+    brings drops registered since (one registered again with a later arrival
+    is loaded again).  All pending drops are gated and folded in one pass
+    (``_fold_drops``; a D / U / I flag has the meaning of ``cdc.merge_flagged``
+    at its place in the order), and the target is written once.  Nothing is
+    overwritten: target and ledger go into a new version directory, which a
+    marker written last makes the current one.  A load that fails before that
+    leaves the previous version current, and the next call does its work.
+
+    ``table`` takes the drops whose name up to the first dot equals it;
+    ``name_filter`` (SQL text or Column on ``file_name``) selects a kind of
+    drop; ``expectations`` ({name: SQL rule}) fail the load on a row that
+    breaks a rule."""
+    pk = [pk] if isinstance(pk, str) else list(pk)
+    number, now_at = 0, committed(spark, out_root)
+    if now_at is not None:
+        number, path = now_at
+        target = spark.read.schema(target.schema).parquet(f"{path}/target")
+        ledger = _joined_ledgers(spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/ledger"), ledger)
     pend = pending_files(ledger)
-    if table_prefix is not None:
-        pend = pend.where(F.col("file_name").startswith(table_prefix))
+    if table is not None:
+        pend = pend.where(F.split("file_name", "[.]")[0] == table)
     if name_filter is not None:
         pend = pend.where(F.expr(name_filter) if isinstance(name_filter, str) else name_filter)
     names = [r.file_name for r in pend.select("file_name", "file_arrival_timestamp").collect()]
-    for i, name in enumerate(names, start=1):
-        changes = quality.schema_gate(scan_parquet(spark, f"{stage_dir}/{name}"), target,
-                                      ignore=[flag], ordered=False)
-        if expectations:
-            changes = quality.expect_all_or_fail(changes, expectations)
-        merged = cdc.merge_flagged(target, changes, pk, flag, load_type, broadcast_rows)
-        tpath = f"{out_root}/target/{i}"
-        merged.write.mode("overwrite").parquet(tpath)
-        target = spark.read.parquet(tpath)
-        lpath = f"{out_root}/ledger/{i}"
-        mark_loaded(ledger, name, now).write.mode("overwrite").parquet(lpath)
-        ledger = spark.read.parquet(lpath)
-    return target, ledger
+    if now_at is not None and not names:
+        return target, ledger
+    version = f"{number + 1:012d}-{uuid.uuid4().hex[:12]}"
+    path = f"{out_root}/versions/{version}"
+    merged = target
+    if names:
+        gated = []
+        for seq, name in enumerate(names, start=1):  # names and footers only
+            changes = quality.schema_gate(scan_parquet(spark, f"{stage_dir}/{name}"), target, ignore=[flag], ordered=False)
+            if expectations:
+                changes = quality.expect_all_or_fail(changes, expectations)
+            gated.append(changes.withColumn("__seq", F.lit(seq).cast("long")))
+        merged = _fold_drops(spark, target, union_all(*gated), pk, flag, load_type, "pending")
+    merged.write.parquet(f"{path}/target")
+    done = mark_loaded(ledger, spark.createDataFrame([(n,) for n in names], "file_name string"), now) if names else ledger
+    done.write.parquet(f"{path}/ledger")
+    _commit(spark, out_root, now_at, version)
+    return (spark.read.schema(target.schema).parquet(f"{path}/target"),
+            spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/ledger"))

@@ -24,8 +24,9 @@ tasks - in one of two ways (``ranked(method=...)``):
   fixed on disk; offsets and group starts come from small per-partition
   tables (see ``ranked``).
 
-Rows equal on the whole ordering tuple may be numbered in either order; use
-a unique ordering for repeatable numbers.
+Both end the ordering with a hash of the row, so they number alike also when
+the ordering does not tell rows apart, and rows that share an order value are
+spread over ranges.  Only rows equal in every column may trade numbers.
 """
 
 from __future__ import annotations
@@ -127,6 +128,10 @@ def _range_expr(cols: list[Column], types: list, bounds: list[tuple]) -> Column:
 
 ROWS_PER_RANGE = 2_000_000
 MAX_LITERAL_BOUNDS = 128
+# Most ranges of any ranking: the prefix sum over ranges is one small task, and
+# the table of offsets is broadcast, so both need a bound.
+MAX_RANGES = 20_000
+_HASH = "__row_hash"
 
 
 def _planned_ranges(df: DataFrame, n_ranges: int | None, total: int, rows_per_range: int) -> int:
@@ -134,7 +139,7 @@ def _planned_ranges(df: DataFrame, n_ranges: int | None, total: int, rows_per_ra
         return max(1, min(n_ranges, int(math.ceil(total / 2))))
     by_size = int(math.ceil(total / rows_per_range))
     by_cores = min(default_parallelism(df.sparkSession), int(math.ceil(total / 10_000)))
-    return max(1, by_size, by_cores)
+    return min(MAX_RANGES, max(1, by_size, by_cores))
 
 
 def ranked(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), rank_col: str = "rank",
@@ -175,12 +180,13 @@ def ranked(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), rank_c
 
 def _ranked_by_bounds(df: DataFrame, order: list[str], keys: list[str], rank_col: str, n: int,
                       total: int) -> DataFrame:
-    tup = keys + order
+    df = df.withColumn(_HASH, F.xxhash64(*[qcol(c) for c in df.columns]))
+    tup = keys + order + [_HASH]
     bounds = _sample_bounds(df, tup, n, total)
     types = [df.schema[c].dataType for c in tup]
     with_range = df.withColumn(_RANGE, _range_expr([qcol(c) for c in tup], types, bounds))
     part = [F.col(_RANGE)] + [qcol(k) for k in keys]
-    w = Window.partitionBy(*part).orderBy(*[qcol(c).asc() for c in order])
+    w = Window.partitionBy(*part).orderBy(*[qcol(c).asc() for c in order + [_HASH]])
     numbered = with_range.withColumn(_ROW, F.row_number().over(w))
     counts = with_range.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*[qcol(k) for k in keys]).orderBy(_RANGE) \
@@ -190,11 +196,11 @@ def _ranked_by_bounds(df: DataFrame, order: list[str], keys: list[str], rank_col
         # one row per range: bounded by the range count, safe to broadcast
         return (numbered.join(F.broadcast(offsets), _RANGE, "inner")
                         .withColumn(rank_col, F.col(_OFFSET) + F.col(_ROW))
-                        .drop(_RANGE, _ROW, _OFFSET))
+                        .drop(_RANGE, _ROW, _OFFSET, _HASH))
     # NULL group keys form a group too: join them null-safely
     return (_join_on(numbered, offsets, [_RANGE], keys)
             .withColumn(rank_col, F.col(_OFFSET) + F.col(_ROW))
-            .drop(_RANGE, _ROW, _OFFSET))
+            .drop(_RANGE, _ROW, _OFFSET, _HASH))
 
 
 def _join_on(left: DataFrame, right: DataFrame, plain: list[str], null_safe: list[str]) -> DataFrame:
@@ -245,6 +251,14 @@ def global_rank(df: DataFrame, order: Sequence[str], n_ranges: int | None = None
     return ranked(df, order, (), rank_col, n_ranges, total, method)
 
 
+def tile_bounds(total: int, tiles: int, tile: int) -> tuple[int, int]:
+    """First and last 1-based rank of tile ``tile`` (1-based): the first
+    ``total % tiles`` tiles hold one extra row."""
+    q, r = divmod(total, tiles)
+    first = (tile - 1) * q + min(tile - 1, r) + 1
+    return first, first + q - (0 if tile <= r else 1)
+
+
 def tile_of(rank0: Column, total: int, tiles: int) -> Column:
     """ntile rule for a 0-based rank: the first ``total % tiles`` tiles hold
     one extra row."""

@@ -12,6 +12,7 @@ MISSING = "missing"      # in source, not in target
 EXTRA = "extra"          # in target, not in source
 DIFFERENT = "different"  # both, some compared column differs
 EQUAL = "equal"
+DUPLICATE = "duplicate"  # the key occurs more than once on one side
 
 
 def union_all(*dfs: DataFrame, allow_missing: bool = False) -> DataFrame:
@@ -23,20 +24,24 @@ def union_all(*dfs: DataFrame, allow_missing: bool = False) -> DataFrame:
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys, cols=None,
-              status_col: str = "status") -> DataFrame:
+              status_col: str = "status", counts: bool = False) -> DataFrame:
     """Per key: ``missing`` / ``extra`` / ``different`` / ``equal`` between
-    a source and the table loaded from it.  ``cols`` (default: all non-key
-    columns of the source) are compared null-safely.  Keys are lined up by
-    one per-key aggregate (``cdc.pair_by_key``): no pairs are emitted and a
-    duplicated key fails the job."""
+    a source and the table loaded from it, or ``duplicate`` when the key (NULL
+    counts as one) occurs more than once on a side.  ``cols`` (default: all
+    non-key columns of the source) are compared null-safely.  ``counts`` adds
+    n_source and n_target, the key's rows on each side.  Keys are lined up by
+    one per-key aggregate (``cdc.pair_by_key``): no pairs are emitted, and a
+    key with very many rows is combined before rows move."""
     keys = as_list(keys)
     cols = [c for c in (as_list(cols) or source.columns) if c not in keys]
-    j = pair_by_key(source, target, keys, cols, "__s", "__t")
-    status = (F.when(F.col("__t").isNull(), F.lit(MISSING))
-               .when(F.col("__s").isNull(), F.lit(EXTRA))
+    j = pair_by_key(source, target, keys, cols, "__s", "__t", report=True)
+    status = (F.when((F.col("__nl") > 1) | (F.col("__nr") > 1), F.lit(DUPLICATE))
+               .when(F.col("__nr") == 0, F.lit(MISSING))
+               .when(F.col("__nl") == 0, F.lit(EXTRA))
                .when(F.equal_null(F.col("__s"), F.col("__t")), F.lit(EQUAL))
                .otherwise(F.lit(DIFFERENT)))
-    return j.select(*[qcol(k) for k in keys], status.alias(status_col))
+    more = [F.col("__nl").alias("n_source"), F.col("__nr").alias("n_target")] if counts else []
+    return j.select(*[qcol(k) for k in keys], status.alias(status_col), *more)
 
 
 def reconcile_counts(source: DataFrame, target: DataFrame, keys, cols=None) -> DataFrame:

@@ -3,6 +3,7 @@ the driver's tables at ``sf_dir``.  ``oracle.SQL`` holds the matching SQL."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,8 +151,9 @@ def q_filter_key_text(spark, sf):
 
 
 def q_union_all(spark, sf):
-    c = fx.table(spark, sf, "customer")
-    return rec.union_all(c.where("c_nationkey = 1"), c.where("c_mktsegment = 'BUILDING'"))
+    c, s = fx.table(spark, sf, "customer"), fx.table(spark, sf, "supplier")
+    return rec.union_all(c.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")),
+                         s.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("key")))
 
 
 def q_sort_limit(spark, sf):
@@ -431,24 +433,24 @@ def q_compacted_state(spark, sf):
     those versions touch."""
     ev = fx.table(spark, sf, "events")
     log = scratch_path(spark, "events-compacting-log")
-    ev.where(F.col("event_id") % 3 != 0).write.parquet(f"{log}/v=0")
-    ev.where(F.col("event_id") % 3 == 0).write.parquet(f"{log}/v=1")
     older = scratch_path(spark, "events-older")
-    ev.where(F.col("event_id") % 3 != 0).write.parquet(f"{older}/v=0")
+    for i, to in ((0, log), (1, log), (0, older)):
+        part = ev.where(F.col("event_id") % 3 != 0) if i == 0 else ev.where(F.col("event_id") % 3 == 0)
+        stream.write_version(part, to, i, "a")
     base = spark.read.parquet(stream.compact_log(spark, older, scratch_path(spark, "events-base"),
                                                  EVENT_KEYS, EVENT_SEQ, EVENT_DELETE))
     return stream.current_state(spark, log, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, base=base, since_version=1)
 
 
 def q_stream_rescue(spark, sf):
-    """Staged events streamed into the expected schema; unexpected columns
-    and values that do not cast land in _rescued_data."""
-    schema = fx.table(spark, sf, "events").schema
-    root, _ = staging.stage_event_drops(spark, sf)
+    """Drops of three schemas, none known beforehand, streamed into the
+    expected one: one as expected, one with a column more, one with values
+    that narrow.  Whatever does not fit lands in _rescued_data."""
+    root = staging.stage_mixed_drops(spark, sf)
     out = scratch_path(spark, "events-rescued")
-    s = stream.stream_files(spark, f"{root}/drop_*/*.parquet", schema, max_files=2, expected=RESCUE_SCHEMA)
-    stream.stream_append(s, out, scratch_path(spark, "ckpt-rescue"))
-    return spark.read.parquet(out)
+    stream.stream_land_drops(spark, f"{root}/*/*.parquet", out, scratch_path(spark, "ckpt-rescue"),
+                             staging.MIXED_EXPECTED, max_files=2)
+    return stream.read_log(spark, out).select("event_id", "value", F.col("_rescued_data").alias("rescued"))
 
 
 def q_stream_apply_changes(spark, sf):
@@ -469,7 +471,8 @@ LOADED_NOW = "2024-02-02 00:00:00"
 def _daily_ledger(spark, sf):
     root = staging.stage_daily_drops(spark, sf)
     counts = led.drop_counts(spark, root)
-    return led.register_files(led.empty_ledger(spark), counts, now=LEDGER_NOW)
+    ledger = led.register_files(led.empty_ledger(spark), counts, now=LEDGER_NOW)
+    return led.write_ledger(ledger, scratch_path(spark, "daily-ledger"))
 
 
 def _odd_days(ledger):
@@ -477,6 +480,39 @@ def _odd_days(ledger):
                   .select("file_name"))
 
 
+def q_ledger_complete(spark, sf):
+    """Drops whose names need encoding in a URI, and one without rows."""
+    c = fx.table(spark, sf, "customer")
+    stage = scratch_path(spark, "named-drops")
+    for name, drop in (("a b+c%20.parquet_I_1", c), ("empty.parquet_U_2", c.limit(0)), ("plain.parquet_D_3", c.select("c_custkey"))):
+        sink.write_drop(drop, f"{stage}/{name}")
+    return led.register_files(led.empty_ledger(spark), led.drop_counts(spark, stage), now=LEDGER_NOW)
+
+
+def q_load_twice(spark, sf):
+    """Three drops loaded, two more registered, loaded again from the version
+    that the first load committed; drops of another table stay where they are."""
+    cust = fx.table(spark, sf, "customer")
+    stage, root = scratch_path(spark, "customer-drops"), scratch_path(spark, "customer-table")
+    first = staging.customer_flagged_drops(cust)
+    for name, drop in [*first, ("customer_old.parquet_I_9", cust.withColumn("delta_flg", F.lit("I")))]:
+        sink.write_drop(drop, f"{stage}/{name}")
+
+    def load():
+        arrived = F.timestamp_seconds(F.lit(1_700_000_000) + F.element_at(F.split("file_name", "_"), -1).cast("long"))
+        counts = led.drop_counts(spark, f"{stage}/*").withColumn("file_arrival_timestamp", arrived)
+        ledger = led.register_files(led.empty_ledger(spark), counts)
+        return led.apply_pending(spark, ledger, spark.createDataFrame([], cust.schema), stage, root, "c_custkey",
+                                 now=LOADED_NOW, table="customer")
+
+    load()
+    for name, drop in staging.customer_later_drops(cust):
+        sink.write_drop(drop, f"{stage}/{name}")
+    target, ledger = load()
+    loaded = ledger.select(F.concat(F.lit("ledger:"), "file_name").alias("name"), F.col("file_loaded").cast("long").alias("key"))
+    return target.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("key")).unionByName(loaded)
+
+
 def q_ledger_register(spark, sf):
     return _daily_ledger(spark, sf)
 
@@ -557,7 +593,7 @@ def q_truncate_load(spark, sf):
     target = scratch_path(spark, "customer-truncate")
     cust = fx.table(spark, sf, "customer")
     sink.create_table_as(cust, target)
-    sink.truncate_load(cust.where("c_nationkey < 5"), target)
+    sink.truncate_load(cust.withColumn("c_name", F.concat("c_name", F.lit("!"))), target)
     return spark.read.parquet(target)
 
 
@@ -565,11 +601,148 @@ def q_append_select(spark, sf):
     target = scratch_path(spark, "orders-append")
     o = fx.table(spark, sf, "orders")
     sink.create_table_as(o.where("o_orderstatus = 'F'"), target)
-    sink.append_select(o.where("o_orderstatus = 'O'").select(*reversed(o.columns)), target)
+    rest = o.where("o_orderstatus IS DISTINCT FROM 'F'").withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+    sink.append_select(rest.select(*reversed(o.columns)), target)
     return spark.read.parquet(target)
 
 
+def q_parse_delimited_rescue(spark, sf):
+    """Lines whose first field begins with 'cat', some with fields to spare."""
+    c = fx.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    line = F.concat_ws(staging.CARET_A, F.concat(F.when(k % 7 == 0, F.lit("category ")).otherwise(F.lit("")), "c_name"),
+                       k.cast("string"), F.when(k % 11 == 0, F.lit("spare")), F.when(k % 22 == 0, F.lit("more")), F.lit(""))
+    path = staging.stage_text(spark, c.select(line.alias("value")), "customer-spare")
+    return src.parse_delimited(src.scan_text_records(spark, path), staging.CARET_A, ["name", "key"], rescue_col="spare")
+
+
+def _fold_new_column(broadcast_rows):
+    def q(spark, sf):
+        """A base folded before, and later changes that bring a column."""
+        ev = fx.table(spark, sf, "events")
+        old, new = ev.where("event_id % 3 <> 0"), ev.where("event_id % 3 = 0").withColumn("note", F.concat(F.lit("n"), "event_id"))
+        base = cdc.fold_changes(old, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE)
+        out = cdc.fold_into_base(base, new, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, broadcast_rows=broadcast_rows)
+        return cdc.current_rows(out, EVENT_DELETE)
+    return q
+
+
+def q_stream_two_runs(spark, sf):
+    """A table with a column v; two streams, and one of them once more with a
+    fresh checkpoint, into one log."""
+    ev = fx.table(spark, sf, "events").withColumnRenamed("user_id", "v")
+    stage, log = scratch_path(spark, "two-streams"), scratch_path(spark, "two-streams-log")
+    for i in range(3):
+        ev.where(F.col("event_id") % 3 == i).write.parquet(f"{stage}/part_{i}/drop")
+    for i, n in ((0, 0), (1, 1), (0, 2), (2, 3)):
+        s = stream.stream_files(spark, f"{stage}/part_{i}/*/*.parquet", ev.schema)
+        stream.stream_apply_changes(s, log, scratch_path(spark, f"two-streams-ckpt{n}"), "v", EVENT_SEQ, EVENT_DELETE)
+    return stream.current_state(spark, log, "v", EVENT_SEQ, EVENT_DELETE)
+
+
+def q_stream_apply_drops(spark, sf):
+    """Files held against the target's columns as they arrive, then applied."""
+    schema = fx.table(spark, sf, "events").schema
+    root, _ = staging.stage_event_drops(spark, sf)
+    log = scratch_path(spark, "events-gated-log")
+    stream.stream_apply_drops(spark, f"{root}/drop_*/*.parquet", log, scratch_path(spark, "ckpt-gated"), schema,
+                              EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, max_files=2)
+    return stream.current_state(spark, log, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, schema=schema)
+
+
+def q_reconcile_duplicates(spark, sf):
+    """lineitem by a key that repeats, against itself with a price changed and
+    one flag's rows left out."""
+    li = fx.table(spark, sf, "lineitem")
+    changed = li.where("l_returnflag IS DISTINCT FROM 'R'").withColumn(
+        "l_extendedprice", F.col("l_extendedprice") + F.when(F.col("l_orderkey") % 10 == 0, 1.0).otherwise(0.0))
+    return rec.reconcile(li, changed, ["l_orderkey", "l_linenumber"], ["l_extendedprice"], counts=True)
+
+
+def _ranked_ties(method):
+    def q(spark, sf):
+        """Ranking by a column with few values: how the ranks spread over them."""
+        o = fx.table(spark, sf, "orders")
+        r = rank.ranked(o, ["o_orderstatus"], (), "r", n_ranges=6, method=method)
+        return r.groupBy("o_orderstatus").agg(F.min("r").alias("first"), F.max("r").alias("last"),
+                                              F.countDistinct("r").alias("ranks"))
+    return q
+
+
+def q_named_tables(spark, sf):
+    """The writes on catalog tables: as select, positional, by name, truncate."""
+    cust = fx.table(spark, sf, "customer")
+    names = [f"tw_{uuid.uuid4().hex[:12]}" for _ in range(2)]
+    texts = cust.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cust.columns)])
+    try:
+        for name in names:
+            sink.create_table_as(cust, name)
+        sink.insert_positional(texts, names[0])
+        sink.append_select(cust.select(*reversed(cust.columns)), names[0])
+        sink.truncate_load(texts, names[1])
+        found = src.scan_table(spark, names[0]).unionByName(src.scan_table(spark, names[1]))
+        path = scratch_path(spark, "named-tables")
+        found.write.parquet(path)
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.parquet(path)
+
+
+def q_schema_drift(spark, sf):
+    """Drops of three schemas against the expected one, by footers."""
+    root = staging.stage_mixed_drops(spark, sf)
+    drift = quality.schema_drift(spark, [f"{root}/{n}" for n in staging.MIXED_DROPS], staging.MIXED_EXPECTED)
+    rows = [spark.read.parquet(f"{root}/{n}").agg(F.lit(n).alias("drop"), F.count(F.lit(1)).alias("n")) for n in staging.MIXED_DROPS]
+    return drift.withColumn("drop", F.element_at(F.split("drop", "/"), -1)).join(rec.union_all(*rows), "drop")
+
+
+def _file_ranges(write):
+    def q(spark, sf):
+        """Rows of a rewritten table, and whether its files' key ranges meet."""
+        path = write(spark, sf)
+        stats = sink.file_stats(spark, path, "o_orderkey")
+        a, b = stats.alias("a"), stats.alias("b")
+        # a handful of files: their number is the writer's parameter
+        meet = a.join(F.broadcast(b), (F.col("a.file") < F.col("b.file")) & (F.col("a.min_v") < F.col("b.max_v"))
+                      & (F.col("b.min_v") < F.col("a.max_v")))
+        many = stats.agg((F.count(F.lit(1)) > 1).cast("long").alias("key"), F.lit("several files").alias("name"))
+        return (spark.read.parquet(path).select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("name"))
+                .unionByName(many).unionByName(meet.agg(F.count(F.lit(1)).alias("key"), F.lit("overlaps").alias("name"))))
+    return q
+
+
+def _clustered_orders(spark, sf):
+    return sink.cluster_write(fx.table(spark, sf, "orders"), ["o_orderkey"], scratch_path(spark, "orders-ranges"), files=6)
+
+
+def _compacted_orders(spark, sf):
+    small = scratch_path(spark, "orders-many")
+    fx.table(spark, sf, "orders").repartition(24).write.parquet(small)
+    return sink.compact(spark, small, scratch_path(spark, "orders-few"), 3, cluster_cols=["o_orderkey"])
+
+
+def q_sort_by(spark, sf):
+    o = shape.drop_columns(fx.table(spark, sf, "orders"), ["o_totalprice", "no_such_column"])
+    return shape.sort_by(o, ["o_custkey", F.col("o_orderdate").desc(), "o_orderkey"])
+
+
 QUERIES.update({
+    "parse_delimited_rescue": q_parse_delimited_rescue,
+    "fold_new_column": _fold_new_column(2_000_000),
+    "fold_new_column_large": _fold_new_column(0),
+    "stream_two_runs": q_stream_two_runs,
+    "stream_apply_drops": q_stream_apply_drops,
+    "reconcile_duplicates": q_reconcile_duplicates,
+    "ranked_ties": _ranked_ties("bounds"),
+    "ranked_ties_written": _ranked_ties("range_write"),
+    "named_tables": q_named_tables,
+    "schema_drift": q_schema_drift,
+    "cluster_ranges": _file_ranges(_clustered_orders),
+    "compact_ranges": _file_ranges(_compacted_orders),
+    "sort_by": q_sort_by,
+    "ledger_complete": q_ledger_complete,
+    "load_twice": q_load_twice,
     "parse_delimited": q_parse_delimited,
     "load_delimited": q_load_delimited,
     "scan_text_records": q_scan_text_records,

@@ -134,10 +134,7 @@ FROM orders""",
 SELECT * FROM orders
 WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority <> '' AND NOT (o_totalprice > 200000)""",
     "filter_key_text": "SELECT * FROM orders WHERE o_orderkey = CAST('42' AS BIGINT)",
-    "union_all": """
-SELECT * FROM customer WHERE c_nationkey = 1
-UNION ALL
-SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'""",
+    "union_all": "SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier",
     "sort_limit": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100",
     "path_stem": """
 SELECT page_id,
@@ -242,6 +239,19 @@ SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY c_cus
 FROM (SELECT *, ntile(4) OVER (ORDER BY c_custkey) AS t FROM customer) WHERE t = 1""",
 })
 
+FOLD_NEW = """
+SELECT event_id, ts, user_id, event_type, value, props, CASE WHEN event_id % 3 = 0 THEN 'n' || event_id END AS note
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND event_type <> 'error'"""
+
+RANKED_TIES = """
+SELECT o_orderstatus, min(r) AS first, max(r) AS last, count(DISTINCT r) AS ranks
+FROM (SELECT o_orderstatus, row_number() OVER (ORDER BY o_orderstatus NULLS FIRST) AS r FROM orders) GROUP BY 1"""
+
+FILE_RANGES = """
+SELECT o_orderkey AS key, o_orderpriority AS name FROM orders
+UNION ALL SELECT 1, 'several files' UNION ALL SELECT 0, 'overlaps'"""
+
 DAILY = """
 SELECT 'day=' || strftime(ts, '%Y-%m-%d') AS file_name, count(*) AS file_number_of_rows
 FROM events GROUP BY 1"""
@@ -254,7 +264,11 @@ SQL.update({
     "scan_text_records": "SELECT c_custkey, c_name FROM customer",
     "stream_append": "SELECT * FROM events",
     "stream_apply_changes": SQL["apply_changes"],
-    "stream_rescue": SQL["rescue_unexpected"],
+    "stream_rescue": """
+SELECT event_id, CASE WHEN event_id % 3 <> 2 THEN CAST(floor(v) AS INTEGER) WHEN v = trunc(v) THEN CAST(v AS INTEGER) END AS value,
+       CASE WHEN event_id % 3 = 1 THEN '{"event_type":"' || event_type || '"}'
+            WHEN event_id % 3 = 2 AND v <> trunc(v) THEN '{"value":"' || CAST(v AS VARCHAR) || '"}' END AS rescued
+FROM (SELECT event_id, event_type, CAST(round(value, 2) AS DECIMAL(18, 2)) AS v FROM events)""",
     "compacted_state": SQL["apply_changes"],
     "stream_apply_flagged": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -285,6 +299,56 @@ FROM orders""",
     "compact": "SELECT * FROM orders",
     "create_table_as": "SELECT * FROM customer",
     "insert_positional": "SELECT * FROM customer",
-    "truncate_load": "SELECT * FROM customer WHERE c_nationkey < 5",
-    "append_select": "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    "truncate_load": "SELECT * REPLACE (c_name || '!' AS c_name) FROM customer",
+    "append_select": "SELECT * FROM orders",
+    "parse_delimited_rescue": """
+SELECT CASE WHEN c_custkey % 7 = 0 THEN 'category ' ELSE '' END || c_name AS name, CAST(c_custkey AS VARCHAR) AS key,
+       CASE WHEN c_custkey % 22 = 0 THEN 'spare^Amore^A' WHEN c_custkey % 11 = 0 THEN 'spare^A' END AS spare
+FROM customer""",
+    "fold_new_column": FOLD_NEW,
+    "fold_new_column_large": FOLD_NEW,
+    "stream_two_runs": f"SELECT event_id, ts, user_id AS v, event_type, value, props FROM ({SQL['apply_changes']})",
+    "stream_apply_drops": SQL["apply_changes"],
+    "reconcile_duplicates": """
+WITH t AS (SELECT * REPLACE (l_extendedprice + CASE WHEN l_orderkey % 10 = 0 THEN 1.0 ELSE 0.0 END AS l_extendedprice)
+           FROM lineitem WHERE l_returnflag IS DISTINCT FROM 'R'),
+     a AS (SELECT l_orderkey, l_linenumber, count(*) AS n, any_value(l_extendedprice) AS p FROM lineitem GROUP BY ALL),
+     b AS (SELECT l_orderkey, l_linenumber, count(*) AS n, any_value(l_extendedprice) AS p FROM t GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, coalesce(a.n, 0) AS n_source, coalesce(b.n, 0) AS n_target,
+       CASE WHEN a.n > 1 OR b.n > 1 THEN 'duplicate' WHEN b.n IS NULL THEN 'missing' WHEN a.n IS NULL THEN 'extra'
+            WHEN a.p IS NOT DISTINCT FROM b.p THEN 'equal' ELSE 'different' END AS status
+FROM a FULL JOIN b USING (l_orderkey, l_linenumber)""",
+    "ranked_ties": RANKED_TIES,
+    "ranked_ties_written": RANKED_TIES,
+    "named_tables": "SELECT c.* FROM customer c, range(4)",
+    "schema_drift": """
+WITH e AS (SELECT event_id % 3 AS i, count(*) AS n FROM events GROUP BY 1),
+     r(i, "drop", "column", src_pos, tgt_pos, src_type, tgt_type, status) AS (VALUES
+        (0, 'as_expected', 'event_id', 1, 1, 'bigint', 'bigint', 'ok'), (0, 'as_expected', 'value', 2, 2, 'int', 'int', 'ok'),
+        (1, 'column_more', 'event_id', 1, 1, 'bigint', 'bigint', 'ok'), (1, 'column_more', 'value', 2, 2, 'int', 'int', 'ok'),
+        (1, 'column_more', 'event_type', 3, NULL, 'string', NULL, 'source_only'),
+        (2, 'narrowing', 'event_id', 1, 1, 'bigint', 'bigint', 'ok'),
+        (2, 'narrowing', 'value', 2, 2, 'decimal(18,2)', 'int', 'type'))
+SELECT "drop", "column", CAST(src_pos AS INTEGER) AS src_pos, CAST(tgt_pos AS INTEGER) AS tgt_pos, src_type, tgt_type, status, n
+FROM r JOIN e USING (i)""",
+    "cluster_ranges": FILE_RANGES,
+    "compact_ranges": FILE_RANGES,
+    "sort_by": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders",
+    "ledger_complete": """
+SELECT file_name, TIMESTAMP '2024-02-01 00:00:00' AS file_arrival_timestamp, CAST(n AS BIGINT) AS file_number_of_rows,
+       CAST(NULL AS TIMESTAMP) AS file_processed_timestamp, false AS file_loaded
+FROM (SELECT 'a b+c%20.parquet_I_1' AS file_name, count(*) AS n FROM customer UNION ALL SELECT 'empty.parquet_U_2', 0
+      UNION ALL SELECT 'plain.parquet_D_3', count(*) FROM customer)""",
+    "load_twice": f"""
+WITH one AS (SELECT c_custkey AS k, c_name AS base, CASE WHEN c_custkey % 5 = 1 THEN c_name || '#2' ELSE c_name END AS name
+             FROM customer WHERE c_custkey % 5 <> 2
+             UNION ALL SELECT c_custkey + {NEW_KEY}, c_name, c_name FROM customer WHERE c_custkey % 5 = 3),
+     two AS (SELECT o.k, coalesce(c.c_name || '#4', o.name) AS name FROM one o
+             LEFT JOIN customer c ON c.c_custkey = o.k AND c.c_custkey % 5 = 3
+             UNION ALL SELECT c_custkey, c_name || '#back' FROM customer WHERE c_custkey % 5 = 2)
+SELECT coalesce(c.c_name || '#5', t.name) AS name, t.k AS key
+FROM two t LEFT JOIN customer c ON c.c_custkey = t.k AND c.c_custkey % 10 = 2
+WHERE NOT EXISTS (SELECT 1 FROM customer d WHERE d.c_custkey = t.k AND d.c_custkey % 10 = 4)
+UNION ALL SELECT 'ledger:' || f, l FROM (VALUES ('customer.parquet_I_1', 1), ('customer.parquet_U_2', 1),
+    ('customer.parquet_D_3', 1), ('customer.parquet_U_4', 1), ('customer.parquet_D_5', 1), ('customer_old.parquet_I_9', 0)) v(f, l)""",
 })

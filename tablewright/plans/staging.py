@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..session import scratch_path
 from . import fixtures as fx
@@ -96,3 +97,33 @@ def orders_flagged_drops(orders: DataFrame, flag: str = "delta_flg") -> list[tup
             .withColumn("o_orderdate", F.col("o_orderdate") + day + day)
             .withColumn(flag, F.lit("D")))
     return [("orders.parquet_D_3", dele), ("orders.parquet_U_2", upd), ("orders.parquet_I_1", ins)]
+
+
+def customer_later_drops(customer: DataFrame, flag: str = "delta_flg") -> list[tuple[str, DataFrame]]:
+    """Two drops that arrive after ``customer_flagged_drops``: 4 'U' for key %
+    5 = 3 and 'I' again for the deleted key % 5 = 2; 5 'D' for key % 10 = 4 and
+    'U' for key % 10 = 2 (rows that drop 4 inserted)."""
+    k = F.col("c_custkey")
+
+    def named(rows, mark, f):
+        return rows.withColumn("c_name", F.concat(F.col("c_name"), F.lit(mark))).withColumn(flag, F.lit(f))
+    d4 = named(customer.where(k % 5 == 3), "#4", "U").unionByName(named(customer.where(k % 5 == 2), "#back", "I"))
+    d5 = named(customer.where(k % 10 == 4), "", "D").unionByName(named(customer.where(k % 10 == 2), "#5", "U"))
+    return [("customer.parquet_U_4", d4), ("customer.parquet_D_5", d5)]
+
+
+# The expected columns of the mixed drops, and the drops' names.
+MIXED_EXPECTED = StructType([StructField("event_id", LongType()), StructField("value", IntegerType())])
+MIXED_DROPS = ("as_expected", "column_more", "narrowing")
+
+
+def stage_mixed_drops(spark: SparkSession, sf_dir: str) -> str:
+    """``events`` as three drops of different schemas: the expected one, one
+    with a column more, and one whose values an int cannot hold."""
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "event_type", F.round("value", 2).cast("decimal(18,2)").alias("value"))
+    root = scratch_path(spark, "mixed-drops")
+    whole = F.floor("value").cast("int").alias("value")
+    parts = (ev.select("event_id", whole), ev.select("event_id", whole, "event_type"), ev.select("event_id", "value"))
+    for i, (name, part) in enumerate(zip(MIXED_DROPS, parts)):
+        part.where(F.col("event_id") % 3 == i).write.parquet(f"{root}/{name}")
+    return root

@@ -2,13 +2,14 @@
 
 Scratch data (staged drops, change logs, versioned table directories) goes
 under the shared folder the cluster names in ``spark.checkpoint.dir``.  A
-machine-local temporary folder is used only when the session names none,
-which happens in local test runs.
+machine-local temporary folder is used only when the session names none and
+runs in one process (``local`` masters); any other session must name one.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,9 +69,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for scratch tables and checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or an already-set
-    SparkContext checkpoint dir).  When neither is set - local runs and
-    tests - a fresh local folder is created once per session and registered
-    as the checkpoint dir, so ``DataFrame.checkpoint()`` works too."""
+    SparkContext checkpoint dir).  When neither is set and the master is
+    ``local``, a fresh local folder is created once per session and
+    registered as the checkpoint dir, so ``DataFrame.checkpoint()`` works
+    too.  On any other master that is an error: executors would write to
+    their own disks."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
@@ -81,9 +84,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         return conf_dir.rstrip("/")
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master!r})")
     key = id(sc if sc is not None else spark)
     if key not in _FALLBACK_ROOT:
-        # local/test fallback only: the session names no shared folder
+        # all in one process: a local folder is shared
         root = tempfile.mkdtemp(prefix="tablewright-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -107,6 +113,29 @@ def local_path(path: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, whatever store it is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; none if there is no such directory."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file; fails if it exists, so of two writers one wins."""
+    fs, p = _file_system(spark, path)
+    fs.create(p, False).close()
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return max(1, int(spark.sparkContext.defaultParallelism))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.casts import cast_by_type
+from ..session import default_parallelism
 from ..sources.files import parse_delimited, scan_text_records
 from ..util import as_list, qcol
 
@@ -106,14 +107,29 @@ def cluster_write(df: DataFrame, cols, path: str, files: int, mode: str = "overw
     return path
 
 
-def compact(spark: SparkSession, path: str, out_path: str, target_files: int, cluster_cols=None) -> str:
-    """Rewrite many small files into ``target_files`` files in a new
-    directory (OPTIMIZE).  With ``cluster_cols`` the clustered order is
-    kept; otherwise files are merged without a shuffle (coalesce)."""
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the data files under ``path``, from the file listing."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")))
+    return int(files.first()["b"])
+
+
+def compact(spark: SparkSession, path: str, out_path: str, target_files: int | None = None, cluster_cols=None,
+            file_bytes: int = 512 * 1024 * 1024) -> str:
+    """Rewrite many small files into few in a new directory (OPTIMIZE):
+    ``target_files``, or as many as files of ``file_bytes`` give.  With
+    ``cluster_cols`` the clustered order is kept.  Otherwise files are merged
+    without a shuffle (coalesce) where that leaves every core with work, and
+    by a round-robin shuffle where coalescing would also read in too few
+    tasks."""
     df = spark.read.parquet(path)
+    if target_files is None:
+        target_files = max(1, -(-stored_bytes(spark, path) // file_bytes))
     if cluster_cols:
         return cluster_write(df, cluster_cols, out_path, target_files)
-    df.coalesce(target_files).write.mode("overwrite").parquet(out_path)
+    few = target_files < default_parallelism(spark)
+    merged = df.repartition(target_files) if few else df.coalesce(target_files)
+    merged.write.mode("overwrite").parquet(out_path)
     return out_path
 
 
@@ -125,7 +141,7 @@ def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
                    F.max(qcol(col)).alias("max_v")))
 
 
-def load_delimited(spark: SparkSession, path, target: str, sep: str, skip_pattern: str | None = "cat%",
+def load_delimited(spark: SparkSession, path, target: str, sep: str, skip_pattern: str | None = None,
                    mode: str = "overwrite", record_sep: str = "\n") -> None:
     """Load delimited text into an existing table (name or path) the way a
     positional INSERT of typed columns does: records -> fields -> the

@@ -5,9 +5,12 @@ each micro-batch.  Last-writer-wins by (sequence, tiebreak) is associative,
 commutative and idempotent, so:
 
 * micro-batch ``i`` is reduced to its newest row per key and written to
-  ``<log>/v=<i>`` with overwrite - a retried batch replaces its own
-  directory and nothing else, which makes the sink idempotent under
-  Structured Streaming's at-least-once batch replay;
+  ``<log>/__log_version=<i>/__log_run=<run>`` with overwrite - a retried batch
+  replaces its own directory and nothing else, which makes the sink idempotent
+  under Structured Streaming's at-least-once batch replay.  The run is the id
+  that Structured Streaming keeps in the checkpoint, so several streams, or one
+  started over with a fresh checkpoint, add to a log and never overwrite each
+  other's versions;
 * deletes stay in the log as ordinary rows (tombstones), so a late older
   upsert cannot revive a deleted key;
 * the current table is the newest row per key over base + log, minus
@@ -18,6 +21,8 @@ Per batch the cost is O(batch); readers pay the fold.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +30,47 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators import cdc, quality
+from ..operators.reconcile import union_all
+from ..session import path_exists
 from ..sources.files import rescue_unexpected
-from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list
+from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, qcol
 
-VERSION_COL = "v"
+# Reserved names: the partition columns of a log.  A table may not use them.
+VERSION_COL = "__log_version"
+RUN_COL = "__log_run"
 SOURCE_FILE_COL = "_source_file"
 
 
+def _check_reserved(columns) -> None:
+    taken = {VERSION_COL, RUN_COL} & set(columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are reserved for change logs")
+
+
+def version_path(log_path: str, version: int, run: str) -> str:
+    return f"{log_path}/{VERSION_COL}={version}/{RUN_COL}={run}"
+
+
+def _run_of(batch: DataFrame) -> str:
+    """The id of the streaming query that runs this batch: kept in its
+    checkpoint over restarts, new with a fresh checkpoint."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise RuntimeError("not inside a streaming batch")
+    return run
+
+
+def write_version(rows: DataFrame, log_path: str, version: int, run: str, replace: bool = True) -> str:
+    """Write one version of a log.  ``replace`` is for retries by the same
+    run; without it a complete version is left alone and the write fails."""
+    _check_reserved(rows.columns)
+    path = version_path(log_path, version, run)
+    if not replace and path_exists(rows.sparkSession, f"{path}/_SUCCESS"):
+        raise FileExistsError(f"log version {version} of run {run} is already written")
+    rows.write.mode("overwrite").parquet(path)
+    return path
+
+
 def stream_files(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None,
                  with_source: bool = False, expected: StructType | None = None) -> DataFrame:
     """Incremental, exactly-once discovery of parquet files under ``path``
@@ -77,8 +116,10 @@ def stream_apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys
     ``expectations`` ({name: SQL rule}) fail the running query on the first
     row that breaks a rule, before anything of that batch is written.
     ``after_batch(batch_id)`` runs after a batch's log version is written
-    (metrics, notifications)."""
+    (metrics, notifications).  To hold the arriving files' own schemas against
+    the target's, use ``stream_apply_drops``."""
     keys = as_list(keys)
+    _check_reserved(stream.columns)
     if target_schema is not None:
         quality.schema_gate(stream, target_schema, ignore=ignore, ordered=True)
     if expectations:
@@ -86,7 +127,7 @@ def stream_apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         folded = cdc.fold_changes(batch, keys, sequence_by, apply_as_deletes, tiebreak)
-        folded.write.mode("overwrite").parquet(f"{log_path}/{VERSION_COL}={batch_id}")
+        write_version(folded, log_path, batch_id, _run_of(batch))
         if after_batch is not None:
             after_batch(batch_id)
 
@@ -98,15 +139,89 @@ def stream_apply_changes(stream: DataFrame, log_path: str, checkpoint: str, keys
     return q
 
 
+def stream_drops(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The names of parquet files as they arrive under ``path`` (a glob of
+    files): one row (``path``) each, whatever their schemas; no content is read."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.load(path).select("path")
+
+
+def read_drops(spark: SparkSession, paths, expected: StructType, on_unexpected: str = "rescue",
+               rescue_col: str = "_rescued_data") -> DataFrame:
+    """Files of possibly different schemas in the ``expected`` one.  Files that
+    agree are read together.  ``fail`` stops on columns that are not the
+    expected ones (``quality.schema_gate``); ``rescue`` keeps what does not fit
+    as JSON in ``rescue_col``."""
+    if on_unexpected not in ("rescue", "fail"):
+        raise ValueError("on_unexpected must be 'rescue' or 'fail'")
+    alike: dict[str, list[str]] = {}
+    for p in paths:  # footers only
+        alike.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    out = []
+    for schema, own in sorted(alike.items()):
+        df = spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*own)
+        if on_unexpected == "fail":
+            out.append(quality.schema_gate(df, expected, ordered=False).select(*[qcol(n) for n in expected.names]))
+        else:
+            out.append(rescue_unexpected(df, expected, rescue_col))
+    if not out:
+        empty = spark.createDataFrame([], expected)
+        return rescue_unexpected(empty, expected, rescue_col) if on_unexpected == "rescue" else empty
+    return union_all(*out)
+
+
+def _each_batch(spark: SparkSession, path: str, checkpoint: str, expected: StructType, on_unexpected: str,
+                max_files: int | None, wait: bool, handle) -> StreamingQuery:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        names = [r["path"] for r in batch.collect()]  # at most the files of one trigger
+        handle(read_drops(batch.sparkSession, sorted(names), expected, on_unexpected), batch_id, _run_of(batch))
+
+    q = (stream_drops(spark, path, max_files).writeStream.foreachBatch(run)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    if wait:
+        q.awaitTermination()
+    return q
+
+
+def stream_land_drops(spark: SparkSession, path: str, out_path: str, checkpoint: str, expected: StructType,
+                      on_unexpected: str = "rescue", max_files: int | None = 1000, wait: bool = True) -> StreamingQuery:
+    """Land parquet files as they arrive, each read by its own schema and
+    fitted to the ``expected`` one; read the result with ``read_log``."""
+    return _each_batch(spark, path, checkpoint, expected, on_unexpected, max_files, wait,
+                       lambda rows, i, run: write_version(rows, out_path, i, run))
+
+
+def stream_apply_drops(spark: SparkSession, path: str, log_path: str, checkpoint: str, expected: StructType, keys,
+                       sequence_by, apply_as_deletes=None, tiebreak=None, on_unexpected: str = "fail",
+                       expectations: dict | None = None, max_files: int | None = 1000, wait: bool = True) -> StreamingQuery:
+    """``stream_apply_changes`` over files whose schemas are not known before
+    they arrive.  Each batch's files are held against ``expected`` before
+    anything of the batch is written: a file with other columns stops the
+    stream (``fail``) or its surplus is rescued."""
+    keys = as_list(keys)
+
+    def handle(rows: DataFrame, batch_id: int, run: str) -> None:
+        if expectations:
+            rows = quality.expect_all_or_fail(rows, expectations)
+        write_version(cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak), log_path, batch_id, run)
+
+    return _each_batch(spark, path, checkpoint, expected, on_unexpected, max_files, wait, handle)
+
+
 def read_log(spark: SparkSession, log_path: str, schema: StructType | None = None,
              min_version: int | None = None) -> DataFrame:
-    """All log versions (the version column removed).  ``min_version``
-    prunes older version directories at planning time (partition pruning
-    on ``v``).  A log with no version yet reads as an empty table when
-    ``schema`` is given."""
-    reader = spark.read
+    """All log versions of all runs (the partition columns removed).
+    ``min_version`` prunes older version directories at planning time.
+    Without a ``schema``, the versions' schemas are merged: a column that only
+    some have is NULL in the others.  A log with no version yet reads as an
+    empty table when ``schema`` is given."""
+    reader = spark.read.option("mergeSchema", "true")
     if schema is not None:
-        reader = reader.schema(StructType(list(schema.fields) + [StructField(VERSION_COL, LongType())]))
+        _check_reserved(schema.names)
+        reader = spark.read.schema(StructType([*schema.fields, StructField(VERSION_COL, LongType()),
+                                               StructField(RUN_COL, StringType())]))
     try:
         df = reader.parquet(log_path)
     except AnalysisException:
@@ -115,7 +230,7 @@ def read_log(spark: SparkSession, log_path: str, schema: StructType | None = Non
         return spark.createDataFrame([], schema)
     if min_version is not None:
         df = df.where(F.col(VERSION_COL) >= min_version)
-    return df.drop(VERSION_COL)
+    return df.drop(VERSION_COL, RUN_COL)
 
 
 def current_state(spark: SparkSession, log_path: str, keys, sequence_by, apply_as_deletes=None,
@@ -165,16 +280,15 @@ def snapshot_to_log(spark: SparkSession, log_path: str, previous: DataFrame | No
     ``previous`` (None for the first snapshot) and ``snapshot`` to the change
     log as version ``version`` (I/U rows carry the new values, D rows are
     tombstones).  Only changed keys are written; read the table with
-    ``snapshot_state``."""
+    ``snapshot_state``.  A key that occurs twice in a snapshot fails the job,
+    and so does a version that is already complete."""
     if previous is None:
-        rows = snapshot.withColumn("_change", F.lit("I"))
+        rows = cdc.unique_by_key(snapshot, keys).withColumn("_change", F.lit("I"))
     else:
         rows = cdc.snapshot_diff(previous, snapshot, keys, change_col="_change")
     out = (rows.withColumn(SNAPSHOT_SEQ, F.lit(version).cast("long"))
                .withColumnRenamed("_change", SNAPSHOT_OP))
-    path = f"{log_path}/{VERSION_COL}={version}"
-    out.write.mode("overwrite").parquet(path)
-    return path
+    return write_version(out, log_path, version, "snapshot", replace=False)
 
 
 def snapshot_state(spark: SparkSession, log_path: str, keys, base: DataFrame | None = None,

@@ -212,7 +212,7 @@ def test_snapshot_scenarios_through_the_log(spark):
     log = scratch_path(spark, "t-snap-log")
     stream.snapshot_to_log(spark, log, None, b0, "sk", 1)
     stream.snapshot_to_log(spark, log, b0, b1, "sk", 2)
-    v2 = spark.read.parquet(f"{log}/v=2")
+    v2 = spark.read.parquet(f"{log}/__log_version=2/__log_run=snapshot")
     assert sorted((r.sk, r[stream.SNAPSHOT_OP]) for r in v2.collect()) == [(1, "U"), (2, "D"), (3, "U"), (5, "I")]
     state = stream.snapshot_state(spark, log, "sk")
     assert state.columns == b1.columns

@@ -166,8 +166,8 @@ def test_current_state_of_an_empty_log_and_since_version(spark, sf_small):
     empty = stream.current_state(spark, scratch_path(spark, "t-nolog"), KEYS, SEQ, DEL, schema=ev.schema)
     assert empty.count() == 0 and empty.columns == ev.columns
     log = scratch_path(spark, "t-log6")
-    ev.where("event_id % 2 = 0").write.parquet(f"{log}/v=0")
-    ev.where("event_id % 2 = 1").write.parquet(f"{log}/v=1")
+    stream.write_version(ev.where("event_id % 2 = 0"), log, 0, "t")
+    stream.write_version(ev.where("event_id % 2 = 1"), log, 1, "t")
     base = spark.read.parquet(stream.compact_log(spark, log, scratch_path(spark, "t-base6"), KEYS, SEQ, DEL))
     state = stream.current_state(spark, log, KEYS, SEQ, DEL, base=base, since_version=2)
     assert _rows(state) == _rows(cdc.apply_changes(ev, KEYS, SEQ, DEL))
@@ -247,10 +247,10 @@ def test_stream_rescues_unexpected_columns(spark, sf_small):
 def test_current_state_with_base_touches_only_logged_keys(spark, sf_small):
     ev = spark.read.parquet(f"{sf_small}/events.parquet")
     old_log = scratch_path(spark, "t-base-log")
-    ev.where("event_id % 3 <> 0").write.parquet(f"{old_log}/v=0")
+    stream.write_version(ev.where("event_id % 3 <> 0"), old_log, 0, "t")
     base = spark.read.parquet(stream.compact_log(spark, old_log, scratch_path(spark, "t-base7"), KEYS, SEQ, DEL))
     log = scratch_path(spark, "t-new-log")
-    ev.where("event_id % 3 = 0 AND user_id % 4 = 0").write.parquet(f"{log}/v=1")
+    stream.write_version(ev.where("event_id % 3 = 0 AND user_id % 4 = 0"), log, 1, "t")
     expected = cdc.apply_changes(ev.where("event_id % 3 <> 0 OR user_id % 4 = 0"), KEYS, SEQ, DEL)
     fast = stream.current_state(spark, log, KEYS, SEQ, DEL, base=base, since_version=1)
     full = stream.current_state(spark, log, KEYS, SEQ, DEL, base=base, since_version=1, broadcast_rows=0)
