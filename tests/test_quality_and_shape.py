@@ -72,8 +72,9 @@ def test_parse_delimited_and_headers(spark, tmp_path):
     p = tmp_path / "t.txt"
     p.write_text("CAT header^Aa^Ab^A\n1^Ax^A\n\ncat again\n2^Ay^Az^A\n3\n")
     lines = src.scan_text_records(spark, str(p))
-    out = src.parse_delimited(lines, "^A", ["k", "v"])
-    assert sorted(tuple(r) for r in out.collect()) == [("1", "x"), ("2", "y"), ("3", None)]
+    out = src.parse_delimited(lines, "^A", ["k", "v"], skip_pattern="cat%", rescue_col="more")
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == ["('1', 'x', None)", "('2', 'y', 'z^A')", "('3', None, None)"]
+    assert src.parse_delimited(lines.where("value LIKE 'cat%'"), "^A", ["k", "v"]).first().k == "cat again"
 
 
 def test_text_records_custom_separator(spark, tmp_path):
