@@ -56,8 +56,7 @@ def q_apply_snapshot_log(spark, sf):
     old, new = fx.orders_old(o), fx.orders_new(o)
     log = scratch_path(spark, "orders-snapshot-log")
     stream.snapshot_to_log(spark, log, None, old, "o_orderkey", 1)
-    stream.snapshot_to_log(spark, log, spark.read.parquet(f"{log}/v=1").drop(
-        stream.SNAPSHOT_SEQ, stream.SNAPSHOT_OP), new, "o_orderkey", 2)
+    stream.snapshot_to_log(spark, log, stream.snapshot_state(spark, log, "o_orderkey"), new, "o_orderkey", 2)
     return stream.snapshot_state(spark, log, "o_orderkey")
 
 
