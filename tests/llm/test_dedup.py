@@ -149,11 +149,12 @@ def near_texts(rng, n=160):
     return texts + ["", "   ", "one", "one", "ONE", None]
 
 
-@pytest.mark.parametrize("unit_docs", [4, 30, 2048])
-def test_jaccard_against_brute_force(spark, unit_docs):
+@pytest.mark.parametrize("unit_docs,bucket", [(4, 3), (30, 1), (2048, 2048)])
+def test_jaccard_against_brute_force(spark, unit_docs, bucket):
+    """Also with buckets and units so small that clusters are connected outright and dealt over tasks."""
     texts = near_texts(random.Random(unit_docs))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
-           jaccard_join.linked_components(docs_of(spark, texts), counters=1 << 12, unit_docs=unit_docs).collect()}
+           jaccard_join.linked_components(docs_of(spark, texts), counters=1 << 12, bucket=bucket, unit_docs=unit_docs).collect()}
     assert [got[i] for i in range(len(texts))] == brute_components(texts)
 
 
@@ -183,6 +184,23 @@ def test_trees_lose_no_link(seed):
     assert found(jaccard_join.links(sets[:h], sets[h:], list(range(n)))) == plain([(i, j) for i in range(h) for j in range(h, n)])
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_bitmaps_refuse_no_link(seed):
+    rng = random.Random(seed)
+    known = jaccard_join._Words()
+    sets = [jaccard_join.shingle_set(t.encode(), known) for t in near_texts(rng, 64) if t and t.strip()]
+    bitmaps = [np.frombuffer(jaccard_join.signature(s), np.uint64) for s in sets]
+    sizes = [len(s) for s in sets]
+    forest = components.Forest()
+    for i, j in jaccard_join.may_link(sizes, bitmaps):
+        forest.join(i, j)
+    for i in range(len(sets)):
+        for j in range(i):
+            if jaccard_join._linked(sets[i], sets[j], (4, 5)):
+                assert forest.find(i) == forest.find(j)
+                assert jaccard_join.may_link([sizes[i], sizes[j]], [bitmaps[i], bitmaps[j]]) == [(0, 1)]
+
+
 def test_jaccard_awkward_rows(spark):
     got = jaccard_join.linked_components(table(spark), counters=1 << 12).collect()
     assert len(got) == len(ROWS)
