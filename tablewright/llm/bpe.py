@@ -8,6 +8,8 @@ encoded before, and two ways of encoding a pre-token.
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -43,6 +45,31 @@ def load_json(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return vocab, special
 
 
+def is_plain_byte_level(path: str) -> bool:
+    """Whether a tokenizers file is byte-level BPE without normalising, whose
+    single bytes come first and whose merges stand in the order of the ids of
+    what they make."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    if (spec.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or model.get("type") != "BPE"
+            or any(model.get(k) for k in ("dropout", "ignore_merges", "end_of_word_suffix", "continuing_subword_prefix"))):
+        return False
+    made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    single = [model["vocab"][c] for c in byte_alphabet() if c in model["vocab"]]
+    return len(single) == 256 and all(x < y for x, y in zip([max(single), *made], made, strict=False))
+
+
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
+
+
 def byte_alphabet() -> dict[str, int]:
     """The characters that byte-level vocabularies write for the 256 bytes:
     printable Latin-1 stands for itself, the others count up from 256."""

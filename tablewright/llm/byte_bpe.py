@@ -14,23 +14,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tablewright.llm.bpe import RankQueue, Remembered, load_ranks
+from tablewright.llm.bpe import RankQueue, Remembered, load_ranks, packed_ids
 from tablewright.llm.common import steps, texts_of
 
 
+#: Strings whose ids a worker keeps, and as many stretches of text: encoding costs far more than looking up.
+WORDS_KEPT = 1_000_000
+
+
 class Codec:
     """Text to ids and ids to bytes, by the ranks in a file."""
 
     def __init__(self, path: str, pattern: str):
         ranks = load_ranks(path)
         self.queue = RankQueue(ranks)
-        self.memory = Remembered(pattern, self._packed, b"".join)
+        self.memory = Remembered(pattern, self._packed, b"".join, limit=WORDS_KEPT)
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
 
     def _packed(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(self.queue.encode(p.encode()), "<u4").tobytes() for p in pieces]
+        return [packed_ids(self.queue.encode(p.encode())) for p in pieces]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

@@ -117,6 +117,19 @@ def test_encode_and_decode_documents(spark, tik):
     assert byte_bpe.encode_documents(table(spark, []), RANKS, P.PATTERN).count() == 0
 
 
+def test_packed_ids_equal_the_library(library, sf_small):
+    import pyarrow.parquet as pq
+    other = P.path("word_bpe_49k.json")
+    assert bpe.is_plain_byte_level(JSON) and not bpe.is_plain_byte_level(other)
+    texts = odd_texts(1500) + [t or "" for t in pq.read_table(f"{sf_small}/documents.parquet")["text"].to_pylist()]
+    own = packing.Tokens(JSON, P.PATTERN)
+    for t, packed in zip(texts, own.encode(texts)):
+        assert np.frombuffer(packed, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    whole, own = Tokenizer.from_file(other), packing.Tokens(other, P.PATTERN)
+    for t, packed in zip(texts[:300], own.encode(texts[:300])):
+        assert np.frombuffer(packed, "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, t
+
+
 def check_packing(rows, documents, library, window=2048):
     """The rows hold every id of every document once, in sequences without gaps."""
     ids = {}
