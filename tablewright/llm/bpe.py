@@ -220,11 +220,16 @@ class Remembered:
     is not empty and neither starts nor ends with white space is split by the
     pattern as it would be in its text, with the space before it.  So values
     are remembered by stretch, and the pattern runs only over new ones.  A
-    text in which white space meets a space goes through the pattern whole."""
+    text in which white space meets a space goes through the pattern whole.
+    With ``of_texts``, an encoder that splits by the pattern itself, new
+    stretches go straight there."""
 
-    def __init__(self, pattern: str, of_pieces: Callable[[list[str]], list], combine: Callable, limit: int = REMEMBERED):
+    def __init__(self, pattern: str, of_pieces: Callable[[list[str]], list] | None, combine: Callable,
+                 limit: int = REMEMBERED, of_texts: Callable[[list[str]], list] | None = None):
         self.pattern = regex.compile(pattern)
         self.of_pieces, self.combine, self.limit = of_pieces, combine, limit
+        if of_texts is not None:
+            self._plain = of_texts
         self.pieces: dict[str, object] = {}
         self.stretches: dict[str, object] = {}
 

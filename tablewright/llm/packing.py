@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.bpe import Remembered, is_plain_byte_level, load_json, packed_ids
 from tablewright.llm.common import steps, texts_of, written
 
+#: Stretches of text whose ids a worker keeps.
+WORDS_KEPT = 1_000_000
 #: Rounds of the least-squares solver.
 ROUNDS = 300
 
@@ -35,8 +37,8 @@ ROUNDS = 300
 class Tokens:
     """Ids of whole texts as the tokenizers library gives them.
 
-    For a plain byte-level file each pre-token is encoded once for as long as
-    it is remembered.  There merging by lowest id is merging by rank, and
+    For a plain byte-level file each stretch between spaces is encoded once for
+    as long as it is remembered.  There merging by lowest id is merging by rank, and
     tiktoken's encoder, given the file's own tokens and ids, does it in a
     fraction of the time (tests hold the two against each other).  For any
     other file whole texts go through the library."""
@@ -53,11 +55,11 @@ class Tokens:
 
         vocab, self.special = load_json(path)
         self.own = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=vocab, special_tokens={})
-        self.memory = Remembered(pattern, self._packed, b"".join)
+        self.memory = Remembered(pattern, None, b"".join, limit=WORDS_KEPT, of_texts=self._packed)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
-    def _packed(self, pieces: list[str]) -> list[bytes]:
-        return [packed_ids(self.own.encode_ordinary(p)) for p in pieces]
+    def _packed(self, texts: list[str]) -> list[bytes]:
+        return [packed_ids(self.own.encode_ordinary(t)) for t in texts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.library is not None:
