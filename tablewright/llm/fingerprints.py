@@ -70,8 +70,8 @@ def as_text(a: Column) -> Column:
 def edited_fingerprints(docs: DataFrame, k: int = K, words: int = WORDS,
                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next, and estimates n_shingles and
-    in_edited (containment in the edited text).
+    edited_fingerprint, near_edited, near_next, the estimates n_shingles and
+    in_edited (containment in the edited text), and next_doc_id.
 
     The edited text is the text with its last floor(n_chars / 2) characters
     replaced by as many from the start of the next document's text (or all of
@@ -82,24 +82,26 @@ def edited_fingerprints(docs: DataFrame, k: int = K, words: int = WORDS,
 
     Each text moves once, to where its row of the order is, and from there the
     stretch that the document before it needs."""
-    base = texts_of(docs, id_col, text_col).withColumn("sha", F.sha2("text", 256))
-    own = base.select("doc_id", "sha", F.char_length("text").alias("n")).distinct()
+    # a document is its id and 128 bits of its text's hash: one key that is never null, so that joins and the
+    # aggregate below share a partitioning, and binary, as random hex does not compress
+    base = (texts_of(docs, id_col, text_col).withColumn("sha", F.expr("substring(unhex(sha2(text, 256)), 1, 16)"))
+            .withColumn("key", F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), F.lit("/").cast("binary"), "sha")))
+    own = base.select("key", "doc_id", "sha", F.char_length("text").alias("n")).distinct()
     placed = positions(own, F.col("doc_id").desc_nulls_last(), F.col("sha"))
     total = placed.count()
-    follows = placed.select(F.pmod(F.col("position") - 1, F.lit(max(total, 1))).alias("position"),
-                            F.col("doc_id").alias("next_id"), F.col("sha").alias("next_sha"))
-    wanted = placed.join(follows, "position").select(
-        "next_id", "next_sha", F.col("doc_id").alias("to_id"), F.col("sha").alias("to_sha"), F.expr("n div 2").cast("int").alias("half"))
+    follows = placed.select(F.pmod(F.col("position") - 1, F.lit(max(total, 1))).alias("position"), F.col("key").alias("next_key"))
+    wanted = placed.join(follows, "position").select("next_key", F.col("key").alias("to_key"), F.expr("n div 2").cast("int").alias("half"))
+    texts = base.select("key", "doc_id", "text")  # both joins below use all three, so one shuffle serves both
     # rows repeated whole give the same stretch; one of them is enough
-    given = (base.join(wanted, base["doc_id"].eqNullSafe(wanted["next_id"]) & (base["sha"] == wanted["next_sha"]))
-             .select("to_id", "to_sha", "half", F.expr("substring(text, 1, half)").alias("stretch"), sketch(F.col("text"), k, words).alias("next_sketch")))
-    once = given.groupBy("to_id", "to_sha").agg(*[F.first(c).alias(c) for c in ("half", "stretch", "next_sketch")])
-    both = base.join(once, base["doc_id"].eqNullSafe(once["to_id"]) & (base["sha"] == once["to_sha"]))
+    given = (texts.join(wanted, F.col("key") == F.col("next_key"))
+             .select("to_key", "half", F.col("doc_id").alias("next_doc_id"), F.expr("substring(text, 1, half)").alias("stretch"), sketch(F.col("text"), k, words).alias("next_sketch")))
+    once = given.groupBy("to_key").agg(*[F.first(c).alias(c) for c in ("half", "next_doc_id", "stretch", "next_sketch")])
+    both = texts.join(once, F.col("key") == F.col("to_key"))
     both = both.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), sketch(F.col("text"), k, words).alias("a"),
-                       F.expr("concat(substring(text, 1, char_length(text) - half), stretch)").alias("edited"), "next_sketch")
-    sketched = both.select("doc_id", "n_chars", "a", F.sha2("edited", 256).alias("edited_sha256"),
+                       F.expr("concat(substring(text, 1, char_length(text) - half), stretch)").alias("edited"), "next_sketch", "next_doc_id")
+    sketched = both.select("doc_id", "n_chars", "a", "next_doc_id", F.sha2("edited", 256).alias("edited_sha256"),
                            sketch(F.col("edited"), k, words).alias("b"), "next_sketch")
     return sketched.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("a")).alias("fingerprint"), as_text(F.col("b")).alias("edited_fingerprint"),
         resemblance(F.col("a"), F.col("b"), k).alias("near_edited"), resemblance(F.col("a"), F.col("next_sketch"), k).alias("near_next"),
-        distinct_shingles(F.col("a"), k).alias("n_shingles"), containment(F.col("a"), F.col("b"), k).alias("in_edited"))
+        distinct_shingles(F.col("a"), k).alias("n_shingles"), containment(F.col("a"), F.col("b"), k).alias("in_edited"), "next_doc_id")
