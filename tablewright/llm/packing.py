@@ -29,7 +29,7 @@ from tablewright.llm.bpe import Remembered, is_plain_byte_level, load_json, pack
 from tablewright.llm.common import steps, texts_of, written
 
 #: Stretches of text whose ids a worker keeps.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 400_000
 #: Rounds of the least-squares solver.
 ROUNDS = 300
 
