@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import beside_group, raw, steps, texts_of, written
 from tablewright.llm.exact_dedup import WIDTHS, chunk_key, verified_width
 
-#: Lines of a chunk: least, most, and one boundary in so many lines past the least.
+#: Lines of a chunk that are not blank: least, most, and one boundary in so many past the least.
 MIN_LINES, MAX_LINES, USUAL = 2, 32, 2
-#: The rolling hash sees this many lines.
+#: The rolling hash sees this many lines that are not blank.
 WINDOW = 2
 _FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _DROP = pow(_FACTOR, WINDOW, 1 << 64)
@@ -30,17 +30,21 @@ _DROP = pow(_FACTOR, WINDOW, 1 << 64)
 
 def line_chunks(lines: list[bytes]) -> list[tuple[int, int]]:
     """(first line, end) of the chunks, in order.  A chunk ends at the first
-    content boundary once it has MIN_LINES lines, else at MAX_LINES."""
-    hashes = [xxhash.xxh3_64_intdigest(x) for x in lines]
-    out, start, rolling = [], 0, 0
-    for i, h in enumerate(hashes):
+    content boundary once it has MIN_LINES lines, else at MAX_LINES.  Blank
+    lines do not count and are not hashed: they go with the line before them
+    (at a text's start, with the first line)."""
+    kept = [i for i, x in enumerate(lines) if x.strip()]
+    hashes = [xxhash.xxh3_64_intdigest(lines[i]) for i in kept]
+    out, start, size, rolling = [], 0, 0, 0
+    for n, h in enumerate(hashes):
         rolling = (rolling * _FACTOR + h) & _MASK
-        if i >= WINDOW:
-            rolling = (rolling - hashes[i - WINDOW] * _DROP) & _MASK
-        size = i + 1 - start
+        if n >= WINDOW:
+            rolling = (rolling - hashes[n - WINDOW] * _DROP) & _MASK
+        size += 1
         if size >= MAX_LINES or size >= MIN_LINES and (rolling * _FACTOR & _MASK) >> 40 & (USUAL - 1) == 0:
-            out.append((start, i + 1))
-            start = i + 1
+            end = kept[n + 1] if n + 1 < len(kept) else len(lines)
+            out.append((start, end))
+            start, size = end, 0
     if start < len(lines):
         out.append((start, len(lines)))
     return out

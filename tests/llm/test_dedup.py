@@ -100,6 +100,22 @@ def test_lines_against_brute_force(spark):
     assert by_text[14]["removed_lines"] >= 6  # the passage, bar its edges
 
 
+def test_blank_lines_inside_a_passage(spark):
+    """Paragraphs with blank lines between them are found as lines without are."""
+    def lines_of(k, between):
+        passage = between.join(f"paragraph {i} of the shared passage" for i in range(100))
+        return "\n".join([f"own {k} {j}" for j in range(k + 1)]) + "\n" + passage + f"\nend {k}"
+
+    for between in ("\n", "\n\n", "\n \n\n"):
+        docs = docs_of(spark, [lines_of(k, between) for k in range(2)])
+        second = {r["doc_id"]: r for r in line_dedup.remove_repeated_chunks(docs).collect()}[1]
+        left = sum("paragraph" in x for x in second["text"].split("\n"))
+        assert left <= 10, (between, left)  # the edges only
+    chunks = line_dedup.line_chunks(lines_of(0, "\n\n").encode().split(b"\n"))
+    assert [b for _, b in chunks[:-1]] == [a for a, _ in chunks[1:]] and chunks[0][0] == 0
+    assert all(line_dedup.removable(lines_of(0, "\n\n").encode().split(b"\n")[a:b]) for a, b in chunks[:-1])
+
+
 def test_forest_and_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 640)] + [(900, i) for i in range(700, 880)]
