@@ -5,12 +5,17 @@ lines ends, so a passage put into different documents falls into the same
 chunks wherever it stands, but for its edges.  A chunk of several lines that
 occurs more than once in the corpus is removed everywhere but where it comes
 first.  Chunks go by keys that a byte comparison of all distinct chunks has
-proven to be one-to-one."""
+proven to be one-to-one.
+
+Whole chunks miss a passage's edges, and most passages of three or four lines
+altogether.  ``remove_repeated_passages`` looks at every pair of neighbouring
+lines instead, and misses no repeated passage of two lines or more."""
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 import xxhash
@@ -22,8 +27,8 @@ from tablewright.llm.exact_dedup import WIDTHS, chunk_key, verified_width
 
 #: Lines of a chunk that are not blank: least, most, and one boundary in so many past the least.
 MIN_LINES, MAX_LINES, USUAL = 2, 32, 2
-#: The rolling hash sees this many lines that are not blank.
-WINDOW = 2
+#: The rolling hash sees this many lines that are not blank: the fewer, the sooner two documents fall into step.
+WINDOW = 1
 _FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _DROP = pow(_FACTOR, WINDOW, 1 << 64)
 
@@ -55,43 +60,58 @@ def removable(lines: list[bytes]) -> bool:
     return sum(bool(x.strip()) for x in lines) >= 2
 
 
+def line_spans(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first line, end) for each line that is not blank, with the blank lines
+    after it; the first one has those before it too."""
+    starts = [i for i, x in enumerate(lines) if x.strip()]
+    return list(zip([0, *starts[1:]], [*starts[1:], len(lines)], strict=False)) if starts else []
+
+
+def _chunks_of(lines: list[bytes]) -> list[tuple[int, bytes]]:
+    return [(a, b"\n".join(lines[a:b])) for a, b in line_chunks(lines) if removable(lines[a:b])]
+
+
+def _lines_of(lines: list[bytes]) -> list[tuple[int, bytes]]:
+    return list(enumerate(x for x in lines if x.strip()))
+
+
 def _texts(batches: Iterator[pa.RecordBatch]):
     for part in steps(batches):
         mv, at = raw(part.column(part.schema.get_field_index("text")))
         yield part, [bytes(mv[a:b]) for a, b in zip(at, at[1:], strict=False)]
 
 
-def _chunk_rows(width: int, seed: int):
+def _chunk_rows(width: int, seed: int, of=_chunks_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = chunk_key(width, seed)
         for _, texts in _texts(batches):
             found: dict[bytes, bytes] = {}
             keys, chunks = [], []
             for text in texts:
-                lines = text.split(b"\n")
-                for a, b in line_chunks(lines):
-                    if removable(lines[a:b]):
-                        c = b"\n".join(lines[a:b])
-                        k = key(c)
-                        if found.setdefault(k, c) is c or found[k] != c:
-                            keys.append(k)
-                            chunks.append(c)
+                for _, c in of(text.split(b"\n")):
+                    k = key(c)
+                    if found.setdefault(k, c) is c or found[k] != c:
+                        keys.append(k)
+                        chunks.append(c)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(chunks, pa.binary())], ["key", "chunk"])
     return run
 
 
-def _places(width: int, seed: int):
+def _places(width: int, seed: int, of=_chunks_of, pairs: bool = False):
+    """Where each chunk stands, or with ``pairs`` each pair of neighbouring ones (by the two keys, of one width)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = chunk_key(width, seed)
         for part, texts in _texts(batches):
             ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
             cols: tuple[list, ...] = ([], [], [], [])
             for doc_id, text in zip(ids, texts, strict=True):
-                lines, sha = text.split(b"\n"), hashlib.sha256(text).digest()
-                for a, b in line_chunks(lines):
-                    if removable(lines[a:b]):
-                        for c, x in zip(cols, (doc_id, sha, a, key(b"\n".join(lines[a:b]))), strict=True):
-                            c.append(x)
+                sha = hashlib.sha256(text).digest()
+                places = [(a, key(c)) for a, c in of(text.split(b"\n"))]
+                if pairs:
+                    places = [(a, k + after) for (a, k), (_, after) in zip(places, places[1:], strict=False)]
+                for a, k in places:
+                    for c, x in zip(cols, (doc_id, sha, a, k), strict=True):
+                        c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int32(), pa.binary()), strict=True)],
                                              ["doc_id", "sha", "line", "key"])
     return run
@@ -133,3 +153,45 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
     keyed = rows.withColumn("sha", F.unhex(F.sha2("text", 256)))
     marked = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["gone_id"]) & (keyed["sha"] == gone["gone_sha"]), "left")
     return marked.select("doc_id", "text", "gone").mapInArrow(_rebuilt, "doc_id long, n_lines long, removed_lines long, text string")
+
+
+def _without_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, texts in _texts(batches):
+        ids = part.column(part.schema.get_field_index("doc_id"))
+        gone, kept = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("gone", "kept"))
+        counts, removed, clean = [], [], []
+        for text, drop, hold in zip(texts, gone, kept, strict=True):
+            lines = text.split(b"\n")
+            stay = lines
+            if drop:
+                out = {n + k for n in drop for k in (0, 1)} - {n + k for n in hold or () for k in (0, 1)}
+                stay = [x for n, (a, b) in enumerate(line_spans(lines)) if n not in out for x in lines[a:b]]
+            counts.append(len(lines))
+            removed.append(len(lines) - len(stay))
+            clean.append(b"\n".join(stay).decode())
+        yield pa.RecordBatch.from_arrays([ids, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(clean, pa.string())],
+                                         ["doc_id", "n_lines", "removed_lines", "text"])
+
+
+def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widths=WIDTHS) -> DataFrame:
+    """As ``remove_repeated_chunks``, but line by line up to a passage's edges.
+
+    Every pair of neighbouring lines (blank ones between them aside) that
+    occurs more than once stays, whole, where it comes first; its lines go
+    everywhere else, unless another pair that comes first there needs them.  So
+    a repeated passage of two lines or more, however short, goes but for its
+    first place; a line repeated alone stays.  Blank lines go with the line
+    before them."""
+    rows = texts_of(docs, id_col, text_col)
+    width, seed = verified_width(rows, partial(_chunk_rows, of=_lines_of), widths)
+    places = written(rows.mapInArrow(_places(width, seed, _lines_of, pairs=True), "doc_id long, sha binary, line int, key binary"), "line-pairs")
+    here = F.struct("doc_id", "sha", "line")
+    found = beside_group(places, ["key"], F.col("sha"), {"first": (F.min(here), F.min), "last": (F.max(here), F.max)})
+    pairs = (found.where(F.col("first") != F.col("last")).withColumn("comes_first", here == F.col("first"))
+             .groupBy("doc_id", "sha")  # at most a document's lines
+             .agg(F.collect_set(F.when(~F.col("comes_first"), F.col("line"))).alias("gone"),
+                  F.collect_set(F.when(F.col("comes_first"), F.col("line"))).alias("kept"))
+             .select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha"), "gone", "kept"))
+    keyed = rows.withColumn("sha", F.unhex(F.sha2("text", 256)))
+    marked = keyed.join(pairs, keyed["doc_id"].eqNullSafe(pairs["gone_id"]) & (keyed["sha"] == pairs["gone_sha"]), "left")
+    return marked.select("doc_id", "text", "gone", "kept").mapInArrow(_without_pairs, "doc_id long, n_lines long, removed_lines long, text string")

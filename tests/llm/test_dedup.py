@@ -116,6 +116,47 @@ def test_blank_lines_inside_a_passage(spark):
     assert all(line_dedup.removable(lines_of(0, "\n\n").encode().split(b"\n")[a:b]) for a, b in chunks[:-1])
 
 
+def test_short_passages_line_by_line(spark):
+    """Every shared passage of 3 or 4 lines goes whole, edges included; a line shared alone stays."""
+    rng, texts, own = random.Random(9), [], []
+    for k in range(60):
+        passage = ("\n\n" if k % 3 == 0 else "\n").join(f"passage {k} line {i}" for i in range(3 + k % 2))
+        for side in "ab":
+            head, tail = (["said in every document"] + [f"{side} {k} {where} {j}" for j in range(rng.randint(1, 5))] for where in ("before", "after"))
+            texts.append("\n".join([*head, passage, *tail[::-1]]))
+            own.append("\n".join(head + tail[::-1]))
+    for widths in (line_dedup.WIDTHS, (1, 16)):
+        got = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeated_passages(docs_of(spark, texts), widths=widths).collect()}
+        for i, text in enumerate(texts):
+            assert got[i] == (own[i] if i % 2 else text)
+
+
+def test_passages_against_brute_force(spark):
+    rng = random.Random(4)
+    rows = ROWS + [(100 + k, "\n".join(rng.choice(["a", "b", "c", "d", "e", "f", "", " "]) for _ in range(rng.randint(0, 9)))) for k in range(60)]
+    rows += rows[-3:]
+    docs = sorted({(i is not None, i or 0, hashlib.sha256((t or "").encode()).digest(), t or "") for i, t in rows})
+    at = defaultdict(list)
+    for d in docs:
+        solid = [x for x in d[3].encode().split(b"\n") if x.strip()]
+        for n, pair in enumerate(zip(solid, solid[1:])):
+            at[pair].append((d, n))
+    gone, kept = defaultdict(set), defaultdict(set)
+    for places in at.values():
+        for k, (d, n) in enumerate(places if len(places) > 1 else []):
+            (gone if k else kept)[d].update((n, n + 1))
+    want = {}
+    for d in docs:
+        out, n = [], -1
+        for x in d[3].split("\n"):
+            n += bool(x.encode().strip())
+            out += [x] if max(n, 0) not in gone[d] - kept[d] else []
+        want[d[1] if d[0] else None, d[3]] = "\n".join(out)
+    got = line_dedup.remove_repeated_passages(table(spark, [(i, t, None, None, None, *["x"] * 14) for i, t in rows])).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), want[i, t or ""]) for i, t in rows)
+    assert line_dedup.remove_repeated_passages(table(spark, [])).count() == 0
+
+
 def test_forest_and_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 640)] + [(900, i) for i in range(700, 880)]
