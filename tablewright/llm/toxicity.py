@@ -31,11 +31,10 @@ FOLDS = 5
 PREFIXES = (4, 5, 6)
 #: A feature enters a model if its chi-squared with the category is this large, and at most so many do.
 LEAST_CHI2, MOST_FEATURES = 30.0, 1000
-#: Fixed: words that tell the kinds of toxicity apart in the labelled rows, for the categories before the last.
-KINDS = {
-    "insult": ("clown", "idiot", "loser", "moron", "scum"),
-    "contempt": ("disgusting", "pathetic", "stupid", "trash", "worthless"),
-}
+#: The categories before the last: groups of the features that go most strongly with the last one's label.
+KINDS = ("insult", "contempt")
+#: So many features are grouped at most; two that share more than this part of the rarer one's rows stay together.
+MOST_TELLING, TOGETHER = 200, 0.9
 THRESHOLD = 0.5
 _WORD = regex.compile(r"[^\W\d_]+")
 #: Distinct words whose features a task remembers.
@@ -131,6 +130,47 @@ class Rows:
         return cls(numbers, np.repeat(np.arange(len(rows)), [len(r) for r in rows]), place, len(rows))
 
 
+def _association(data: Rows, y: np.ndarray, inside: np.ndarray):
+    """Of each feature over the rows ``inside``: chi-squared with the category, and
+    how many rows have the feature with and without the category."""
+    n, positive, size = int(inside.sum()), float(y[inside].sum()), len(data.numbers)
+    counted = inside[data.row]
+    both = np.bincount(data.place, counted & (y[data.row] > 0), size)     # rows with the feature and the category
+    only = np.bincount(data.place, counted, size) - both
+    miss, none = positive - both, (n - positive) - only
+    chi2 = n * (both * none - only * miss) ** 2 / np.maximum((both + only) * (miss + none) * positive * (n - positive), 1e-9)
+    return chi2, both, only
+
+
+def kinds_of(rows: list[np.ndarray], toxic: np.ndarray, kinds: int) -> np.ndarray:
+    """Which of so many kinds each toxic row belongs to, shape (kinds, rows).
+
+    The features that go with the label beyond chance are taken strongest
+    first.  One that shares its toxic rows with an earlier one (a word and its
+    prefixes, say) joins that one's kind, another the kind with the fewest
+    rows so far.  A row belongs to a kind if it is toxic and has one of the
+    kind's features."""
+    data, y = Rows.of(rows), np.asarray(toxic, float)
+    marks = np.zeros((kinds, data.n), bool)
+    positive = y.sum()
+    if not kinds or positive in (0.0, float(data.n)):
+        return marks
+    chi2, both, only = _association(data, y, np.ones(data.n, bool))
+    telling = np.flatnonzero((chi2 >= LEAST_CHI2) & (both >= 2) & (both * (data.n - positive) > only * positive))
+    telling = telling[np.argsort(-chi2[telling], kind="stable")[:MOST_TELLING]]
+    at = np.full(len(data.numbers), -1)
+    at[telling] = np.arange(len(telling))
+    used = (at[data.place] >= 0) & (y[data.row] > 0)
+    has = np.zeros((len(telling), data.n), bool)
+    has[at[data.place][used], data.row[used]] = True
+    count, kind = has.sum(1), np.zeros(len(telling), int)
+    for f in range(len(telling)):
+        shared = (has[:f] & has[f]).sum(1) / np.minimum(count[:f], count[f])
+        kind[f] = kind[shared.argmax()] if f and shared.max() > TOGETHER else marks.sum(1).argmin()
+        marks[kind[f]] |= has[f]
+    return marks
+
+
 def _fit(data: Rows, earlier: np.ndarray, y: np.ndarray, inside: np.ndarray, rounds: int = 100, ridge: float = 0.02):
     """Logistic regression with ridge on the rows ``inside``, by accelerated
     gradient steps; features that go with the category beyond chance take
@@ -141,12 +181,8 @@ def _fit(data: Rows, earlier: np.ndarray, y: np.ndarray, inside: np.ndarray, rou
         rate = (positive + 0.5) / (n + 1) if n else 0.0
         model = Linear(data.numbers[:0], np.zeros(0), np.zeros(e), float(np.log(max(rate, 1e-9) / max(1 - rate, 1e-9))))
         return model, np.full(data.n, rate)
+    chi2, both, only = _association(data, y, inside)
     size = len(data.numbers)
-    counted = inside[data.row]
-    both = np.bincount(data.place, counted & (y[data.row] > 0), size)     # rows with the feature and the category
-    only = np.bincount(data.place, counted, size) - both
-    miss, none = positive - both, (n - positive) - only
-    chi2 = n * (both * none - only * miss) ** 2 / np.maximum((both + only) * (miss + none) * positive * (n - positive), 1e-9)
     keep = np.flatnonzero((chi2 >= LEAST_CHI2) & (both + only >= 2))
     keep = np.sort(keep[np.argsort(-chi2[keep], kind="stable")[:MOST_FEATURES]])
     k = len(keep)
@@ -199,12 +235,12 @@ def fit_chain(rows: list[np.ndarray], labels: dict[str, np.ndarray], fold_of: np
     return Chain(list(labels), models)
 
 
-def train(docs: DataFrame, labels: DataFrame, kinds: dict[str, tuple[str, ...]] = KINDS, train_rows: int = TRAIN_ROWS,
+def train(docs: DataFrame, labels: DataFrame, kinds: tuple[str, ...] = KINDS, train_rows: int = TRAIN_ROWS,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
     """A chain of one model for each kind and, last, one for toxicity.
 
-    A labelled row belongs to a kind if it is toxic and has one of the kind's
-    words.  Rows whose label or id is null are left out; of an id labelled
+    The kinds are found in the labelled rows (``kinds_of``): their names say
+    nothing about the words.  Rows whose label or id is null are left out; of an id labelled
     twice the larger label counts.  With no labelled rows, or only one class,
     the model is the constant rate (0 without rows)."""
     chosen = (labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y"))
@@ -213,23 +249,18 @@ def train(docs: DataFrame, labels: DataFrame, kinds: dict[str, tuple[str, ...]]
     picked = texts_of(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # at most train_rows rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want = [(name, frozenset(words)) for name, words in kinds.items()]
         for part in steps(batches):
             ids, y = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "y"))
             texts = part.column(part.schema.get_field_index("text")).to_pylist()
-            features, marks = [], []
-            for t, label in zip(texts, y, strict=True):
-                words = set(_WORD.findall(t.lower()))
-                features.append(np.sort(np.array(list({f for w in words for f in word_features(w)}), "<u4")).tobytes())
-                marks.append(sum(1 << k for k, (_, w) in enumerate(want) if label and w & words))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(y, pa.int32()), pa.array(marks, pa.int32()),
-                                              pa.array(features, pa.binary())], ["doc_id", "y", "kinds", "features"])
-
-    got = sorted(picked.mapInArrow(run, "doc_id long, y int, kinds int, features binary").toLocalIterator(),
+            features = [np.sort(np.array(list(text_features(t)), "<u4")).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(y, pa.int32()), pa.array(features, pa.binary())],
+                                             ["doc_id", "y", "features"])
+
+    got = sorted(picked.mapInArrow(run, "doc_id long, y int, features binary").toLocalIterator(),
                  key=lambda r: (r["doc_id"], bytes(r["features"])))[:train_rows]
     rows = [np.frombuffer(bytes(r["features"]), "<u4").astype(np.int64) for r in got]
     toxic = np.array([r["y"] > 0 for r in got], float)
-    by_kind = {name: np.array([r["kinds"] >> k & 1 for r in got], float) for k, name in enumerate(kinds)}
+    by_kind = dict(zip(kinds, kinds_of(rows, toxic, len(kinds)).astype(float), strict=True))
     fold_of = np.array([zlib.crc32(str(r["doc_id"]).encode()) % FOLDS for r in got], int)
     return fit_chain(rows, by_kind | {"toxic": toxic}, fold_of)
 

@@ -211,6 +211,22 @@ def test_toxicity_on_held_out_rows(spark):
     assert left == {i for i, r in got.items() if not r["toxic"]}
 
 
+def test_toxicity_kinds_of_another_vocabulary(spark):
+    """The earlier categories come from the labelled rows, whatever their words."""
+    rng = random.Random(6)
+    swap = {"idiot!": "zorgul!", "Trash.": "Blenkat.", "moronic": "vrastish", "moronhaft": "vrasthaft", "pathetic": "quombic"}
+    texts, labels = planted(rng, 900)
+    texts = [" ".join(swap.get(w, w) for w in t.split()) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    chain = toxicity.train(docs, spark.createDataFrame([(i, y) for i, y in enumerate(labels) if i < 600], "doc_id long, toxic int"))
+    assert chain.categories == ["insult", "contempt", "toxic"] and all(len(m.numbers) for m in chain.models)
+    got = {r["doc_id"]: r for r in toxicity.score(docs, chain).collect()}
+    for name in ("p_insult", "p_contempt"):
+        high = [i for i in range(600, 900) if got[i][name] >= 0.5]
+        assert len(high) >= 10 and all(labels[i] for i in high)
+    assert sum(got[i]["toxic"] != bool(labels[i]) for i in range(600, 900)) <= 4
+
+
 def test_earlier_categories_reach_later_models():
     rng = np.random.default_rng(4)
     first = rng.integers(0, 2, 600)
