@@ -4,8 +4,9 @@ Every rolling pair of words of every text is joined with the places where
 license templates have that pair, on the pair's hash and its words.  A match at
 word i of a text and word t of a template votes for diagonal i - t.  Votes are
 summed by diagonal; diagonals of a template that lie close together (words put
-in or left out shift them) are merged; and a merged span counts as found if
-enough of the template's words lie on it in order."""
+in or left out shift them) are merged, every run of them that may hold the
+template on its own; and a merged span counts as found if enough of the
+template's words lie on it in order."""
 
 from __future__ import annotations
 
@@ -34,7 +35,9 @@ TEMPLATES = {
 
 #: A merged span must hold this share of a template's words, in at most this many times its length.
 SHARE, STRETCH = 0.8, 1.5
-#: Diagonals at most this far apart are merged.
+#: So many words may be put into a template, however short it is.
+PUT_IN = 3
+#: Diagonals at most this far apart count together as they are; others, if their words come in the template's order.
 NEAR = 2
 #: Most template word pairs for which they are broadcast; more are joined by shuffle.
 MOST_BROADCAST = 100_000
@@ -93,21 +96,44 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str]
     of_template = ["template", "label", "base", "size"]
     by_diagonal = votes.groupBy(*of_doc, *of_template, "diagonal").agg(
         F.count("t").alias("votes"), F.collect_set("t").alias("ts"))
-    # base phrases stand word by word: their diagonals stay apart.  A template's neighbouring diagonals become one span.
-    order = Window.partitionBy(*of_doc, "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(order) > NEAR), F.lit(True))
-    merged = (by_diagonal.withColumn("new", F.when(apart, 1).otherwise(0))
-              .withColumn("span", F.sum("new").over(order))
-              .groupBy(*of_doc, *of_template, "span")
-              .agg(F.flatten(F.collect_list("ts")).alias("ts"),
-                   F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi")))
+    # base phrases stand word by word: their diagonals stay apart.  A template's span may begin at any diagonal and end at
+    # any within reach: a stray pair nearby then spoils no span, and what is gathered follows the templates' length.
+    room = F.greatest(F.lit(float(PUT_IN)), (STRETCH - 1) * F.col("size"))
+    longest = max((len(p.split()) for p in templates), default=0)
+    reach = max(PUT_IN, int((STRETCH - SHARE) * longest + 1))
+    ahead = Window.partitionBy(*of_doc, "template").orderBy("diagonal").rangeBetween(0, reach)
+    alone = F.coalesce(F.col("base"), F.lit(True))  # also the row that carries the document
+
+    def hit(ts: Column) -> Column:  # the template words that lie on the span
+        return F.array_distinct(F.flatten(F.transform(ts, lambda t: F.array(t, t + 1))))
+
+    run = F.col("run")
+    close = ~F.exists(run, lambda y: ~F.exists(run, lambda x: (x["diagonal"] < y["diagonal"]) & (y["diagonal"] - x["diagonal"] <= NEAR))
+                      & (y["diagonal"] != run[0]["diagonal"]))
+    # out of order: a later word of the template that stands earlier in the text
+    ordered = ~F.exists(run, lambda x: F.exists(run, lambda y: F.exists(x["ts"], lambda t: F.exists(
+        y["ts"], lambda u: (t > u) & (x["diagonal"] + t < y["diagonal"] + u)))))
+    own = F.struct("diagonal", "ts")
+    merged = (by_diagonal.withColumn("near", F.when(alone, F.array(own)).otherwise(F.array_sort(F.collect_list(own).over(ahead))))
+              .where(alone | (F.size(hit(F.flatten("near.ts"))) >= SHARE * F.col("size")))
+              .withColumn("run", F.explode(F.transform(F.sequence(F.lit(1), F.size("near")), lambda n: F.slice("near", 1, n))))
+              .select(*of_doc, *of_template, F.col("diagonal").alias("lo"), "run", F.flatten("run.ts").alias("ts")))
     # verify: the template words that lie on the span, and how far it reaches
-    hit = F.array_distinct(F.flatten(F.transform("ts", lambda t: F.array(t, t + 1))))
-    checked = (merged.withColumn("share", F.size(hit) / F.col("size"))
-               .withColumn("start", F.greatest(F.col("lo"), F.lit(0)) + F.array_min("ts"))
-               .withColumn("end", F.col("hi") + F.array_max("ts") + 1)
+    checked = (merged.withColumn("share", F.size(hit(F.col("ts"))) / F.col("size"))
+               .withColumn("start", F.array_min(F.transform("run", lambda x: x["diagonal"] + F.array_min(x["ts"]))))
+               .withColumn("end", F.array_max(F.transform("run", lambda x: x["diagonal"] + F.array_max(x["ts"]))) + 1)
+               .where(F.col("template").isNull() | F.col("base") | (F.col("share") >= SHARE))
                .withColumn("ok", F.when(F.col("base"), F.size(F.array_distinct("ts")) == F.col("size") - 1)
-                           .otherwise((F.col("share") >= SHARE) & (F.col("end") - F.col("start") + 1 <= STRETCH * F.col("size")))))
+                           .otherwise((close | ordered) & (F.col("share") >= SHARE) & (F.col("end") - F.col("start") + 1 <= F.col("size") + room)))
+               .where(F.col("ok") | F.col("template").isNull()))
+    # of spans that overlap, the best stays
+    along = Window.partitionBy(*of_doc, "template").orderBy("start", "end", F.desc("share"))
+    until = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    checked = (checked.withColumn("new", F.when(alone | F.coalesce(F.col("start") > until, F.lit(True)), 1).otherwise(0))
+               .withColumn("span", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+               .groupBy(*of_doc, *of_template, "span")
+               .agg(F.max_by(F.struct("lo", "start", "end", "share", "ok"), F.struct("share", F.col("start") - F.col("end"), -F.col("start"))).alias("best"))
+               .select(*of_doc, *of_template, "best.*"))
     is_base = F.col("ok") & F.col("base")
 
     def listed(c: Column) -> Column:

@@ -59,6 +59,21 @@ def test_license_awkward_rows(spark):
     assert license_scan.scan(table(spark, [])).count() == 0
 
 
+def test_license_with_words_put_in(spark):
+    """Three words put in, also beside pairs that stand there by chance or a second place."""
+    apache, mit = "licensed under the terms of the Apache License, Version 2.0", "Released under the terms of the MIT license."
+    texts = {1: (f"It is {apache}.", "apache-2.0"), 2: (mit, "mit"), 3: (f"{mit} {mit} x {apache} {apache}", "apache-2.0,mit"),
+             4: ("under the under the licensed under the apache license version 2.0 version 2 license version", "apache-2.0"),
+             5: ("released under the mit a b c d license", "mit"), 6: ("released under the very long and other terms of the mit license", ""),
+             7: ("the MIT license. Released under the GPL", "")}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    assert {i: r["labels"] for i, r in got.items()} == {i: labels for i, (_, labels) in texts.items()}
+    assert [(s["label"], s["start"], s["end"]) for s in got[1]["spans"]] == [("apache-2.0", 2, 12)]
+    assert [(s["label"], s["start"], s["end"]) for s in got[4]["spans"]] == [("apache-2.0", 4, 11)]
+    assert [s["label"] for s in got[3]["spans"]] == ["apache-2.0", "apache-2.0", "mit", "mit"]
+
+
 def test_license_letters_that_fold_onto_ascii(spark):
     docs = spark.createDataFrame([(1, "all rights reſerved"), (2, "PUBLIC general public licenİse"), (3, "Kind of MOZILLA public license")], "doc_id long, text string")
     phrases = {"kind of mozilla": "x"}
