@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import shuffle_partitions, written
@@ -83,25 +83,42 @@ def curve_index(cells: list[Column], bits: int = BITS) -> Column:
 
 
 def code(df: DataFrame, name: str) -> Column:
-    """A dimension as a number in the same order; for text, its first six
-    bytes.  Null comes first."""
+    """A dimension as a number in the same order, or, for text, as a string
+    in the same order.  Null comes first."""
     kind = dict(df.dtypes)[name]
     c = F.col(f"`{name}`")
     if kind == "string":
-        six = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(six, 16, 10).cast("double"), F.lit(-1.0))
+        return F.coalesce(F.concat(F.lit("1"), c), F.lit("0"))
     if kind in ("date", "timestamp"):
         return F.coalesce(F.unix_timestamp(c.cast("timestamp")).cast("double"), F.lit(float("-inf")))
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
+def text_quantiles(df: DataFrame, name: str, cells: int) -> list[str]:
+    """The values at which a share of 1, 2, ... of ``cells`` of all rows is
+    reached in string order: at most ``cells`` of them.  Rows are counted by
+    value; the counts are summed range by range, so no task sees all values."""
+    counts = df.groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts.repartitionByRange(shuffle_partitions(df.sparkSession), "value").withColumn("range", F.spark_partition_id()), "text-counts")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    starts = counts.groupBy("range").agg(F.sum("n").alias("of_range")).withColumn("before", F.coalesce(F.sum("of_range").over(before), F.lit(0)))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    within = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counts.join(F.broadcast(starts), "range").withColumn("upto", F.col("before") + F.sum("n").over(within))
+    reached = upto.where(F.expr(f"upto * {cells}L div {total}L > (upto - n) * {cells}L div {total}L"))
+    return sorted((r["value"] for r in reached.select("value").collect()), key=lambda v: v.encode())
+
+
 def quantised(df: DataFrame, names: list[str], bits: int = BITS) -> DataFrame:
     """``df`` with columns cell_0, cell_1, ...: how many of the dimension's
     2 ** bits - 1 quantiles, taken over all rows, lie below the value."""
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    found = df.agg(*[F.percentile_approx(F.col(n), shares, 10_000).alias(n) for n in names]).first()
+    texts = {n for n, kind in df.dtypes if kind == "string"}
+    numbers = [n for n in names if n not in texts]
+    found = df.agg(*[F.percentile_approx(F.col(n), shares, 10_000).alias(n) for n in numbers]).first() if numbers else {}
+    rows = df
     for k, n in enumerate(names):
-        cuts = sorted({float(x) for x in found[n] or ()})
+        cuts = text_quantiles(rows, n, 1 << bits) if n in texts else sorted({float(x) for x in found[n] or ()})
         value = F.col(n)
         below = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x < value)) if cuts else F.lit(0)  # noqa: B023
         df = df.withColumn(f"cell_{k}", below)

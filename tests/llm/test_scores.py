@@ -125,6 +125,16 @@ def test_shards_awkward_rows(spark, tmp_path):
     assert back.count() == len(ROWS) and set(docs.columns) < set(back.columns)
 
 
+def test_text_dimension_with_a_common_beginning(spark):
+    """Sources that begin alike still lie apart on the curve, in their order; nulls come first."""
+    docs = spark.range(640).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
+                                   F.when(F.col("id") % 16 > 0, F.format_string("https://common_crawl_%02d", F.col("id") % 16)).alias("source"))
+    got = hilbert.shard(docs, ["source"], shards=16).collect()
+    check_shards(got, 640, 16)
+    assert all(r["shard"] == r["doc_id"] % 16 for r in got)
+    assert len({r["curve"] for r in got}) == 16
+
+
 def test_positions_of_a_hot_value(spark):
     df = spark.range(5000).select((F.col("id") % 3 == 0).cast("int").alias("hot"), "id").repartition(7)
     got = {r["id"]: r["position"] for r in ordering.positions(df, F.col("hot"), F.xxhash64("id"), F.col("id")).collect()}
