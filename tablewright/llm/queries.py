@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, exact_dedup, fingerprints, hilbert, jaccard_join, license_scan, line_dedup, packing, token_counts, toxicity
+from tablewright.llm import byte_bpe, exact_dedup, fill_middle, fingerprints, hilbert, jaccard_join, license_scan, line_dedup, packing, token_counts, toxicity
 from tablewright.llm.common import documents
 
 JSON_50K, RANKS_50K = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -57,8 +57,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.PATTERN, with_ids=False)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.transform(documents(spark, sf_dir))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("text", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("text"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_line_dedup, op4_packing, op5_hilbert_sharding,
-                                    op6_jaccard_join, op7_token_counts, op8_exact_dedup, op9_fingerprints, op10_byte_bpe)}
+                                    op6_jaccard_join, op7_token_counts, op8_exact_dedup, op9_fingerprints, op10_byte_bpe, op11_fill_middle)}
 
 SQL = {
     "op6_jaccard_join": """
@@ -79,4 +85,18 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d""",
+    "op11_fill_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                          sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        x AS (SELECT doc_id, t, u, len(u) AS n, [('0x' || h[1:8])::BIGINT, ('0x' || h[9:16])::BIGINT, ('0x' || h[17:24])::BIGINT,
+                     ('0x' || h[25:32])::BIGINT] AS r FROM d),
+        c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+                     CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 90 THEN 'plain'
+                          WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x),
+        p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256 FROM p""",
 }
