@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, exact_dedup, fill_middle, fingerprints, hilbert, jaccard_join, license_scan, line_dedup, packing, token_counts, toxicity
+from tablewright.llm import byte_bpe, exact_dedup, fill_middle, fingerprints, hilbert, jaccard_join, license_scan, line_dedup, packing, quality_rules, token_counts, toxicity
 from tablewright.llm.common import documents
 
 JSON_50K, RANKS_50K = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -63,8 +63,52 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(fill_middle.restored(F.col("text"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      F.round("posterior", 6).alias("posterior"), F.array_join("votes", ",").alias("votes"))
+
+
+def _quality_sql() -> str:
+    """The statistics by unnested words and windows, and the model's rounds as a recursive query over the counts of ballots."""
+    q = quality_rules
+    n = range(len(q.RULES))
+    believed = {"fg": q.FOR_GOOD, "fb": q.FOR_BAD, "ag": q.AGAINST_GOOD, "ab": q.AGAINST_BAD}
+    names = [f"{k}{j}" for k in believed for j in n]
+    score = "ln(share / (1 - share)) + " + " + ".join(
+        f"CASE v{j} WHEN 1 THEN greatest(ln(fg{j} / fb{j}), 0) WHEN -1 THEN least(ln(ag{j} / ab{j}), 0) ELSE 0 END" for j in n)
+    weight, vote = {"g": "good", "b": "(n - good)"}, {"f": 1, "a": -1}
+    rates = [f"({q.SEEN * believed[k]} + coalesce(sum({weight[k[1]]}) FILTER (v{j} = {vote[k[0]]}), 0)) / ({q.SEEN} + sum({weight[k[1]]}))"
+             for k in believed for j in n]
+    return rf"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM documents),
+        g AS (SELECT r, unnest(range(1, len(w) - {q.WINDOW - 2})) AS i, unnest(list_transform(range(1, len(w) - {q.WINDOW - 2}), lambda k: array_to_string(w[k:k + {q.WINDOW - 1}], ' '))) AS x
+              FROM d WHERE len(w) >= {q.WINDOW}),
+        again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + {q.WINDOW})) AS p
+                  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS c FROM g) WHERE c > 1) GROUP BY r),
+        s AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+                     coalesce(again.n, 0) AS n_repeat_words, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals,
+                     length(regexp_replace(t, '[^!]+', '', 'g')) AS n_shouts, len(list_filter(w, lambda x: regexp_matches(x, '^\p{{L}}+[.,;:?!]?\z'))) AS n_plain,
+                     len(list_filter(w, lambda x: regexp_matches(x, '[.?!]\z'))) AS n_ends, len(list_distinct(w)) AS n_distinct
+              FROM d LEFT JOIN again ON again.r = d.r),
+        v AS (SELECT *, {", ".join(f"({r.vote})::INT AS v{j}" for j, r in enumerate(q.RULES))} FROM s),
+        b AS (SELECT {", ".join(f"v{j}" for j in n)}, count(*)::DOUBLE AS n FROM v GROUP BY ALL),
+        em AS (SELECT 0 AS k, {q.SHARE}::DOUBLE AS share, {", ".join(f"{believed[k]}::DOUBLE AS {k}{j}" for k in believed for j in n)}
+               UNION ALL
+               SELECT k + 1, ({q.SEEN * q.SHARE} + sum(good)) / ({q.SEEN} + sum(n)), {", ".join(rates)}
+               FROM (SELECT k, b.*, n / (1 + exp(-({score}))) AS good FROM em, b WHERE k < {q.ROUNDS}) GROUP BY k),
+        m AS (SELECT share, {", ".join(names)} FROM em WHERE k = {q.ROUNDS}),
+        o AS (SELECT v.*, ({q.BASE_FAILED}) AS base_failed, 1 / (1 + exp(-({score}))) AS p FROM v, m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND p >= {q.THRESHOLD} AS kept,
+               round(p, 6) AS posterior, concat_ws(',', {", ".join(f"v{j}" for j in n)}) AS votes FROM o"""
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_line_dedup, op4_packing, op5_hilbert_sharding,
-                                    op6_jaccard_join, op7_token_counts, op8_exact_dedup, op9_fingerprints, op10_byte_bpe, op11_fill_middle)}
+                                    op6_jaccard_join, op7_token_counts, op8_exact_dedup, op9_fingerprints, op10_byte_bpe, op11_fill_middle,
+                                    op12_quality_rules)}
 
 SQL = {
     "op6_jaccard_join": """
@@ -99,4 +143,5 @@ SQL = {
                sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
                       ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
                sha256(t) AS restored_sha256 FROM p""",
+    "op12_quality_rules": _quality_sql(),
 }
