@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, exact_dedup, fill_middle, fingerprints, hilbert, jaccard_join, license_scan, line_dedup, packing, quality_rules, token_counts, toxicity
+from tablewright.llm import byte_bpe, conversation_trie, exact_dedup, fill_middle, fingerprints, hilbert, jaccard_join, license_scan, line_dedup, packing, quality_rules, token_counts, toxicity
 from tablewright.llm.common import documents
 
 JSON_50K, RANKS_50K = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -82,8 +82,10 @@ def _quality_sql() -> str:
              for k in believed for j in n]
     return rf"""
         WITH RECURSIVE d AS (
-            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
-                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM documents),
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM documents),
         g AS (SELECT r, unnest(range(1, len(w) - {q.WINDOW - 2})) AS i, unnest(list_transform(range(1, len(w) - {q.WINDOW - 2}), lambda k: array_to_string(w[k:k + {q.WINDOW - 1}], ' '))) AS x
               FROM d WHERE len(w) >= {q.WINDOW}),
         again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + {q.WINDOW})) AS p
@@ -106,9 +108,16 @@ def _quality_sql() -> str:
                round(p, 6) AS posterior, concat_ws(',', {", ".join(f"v{j}" for j in n)}) AS votes FROM o"""
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rebuilt on the first turns (0 to 3) of the first of their twenty."""
+    conv = F.col("conv")
+    return conversation_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), from_conv=conv - conv % 20,
+                                         from_turns=F.crc32(F.encode(conv.cast("string"), "UTF-8")) % 4, most_from=3)
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_license_scan, op3_line_dedup, op4_packing, op5_hilbert_sharding,
                                     op6_jaccard_join, op7_token_counts, op8_exact_dedup, op9_fingerprints, op10_byte_bpe, op11_fill_middle,
-                                    op12_quality_rules)}
+                                    op12_quality_rules, op13_conversation_trie)}
 
 SQL = {
     "op6_jaccard_join": """
@@ -144,4 +153,29 @@ SQL = {
                       ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
                sha256(t) AS restored_sha256 FROM p""",
     "op12_quality_rules": _quality_sql(),
+    "op13_conversation_trie": """
+        WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+                          sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS s
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, s[1:32]) AS i FROM t),
+        r AS (SELECT DISTINCT c, c - c % 20 AS b, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
+                  lambda z, x: list_reduce(list_prepend(xor(z, x), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                           lambda a, y: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))) AS z FROM t),
+        h AS (SELECT c, b, (xor(z, 4294967295::UBIGINT) % 4)::BIGINT AS h FROM r),
+        parts AS (SELECT h.c, 0 AS own, o.i, o.s, o.text FROM h JOIN o ON o.c = h.b AND o.i <= h.h
+                  UNION ALL SELECT h.c, 1, o.i, o.s, o.text FROM h JOIN o ON o.c = h.c AND o.i > h.h),
+        p AS (SELECT c, s, text, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d FROM parts),
+        m AS (SELECT c, 0 AS d, []::VARCHAR[] AS k, 0 AS words FROM h
+              UNION ALL SELECT c, d, list(s) OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING),
+                               len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM p),
+        l AS (SELECT *, max(d) OVER (PARTITION BY c) AS last FROM m),
+        n AS (SELECT k, d, any_value(words) AS words, min(c) AS conv_id, count(*) AS n_convs,
+                     sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last = d), '')) AS ends_sha256 FROM l GROUP BY k, d),
+        kids AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+        x AS (SELECT n.*, coalesce(kids.n, 0) AS n_children, up.conv_id AS parent_conv_id FROM n LEFT JOIN kids ON kids.k = n.k
+              LEFT JOIN n up ON n.d > 0 AND up.k = n.k[1:n.d - 1] AND up.d = n.d - 1),
+        under AS (SELECT a.k, count(*) FILTER (x.n_children = 0) AS n_leaves, sum((x.n_convs - 1) * x.words)::BIGINT AS saved_tokens
+                  FROM x JOIN m a ON a.c = x.conv_id AND a.d <= x.d GROUP BY a.k)
+        SELECT x.conv_id, x.d AS depth, x.parent_conv_id, x.n_convs, x.n_children, under.n_leaves, under.saved_tokens, x.ends_sha256
+        FROM x JOIN under ON under.k = x.k""",
 }

@@ -11,7 +11,7 @@ from tablewright.llm import toxicity
 
 def test_entry_lists_all_operators():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
 
 
