@@ -248,12 +248,13 @@ def pair_by_key(left: DataFrame, right: DataFrame, keys, cols, left_col: str = "
 
 
 def unique_by_key(df: DataFrame, keys) -> DataFrame:
-    """``df`` unchanged; running it fails when a key occurs twice.  Only keys
-    are shuffled for the check, combined map-side."""
+    """``df`` unchanged; running it fails when a key occurs twice, whichever
+    columns are read.  Only keys are shuffled for the check, combined map-side;
+    it is a filter of the keys' counts, which no projection removes."""
     keys = as_list(keys)
-    twice = df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    broken = F.raise_error(F.lit(DUPLICATE_KEY_ERROR))
-    return df.unionByName(twice.select(*[broken.cast(f.dataType).alias(f.name) for f in df.schema.fields]))
+    twice = df.groupBy(*[qcol(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    broken = twice.where(F.when(F.col("__n") > 1, F.raise_error(F.lit(DUPLICATE_KEY_ERROR)).cast("boolean")).otherwise(F.lit(False)))
+    return df.unionByName(broken.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys, change_col: str = "_change") -> DataFrame:

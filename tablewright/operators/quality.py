@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.casts import lossless, narrows
+from ..sources import footers
 from ..util import as_list, qcol
 
 
@@ -137,18 +139,24 @@ def schema_report(spark: SparkSession, df: DataFrame, target, ignore=()) -> Data
 
 
 def schema_gate(df: DataFrame, target, ignore=(), ordered: bool = True,
-                check_types: bool = False) -> DataFrame:
+                check_types: bool = False, fitting: bool = False) -> DataFrame:
     """Stop a drop or stream whose columns do not match the target: the same
     names (symmetric difference empty), and with ``ordered`` the same
-    positions.  Returns ``df`` unchanged when it passes."""
+    positions.  ``check_types`` asks for the same types; with ``fitting``, a
+    type will do that the target's widens, or a number type whose values may
+    fit (``casts.fit`` then looks at each).  Returns ``df`` unchanged when it
+    passes."""
+    own = {f.name: f.dataType for f in df.schema.fields}
+    wanted = {f.name: f.dataType for f in (target.schema if isinstance(target, DataFrame) else target).fields}
     bad = []
     for n, sp, tp, st, tt, status in schema_report_rows(df, target, ignore):
         if status in ("source_only", "target_only"):
             bad.append((n, status))
         elif status == "moved" and ordered:
             bad.append((n, f"position {sp} != {tp}"))
-        elif status == "type" and check_types:
-            bad.append((n, f"type {st} != {tt}"))
+        if sp and tp and st != tt and (check_types or fitting):
+            if not (fitting and (lossless(own[n], wanted[n]) or narrows(own[n], wanted[n]))):
+                bad.append((n, f"type {st} != {tt}"))
     if bad:
         raise SchemaMismatch("schema_gate: " + ", ".join(f"{n}: {s}" for n, s in bad))
     return df
@@ -156,15 +164,27 @@ def schema_gate(df: DataFrame, target, ignore=(), ordered: bool = True,
 
 def schema_drift(spark: SparkSession, drops, target, ignore=()) -> DataFrame:
     """Per drop and column: the ``schema_report`` status against the target
-    (drop, column, src_pos, tgt_pos, src_type, tgt_type, status).  Reads only
-    parquet footers; the loop is over drop paths (metadata, no data)."""
-    rows = []
-    for path in drops:
-        for r in schema_report_rows(spark.read.parquet(path), target, ignore):
-            rows.append((path,) + tuple(r))
-    return spark.createDataFrame(
-        rows, "drop string, column string, src_pos int, tgt_pos int, src_type string, "
-              "tgt_type string, status string")
+    (drop, column, src_pos, tgt_pos, src_type, tgt_type, status).
+
+    Footers are read by tasks (``sources.footers``), of every file of every
+    drop; a column that a drop's files hold in several types has the one they
+    widen to, or the listed types if they meet in none.  Positions are those of
+    the drop's columns without the ignored ones."""
+    tgt = [(n, i + 1, t) for i, (n, t) in enumerate(_fields(target, ignore))]
+    seen = footers.file_columns(spark, list(drops)).where(~F.col("column").isin(as_list(ignore)) if as_list(ignore) else F.lit(True))
+    kinds = footers.merged_columns(seen, by=["root"])
+    place = Window.partitionBy("root").orderBy("first")  # one drop's columns
+    first = seen.groupBy("root", "column").agg(F.min("position").alias("first")).withColumn("src_pos", F.row_number().over(place))
+    src = kinds.join(first, ["root", "column"]).select("root", "column", "src_pos", F.coalesce("merged_type", "types").alias("src_type"))
+    roots = spark.createDataFrame([(d,) for d in drops], "root string")
+    wanted = spark.createDataFrame(tgt, "column string, tgt_pos int, tgt_type string")
+    # the drops' names and the target's columns: schema lists, every drop beside every column of the target
+    grid = roots.select("root", F.explode(F.array(*[F.lit(n) for n, _, _ in tgt])).alias("column")).join(F.broadcast(wanted), "column") if tgt \
+        else roots.limit(0).select("root", F.lit("").alias("column"), F.lit(0).alias("tgt_pos"), F.lit("").alias("tgt_type"))
+    both = grid.join(src, ["root", "column"], "full")
+    status = (F.when(F.col("src_pos").isNull(), "target_only").when(F.col("tgt_pos").isNull(), "source_only")
+              .when(F.col("src_type") != F.col("tgt_type"), "type").when(F.col("src_pos") != F.col("tgt_pos"), "moved").otherwise("ok"))
+    return both.select(F.col("root").alias("drop"), "column", "src_pos", "tgt_pos", "src_type", "tgt_type", status.alias("status"))
 
 
 def conform(df: DataFrame, target, ignore=()) -> DataFrame:

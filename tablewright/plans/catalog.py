@@ -15,7 +15,7 @@ from ..functions import casts, text as tx, timefmt
 from ..operators import aggregates as agg, cdc, dml, ledger as led, quality, rank, reconcile as rec, shape
 from ..session import scratch_path
 from ..sinks import tables as sink
-from ..sources import files as src
+from ..sources import files as src, footers
 from ..streaming import changes as stream
 from . import fixtures as fx, staging
 
@@ -726,7 +726,24 @@ def q_sort_by(spark, sf):
     return shape.sort_by(o, ["o_custkey", F.col("o_orderdate").desc(), "o_orderkey"])
 
 
+def q_merged_types(spark, sf):
+    """Columns of drops whose types differ, and the types they widen to."""
+    return footers.merged_columns(footers.file_columns(spark, staging.stage_typed_drops(spark, sf)))
+
+
+def q_stream_typed_drops(spark, sf):
+    """Drops whose types are narrower, wider and of another kind than the
+    table's, applied as they arrive; the log's state afterwards."""
+    schema = fx.table(spark, sf, "customer").schema
+    root, log = staging.stage_typed_drops(spark, sf), scratch_path(spark, "customer-typed-log")
+    stream.stream_apply_drops(spark, f"{root}/*/*.parquet", log, scratch_path(spark, "ckpt-typed"), schema, "c_custkey", "c_custkey",
+                              on_unexpected="rescue", max_files=2)
+    return stream.current_state(spark, log, "c_custkey", "c_custkey").withColumnRenamed("_rescued_data", "rescued")
+
+
 QUERIES.update({
+    "merged_types": q_merged_types,
+    "stream_typed_drops": q_stream_typed_drops,
     "parse_delimited_rescue": q_parse_delimited_rescue,
     "fold_new_column": _fold_new_column(2_000_000),
     "fold_new_column_large": _fold_new_column(0),

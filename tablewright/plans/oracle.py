@@ -352,3 +352,17 @@ WHERE NOT EXISTS (SELECT 1 FROM customer d WHERE d.c_custkey = t.k AND d.c_custk
 UNION ALL SELECT 'ledger:' || f, l FROM (VALUES ('customer.parquet_I_1', 1), ('customer.parquet_U_2', 1),
     ('customer.parquet_D_3', 1), ('customer.parquet_U_4', 1), ('customer.parquet_D_5', 1), ('customer_old.parquet_I_9', 0)) v(f, l)""",
 })
+
+SQL.update({
+    "merged_types": """
+SELECT c AS "column", m AS merged_type, s AS status, t AS types, CAST(3 AS BIGINT) AS files
+FROM (VALUES ('c_custkey', 'bigint', 'widened', 'bigint, int'), ('c_name', 'string', 'same', 'string'),
+             ('c_nationkey', 'bigint', 'widened', 'bigint, int'), ('c_acctbal', NULL, 'clash', 'double, string'),
+             ('c_mktsegment', 'string', 'same', 'string')) v(c, m, s, t)
+WHERE EXISTS (SELECT 1 FROM customer)""",
+    "stream_typed_drops": """
+WITH c AS (SELECT *, CAST(round(c_acctbal, 2) AS DECIMAL(18, 2)) AS d, c_custkey % 3 = 2 AND c_custkey % 2 = 0 AS odd FROM customer)
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN NOT odd THEN CAST(d AS DOUBLE) END AS c_acctbal, c_mktsegment,
+       CASE WHEN odd THEN '{"c_acctbal":"' || CAST(d AS VARCHAR) || ' EUR"}' END AS rescued
+FROM c""",
+})

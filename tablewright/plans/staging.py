@@ -127,3 +127,17 @@ def stage_mixed_drops(spark: SparkSession, sf_dir: str) -> str:
     for i, (name, part) in enumerate(zip(MIXED_DROPS, parts)):
         part.where(F.col("event_id") % 3 == i).write.parquet(f"{root}/{name}")
     return root
+
+
+def stage_typed_drops(spark: SparkSession, sf_dir: str) -> str:
+    """``customer`` as three drops of one file whose types differ: a key that
+    is an int, a nation that is a bigint, and a balance that is text, for some
+    rows with a currency behind the number."""
+    c = fx.table(spark, sf_dir, "customer").withColumn("c_acctbal", F.round("c_acctbal", 2).cast("decimal(18,2)").cast("double"))
+    k = F.col("c_custkey")
+    money = F.concat(F.col("c_acctbal").cast("decimal(18,2)").cast("string"), F.when(k % 2 == 0, F.lit(" EUR")).otherwise(F.lit("")))
+    root = scratch_path(spark, "typed-drops")
+    for i, (name, typed) in enumerate((("narrowed", c.withColumn("c_custkey", k.cast("int"))), ("widened", c.withColumn("c_nationkey", F.col("c_nationkey").cast("bigint"))),
+                                       ("clashing", c.withColumn("c_acctbal", money)))):
+        typed.where(k % 3 == i).coalesce(1).write.parquet(f"{root}/{name}")
+    return root

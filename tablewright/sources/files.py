@@ -64,12 +64,12 @@ def parse_delimited(lines: DataFrame, sep: str, names, skip_pattern: str | None
     cols = [F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
     extra = F.slice(parts, len(names) + 1, F.greatest(F.size(parts) - len(names), F.lit(0)))
     none = (F.size(extra) == 0) | ((F.size(extra) == 1) & (F.get(extra, F.lit(0)) == F.lit("")))
+    lines = lines.where(keep)
     if rescue_col:
         cols.append(F.when(~none, F.array_join(extra, sep)).alias(rescue_col))
-    elif cols:
-        first = F.when(none, F.try_element_at(parts, F.lit(1))).otherwise(F.raise_error(F.lit(EXTRA_FIELDS_ERROR)))
-        cols[0] = first.alias(names[0])
-    return lines.where(keep).select(*cols)
+    else:  # a filter: whatever columns are read later, and if none are, every line is checked
+        lines = lines.where(F.when(none, F.lit(True)).otherwise(F.raise_error(F.lit(EXTRA_FIELDS_ERROR)).cast("boolean")))
+    return lines.select(*cols)
 
 
 def _unchanged(src: Column, cast: Column, source: DataType, target: DataType) -> Column:

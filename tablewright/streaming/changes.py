@@ -21,17 +21,16 @@ Per batch the cost is O(batch); readers pay the fold.
 
 from __future__ import annotations
 
-import json
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..functions import casts
 from ..operators import cdc, quality
 from ..operators.reconcile import union_all
-from ..session import path_exists
+from ..session import list_names, path_exists
+from ..sources import footers
 from ..sources.files import rescue_unexpected
 from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, qcol
 
@@ -150,20 +149,21 @@ def stream_drops(spark: SparkSession, path: str, max_files: int | None = None) -
 
 def read_drops(spark: SparkSession, paths, expected: StructType, on_unexpected: str = "rescue",
                rescue_col: str = "_rescued_data") -> DataFrame:
-    """Files of possibly different schemas in the ``expected`` one.  Files that
-    agree are read together.  ``fail`` stops on columns that are not the
-    expected ones (``quality.schema_gate``); ``rescue`` keeps what does not fit
-    as JSON in ``rescue_col``."""
+    """Files of possibly different schemas in the ``expected`` one, its types
+    included.  Footers are read by tasks, and files that agree are read
+    together, so the number of jobs does not grow with the files.
+
+    ``fail`` stops on columns that are not the expected ones and on types whose
+    values cannot be theirs (``quality.schema_gate``); types that widen are
+    cast, and a number that its column cannot hold fails the job that reads it.
+    ``rescue`` keeps what does not fit as JSON in ``rescue_col``."""
     if on_unexpected not in ("rescue", "fail"):
         raise ValueError("on_unexpected must be 'rescue' or 'fail'")
-    alike: dict[str, list[str]] = {}
-    for p in paths:  # footers only
-        alike.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
     out = []
-    for schema, own in sorted(alike.items()):
-        df = spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*own)
+    for schema, own in footers.files_by_schema(footers.file_columns(spark, list(paths))):
+        df = spark.read.schema(schema).parquet(*own)
         if on_unexpected == "fail":
-            out.append(quality.schema_gate(df, expected, ordered=False).select(*[qcol(n) for n in expected.names]))
+            out.append(casts.fit(quality.schema_gate(df, expected, ordered=False, fitting=True), expected))
         else:
             out.append(rescue_unexpected(df, expected, rescue_col))
     if not out:
@@ -198,8 +198,10 @@ def stream_apply_drops(spark: SparkSession, path: str, log_path: str, checkpoint
                        expectations: dict | None = None, max_files: int | None = 1000, wait: bool = True) -> StreamingQuery:
     """``stream_apply_changes`` over files whose schemas are not known before
     they arrive.  Each batch's files are held against ``expected`` before
-    anything of the batch is written: a file with other columns stops the
-    stream (``fail``) or its surplus is rescued."""
+    anything of the batch is written: a file with other columns or with types
+    that do not fit stops the stream (``fail``), or what does not fit is
+    rescued.  Versions are written in the expected types, so a log reads
+    whatever arrived."""
     keys = as_list(keys)
 
     def handle(rows: DataFrame, batch_id: int, run: str) -> None:
@@ -215,19 +217,21 @@ def read_log(spark: SparkSession, log_path: str, schema: StructType | None = Non
     """All log versions of all runs (the partition columns removed).
     ``min_version`` prunes older version directories at planning time.
     Without a ``schema``, the versions' schemas are merged: a column that only
-    some have is NULL in the others.  A log with no version yet reads as an
-    empty table when ``schema`` is given."""
+    some have is NULL in the others.  A log with no version yet - a directory
+    that is not there, below one that is, or an empty one - reads as an empty
+    table when ``schema`` is given.  Anything else that cannot be read is an
+    error."""
     reader = spark.read.option("mergeSchema", "true")
     if schema is not None:
         _check_reserved(schema.names)
         reader = spark.read.schema(StructType([*schema.fields, StructField(VERSION_COL, LongType()),
                                                StructField(RUN_COL, StringType())]))
-    try:
-        df = reader.parquet(log_path)
-    except AnalysisException:
-        if schema is None:
-            raise
-        return spark.createDataFrame([], schema)
+        if not list_names(spark, log_path):
+            parent = log_path.rstrip("/").rpartition("/")[0]
+            if not path_exists(spark, log_path) and not path_exists(spark, parent):
+                raise FileNotFoundError(f"no change log, nor a place for one: {log_path}")
+            return spark.createDataFrame([], schema)
+    df = reader.parquet(log_path)
     if min_version is not None:
         df = df.where(F.col(VERSION_COL) >= min_version)
     return df.drop(VERSION_COL, RUN_COL)
