@@ -11,18 +11,17 @@ whatever its time zone.  Functions return the new ledger as a DataFrame;
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+from ..functions import casts
 from ..functions.casts import cast_by_type
-from ..session import create_marker, list_names
-from ..sources.files import scan_parquet
+from ..sources import footers
 from ..util import qcol
-from . import aggregates, cdc, dml, quality
+from . import aggregates, cdc, dml, quality, versions
 from .reconcile import union_all
 
 LEDGER_SCHEMA = StructType([
@@ -159,27 +158,7 @@ def write_ledger(ledger: DataFrame, path: str) -> DataFrame:
     return ledger.sparkSession.read.schema(ledger.schema).parquet(path)
 
 
-# ------------------------------------------------------------------ committed versions
-# <root>/versions/<n>-<id>/{target,ledger}   one load's two tables
-# <root>/commits/<n>-<id>                    empty marker, written last
-# One load at a time: a second one that commits meanwhile is noticed, not merged.
-def committed(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """(number, directory) of the newest committed version under ``root``."""
-    names = list_names(spark, f"{root}/commits")
-    if not names:
-        return None
-    last = max(names)
-    return int(last.split("-")[0]), f"{root}/versions/{last}"
-
-
-def _commit(spark: SparkSession, root: str, began: tuple[int, str] | None, name: str) -> None:
-    """Make a fully written version the current one, unless another load has
-    committed since this one ``began``."""
-    if committed(spark, root) != began:
-        raise RuntimeError(f"another load has committed to {root}; call again")
-    create_marker(spark, f"{root}/commits/{name}")
-
-
+# ------------------------------------------------------------------ loads
 def _joined_ledgers(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row per drop: the later arrival (a drop registered again is pending
     again), of equal arrivals the one already loaded."""
@@ -207,34 +186,34 @@ def _fold_drops(spark: SparkSession, target: DataFrame, drops: DataFrame, pk: li
     values = [f.name for f in target.schema.fields if f.name not in pk]
     payload = F.struct(*[qcol(c).cast(target.schema[c].dataType).alias(c) for c in values]) if values else F.struct(F.lit(0).alias("__none"))
     per_drop = keyed.groupBy(*[qcol(k) for k in pk], "__seq").agg(
-        F.count(F.when(hit, 1)).alias("hits"), F.max(F.when(hit, fl)).alias("flag"),
-        F.max_by(payload, F.when(fl == cdc.FLAG_UPDATE, 1)).alias("payload"),
-        F.max(can_insert).alias("inserts"))
+        F.count(F.when(hit, 1)).alias("__hits"), F.max(F.when(hit, fl)).alias("__flag"),
+        F.max_by(payload, F.when(fl == cdc.FLAG_UPDATE, 1)).alias("__payload"),
+        F.max(can_insert).alias("__inserts"))
     entries = per_drop.groupBy(*[qcol(k) for k in pk]).agg(
-        F.array_sort(F.collect_list(F.struct("__seq", "hits", "flag", "inserts", "payload"))).alias("e"))
+        F.array_sort(F.collect_list(F.struct("__seq", "__hits", "__flag", "__inserts", "__payload"))).alias("__e"))
 
     def outcome(there: bool):
         start = F.struct(F.lit(there).alias("there"), F.lit(0).cast("long").alias("made"), F.lit(0).cast("long").alias("update"),
                          F.lit(False).alias("broken"))
 
         def step(acc, x):
-            gone = acc["there"] & (x["flag"] == cdc.FLAG_DELETE)
-            made = ~acc["there"] & x["inserts"]
-            updated = acc["there"] & (x["flag"] == cdc.FLAG_UPDATE)
+            gone = acc["there"] & (x["__flag"] == cdc.FLAG_DELETE)
+            made = ~acc["there"] & x["__inserts"]
+            updated = acc["there"] & (x["__flag"] == cdc.FLAG_UPDATE)
             return F.struct(
-                F.when(acc["there"], ~F.coalesce(gone, F.lit(False))).otherwise(x["inserts"]).alias("there"),
+                F.when(acc["there"], ~F.coalesce(gone, F.lit(False))).otherwise(x["__inserts"]).alias("there"),
                 F.when(made, x["__seq"]).otherwise(acc["made"]).alias("made"),
                 F.when(made, F.lit(0).cast("long")).when(F.coalesce(updated, F.lit(False)), x["__seq"]).otherwise(acc["update"]).alias("update"),
-                (acc["broken"] | (acc["there"] & (x["hits"] > 1))).alias("broken"))
-        return F.aggregate("e", start, step)
+                (acc["broken"] | (acc["there"] & (x["__hits"] > 1))).alias("broken"))
+        return F.aggregate("__e", start, step)
 
     def with_values(o):
-        chosen = F.filter("e", lambda x: x["__seq"] == o["update"])
+        chosen = F.filter("__e", lambda x: x["__seq"] == o["update"])
         return F.struct(o["there"].alias("there"), o["made"].alias("made"), o["broken"].alias("broken"),
-                        F.get(chosen, F.lit(0))["payload"].alias("payload"))
+                        F.get(chosen, F.lit(0))["__payload"].alias("payload"))
 
-    both = entries.withColumn("a", outcome(True)).withColumn("b", outcome(False))
-    both = both.select(*[qcol(k) for k in pk], with_values(F.col("a")).alias("__old"), with_values(F.col("b")).alias("__new"))
+    both = entries.withColumn("__a", outcome(True)).withColumn("__b", outcome(False))
+    both = both.select(*[qcol(k) for k in pk], with_values(F.col("__a")).alias("__old"), with_values(F.col("__b")).alias("__new"))
     # plain tables on both sides of the joins below, so adaptive execution can split a hot key
     both = cdc._written(both, f"{label}-outcome")
     o = F.when(F.col("__o.broken"), F.raise_error(F.lit(cdc.MULTI_MATCH_ERROR)))
@@ -259,10 +238,93 @@ def _fold_drops(spark: SparkSession, target: DataFrame, drops: DataFrame, pk: li
     return kept.unionByName(made).unionByName(unkeyed)
 
 
+def pending_changes(spark: SparkSession, stage_dir: str, names: list[str], schema: StructType, flag: str = "delta_flg",
+                    expectations: dict | None = None) -> DataFrame:
+    """The rows of staged drops in the columns and types of ``schema``, with
+    their flag and their drop's place in ``names`` (``__seq``, from 1).
+
+    Footers are read by tasks, and drops of equal schema by one scan, so a
+    thousand drops cost no more jobs than two.  A drop must have the table's
+    columns, in any order, in types that hold no other values: narrower ones
+    widen, a number that its column cannot hold fails the job, and any other
+    type is a ``SchemaMismatch``."""
+    place = {f"{stage_dir}/{n}": i for i, n in enumerate(names, start=1)}
+    wanted = StructType([*schema.fields, StructField(flag, StringType()), StructField("__file", StringType())])
+    root_of = footers.root_finder(list(place))
+    out = []
+    for own, paths in footers.files_by_schema(footers.file_columns(spark, list(place))):
+        rows = spark.read.schema(own).parquet(*paths)
+        if flag not in rows.columns:
+            raise quality.SchemaMismatch(f"{root_of(paths[0])}: no column {flag}")
+        quality.schema_gate(rows, schema, ignore=[flag], ordered=False, fitting=True)
+        rows = rows.withColumn("__file", footers.plain_path_col(decoded_path(F.col("_metadata.file_path")))).withColumn(flag, qcol(flag).cast("string"))
+        # file names, as listed above
+        seq = spark.createDataFrame([(footers.plain_path(p), place[root_of(p)]) for p in paths], "__file string, __seq long")
+        out.append(casts.fit(rows, wanted).join(F.broadcast(seq), "__file").drop("__file"))
+    if not out:
+        return spark.createDataFrame([], StructType([*schema.fields, StructField(flag, StringType()), StructField("__seq", LongType())]))
+    changes = union_all(*out)
+    return quality.expect_all_or_fail(changes, expectations) if expectations else changes
+
+
+def _touched(changes: DataFrame, pk: list[str], schema: StructType, flag: str, load_type: str, ranges: list[versions.Range]) -> dict[int, int]:
+    """Places of the ranges that some change can act on - a row to insert whose
+    key has none, a row to update or delete whose key has one - and how many
+    rows may be inserted there.  ``changes`` carry their range's place."""
+    places = [r[0] for r in changes.select(versions.RANGE).distinct().collect()]  # at most as many as there are ranges
+    named = versions.with_presence(changes, pk, schema, [ranges[p] for p in places if p < len(ranges)], "__has")
+    f = qcol(flag)
+    inserts = F.lit(True) if load_type == cdc.INITIAL else F.coalesce(f == cdc.FLAG_INSERT, F.lit(False))
+    acts = (inserts & ~F.col("__has")) | (F.coalesce(f.isin(cdc.FLAG_UPDATE, cdc.FLAG_DELETE), F.lit(False)) & F.col("__has"))
+    per_range = named.where(acts).groupBy(versions.RANGE).agg(F.count_if(inserts & ~F.col("__has")).alias("n"))
+    return {r[0]: r["n"] for r in per_range.collect()}
+
+
+def _load(spark: SparkSession, ledger: DataFrame, target: DataFrame, stage_dir: str, out_root: str, pk: list[str], flag: str, load_type: str,
+          now, table, name_filter, expectations, range_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """One attempt of ``apply_pending``; None if another load committed first."""
+    schema, at, ranges = target.schema, versions.committed(spark, out_root), []
+    if at is not None:
+        ledger = _joined_ledgers(spark.read.schema(LEDGER_SCHEMA).parquet(f"{at[1]}/ledger"), ledger)
+        ranges = versions.read_list(spark, out_root, at[1])
+    pend = pending_files(ledger)
+    if table is not None:
+        pend = pend.where(F.split("file_name", "[.]")[0] == table)
+    if name_filter is not None:
+        pend = pend.where(F.expr(name_filter) if isinstance(name_filter, str) else name_filter)
+    listed = pend.select("file_name", "file_number_of_rows", "file_arrival_timestamp").collect()
+    names, more = [r["file_name"] for r in listed], sum(r["file_number_of_rows"] or 0 for r in listed)
+    if at is not None and not names:
+        return versions.read_ranges(spark, schema, ranges), ledger
+    version = versions.new_version(out_root, (at[0] if at else 0) + 1)
+    changes = pending_changes(spark, stage_dir, names, schema, flag, expectations)
+    if at is None:
+        merged = _fold_drops(spark, target, changes, pk, flag, load_type, "pending") if names else target
+        after = versions.write_ranges(merged.withColumn(versions.RANGE, F.lit(0)), pk, version, versions.parts_of(target.count() + more, range_rows))
+    else:
+        changes = cdc._written(changes.withColumn(versions.RANGE, versions.range_of(pk, schema, ranges)), "pending-changes")
+        touched = _touched(changes, pk, schema, flag, load_type, ranges)
+        own = [ranges[p] for p in sorted(touched) if p < len(ranges)]
+        new: list[versions.Range] = []
+        if touched:
+            acting = changes.where(F.col(versions.RANGE).isin(list(touched))).drop(versions.RANGE)
+            sizes = [n + (ranges[p].rows if p < len(ranges) else 0) for p, n in touched.items()]
+            merged = _fold_drops(spark, versions.read_ranges(spark, schema, own), acting, pk, flag, load_type, "pending")
+            new = versions.write_ranges(merged.withColumn(versions.RANGE, versions.range_of(pk, schema, ranges)), pk, version,
+                                        sum(versions.parts_of(n, range_rows) for n in sizes))
+        after = versions.joined([(i, r) for i, r in enumerate(ranges) if i not in touched], new, [versions.place_of(r) for r in new])
+    versions.write_list(spark, out_root, version, after)
+    done = mark_loaded(ledger, spark.createDataFrame([(n,) for n in names], "file_name string"), now) if names else ledger
+    done.write.parquet(f"{version.path}/ledger")
+    if not versions.commit(spark, out_root, version):
+        return None
+    return versions.read_ranges(spark, schema, after), spark.read.schema(LEDGER_SCHEMA).parquet(f"{version.path}/ledger")
+
+
 def apply_pending(spark: SparkSession, ledger: DataFrame, target: DataFrame, stage_dir: str,
                   out_root: str, pk, flag: str = "delta_flg", load_type: str = cdc.INCREMENTAL,
-                  now=None, table: str | None = None, name_filter=None,
-                  expectations: dict | None = None) -> tuple[DataFrame, DataFrame]:
+                  now=None, table: str | None = None, name_filter=None, expectations: dict | None = None,
+                  range_rows: int = versions.RANGE_ROWS, attempts: int = 10) -> tuple[DataFrame, DataFrame]:
     """Load every pending drop, in arrival order, into the table kept under
     ``out_root``, and mark it loaded.  Returns (target, ledger).
 
@@ -270,44 +332,29 @@ def apply_pending(spark: SparkSession, ledger: DataFrame, target: DataFrame, sta
     every later one from the version the last call committed; ``ledger``
     brings drops registered since (one registered again with a later arrival
     is loaded again).  All pending drops are gated and folded in one pass
-    (``_fold_drops``; a D / U / I flag has the meaning of ``cdc.merge_flagged``
-    at its place in the order), and the target is written once.  Nothing is
-    overwritten: target and ledger go into a new version directory, which a
-    marker written last makes the current one.  A load that fails before that
-    leaves the previous version current, and the next call does its work.
+    (``pending_changes``, ``_fold_drops``; a D / U / I flag has the meaning of
+    ``cdc.merge_flagged`` at its place in the order).
+
+    The table is kept in key ranges (``operators.versions``).  After the first
+    load only ranges that a change can act on are read and written; the new
+    version names the others where they are.  A range that grows past twice
+    ``range_rows`` is cut.
+
+    Nothing is overwritten, and a version's number is taken by one load only.
+    A load that fails before that leaves the previous version current, and the
+    next call does its work; one that another load has overtaken reads the new
+    version and folds its drops again, ``attempts`` times at most.
 
     ``table`` takes the drops whose name up to the first dot equals it;
     ``name_filter`` (SQL text or Column on ``file_name``) selects a kind of
     drop; ``expectations`` ({name: SQL rule}) fail the load on a row that
     breaks a rule."""
     pk = [pk] if isinstance(pk, str) else list(pk)
-    number, now_at = 0, committed(spark, out_root)
-    if now_at is not None:
-        number, path = now_at
-        target = spark.read.schema(target.schema).parquet(f"{path}/target")
-        ledger = _joined_ledgers(spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/ledger"), ledger)
-    pend = pending_files(ledger)
-    if table is not None:
-        pend = pend.where(F.split("file_name", "[.]")[0] == table)
-    if name_filter is not None:
-        pend = pend.where(F.expr(name_filter) if isinstance(name_filter, str) else name_filter)
-    names = [r.file_name for r in pend.select("file_name", "file_arrival_timestamp").collect()]
-    if now_at is not None and not names:
-        return target, ledger
-    version = f"{number + 1:012d}-{uuid.uuid4().hex[:12]}"
-    path = f"{out_root}/versions/{version}"
-    merged = target
-    if names:
-        gated = []
-        for seq, name in enumerate(names, start=1):  # names and footers only
-            changes = quality.schema_gate(scan_parquet(spark, f"{stage_dir}/{name}"), target, ignore=[flag], ordered=False)
-            if expectations:
-                changes = quality.expect_all_or_fail(changes, expectations)
-            gated.append(changes.withColumn("__seq", F.lit(seq).cast("long")))
-        merged = _fold_drops(spark, target, union_all(*gated), pk, flag, load_type, "pending")
-    merged.write.parquet(f"{path}/target")
-    done = mark_loaded(ledger, spark.createDataFrame([(n,) for n in names], "file_name string"), now) if names else ledger
-    done.write.parquet(f"{path}/ledger")
-    _commit(spark, out_root, now_at, version)
-    return (spark.read.schema(target.schema).parquet(f"{path}/target"),
-            spark.read.schema(LEDGER_SCHEMA).parquet(f"{path}/ledger"))
+    for _ in range(attempts):
+        done = _load(spark, ledger, target, stage_dir, out_root, pk, flag, load_type, now, table, name_filter, expectations, range_rows)
+        if done is not None:
+            return done
+    raise RuntimeError(f"other loads have committed to {out_root} {attempts} times meanwhile; call again")
+
+
+committed = versions.committed

@@ -741,7 +741,30 @@ def q_stream_typed_drops(spark, sf):
     return stream.current_state(spark, log, "c_custkey", "c_custkey").withColumnRenamed("_rescued_data", "rescued")
 
 
+def q_load_ranges(spark, sf):
+    """orders kept in key ranges, then a drop that touches few of them: the
+    rows, and whether the second load wrote less than a fifth of the table."""
+    o = fx.table(spark, sf, "orders")
+    stage, root = scratch_path(spark, "orders-drops"), scratch_path(spark, "orders-ranges")
+    total = o.count()
+
+    def load(name, drop):
+        sink.write_drop(drop, f"{stage}/{name}")
+        ledger = led.register_files(led.empty_ledger(spark), led.drop_counts(spark, f"{stage}/{name}"), now=LEDGER_NOW)
+        return led.apply_pending(spark, ledger, o.limit(0), stage, root, "o_orderkey", now=LOADED_NOW, range_rows=max(1, total // 40))[0]
+
+    load("orders.parquet_I_1", o.withColumn("delta_flg", F.lit("I")))
+    k, half = F.col("o_orderkey"), o.agg(F.max("o_orderkey")).first()[0] // 2
+    near = o.where((k > half) & (k <= half + 30))
+    after = load("orders.parquet_U_2", near.withColumn("o_orderpriority", F.lit("changed")).withColumn("delta_flg", F.when(k % 3 == 0, "D").when(k % 3 == 1, "U").otherwise("I")))
+    _, path = led.committed(spark, root)
+    written = spark.read.schema(o.schema).parquet(f"{path}/rows").agg(F.count(F.lit(1)).alias("n"))
+    share = written.select(F.when(F.col("n") * 5 < total, F.lit("few rows written")).otherwise(F.lit("many rows written")).alias("o_orderpriority"), F.lit(-1).cast("long").alias("o_orderkey"))
+    return after.select("o_orderpriority", "o_orderkey").unionByName(share)
+
+
 QUERIES.update({
+    "load_ranges": q_load_ranges,
     "merged_types": q_merged_types,
     "stream_typed_drops": q_stream_typed_drops,
     "parse_delimited_rescue": q_parse_delimited_rescue,

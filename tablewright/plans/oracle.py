@@ -365,4 +365,9 @@ WITH c AS (SELECT *, CAST(round(c_acctbal, 2) AS DECIMAL(18, 2)) AS d, c_custkey
 SELECT c_custkey, c_name, c_nationkey, CASE WHEN NOT odd THEN CAST(d AS DOUBLE) END AS c_acctbal, c_mktsegment,
        CASE WHEN odd THEN '{"c_acctbal":"' || CAST(d AS VARCHAR) || ' EUR"}' END AS rescued
 FROM c""",
+    "load_ranges": """
+WITH h AS (SELECT max(o_orderkey) // 2 AS half FROM orders)
+SELECT CASE WHEN o_orderkey > half AND o_orderkey <= half + 30 AND o_orderkey % 3 = 1 THEN 'changed' ELSE o_orderpriority END AS o_orderpriority, o_orderkey
+FROM orders, h WHERE NOT (o_orderkey > half AND o_orderkey <= half + 30 AND o_orderkey % 3 = 0)
+UNION ALL SELECT 'few rows written', -1""",
 })

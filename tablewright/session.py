@@ -130,10 +130,44 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def create_marker(spark: SparkSession, path: str) -> None:
-    """Create an empty file; fails if it exists, so of two writers one wins."""
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its content in one step, unless there is one of
+    that name: of several writers exactly one gets True.  The content is
+    written aside first and then linked (local files) or renamed without
+    overwriting.  A store must offer such a rename, as HDFS does."""
     fs, p = _file_system(spark, path)
-    fs.create(p, False).close()
+    jvm = spark._jvm
+    fs.mkdirs(p.getParent())
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getScheme() == "file":
+            def local(x):
+                return jvm.java.io.File(x.toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(local(p), local(aside))
+        else:
+            none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+            none[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()).rename(aside, p, none)
+        return True
+    except Exception as e:
+        if "AlreadyExists" in str(e):
+            return False
+        raise
+    finally:
+        fs.delete(aside, False)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's content."""
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def default_parallelism(spark: SparkSession) -> int:

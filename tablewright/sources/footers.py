@@ -48,7 +48,7 @@ def _rows(path: str, root_of, footer) -> list[tuple]:
     return [(root_of(path), path, i + 1, f.name, f.dataType.simpleString(), json.dumps(f.jsonValue())) for i, f in enumerate(schema.fields)]
 
 
-def _root_finder(roots: list[str]):
+def root_finder(roots: list[str]):
     """The given path that a file lies under (or is)."""
     given = {plain_path(r).rstrip("/"): r for r in roots}
 
@@ -66,7 +66,7 @@ def _footers(roots: list[str], content: bool):
         import pyarrow.fs
         import pyarrow.parquet as pq
 
-        root_of = _root_finder(roots)
+        root_of = root_finder(roots)
 
         @lru_cache(maxsize=64)
         def store(scheme: str):
