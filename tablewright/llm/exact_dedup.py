@@ -28,7 +28,7 @@ MIN_CHUNK, MAX_CHUNK, USUAL = 512, 16384, 1024
 #: The rolling hash sees this many bytes; MIN_CHUNK exceeds it, so no boundary depends on what precedes the text.
 WINDOW = 32
 _GEAR = np.random.Generator(np.random.PCG64(8)).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
-#: Key widths tried in turn, in bytes.  The last two differ by seed.
+#: Key widths tried in turn, in bytes, each with a seed of its own.
 WIDTHS = (16, 16)
 
 

@@ -2,14 +2,15 @@
 
 A rolling hash over the hashes of neighbouring lines picks where a chunk of
 lines ends, so a passage put into different documents falls into the same
-chunks wherever it stands, but for its edges.  A chunk of several lines that
-occurs more than once in the corpus is removed everywhere but where it comes
-first.  Chunks go by keys that a byte comparison of all distinct chunks has
-proven to be one-to-one.
+chunks wherever it stands, but for its edges.  Lines go by keys that a byte
+comparison of all distinct lines has proven to be one-to-one, and a chunk by
+the keys of its lines.  A chunk of several lines that occurs more than once in
+the corpus is removed everywhere but where it comes first.
 
-Whole chunks miss a passage's edges, and most passages of three or four lines
-altogether.  ``remove_repeated_passages`` looks at every pair of neighbouring
-lines instead, and misses no repeated passage of two lines or more."""
+``remove_repeated_passages`` then extends what was found line by line: pairs of
+neighbouring lines that no removed chunk covers - across chunk boundaries, at a
+passage's edges, in passages too short to hold a common chunk - are looked up
+in the same way, so no repeated passage of two lines or more is missed."""
 
 from __future__ import annotations
 
@@ -27,8 +28,8 @@ from tablewright.llm.exact_dedup import WIDTHS, chunk_key, verified_width
 
 #: Lines of a chunk that are not blank: least, most, and one boundary in so many past the least.
 MIN_LINES, MAX_LINES, USUAL = 2, 32, 2
-#: The rolling hash sees this many lines that are not blank: the fewer, the sooner two documents fall into step.
-WINDOW = 1
+#: The rolling hash sees this many lines that are not blank.
+WINDOW = 2
 _FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _DROP = pow(_FACTOR, WINDOW, 1 << 64)
 
@@ -97,8 +98,8 @@ def _chunk_rows(width: int, seed: int, of=_chunks_of):
     return run
 
 
-def _places(width: int, seed: int, of=_chunks_of, pairs: bool = False):
-    """Where each chunk stands, or with ``pairs`` each pair of neighbouring ones (by the two keys, of one width)."""
+def _places(width: int, seed: int, of=_chunks_of):
+    """Where each chunk stands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = chunk_key(width, seed)
         for part, texts in _texts(batches):
@@ -106,10 +107,7 @@ def _places(width: int, seed: int, of=_chunks_of, pairs: bool = False):
             cols: tuple[list, ...] = ([], [], [], [])
             for doc_id, text in zip(ids, texts, strict=True):
                 sha = hashlib.sha256(text).digest()
-                places = [(a, key(c)) for a, c in of(text.split(b"\n"))]
-                if pairs:
-                    places = [(a, k + after) for (a, k), (_, after) in zip(places, places[1:], strict=False)]
-                for a, k in places:
+                for a, k in [(a, key(c)) for a, c in of(text.split(b"\n"))]:
                     for c, x in zip(cols, (doc_id, sha, a, k), strict=True):
                         c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int32(), pa.binary()), strict=True)],
@@ -173,25 +171,71 @@ def _without_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                          ["doc_id", "n_lines", "removed_lines", "text"])
 
 
+def _chunk_lines(width: int, seed: int):
+    """For each chunk: the place of its first line (blank ones not counted), the
+    keys of its lines, and that of the line after it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = chunk_key(width, seed)
+        for part, texts in _texts(batches):
+            ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
+            cols: tuple[list, ...] = ([], [], [], [], [])
+            for doc_id, text in zip(ids, texts, strict=True):
+                sha, lines, at, found = hashlib.sha256(text).digest()[:16], text.split(b"\n"), 0, []
+                for a, b in line_chunks(lines):
+                    keys = [key(x) for x in lines[a:b] if x.strip()]
+                    if keys:
+                        found.append((at, keys))
+                        at += len(keys)
+                for (n, keys), after in zip(found, [*[k[0] for _, k in found[1:]], b""], strict=False):
+                    for c, x in zip(cols, (doc_id, sha, n, b"".join(keys), after), strict=True):
+                        c.append(x)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                ["doc_id", "sha", "line", "keys", "after"])
+    return run
+
+
 def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widths=WIDTHS) -> DataFrame:
-    """As ``remove_repeated_chunks``, but line by line up to a passage's edges.
-
-    Every pair of neighbouring lines (blank ones between them aside) that
-    occurs more than once stays, whole, where it comes first; its lines go
-    everywhere else, unless another pair that comes first there needs them.  So
-    a repeated passage of two lines or more, however short, goes but for its
-    first place; a line repeated alone stays.  Blank lines go with the line
-    before them."""
+    """One row per input row: doc_id, n_lines, removed_lines, text (cleaned).
+
+    A repeated passage of two lines or more, however short, goes but for its
+    first place in the order of (doc_id, text hash, line); a null doc_id comes
+    first.  To the line: every pair of neighbouring lines (blank ones between
+    them aside) that occurs more than once stays, whole, where it comes first;
+    its lines go everywhere else, unless another repeated pair that comes first
+    there needs them.  A line repeated alone stays.  Blank lines go with the
+    line before them.
+
+    Chunks that repeat settle the pairs inside them at once; only the others
+    are looked up.  Rows that agree in doc_id and text count as one document, a
+    null text as empty: one empty line.  An empty table gives an empty result."""
     rows = texts_of(docs, id_col, text_col)
     width, seed = verified_width(rows, partial(_chunk_rows, of=_lines_of), widths)
-    places = written(rows.mapInArrow(_places(width, seed, _lines_of, pairs=True), "doc_id long, sha binary, line int, key binary"), "line-pairs")
     here = F.struct("doc_id", "sha", "line")
-    found = beside_group(places, ["key"], F.col("sha"), {"first": (F.min(here), F.min), "last": (F.max(here), F.max)})
-    pairs = (found.where(F.col("first") != F.col("last")).withColumn("comes_first", here == F.col("first"))
-             .groupBy("doc_id", "sha")  # at most a document's lines
-             .agg(F.collect_set(F.when(~F.col("comes_first"), F.col("line"))).alias("gone"),
-                  F.collect_set(F.when(F.col("comes_first"), F.col("line"))).alias("kept"))
+    ends = {"first": (F.min(here), F.min), "last": (F.max(here), F.max)}
+    chunks = rows.mapInArrow(_chunk_lines(width, seed), "doc_id long, sha binary, line int, keys binary, after binary")
+    chunks = written(chunks.withColumn("row", F.monotonically_increasing_id()), "line-chunks")
+    chunks = beside_group(chunks, ["keys"], F.col("row"), ends).withColumn("repeated", F.col("first") != F.col("last"))
+    chunks = written(chunks.withColumn("again", F.col("repeated") & (here != F.col("first"))), "line-chunks-found")
+
+    n = F.expr(f"int(octet_length(keys) div {width})")
+    inner = F.when(F.col("again") | (n < 2), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), n - 2))
+    inside = F.transform(inner, lambda i: F.struct(
+        i.alias("i"), F.substring(F.col("keys"), i * width + 1, F.lit(2 * width)).alias("key"), F.col("repeated").alias("known")))
+    across = F.when(F.octet_length("after") > 0, F.array(F.struct(
+        (n - 1).alias("i"), F.concat(F.substring(F.col("keys"), (n - 1) * width + 1, F.lit(width)), F.col("after")).alias("key"), F.lit(False).alias("known"))))
+    pairs = chunks.select("row", "doc_id", "sha", "line", F.explode(F.concat(inside, F.coalesce(across, F.filter(inside, lambda _: F.lit(False))))).alias("p"))
+    pairs = pairs.select("row", "doc_id", "sha", (F.col("line") + F.col("p.i")).alias("line"), "p.key", "p.known")
+    found = beside_group(pairs, ["key"], F.col("row"), ends | {"settled": (F.max("known"), F.max)})
+    found = found.where((F.col("first") != F.col("last")) | F.col("settled")).withColumn("comes_first", here == F.col("first"))
+    none = F.array().cast("array<int>")
+    marks = found.select("doc_id", "sha", F.when(F.col("comes_first"), none).otherwise(F.array("line")).alias("gone"),
+                         F.when(F.col("comes_first"), F.array("line")).otherwise(none).alias("kept"))
+    marks = marks.unionByName(chunks.where(F.col("again") & (n > 1)).select(
+        "doc_id", "sha", F.sequence(F.col("line"), F.col("line") + n - 2).alias("gone"), none.alias("kept")))
+    marks = (marks.groupBy("doc_id", "sha")  # at most a document's lines
+             .agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("gone", "kept")])
              .select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha"), "gone", "kept"))
-    keyed = rows.withColumn("sha", F.unhex(F.sha2("text", 256)))
-    marked = keyed.join(pairs, keyed["doc_id"].eqNullSafe(pairs["gone_id"]) & (keyed["sha"] == pairs["gone_sha"]), "left")
+    keyed = rows.withColumn("sha", F.expr("substring(unhex(sha2(text, 256)), 1, 16)"))
+    marked = keyed.join(marks, keyed["doc_id"].eqNullSafe(marks["gone_id"]) & (keyed["sha"] == marks["gone_sha"]), "left")
     return marked.select("doc_id", "text", "gone", "kept").mapInArrow(_without_pairs, "doc_id long, n_lines long, removed_lines long, text string")

@@ -23,7 +23,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.remove_repeated_chunks(documents(spark, sf_dir)).select(
+    return line_dedup.remove_repeated_passages(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "removed_lines", F.char_length("text").cast("long").alias("clean_chars"),
         F.sha2("text", 256).alias("clean_sha256"))
 

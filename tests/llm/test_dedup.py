@@ -131,10 +131,8 @@ def test_short_passages_line_by_line(spark):
             assert got[i] == (own[i] if i % 2 else text)
 
 
-def test_passages_against_brute_force(spark):
-    rng = random.Random(4)
-    rows = ROWS + [(100 + k, "\n".join(rng.choice(["a", "b", "c", "d", "e", "f", "", " "]) for _ in range(rng.randint(0, 9)))) for k in range(60)]
-    rows += rows[-3:]
+def brute_passages(rows):
+    """Every repeated pair of neighbouring lines but where it comes first, by plain dictionaries."""
     docs = sorted({(i is not None, i or 0, hashlib.sha256((t or "").encode()).digest(), t or "") for i, t in rows})
     at = defaultdict(list)
     for d in docs:
@@ -152,11 +150,48 @@ def test_passages_against_brute_force(spark):
             n += bool(x.encode().strip())
             out += [x] if max(n, 0) not in gone[d] - kept[d] else []
         want[d[1] if d[0] else None, d[3]] = "\n".join(out)
-    got = line_dedup.remove_repeated_passages(table(spark, [(i, t, None, None, None, *["x"] * 14) for i, t in rows])).collect()
-    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), want[i, t or ""]) for i, t in rows)
+    return want
+
+
+def test_passages_against_brute_force(spark):
+    rng = random.Random(4)
+    for rounds in range(2):
+        long = [rng.sample(["a", "b", "c", "d", "e", "f", "g", "h", "i", "j", "", " "], 12) for _ in range(4)]
+        rows = ROWS + [(100 + k, "\n".join([rng.choice(["a", "b", "c", "d", "e", "f", "", " "]) for _ in range(rng.randint(0, 9))]
+                                           + (rng.choice(long)[rng.randint(0, 3):] if rounds else []))) for k in range(60)]
+        rows += rows[-3:]
+        want = brute_passages(rows)
+        got = line_dedup.remove_repeated_passages(table(spark, [(i, t, None, None, None, *["x"] * 14) for i, t in rows])).collect()
+        assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), want[i, t or ""]) for i, t in rows)
     assert line_dedup.remove_repeated_passages(table(spark, [])).count() == 0
 
 
+def test_repeated_passages_of_any_length_are_found(spark):
+    """Of 50 passages of each length put into two documents, at least nine lines in ten go from the second."""
+    rng = random.Random(8)
+    texts, lengths = [], [3, 4, 6, 8, 12, 40]
+    for size in lengths:
+        for k in range(50):
+            passage = [f"passage {size} {k} line {i} {rng.random()}" for i in range(size)]
+            for side in "ab":
+                head, tail = ([f"{side} {size} {k} {where} {i} {rng.random()}" for i in range(rng.randint(0, 9))] for where in ("head", "tail"))
+                texts.append("\n".join(head + passage + tail))
+    got = {r["doc_id"]: r for r in line_dedup.remove_repeated_passages(docs_of(spark, texts)).collect()}
+    for g, size in enumerate(lengths):
+        removed = [got[i]["removed_lines"] for i in range(100 * g, 100 * g + 100)]
+        assert sum(removed[::2]) == 0 and sum(removed[1::2]) >= 0.9 * 50 * size, size
+
+
+def test_chunks_settle_most_of_a_long_passage():
+    """The rolling hash of two lines brings copies into step soon: most pairs are settled by chunks."""
+    rng = random.Random(1)
+    lines = [f"{rng.random()}".encode() for _ in range(400)]
+    ours = {b"\n".join(x[a:b]) for x in ([b"one", *lines],) for a, b in line_dedup.line_chunks(x)}
+    other = [b"two", b"words", b"before", *lines]
+    shared = sum(b - a for a, b in line_dedup.line_chunks(other) if b"\n".join(other[a:b]) in ours)
+    assert line_dedup.WINDOW >= 2 and shared >= 0.95 * len(lines)
+
+
 def test_forest_and_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 640)] + [(900, i) for i in range(700, 880)]
@@ -282,7 +317,7 @@ def test_queries_match_sql(spark, sf_small):
 
 def test_line_query_against_brute_force(spark, sf_small):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
-    want = brute_lines(rows)
+    want = brute_passages(rows)
     got = QUERIES["op3_line_dedup"](spark, sf_small).collect()
     assert len(got) == len(rows)
     for r in got:
