@@ -37,6 +37,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def rows_that_stay(docs: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``stay`` (doc_id, sha: 32 bytes) names, one for
+    each name, all columns as they were.  Id and hash make one key that is never
+    null; the join and the choice among repeated rows share its one exchange."""
+    def key(doc_id: Column, sha: Column) -> Column:
+        return F.concat(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"), F.lit("/").cast("binary"), sha)
+
+    own = free_name(docs, "stay_key")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    keyed = docs.withColumn(own, key(F.col(f"`{id_col}`").cast("long"), F.unhex(F.sha2(text, 256))))
+    wanted = stay.select(key(F.col("doc_id"), F.col("sha")).alias(own))
+    return keyed.join(wanted, own, "left_semi").dropDuplicates([own]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

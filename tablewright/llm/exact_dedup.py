@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import beside_group, raw, steps, texts_of, written
+from tablewright.llm.common import beside_group, raw, rows_that_stay, steps, texts_of, written
 
 #: Chunk sizes in bytes: least, most, and (a power of two) the usual distance of boundaries.
 MIN_CHUNK, MAX_CHUNK, USUAL = 512, 16384, 1024
@@ -139,10 +139,5 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     The row kept is the one ``duplicate_groups`` names; of repeated rows any
     one, as they agree in doc_id and text."""
-    groups = duplicate_groups(docs, id_col, text_col)
-    stay = groups.where("kept").select(F.col("doc_id").alias("__stay_id"), F.col("text_sha256").alias("__stay_sha"))
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    marked = docs.withColumn("__sha", F.sha2(text, 256))
-    same = marked["__sha"].eqNullSafe(stay["__stay_sha"]) & marked[id_col].cast("long").eqNullSafe(stay["__stay_id"])
-    return (marked.join(stay, same, "left_semi").dropDuplicates([id_col, "__sha"])
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    stay = duplicate_groups(docs, id_col, text_col).where("kept").select("doc_id", F.unhex("text_sha256").alias("sha"))
+    return rows_that_stay(docs, stay, id_col, text_col)

@@ -7,10 +7,10 @@ DataFrame functions only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import texts_of
+from tablewright.llm.common import free_name, texts_of, written
 from tablewright.llm.ordering import positions
 
 #: Words in a shingle, and hashes in a fingerprint.
@@ -54,13 +54,24 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), j / (1 + j) * (na + nb) / na))
 
 
-def merge_sketches(parts: DataFrame, key: str, sketch_col: str, k: int = K) -> DataFrame:
-    """One sketch for each key from those of its parts.  Each task keeps the k
-    smallest of a key before rows move, so a key with many parts is no burden."""
-    order = Window.partitionBy(key).orderBy("h")
-    return (parts.select(key, F.explode(sketch_col).alias("h")).distinct()
-            .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= k)
-            .groupBy(key).agg(F.sort_array(F.collect_list("h")).alias(sketch_col)))
+def merge_sketches(parts: DataFrame, key: str, sketch_col: str, k: int = K, fan_in: int = 64) -> DataFrame:
+    """One sketch for each key from those of its parts; a key whose parts are
+    all empty (or null) has an empty one, and a null key is a key.
+
+    Sketches are merged in rounds of about ``fan_in`` parts each, so a key with
+    very many parts is merged by many tasks, and no task holds more than about
+    that many of its sketches at once."""
+    most = parts.groupBy(key).count().agg(F.max("count")).first()[0] or 1
+    value = F.coalesce(F.col(sketch_col), F.array().cast("array<bigint>"))
+    rows = parts.select(key, value.alias(sketch_col))
+    while True:
+        lots = -(-most // fan_in)
+        lot = free_name(rows, "lot")
+        dealt = rows.withColumn(lot, F.pmod(F.monotonically_increasing_id(), F.lit(lots)) if lots > 1 else F.lit(0))
+        rows = dealt.groupBy(key, lot).agg(F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list(sketch_col)))), 1, k).alias(sketch_col)).drop(lot)
+        if lots == 1:
+            return rows
+        rows, most = written(rows, "sketches"), lots
 
 
 def as_text(a: Column) -> Column:

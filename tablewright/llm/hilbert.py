@@ -13,7 +13,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import shuffle_partitions, written
+from tablewright.llm.common import free_name, shuffle_partitions, written
 from tablewright.llm.ordering import positions
 
 #: Bits for each dimension: 2 ** BITS cells along it.
@@ -126,9 +126,10 @@ def quantised(df: DataFrame, names: list[str], bits: int = BITS) -> DataFrame:
 
 
 def shard(docs: DataFrame, dims: list[str], shards: int = 40, bits: int = BITS,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law, shard, slot,
-    grown_shard, curve.
+    grown_shard, curve, and row_key, if ``row_col`` names a column that tells
+    rows apart.
 
     The law is ``rows``: the curve is cut into runs whose row counts are at
     most one apart (size is the text's UTF-8 bytes, null: none, plus 16).
@@ -142,10 +143,10 @@ def shard(docs: DataFrame, dims: list[str], shards: int = 40, bits: int = BITS,
     thin = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
                        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-                       F.xxhash64(text).alias("text_hash"),
+                       F.xxhash64(text).alias("text_hash"), (F.col(f"`{row_col}`").cast("long") if row_col else F.lit(None).cast("long")).alias("row_key"),
                        *[c.alias(f"dim_{k}") for k, c in enumerate(codes)])
     thin = quantised(written(thin, "metadata"), [f"dim_{k}" for k in range(len(dims))], bits)
-    thin = thin.select("doc_id", "size", "text_crc32", "text_hash",
+    thin = thin.select("doc_id", "size", "text_crc32", "text_hash", "row_key",
                        curve_index([F.col(f"cell_{k}") for k in range(len(dims))], bits).alias("curve"))
     placed = positions(thin, F.col("curve"), F.col("text_hash"), F.xxhash64("doc_id"), F.col("doc_id"))
     total = placed.count()
@@ -154,19 +155,24 @@ def shard(docs: DataFrame, dims: list[str], shards: int = 40, bits: int = BITS,
     start = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
     return (placed.withColumn("shard", own).withColumn("slot", F.col("position") - start)
             .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
-                    F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve"))
-
-
-def write_shards(docs: DataFrame, sharded: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """All columns of ``docs`` as Parquet under path/shard=N, in the order of
-    the slots within each file.  Rows find their shard by id and text."""
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    at = sharded.groupBy(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc")).agg(
-        F.min("shard").alias("shard"), F.min("slot").alias("__slot"))
-    keyed = docs.withColumn("__doc", F.col(f"`{id_col}`").cast("long")).withColumn("__text", F.crc32(F.encode(text, "UTF-8")))
-    joined = keyed.join(at, keyed["__doc"].eqNullSafe(at["__id"]) & (keyed["__text"] == at["__crc"]))
-    (joined.repartitionByRange(shuffle_partitions(docs.sparkSession), "shard", "__slot").sortWithinPartitions("shard", "__slot")
-     .drop("__id", "__crc", "__doc", "__text", "__slot").write.partitionBy("shard").parquet(path))
+                    F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve",
+                    *(["row_key"] if row_col else [])))
+
+
+def write_shards(docs: DataFrame, dims: list[str], path: str, shards: int = 40, bits: int = BITS,
+                 id_col: str = "doc_id", text_col: str = "text") -> str:
+    """All columns of ``docs``, as they are, as Parquet under path/<shard>=N, in
+    the order of the slots within each file.  Returns the name of the shard
+    column: ``shard``, or a longer one if ``docs`` has that.  Rows are numbered
+    and written once, and find their shard by number, so rows that repeat whole
+    are dealt like any others."""
+    name, row, slot = (free_name(docs, x) for x in ("shard", "row_number", "slot_number"))
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    at = shard(numbered, dims, shards, bits, id_col, text_col, row).select(
+        F.col("row_key").alias(row), F.col("shard").alias(name), F.col("slot").alias(slot))
+    (numbered.join(at, row).drop(row).repartitionByRange(shuffle_partitions(docs.sparkSession), name, slot)
+     .sortWithinPartitions(name, slot).drop(slot).write.partitionBy(name).parquet(path))
+    return name
 
 
 __all__ = ["curve_index", "curve_table", "quantised", "shard", "write_shards"]

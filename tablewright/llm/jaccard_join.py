@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import beside_group, fixed_binary, raw, steps, texts_of, written
+from tablewright.llm.common import beside_group, fixed_binary, raw, rows_that_stay, steps, texts_of, written
 from tablewright.llm.components import Forest, connected_components
 
 #: Words in a shingle, and the likeness as a fraction.
@@ -629,9 +629,5 @@ def drop_near_duplicates(docs: DataFrame, least: tuple[int, int] = LEAST, id_col
     """``docs`` with one row of each linked group, all columns as they were:
     the one with the smallest doc_id, then text hash; of rows that repeat in
     both, one.  Documents without words link with nothing and stay."""
-    stay = linked_components(docs, least, id_col, text_col).where("stays").select(
-        F.col("doc_id").alias("__stay_id"), F.col("sha").alias("__stay_sha"))
-    marked = docs.withColumn("__sha", F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), 256)))
-    same = (marked["__sha"] == stay["__stay_sha"]) & marked[id_col].cast("long").eqNullSafe(stay["__stay_id"])
-    return (marked.join(stay, same, "left_semi").dropDuplicates([id_col, "__sha"])
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    stay = linked_components(docs, least, id_col, text_col).where("stays").select("doc_id", "sha")
+    return rows_that_stay(docs, stay, id_col, text_col)

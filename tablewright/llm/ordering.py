@@ -13,10 +13,11 @@ def positions(df: DataFrame, *order: Column, name: str = "position") -> DataFram
 
     Spark cuts the order into ranges by sampling; rows are sorted within each
     range, written once together with range and place, and the ranges' counts
-    (one number for each range) give what comes before.  ``order`` should tell
-    rows apart, or equal rows share a range: end it with a hash."""
+    (one number for each range) give what comes before.  Rows equal in ``order``
+    are told apart by their place in the input, so many of them span ranges."""
     ranges = 4 * shuffle_partitions(df.sparkSession)
-    spread = (df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    order = (*order, F.col("__row"))
+    spread = (df.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop("__row")
               .withColumn("__range", F.spark_partition_id())
               .withColumn("__place", F.monotonically_increasing_id()))
     spread = written(spread, "ordered")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tablewright.llm.bpe import PrefixTable, Remembered, load_json
+from tablewright.llm.bpe import PrefixTable, Remembered, is_plain_byte_level, load_json
 from tablewright.llm.common import steps, texts_of
 
 #: Fixed: what a contraction that is cut before its end falls apart into is an apostrophe and a letter.
@@ -23,7 +23,11 @@ _SPACE = regex.compile(r"\s+")
 
 
 class Counter:
+    """Token counts by a plain byte-level file; any other is refused."""
+
     def __init__(self, path: str, pattern: str):
+        if not is_plain_byte_level(path):
+            raise ValueError(f"{path} is not a plain byte-level file, whose prefixes this counts")
         vocab, self.special = load_json(path)
         self.table = PrefixTable(vocab)
         self.memory = Remembered(pattern, self._totals, sum)

@@ -25,6 +25,8 @@ from tablewright.llm.common import steps, texts_of
 
 #: Labelled rows used for training at most, chosen by a hash of their id.
 TRAIN_ROWS = 6000
+#: Features of a training row at most: the smallest of their hashes, so about as many words of any part of it.
+MOST_OF_ROW = 8192
 #: Folds of the out-of-fold predictions.
 FOLDS = 5
 #: Stems as well as whole words: prefixes of these lengths are features too.
@@ -32,7 +34,7 @@ PREFIXES = (4, 5, 6)
 #: A feature enters a model if its chi-squared with the category is this large, and at most so many do.
 LEAST_CHI2, MOST_FEATURES = 30.0, 1000
 #: The categories before the last: groups of the features that go most strongly with the last one's label.
-KINDS = ("insult", "contempt")
+KINDS = ("kind_1", "kind_2")
 #: So many features are grouped at most; two that share more than this part of the rarer one's rows stay together.
 MOST_TELLING, TOGETHER = 200, 0.9
 THRESHOLD = 0.5
@@ -240,24 +242,26 @@ def train(docs: DataFrame, labels: DataFrame, kinds: tuple[str, ...] = KINDS, tr
     """A chain of one model for each kind and, last, one for toxicity.
 
     The kinds are found in the labelled rows (``kinds_of``): their names say
-    nothing about the words.  Rows whose label or id is null are left out; of an id labelled
+    nothing about the words.  They are found once, in all training rows, before
+    the folds.  Rows whose label or id is null are left out; of an id labelled
     twice the larger label counts.  With no labelled rows, or only one class,
     the model is the constant rate (0 without rows)."""
     chosen = (labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y"))
               .where("doc_id IS NOT NULL AND y IS NOT NULL").groupBy("doc_id").agg(F.max("y").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))  # the sample: a documented bound
-    picked = texts_of(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # at most train_rows rows
+    picked = texts_of(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # at most train_rows ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in steps(batches):
             ids, y = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "y"))
             texts = part.column(part.schema.get_field_index("text")).to_pylist()
-            features = [np.sort(np.array(list(text_features(t)), "<u4")).tobytes() for t in texts]
+            features = [np.sort(np.array(list(text_features(t)), "<u4"))[:MOST_OF_ROW].tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(y, pa.int32()), pa.array(features, pa.binary())],
                                              ["doc_id", "y", "features"])
 
-    got = sorted(picked.mapInArrow(run, "doc_id long, y int, features binary").toLocalIterator(),
-                 key=lambda r: (r["doc_id"], bytes(r["features"])))[:train_rows]
+    # one row for each id, before anything reaches the driver: of an id with several texts the least features
+    per_id = picked.mapInArrow(run, "doc_id long, y int, features binary").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("features").alias("features"))
+    got = sorted(per_id.toLocalIterator(), key=lambda r: r["doc_id"])  # at most train_rows rows
     rows = [np.frombuffer(bytes(r["features"]), "<u4").astype(np.int64) for r in got]
     toxic = np.array([r["y"] > 0 for r in got], float)
     by_kind = dict(zip(kinds, kinds_of(rows, toxic, len(kinds)).astype(float), strict=True))

@@ -307,6 +307,16 @@ def test_jaccard_awkward_rows(spark):
     assert out.where("doc_id IS NULL").count() == 1
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    rows = [(1, "some text", "KEEP1", 5, b"x"), (2, "some text", "KEEP2", 6, b"y"), (3, "other words", "KEEP3", 7, b"z"), (3, "other words", "KEEP3", 7, b"z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __sha string, stay_key int, STAY_KEY_ binary")
+    for drop, stay in ((exact_dedup.drop_exact_duplicates, rows[1:3]), (jaccard_join.drop_near_duplicates, [rows[0], rows[2]])):
+        out = drop(docs)
+        assert out.schema == docs.schema and sorted(tuple(r) for r in out.collect()) == stay
+    plan = exact_dedup.drop_exact_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange" in x and "text#" in x for x in plan.split("\n")) <= 1
+
+
 def test_queries_match_sql(spark, sf_small):
     from oracle_check import compare, duck
     con = duck(sf_small)

@@ -120,11 +120,50 @@ def test_shards_awkward_rows(spark, tmp_path):
     check_shards(sharded.collect(), len(ROWS), 5)
     check_shards(hilbert.shard(docs, ["n_chars"], shards=100).collect(), len(ROWS), 100)
     assert hilbert.shard(table(spark, []), ["text", "source"]).count() == 0
-    hilbert.write_shards(docs, sharded, str(tmp_path / "out"))
+    assert hilbert.write_shards(docs, ["text", "source", "lang"], str(tmp_path / "out"), shards=5) == "shard"
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == len(ROWS) and set(docs.columns) < set(back.columns)
 
 
+def test_written_shards_of_repeated_rows_and_taken_names(spark, tmp_path):
+    rows = [(1, "the same", "s", k, k) for k in (7,) * 30] + [(i, f"text {i}", "t", i, i) for i in range(10, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Shard string, row_number int, slot_number int").repartition(4)
+    name = hilbert.write_shards(docs, ["text"], str(tmp_path / "out"), shards=5)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert name.lower() not in {c.lower() for c in docs.columns}
+    assert sorted(tuple(r) for r in back.select(*docs.columns).collect()) == sorted(rows)
+    assert [r["count"] for r in back.groupBy(name).count().collect()] == [10] * 5
+
+
+def test_many_equal_rows_span_ranges(spark, monkeypatch):
+    from tablewright.llm import ordering
+    kept = []
+    monkeypatch.setattr(ordering, "written", lambda df, label, of=ordering.written: kept.append(of(df, label)) or kept[-1])
+    got = ordering.positions(spark.range(4000).select((F.col("id") % 2).alias("x")), F.col("x"))
+    assert sorted(r["position"] for r in got.collect()) == list(range(4000))
+    assert kept[0].groupBy("__range").count().agg(F.max("count")).first()[0] < 1000
+
+
+def test_merged_sketches_keep_every_key(spark):
+    rows = [("a", [3, 9]), ("a", [1, 9]), ("b", []), ("c", None), (None, [5])] + [("many", [i, i + 1]) for i in range(500)]
+    parts = spark.createDataFrame(rows, "key string, s array<bigint>").repartition(5)
+    got = {r["key"]: r["s"] for r in fingerprints.merge_sketches(parts, "key", "s", 3, fan_in=4).collect()}
+    assert got == {"a": [1, 3, 9], "b": [], "c": [], None: [5], "many": [0, 1, 2]}
+
+
+def test_training_sample_holds_one_row_of_an_id(spark):
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text")).unionByName(
+        spark.createDataFrame([(2, "some other words")], "doc_id long, text string"))
+    seen = []
+    fit = toxicity.fit_chain
+    toxicity.fit_chain = lambda rows, labels, folds, *a: seen.append(len(rows)) or fit(rows, labels, folds, *a)
+    try:
+        toxicity.train(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    finally:
+        toxicity.fit_chain = fit
+    assert seen == [2]
+
+
 def test_text_dimension_with_a_common_beginning(spark):
     """Sources that begin alike still lie apart on the curve, in their order; nulls come first."""
     docs = spark.range(640).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
