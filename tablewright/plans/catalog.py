@@ -763,7 +763,41 @@ def q_load_ranges(spark, sf):
     return after.select("o_orderpriority", "o_orderkey").unionByName(share)
 
 
+def _files_met(spark, path, col):
+    """Whether a filter on a tenth of the column's rows meets at most half of the files."""
+    table = spark.read.parquet(path)
+    low, high = (F.lit(str(x)).cast(table.schema[col].dataType) for x in table.agg(F.percentile_approx(col, [0.3, 0.4], 10_000)).first()[0])
+    stats = sink.file_stats(spark, path, col).agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("max_v") >= low) & (F.col("min_v") <= high)).alias("met"))
+    return stats.select((F.col("met") * 2 <= F.col("n")).cast("long").alias("key"), F.lit(f"{col} prunes").alias("name"))
+
+
+def q_cluster_columns(spark, sf):
+    """orders clustered on three columns: the rows, and that a filter on each
+    of them skips files."""
+    cols = ["o_custkey", "o_orderdate", "o_totalprice"]
+    path = sink.cluster_write(fx.table(spark, sf, "orders"), cols, scratch_path(spark, "orders-interleaved"), files=64)
+    rows = spark.read.parquet(path).select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("name"))
+    return rec.union_all(rows, *[_files_met(spark, path, c) for c in cols])
+
+
+def q_compact_small(spark, sf):
+    """orders as two large files and many small ones, the small ones merged:
+    the rows, how many large files kept their names, and the files there are."""
+    o = fx.table(spark, sf, "orders")
+    path = scratch_path(spark, "orders-mixed-files")
+    third = F.col("o_orderkey") % 3
+    for part, n in ((o.where(third > 0), 2), (o.where(third == 0), 24)):
+        part.repartition(n).write.mode("append").parquet(path)
+    before = {r["path"]: r["length"] for r in spark.read.format("binaryFile").load(path).select("path", "length").collect()}
+    large = sorted(before, key=before.get)[-2:]
+    files = sink.compact_small(spark, path, scratch_path(spark, "orders-merged"), ["o_orderkey"], file_bytes=before[large[0]])
+    counts = spark.createDataFrame([(len(set(files) & set(large)), "large kept"), (int(len(files) < 14), "few files")], "key long, name string")
+    return spark.read.parquet(*files).select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("name")).unionByName(counts)
+
+
 QUERIES.update({
+    "cluster_columns": q_cluster_columns,
+    "compact_small": q_compact_small,
     "load_ranges": q_load_ranges,
     "merged_types": q_merged_types,
     "stream_typed_drops": q_stream_typed_drops,

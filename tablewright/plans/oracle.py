@@ -370,4 +370,10 @@ WITH h AS (SELECT max(o_orderkey) // 2 AS half FROM orders)
 SELECT CASE WHEN o_orderkey > half AND o_orderkey <= half + 30 AND o_orderkey % 3 = 1 THEN 'changed' ELSE o_orderpriority END AS o_orderpriority, o_orderkey
 FROM orders, h WHERE NOT (o_orderkey > half AND o_orderkey <= half + 30 AND o_orderkey % 3 = 0)
 UNION ALL SELECT 'few rows written', -1""",
+    "cluster_columns": """
+SELECT o_orderkey AS key, o_orderpriority AS name FROM orders
+UNION ALL SELECT 1, c || ' prunes' FROM (VALUES ('o_custkey'), ('o_orderdate'), ('o_totalprice')) v(c)""",
+    "compact_small": """
+SELECT o_orderkey AS key, o_orderpriority AS name FROM orders
+UNION ALL SELECT n, c FROM (VALUES (2, 'large kept'), (1, 'few files')) v(n, c)""",
 })

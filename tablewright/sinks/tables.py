@@ -8,9 +8,9 @@ directory keeps the old version readable until the caller switches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DateType, NumericType, StructType, TimestampNTZType, TimestampType
 
 from ..functions.casts import cast_by_type
 from ..session import default_parallelism
@@ -94,15 +94,65 @@ def create_empty_like(spark: SparkSession, template_path: str, target: str, drop
     return schema
 
 
-def cluster_write(df: DataFrame, cols, path: str, files: int, mode: str = "overwrite") -> str:
-    """Write ``df`` range-partitioned and sorted on ``cols`` (lexicographic
-    order), so each file covers a narrow key range and parquet min/max
-    statistics let filters on those columns skip files and row groups.  A
-    hash of the row is the last range key, so one very frequent value is
-    spread over several files instead of one."""
-    cols = [qcol(c) for c in as_list(cols)]
+#: Bits of a column's quantile code in an interleaved clustering key.
+CODE_BITS = 6
+
+
+def _bounds(df: DataFrame, col: str, cells: int) -> list:
+    """At most cells - 1 values that cut the column's rows into equal shares:
+    percentiles of numbers and times; of other types the lowest values of
+    Spark's own range partitions of the column."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        shares = [k / cells for k in range(1, cells)]
+        found = df.agg(F.percentile_approx(qcol(col), shares, 10_000).alias("b")).first()["b"] or []
+    else:
+        spread = df.select(qcol(col).alias("v")).where(qcol("v").isNotNull()).repartitionByRange(cells, "v")
+        lowest = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v")).orderBy("p").collect()  # one row for each cell
+        found = [r["v"] for r in lowest[1:]]
+    return sorted(set(found))
+
+
+def _code(value: Column, kind: DataType, bounds: list) -> Column:
+    """How many of the bounds a value reaches; NULL reaches none."""
+    if not bounds:
+        return F.lit(0).cast("long")
+    text = isinstance(kind, (DateType, TimestampNTZType))
+    literals = F.array(*[(F.lit(str(x)) if text else F.lit(x)).cast(kind) for x in bounds])
+    return F.when(value.isNull(), F.lit(0)).otherwise(F.size(F.filter(literals, lambda x: x <= value))).cast("long")
+
+
+def interleaved_key(df: DataFrame, cols, bits: int = CODE_BITS) -> Column:
+    """A number that is near for rows near in every one of ``cols``: each column
+    is coded by how many of its 2^bits - 1 quantiles its value reaches (NULL:
+    none), and the codes' bits are interleaved, highest first."""
+    cols = as_list(cols)
+    codes = []
+    for c in cols:
+        codes.append(_code(qcol(c), df.schema[c].dataType, _bounds(df, c, 1 << bits)))
+    key = F.lit(0).cast("long")
+    for level in range(bits):
+        for i, code in enumerate(codes):
+            key = key + F.shiftleft(F.shiftright(code, level).bitwiseAND(F.lit(1).cast("long")), level * len(cols) + len(cols) - 1 - i)
+    return key
+
+
+def cluster_write(df: DataFrame, cols, path: str, files: int, mode: str = "overwrite", interleave: bool | None = None) -> str:
+    """Write ``df`` range-partitioned and sorted on ``cols``, so each file covers
+    narrow ranges and parquet min/max statistics let filters on those columns
+    skip files and row groups.
+
+    Several columns are interleaved (``interleaved_key``), so that a filter on
+    any one of them skips files; ``interleave=False`` gives their lexicographic
+    order, in which the first column alone decides the files.  A hash of the row
+    is the last range key, so one very frequent value is spread over several
+    files instead of one."""
+    names = as_list(cols)
+    keys = [qcol(c) for c in names]
+    if interleave or interleave is None and len(names) > 1:
+        keys = [interleaved_key(df, names), *keys]
     spread = F.xxhash64(*[qcol(c) for c in df.columns])
-    (df.repartitionByRange(files, *cols, spread).sortWithinPartitions(*cols)
+    (df.repartitionByRange(files, *keys, spread).sortWithinPartitions(*keys)
        .write.mode(mode).parquet(path))
     return path
 
@@ -133,6 +183,30 @@ def compact(spark: SparkSession, path: str, out_path: str, target_files: int | N
     return out_path
 
 
+def compact_small(spark: SparkSession, path: str, out_path: str, cluster_cols=None, file_bytes: int = 512 * 1024 * 1024,
+                  small_share: float = 0.5) -> list[str]:
+    """Merge the small files of a table - those under ``small_share`` of
+    ``file_bytes``, by the file listing - into files of about ``file_bytes``
+    under ``out_path``.  Returns the files the table now consists of: the large
+    ones, which are neither read nor written, under their own names, and the
+    merged ones.  Nothing is deleted; a reader of the old files is not
+    disturbed.  With fewer than two small files nothing is written."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").collect()  # a listing
+    small = [r for r in listed if r["length"] < small_share * file_bytes]
+    if len(small) < 2:
+        return sorted(r["path"] for r in listed)
+    merged = max(1, -(-sum(r["length"] for r in small) // file_bytes))
+    rows = spark.read.parquet(*[r["path"] for r in small])
+    if cluster_cols:
+        cluster_write(rows, cluster_cols, out_path, merged)
+    else:
+        few = merged < default_parallelism(spark)
+        (rows.repartition(merged) if few else rows.coalesce(merged)).write.mode("overwrite").parquet(out_path)
+    new = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out_path).select("path").collect()
+    names = {r["path"] for r in small}
+    return sorted([r["path"] for r in listed if r["path"] not in names] + [r["path"] for r in new])
+
+
 def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
     """Per data file: rows and min / max of ``col`` (layout check)."""
     df = spark.read.parquet(path)
