@@ -130,11 +130,16 @@ def interleaved_key(df: DataFrame, cols, bits: int = CODE_BITS) -> Column:
     codes = []
     for c in cols:
         codes.append(_code(qcol(c), df.schema[c].dataType, _bounds(df, c, 1 << bits)))
-    key = F.lit(0).cast("long")
-    for level in range(bits):
-        for i, code in enumerate(codes):
-            key = key + F.shiftleft(F.shiftright(code, level).bitwiseAND(F.lit(1).cast("long")), level * len(cols) + len(cols) - 1 - i)
-    return key
+
+    def interleaved(code: Column) -> Column:
+        key = F.lit(0).cast("long")
+        for level in range(bits):
+            for i in range(len(cols)):
+                bit = F.shiftright(F.get(code, F.lit(i)), level).bitwiseAND(F.lit(1).cast("long"))
+                key = key + F.shiftleft(bit, level * len(cols) + len(cols) - 1 - i)
+        return key
+
+    return F.transform(F.array(F.array(*codes)), interleaved)[0]  # each code is computed once
 
 
 def cluster_write(df: DataFrame, cols, path: str, files: int, mode: str = "overwrite", interleave: bool | None = None) -> str:
