@@ -10,11 +10,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
 
 from ..functions.casts import lossless, narrows
 from ..sources import footers
-from ..util import as_list, qcol
+from ..util import DEFAULT_BROADCAST_BYTES, as_list, bit_of, qcol
 
 
 class SchemaMismatch(ValueError):
@@ -65,6 +65,38 @@ def fk_violations(child: DataFrame, key, parent: DataFrame, parent_key=None) ->
     return child.where(not_null).join(pk, cond, "left_anti")
 
 
+#: Keys and bytes of one bitmap of Spark's bitmap aggregates.
+BITMAP_KEYS, BITMAP_BYTES = 32_768, 4_096
+
+
+def fk_violations_by_bitmap(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None,
+                            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``fk_violations`` for one whole-number key, without moving
+    the child: the parent's keys become bitmaps, one bit a key in buckets of
+    32,768, and the child is filtered against them where it is read.
+
+    The bitmaps are broadcast if the parent's lowest and highest key prove
+    that they fit ``broadcast_bytes`` (256 MiB hold a range of two billion
+    keys); that pass runs when this is called.  A wider range, another key
+    type or no bound goes to ``fk_violations``.  The parent's keys are made
+    distinct before they meet in buckets, so a frequent one does no harm."""
+    parent_key = parent_key or key
+    whole = (ByteType, ShortType, IntegerType, LongType)
+    if not (isinstance(child.schema[key].dataType, whole) and isinstance(parent.schema[parent_key].dataType, whole)):
+        return fk_violations(child, key, parent, parent_key)
+    keys = parent.select(qcol(parent_key).cast("long").alias("__pk")).where("__pk IS NOT NULL")
+    ends = keys.agg(F.min("__pk").alias("low"), F.max("__pk").alias("high")).first()
+    if ends["low"] is None:
+        return child.where(qcol(key).isNotNull())
+    if ((ends["high"] - ends["low"]) // BITMAP_KEYS + 2) * BITMAP_BYTES > (broadcast_bytes or 0):
+        return fk_violations(child, key, parent, parent_key)
+    k = qcol(key).cast("long")
+    bits = (keys.distinct().withColumn("__bucket", F.bitmap_bucket_number("__pk")).repartition("__bucket")
+            .groupBy("__bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("__pk")).alias("__bits")))
+    hit = (F.bitmap_bucket_number(k) == F.col("__bucket")) & bit_of(F.col("__bits"), k)
+    return child.where(qcol(key).isNotNull()).join(F.broadcast(bits), hit, "left_anti")
+
+
 def check_constraints(df: DataFrame, primary_key=None, not_null=(), foreign_keys: dict | None = None
                       ) -> DataFrame:
     """A table's declared contract checked as one report, one row per

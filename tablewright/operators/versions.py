@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import list_names, put_if_absent, read_text
-from ..util import qcol
+from ..util import bit_of, qcol
 
 #: Rows in a range, about.
 RANGE_ROWS = 2_000_000
@@ -184,9 +184,7 @@ def with_presence(changes: DataFrame, keys: list[str], schema: T.StructType, ran
         paths = [r.keys_at for r in ranges if r.keys_at]
         bits = (spark.read.schema("bucket long, bits binary").parquet(*paths) if paths else spark.createDataFrame([], "bucket long, bits binary"))
         bits = bits.groupBy(F.col("bucket").alias("__bucket")).agg(F.bitmap_or_agg("bits").alias("__bits"))  # a bucket may span two ranges
-        bit = F.bitmap_bit_position(k)
-        byte = F.conv(F.hex(F.substring(F.col("__bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
         return (changes.join(bits, F.bitmap_bucket_number(k) == F.col("__bucket"), "left")
-                .withColumn(name, F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("__bucket", "__bits"))
+                .withColumn(name, F.coalesce(bit_of(F.col("__bits"), k), F.lit(False))).drop("__bucket", "__bits"))
     own = read_ranges(spark, schema, ranges).select(*[qcol(k) for k in keys]).distinct().withColumn(name, F.lit(True))
     return changes.join(own, keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))

@@ -60,6 +60,16 @@ def q_apply_snapshot_log(spark, sf):
     return stream.snapshot_state(spark, log, "o_orderkey")
 
 
+def q_apply_snapshot_digests(spark, sf):
+    """Three snapshots into a change log, each compared with the key and row
+    digests of the one before; the log's state is the third."""
+    o = fx.table(spark, sf, "orders")
+    log, side = scratch_path(spark, "orders-digest-log"), scratch_path(spark, "orders-digests")
+    for version, snapshot in enumerate((fx.orders_old(o), fx.orders_new(o), fx.orders_old(o).where("o_orderkey % 11 <> 0")), 1):
+        stream.snapshot_to_log_by_digests(spark, log, side, snapshot, "o_orderkey", version)
+    return stream.snapshot_state(spark, log, "o_orderkey")
+
+
 def q_reconcile(spark, sf):
     o = fx.table(spark, sf, "orders")
     return rec.reconcile(fx.orders_new(o), fx.orders_old(o), "o_orderkey")
@@ -78,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_diff": q_snapshot_diff,
     "apply_snapshot": q_apply_snapshot,
     "apply_snapshot_log": q_apply_snapshot_log,
+    "apply_snapshot_digests": q_apply_snapshot_digests,
     "reconcile": q_reconcile,
     "reconcile_counts": q_reconcile_counts,
 }
@@ -213,6 +224,12 @@ def q_fk_violations(spark, sf):
     return quality.fk_violations(o, "o_custkey", c, "c_custkey")
 
 
+def q_fk_violations_bitmap(spark, sf):
+    """Line items whose order is gone, by bitmaps of the orders' keys: the line items do not move."""
+    o = fx.table(spark, sf, "orders").where("o_totalprice > 50000")
+    return quality.fk_violations_by_bitmap(fx.table(spark, sf, "lineitem"), "l_orderkey", o, "o_orderkey")
+
+
 def q_pk_violations(spark, sf):
     return quality.pk_violations(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -344,6 +361,7 @@ QUERIES.update({
     "delete_where": q_delete_where,
     "replace_where": q_replace_where,
     "fk_violations": q_fk_violations,
+    "fk_violations_bitmap": q_fk_violations_bitmap,
     "pk_violations": q_pk_violations,
     "not_null_violations": q_not_null_violations,
     "schema_gate": q_schema_gate,
@@ -649,6 +667,13 @@ def q_stream_apply_drops(spark, sf):
     return stream.current_state(spark, log, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, schema=schema)
 
 
+def q_reconcile_by_digests(spark, sf):
+    """orders against a table loaded from it with few faults: only the buckets
+    of keys whose digests differ are compared row by row."""
+    o = fx.table(spark, sf, "orders")
+    return rec.reconcile_by_digests(o, fx.orders_loaded(o), "o_orderkey", counts=True)
+
+
 def q_reconcile_duplicates(spark, sf):
     """lineitem by a key that repeats, against itself with a price changed and
     one flag's rows left out."""
@@ -807,6 +832,7 @@ QUERIES.update({
     "stream_two_runs": q_stream_two_runs,
     "stream_apply_drops": q_stream_apply_drops,
     "reconcile_duplicates": q_reconcile_duplicates,
+    "reconcile_by_digests": q_reconcile_by_digests,
     "ranked_ties": _ranked_ties("bounds"),
     "ranked_ties_written": _ranked_ties("range_write"),
     "named_tables": q_named_tables,

@@ -59,3 +59,14 @@ def orders_new(orders: DataFrame) -> DataFrame:
     copies = orders.where(m == 2).select(*[(k + NEW_KEY).alias(c) if c == "o_orderkey" else F.col(c)
                                            for c in orders.columns])
     return kept.unionByName(copies)
+
+
+def orders_loaded(orders: DataFrame) -> DataFrame:
+    """A table loaded from orders with few faults: keys % 997 = 0 left out,
+    = 1 with another status, = 2 also under a new key, = 3 twice."""
+    k = F.col("o_orderkey")
+    m = k % 997
+    status = F.when(m == 1, F.concat(F.col("o_orderstatus"), F.lit("?"))).otherwise(F.col("o_orderstatus"))
+    kept = orders.where(m != 0).select(*[status.alias(c) if c == "o_orderstatus" else F.col(c) for c in orders.columns])
+    copies = orders.where(m == 2).select(*[(k + NEW_KEY).alias(c) if c == "o_orderkey" else F.col(c) for c in orders.columns])
+    return kept.unionByName(copies).unionByName(orders.where(m == 3))

@@ -80,6 +80,7 @@ WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL
    OR o.o_orderpriority IS DISTINCT FROM n.o_orderpriority""",
     "apply_snapshot": f"WITH {ORDERS_NEW} SELECT * FROM new",
     "apply_snapshot_log": f"WITH {ORDERS_NEW} SELECT * FROM new",
+    "apply_snapshot_digests": f"WITH {ORDERS_OLD} SELECT * FROM old WHERE o_orderkey % 11 <> 0",
     "reconcile": f"""
 WITH {ORDERS_OLD}, {ORDERS_NEW}
 SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
@@ -377,3 +378,19 @@ UNION ALL SELECT 1, c || ' prunes' FROM (VALUES ('o_custkey'), ('o_orderdate'))
 SELECT o_orderkey AS key, o_orderpriority AS name FROM orders
 UNION ALL SELECT n, c FROM (VALUES (2, 'large kept'), (1, 'few files')) v(n, c)""",
 })
+
+SQL.update({
+    "reconcile_by_digests": f"""
+WITH t AS (SELECT * REPLACE (CASE WHEN o_orderkey % 997 = 1 THEN o_orderstatus || '?' ELSE o_orderstatus END AS o_orderstatus)
+           FROM orders WHERE o_orderkey % 997 <> 0
+           UNION ALL SELECT * REPLACE (o_orderkey + {NEW_KEY} AS o_orderkey) FROM orders WHERE o_orderkey % 997 = 2
+           UNION ALL SELECT * FROM orders WHERE o_orderkey % 997 = 3),
+     b AS (SELECT o_orderkey, count(*) AS n, any_value(o_orderstatus) AS status FROM t GROUP BY 1)
+SELECT o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 0 ELSE 1 END AS n_source, coalesce(b.n, 0) AS n_target,
+       CASE WHEN b.n > 1 THEN 'duplicate' WHEN b.n IS NULL THEN 'missing' WHEN a.o_orderkey IS NULL THEN 'extra'
+            WHEN a.o_orderstatus IS NOT DISTINCT FROM b.status THEN 'equal' ELSE 'different' END AS status
+FROM orders a FULL JOIN b USING (o_orderkey)""",
+    "fk_violations_bitmap": """
+SELECT l.* FROM lineitem l
+WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_totalprice > 50000)""",
+})

@@ -27,12 +27,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import casts
-from ..operators import cdc, quality
+from ..operators import cdc, digests, quality
 from ..operators.reconcile import union_all
-from ..session import list_names, path_exists
+from ..session import list_names, path_exists, scratch_path
 from ..sources import footers
 from ..sources.files import rescue_unexpected
-from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, qcol
+from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast, qcol
 
 # Reserved names: the partition columns of a log.  A table may not use them.
 VERSION_COL = "__log_version"
@@ -295,6 +295,67 @@ def snapshot_to_log(spark: SparkSession, log_path: str, previous: DataFrame | No
     return write_version(out, log_path, version, "snapshot", replace=False)
 
 
+def _snapshot_versions(spark: SparkSession, log_path: str) -> list[int]:
+    """Complete versions of a snapshot log, in order."""
+    found = [int(n.partition("=")[2]) for n in list_names(spark, log_path) if n.startswith(f"{VERSION_COL}=")]
+    return sorted(v for v in found if path_exists(spark, f"{version_path(log_path, v, 'snapshot')}/_SUCCESS"))
+
+
+def snapshot_to_log_by_digests(spark: SparkSession, log_path: str, digest_path: str, snapshot: DataFrame, keys, version: int,
+                               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                               broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> str:
+    """``snapshot_to_log`` without the previous state: every version keeps a
+    side table of its keys and row digests under ``digest_path``, and the next
+    snapshot is compared with that - a key and 16 bytes a row - instead of the
+    whole state folded from the log.  Rows of ``snapshot`` move only where
+    their key changed, and where the changed keys may be broadcast not even
+    those.  Read the table with ``snapshot_state``.
+
+    Versions are added in order.  The side table is written before the log
+    version, and used only if that is complete, so a job killed anywhere is
+    called again with the same version.  The newest version of a log that was
+    begun without digests is folded once to make them.  ``snapshot`` is read
+    twice and must give the same rows.  D rows hold the key, other columns are
+    NULL.  A key that occurs twice in the snapshot (NULL counts as one) fails
+    the job; so does a version that is not newer than the log."""
+    keys = as_list(keys)
+    taken = {SNAPSHOT_SEQ, SNAPSHOT_OP, digests.D0, digests.D1, "__side", "__n"} & set(snapshot.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are reserved for snapshot logs")
+    versions = _snapshot_versions(spark, log_path)
+    if versions and versions[-1] >= version:
+        raise FileExistsError(f"the log is at version {versions[-1]}")
+
+    def side_path(v):
+        return f"{digest_path}/version={v}"
+
+    def write_side(df, v):
+        df.write.mode("overwrite").parquet(side_path(v))
+        return spark.read.schema(df.schema).parquet(side_path(v))
+    new = write_side(digests.keyed(snapshot, keys), version)
+    values = [f for f in snapshot.schema.fields if f.name not in keys]
+    if not versions:
+        rows = cdc.unique_by_key(snapshot, keys).withColumn(SNAPSHOT_OP, F.lit("I"))
+    else:
+        last = versions[-1]
+        if path_exists(spark, f"{side_path(last)}/_SUCCESS"):
+            old = spark.read.parquet(side_path(last))
+        else:
+            old = write_side(digests.keyed(snapshot_state(spark, log_path, keys), keys), last)
+        found = digests.changed_keys(old, new, keys, SNAPSHOT_OP, cdc.DUPLICATE_KEY_ERROR)
+        path = scratch_path(spark, "changed-keys")
+        found.write.parquet(path)
+        changed = spark.read.schema(found.schema).parquet(path)
+        written = changed.where(F.col(SNAPSHOT_OP) != "D").select(*[qcol(k).alias(f"__k{i}") for i, k in enumerate(keys)], SNAPSHOT_OP)
+        if fits_broadcast(written, broadcast_rows, broadcast_bytes):
+            written = F.broadcast(written)
+        same = [qcol(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        rows = (snapshot.join(written, same, "inner").select(*[qcol(c) for c in snapshot.columns], SNAPSHOT_OP)
+                .unionByName(changed.where(F.col(SNAPSHOT_OP) == "D")
+                             .select(*[qcol(k) for k in keys], *[F.lit(None).cast(f.dataType).alias(f.name) for f in values], SNAPSHOT_OP)))
+    return write_version(rows.withColumn(SNAPSHOT_SEQ, F.lit(version).cast("long")), log_path, version, "snapshot", replace=False)
+
+
 def snapshot_state(spark: SparkSession, log_path: str, keys, base: DataFrame | None = None,
                    since_version: int | None = None) -> DataFrame:
     """The table after the latest snapshot written by ``snapshot_to_log``;

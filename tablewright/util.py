@@ -37,6 +37,14 @@ def qcol(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def bit_of(bits: Column, key: Column) -> Column:
+    """Whether a whole-number key is in its bucket's bitmap, as
+    ``bitmap_construct_agg`` builds it; NULL without a bitmap."""
+    at = F.bitmap_bit_position(key)
+    byte = F.conv(F.hex(F.substring(bits, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return F.getbit(byte, (at % 8).cast("int")) == 1
+
+
 def _value_bytes(f: T.StructField) -> Column:
     c = qcol(f.name)
     t = type(f.dataType)
