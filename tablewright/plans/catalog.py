@@ -459,6 +459,21 @@ def q_compacted_state(spark, sf):
     return stream.current_state(spark, log, EVENT_KEYS, EVENT_SEQ, EVENT_DELETE, base=base, since_version=1)
 
 
+def q_lookup_keys(spark, sf):
+    """A change log in 64 buckets of keys with a base compacted from its first
+    version: the state of the users of the ten newest events, read from the
+    buckets of these users alone."""
+    ev = fx.table(spark, sf, "events")
+    log, older = scratch_path(spark, "events-bucket-log"), scratch_path(spark, "events-bucket-older")
+    for path, versions in ((older, (0,)), (log, (1, 2))):
+        stream.bucket_log(spark, path, EVENT_KEYS, 64)
+        for i in versions:
+            stream.write_version(ev.where(F.col("event_id") % 3 == i), path, i, "a")
+    base = stream.compact_log(spark, older, scratch_path(spark, "events-bucket-base"), EVENT_KEYS, EVENT_SEQ, EVENT_DELETE)
+    newest = ev.orderBy(F.desc("event_id")).limit(10).select("user_id")
+    return stream.lookup_state(spark, log, newest, EVENT_SEQ, EVENT_DELETE, base_path=base)
+
+
 def q_stream_rescue(spark, sf):
     """Drops of three schemas, none known beforehand, streamed into the
     expected one: one as expected, one with a column more, one with values
@@ -849,6 +864,7 @@ QUERIES.update({
     "stream_apply_changes": q_stream_apply_changes,
     "stream_rescue": q_stream_rescue,
     "compacted_state": q_compacted_state,
+    "lookup_keys": q_lookup_keys,
     "stream_apply_flagged": q_stream_apply_flagged,
     "ledger_register": q_ledger_register,
     "ledger_mark": q_ledger_mark,

@@ -393,4 +393,7 @@ FROM orders a FULL JOIN b USING (o_orderkey)""",
     "fk_violations_bitmap": """
 SELECT l.* FROM lineitem l
 WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_totalprice > 50000)""",
+    "lookup_keys": f"""
+SELECT * FROM ({SQL['apply_changes']})
+WHERE user_id IN (SELECT user_id FROM events ORDER BY event_id DESC LIMIT 10)""",
 })

@@ -21,15 +21,17 @@ Per batch the cost is O(batch); readers pay the fold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 from ..functions import casts
 from ..operators import cdc, digests, quality
 from ..operators.reconcile import union_all
-from ..session import list_names, path_exists, scratch_path
+from ..session import list_names, path_exists, put_if_absent, read_text, scratch_path
 from ..sources import footers
 from ..sources.files import rescue_unexpected
 from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fits_broadcast, qcol
@@ -37,11 +39,14 @@ from ..util import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, as_list, fit
 # Reserved names: the partition columns of a log.  A table may not use them.
 VERSION_COL = "__log_version"
 RUN_COL = "__log_run"
+BUCKET_COL = "__log_bucket"
+# How a log is cut into buckets; Spark does not list names that begin so.
+BUCKETING = "_bucketing.json"
 SOURCE_FILE_COL = "_source_file"
 
 
 def _check_reserved(columns) -> None:
-    taken = {VERSION_COL, RUN_COL} & set(columns)
+    taken = {VERSION_COL, RUN_COL, BUCKET_COL} & set(columns)
     if taken:
         raise ValueError(f"columns {sorted(taken)} are reserved for change logs")
 
@@ -50,6 +55,48 @@ def version_path(log_path: str, version: int, run: str) -> str:
     return f"{log_path}/{VERSION_COL}={version}/{RUN_COL}={run}"
 
 
+def bucket_log(spark: SparkSession, log_path: str, keys, buckets: int) -> None:
+    """Have a log that is not begun yet keep every version, and every base
+    compacted from it, in ``buckets`` directories by a hash of the key, so that
+    ``lookup_state`` reads only those of the keys it is asked for.  Whoever
+    writes to the log finds this in the log itself.  Each version then has a
+    file a bucket at least: choose few for small versions.  Calling it again
+    with the same arguments changes nothing; with others it is an error."""
+    keys = as_list(keys)
+    if any(n.startswith(f"{VERSION_COL}=") for n in list_names(spark, log_path)) and bucketing(spark, log_path) is None:
+        raise ValueError(f"the log is begun without buckets: {log_path}")
+    if buckets < 1:
+        raise ValueError("buckets must be positive")
+    put_if_absent(spark, f"{log_path}/{BUCKETING}", json.dumps({"keys": keys, "buckets": buckets}))
+    if bucketing(spark, log_path) != (keys, buckets):
+        raise ValueError(f"the log has other buckets: {log_path}")
+
+
+def bucketing(spark: SparkSession, log_path: str) -> tuple[list[str], int] | None:
+    """(keys, buckets) of a log kept in buckets."""
+    path = f"{log_path}/{BUCKETING}"
+    if not path_exists(spark, path):
+        return None
+    cut = json.loads(read_text(spark, path))
+    return cut["keys"], cut["buckets"]
+
+
+def _bucket(schema: StructType, keys: list[str], buckets: int) -> Column:
+    """A key's bucket, the same whatever the width of a whole number."""
+    whole = (ByteType, ShortType, IntegerType, LongType)
+    return F.pmod(F.xxhash64(*[qcol(k).cast("long") if isinstance(schema[k].dataType, whole) else qcol(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _write_rows(rows: DataFrame, path: str, cut: tuple[list[str], int] | None) -> None:
+    if cut is None:
+        rows.write.mode("overwrite").parquet(path)
+        return
+    keys, buckets = cut
+    # rebalancing splits a bucket with very many rows over several tasks
+    placed = rows.withColumn(BUCKET_COL, _bucket(rows.schema, keys, buckets)).hint("rebalance", F.col(BUCKET_COL))
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET_COL).parquet(path)
+
+
 def _run_of(batch: DataFrame) -> str:
     """The id of the streaming query that runs this batch: kept in its
     checkpoint over restarts, new with a fresh checkpoint."""
@@ -66,7 +113,7 @@ def write_version(rows: DataFrame, log_path: str, version: int, run: str, replac
     path = version_path(log_path, version, run)
     if not replace and path_exists(rows.sparkSession, f"{path}/_SUCCESS"):
         raise FileExistsError(f"log version {version} of run {run} is already written")
-    rows.write.mode("overwrite").parquet(path)
+    _write_rows(rows, path, bucketing(rows.sparkSession, log_path))
     return path
 
 
@@ -213,9 +260,10 @@ def stream_apply_drops(spark: SparkSession, path: str, log_path: str, checkpoint
 
 
 def read_log(spark: SparkSession, log_path: str, schema: StructType | None = None,
-             min_version: int | None = None) -> DataFrame:
+             min_version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
     """All log versions of all runs (the partition columns removed).
-    ``min_version`` prunes older version directories at planning time.
+    ``min_version`` prunes older version directories at planning time,
+    ``buckets`` those of other buckets (``bucket_log``).
     Without a ``schema``, the versions' schemas are merged: a column that only
     some have is NULL in the others.  A log with no version yet - a directory
     that is not there, below one that is, or an empty one - reads as an empty
@@ -224,9 +272,10 @@ def read_log(spark: SparkSession, log_path: str, schema: StructType | None = Non
     reader = spark.read.option("mergeSchema", "true")
     if schema is not None:
         _check_reserved(schema.names)
+        cut = [StructField(BUCKET_COL, IntegerType())] if bucketing(spark, log_path) else []
         reader = spark.read.schema(StructType([*schema.fields, StructField(VERSION_COL, LongType()),
-                                               StructField(RUN_COL, StringType())]))
-        if not list_names(spark, log_path):
+                                               StructField(RUN_COL, StringType()), *cut]))
+        if not any(n != BUCKETING for n in list_names(spark, log_path)):
             parent = log_path.rstrip("/").rpartition("/")[0]
             if not path_exists(spark, log_path) and not path_exists(spark, parent):
                 raise FileNotFoundError(f"no change log, nor a place for one: {log_path}")
@@ -234,7 +283,9 @@ def read_log(spark: SparkSession, log_path: str, schema: StructType | None = Non
     df = reader.parquet(log_path)
     if min_version is not None:
         df = df.where(F.col(VERSION_COL) >= min_version)
-    return df.drop(VERSION_COL, RUN_COL)
+    if buckets is not None:
+        df = df.where(F.col(BUCKET_COL).isin(buckets))
+    return df.drop(VERSION_COL, RUN_COL, BUCKET_COL)
 
 
 def current_state(spark: SparkSession, log_path: str, keys, sequence_by, apply_as_deletes=None,
@@ -256,21 +307,50 @@ def current_state(spark: SparkSession, log_path: str, keys, sequence_by, apply_a
     if base is None:
         latest = cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak)
     else:
-        latest = cdc.fold_into_base(base, rows, keys, sequence_by, apply_as_deletes, tiebreak,
+        latest = cdc.fold_into_base(base.drop(BUCKET_COL), rows, keys, sequence_by, apply_as_deletes, tiebreak,
                                     broadcast_rows, broadcast_bytes)
     return cdc.current_rows(latest, apply_as_deletes, except_columns)
 
 
+def lookup_state(spark: SparkSession, log_path: str, wanted: DataFrame, sequence_by, apply_as_deletes=None, except_columns=(),
+                 tiebreak=None, base_path: str | None = None, schema: StructType | None = None, since_version: int | None = None,
+                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``current_state`` for the keys in ``wanted`` alone, of a log kept in
+    buckets (``bucket_log``): only the directories of their buckets are read,
+    in the log and in the base at ``base_path`` (``compact_log``), and only
+    rows of wanted keys are folded.  A NULL key is looked up like any other;
+    keys that the log does not know give no row, keys wanted twice give one.
+    The buckets' numbers, at most as many as the log has, pass the driver."""
+    cut = bucketing(spark, log_path)
+    if cut is None:
+        raise ValueError(f"the log has no buckets: {log_path}")
+    keys, buckets = cut
+    whole = read_log(spark, log_path, schema, since_version)
+    keys_of = wanted.select(*[qcol(k).cast(whole.schema[k].dataType).alias(k) for k in keys]).distinct()
+    numbers = [r["b"] for r in keys_of.select(_bucket(keys_of.schema, keys, buckets).alias("b")).distinct().collect()]
+    rows = read_log(spark, log_path, schema, since_version, buckets=sorted(numbers))
+    if base_path is not None:
+        base = spark.read.parquet(base_path)
+        if BUCKET_COL not in base.columns:
+            raise ValueError(f"the base has no buckets: {base_path}")
+        rows = base.where(F.col(BUCKET_COL).isin(sorted(numbers))).drop(BUCKET_COL).unionByName(rows, allowMissingColumns=True)
+    own = keys_of.select(*[qcol(k).alias(f"__w{i}") for i, k in enumerate(keys)])
+    if fits_broadcast(own, broadcast_rows, broadcast_bytes):
+        own = F.broadcast(own)
+    rows = rows.join(own, [qcol(k).eqNullSafe(F.col(f"__w{i}")) for i, k in enumerate(keys)], "left_semi")
+    return cdc.current_rows(cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak), apply_as_deletes, except_columns)
+
+
 def compact_log(spark: SparkSession, log_path: str, out_path: str, keys, sequence_by,
                 apply_as_deletes=None, tiebreak=None, base: DataFrame | None = None) -> str:
     """Fold base + every log version into one row per key (tombstones kept)
     and write it to a new base directory.  The log versions can be removed
-    once the new base is complete (it carries a _SUCCESS marker)."""
+    once the new base is complete (it carries a _SUCCESS marker).  The base of
+    a log kept in buckets is kept in the same ones."""
     rows = read_log(spark, log_path)
     if base is not None:
-        rows = base.unionByName(rows, allowMissingColumns=True)
-    cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak) \
-        .write.mode("overwrite").parquet(out_path)
+        rows = base.drop(BUCKET_COL).unionByName(rows, allowMissingColumns=True)
+    _write_rows(cdc.fold_changes(rows, keys, sequence_by, apply_as_deletes, tiebreak), out_path, bucketing(spark, log_path))
     return out_path
 
 
