@@ -59,19 +59,62 @@ def word_list(c, strip_chars: str = "()", sep: str = " ", drop=("",)) -> Column:
     return arr
 
 
-# Fixed value: an operator class that may follow a column in an index.
-OPERATOR_CLASSES = ("text_pattern_ops",)
+# The grammar of an index definition, as patterns.
+_NAME = r'(?:"(?:[^"]|"")+"|[\p{L}_][\w$]*)'
+_HEAD = (r"(?isU)\bcreate\s+(?:unique\s+)?index\b(?:\s+concurrently)?(?:\s+if\s+not\s+exists)?"
+         rf"(?:\s+(?!on\b){_NAME}(?:\.{_NAME})*)?\s+on\s+(?:only\s+)?(?:{_NAME}\.)*({_NAME})\s*(?:using\s+\w+\s*)?\(")
+_TOKEN = r"""("(?:[^"]|"")*"|'(?:[^']|'')*'|[(),]|[^"'(),]+)"""
+_ITEM = (rf"(?isU)^\s*({_NAME})(?:\s+collate\s+{_NAME}(?:\.{_NAME})*)?(?:\s+(?!(?:asc|desc|nulls)\b)[\w.]+(?:\s*\(.*\))?)?"
+         r"(?:\s+(?:asc|desc))?(?:\s+nulls\s+(?:first|last))?\s*$")
+
+
+def _plain_name(c: Column) -> Column:
+    """A name without its quotes, lower case."""
+    quoted = F.startswith(c, F.lit('"'))
+    inner = F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.lower(F.when(quoted, inner).otherwise(c))
+
+
+def index_items(c) -> Column:
+    """What an index is on, as written, in order: the entries of the bracketed
+    list in 'CREATE INDEX i ON s.t USING btree (lower(a), b DESC, "c, d")' are
+    cut at the commas that stand in no inner bracket and no quotes.  NULL for
+    text that is no such statement, or whose list does not end."""
+    text = col(c)
+    body = F.regexp_extract(text, _HEAD + "(.*)$", 2)
+    step_type = "struct<depth int, done boolean, item string, items array<string>>"
+
+    def step(s: Column, t: Column) -> Column:
+        def state(depth, done, item, items):
+            return F.struct(depth.alias("depth"), F.lit(done).alias("done"), item.alias("item"), items.alias("items")).cast(step_type)
+        depth, item, items = s["depth"], s["item"], s["items"]
+        more = F.concat(item, t)
+        ended = F.concat(items, F.array(F.trim(item)))
+        return (F.when(s["done"], s)
+                .when(t == "(", state(depth + 1, False, more, items))
+                .when((t == ")") & (depth == 0), state(depth, True, F.lit(""), ended))
+                .when(t == ")", state(depth - 1, False, more, items))
+                .when((t == ",") & (depth == 0), state(depth, False, F.lit(""), ended))
+                .otherwise(state(depth, False, more, items)))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("item"),
+                     F.array().cast("array<string>").alias("items")).cast(step_type)
+    end = F.aggregate(F.regexp_extract_all(body, F.lit(_TOKEN), F.lit(1)), start, step)
+    return F.when(end["done"], end["items"])
+
+
+def index_column_list(c) -> tuple[Column, Column]:
+    """From an index definition: the table's name and the array of the plain
+    columns that it is on, lower case.  Collation, operator class, direction
+    and place of NULLs are left out; an expression is not a column and gives
+    none.  Text that is no such statement gives '' and an empty array."""
+    text = col(c)
+    found = F.transform(F.coalesce(index_items(text), F.array().cast("array<string>")), lambda i: F.regexp_extract(i, _ITEM, 1))
+    table = _plain_name(F.regexp_extract(text, _HEAD, 1))
+    return table, F.transform(F.filter(found, lambda n: n != ""), _plain_name)
 
 
-def index_columns(c, operator_classes: Sequence[str] = OPERATOR_CLASSES) -> tuple[Column, Column]:
-    """From an index definition ('CREATE INDEX i ON s.t USING btree (a, b)'):
-    the table name and the comma-joined column list, lower case.  One pattern
-    of the statement's grammar captures both; text that is no such statement
-    gives empty strings."""
-    name = r'(?:"?\w+"?\.)?"?(\w+)"?'
-    statement = rf"(?is)\bon\s+(?:only\s+)?{name}\s+(?:using\s+\w+\s*)?\(([^)]*)\)"
-    text = col(c)
-    listed = F.lower(F.regexp_extract(text, statement, 2))
-    drop = "|".join(map(re.escape, operator_classes))
-    plain = F.regexp_replace(listed, rf'\s+(?:{drop})\b|[\s"]', "") if drop else F.regexp_replace(listed, r'[\s"]', "")
-    return F.lower(F.regexp_extract(text, statement, 1)), plain
+def index_columns(c) -> tuple[Column, Column]:
+    """``index_column_list`` with the columns joined by commas."""
+    table, columns = index_column_list(c)
+    return table, F.array_join(columns, ",")

@@ -48,6 +48,40 @@ def distinct_profile(df: DataFrame, cols, approx: bool = False, rsd: float = 0.0
     return df.agg(*[F.countDistinct(qcol(c)).alias(f"{c}_distinct") for c in cols])
 
 
+#: log2 of a sketch's registers: a standard error of about 1.04 / 2^(k/2), 1.6 % at 12.
+SKETCH_K = 12
+
+
+def profile_drop(df: DataFrame, cols, k: int = SKETCH_K) -> DataFrame:
+    """Per column: (column, n_rows, n_nulls, sketch), from one pass.  The
+    HyperLogLog sketch of its values, a few kB, merges with those of other
+    drops (``merge_profiles``), so a new drop is the only one to be read."""
+    cols = as_list(cols)
+
+    def value(c):  # drops may differ in a whole number's width
+        kind = df.schema[c].dataType.typeName()
+        return qcol(c) if kind in ("string", "binary") else qcol(c).cast("long" if kind in ("byte", "short", "integer", "long") else "string")
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(cols) for x in (
+        F.count_if(qcol(c).isNull()).alias(f"n{i}"), F.hll_sketch_agg(value(c), F.lit(k)).alias(f"s{i}"))])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col("n").alias("n_rows"), F.col(f"n{i}").alias("n_nulls"),
+                              F.col(f"s{i}").alias("sketch")) for i, c in enumerate(cols)])
+    return one.select(F.inline(each))
+
+
+def merge_profiles(profiles: DataFrame) -> DataFrame:
+    """Profiles of several drops (``profile_drop`` rows) as one per column.
+    Merging is associative: merged profiles merge again."""
+    return profiles.groupBy("column").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_nulls").alias("n_nulls"),
+                                          F.hll_union_agg("sketch").alias("sketch"))
+
+
+def profile_counts(profiles: DataFrame) -> DataFrame:
+    """(column, n_rows, n_nulls, distinct_estimate); counts of rows are exact,
+    those of distinct values within the sketch's error.  ``distinct_profile``
+    counts exactly, over all rows."""
+    return profiles.select("column", "n_rows", "n_nulls", F.hll_sketch_estimate("sketch").alias("distinct_estimate"))
+
+
 def group_collect(df: DataFrame, key, value: str, order, sep: str | None = None,
                   out_col: str = "values") -> DataFrame:
     """Values of each group in ``order``, repeats kept, as an array (or a

@@ -803,6 +803,40 @@ def q_load_ranges(spark, sf):
     return after.select("o_orderpriority", "o_orderkey").unionByName(share)
 
 
+INDEX_TEXT = """CREATE INDEX o_cust ON public.orders USING btree (o_custkey DESC NULLS LAST, lower(o_orderstatus), o_orderpriority text_pattern_ops);
+drop index if exists old_one;
+create unique index concurrently "o,date" on only "public"."orders" ("o_orderdate", o_custkey) where o_orderkey > (0);
+CREATE INDEX ON public.customer (coalesce(c_name, '),('), c_nationkey ASC) INCLUDE (c_acctbal)"""
+
+
+def q_cluster_by_indexes(spark, sf):
+    """orders and customer clustered by the columns that index definitions
+    name: the rows, and the columns found for each table."""
+    text, out = scratch_path(spark, "index-text"), scratch_path(spark, "index-clustered")
+    spark.range(1).select(F.lit(INDEX_TEXT).alias("value")).write.text(text)
+    tables = {t: fx.table(spark, sf, t) for t in ("orders", "customer")}
+    found = sink.cluster_by_indexes(spark, text, tables, out, 8)
+    rows = [spark.read.parquet(f"{out}/{t}").select(F.lit(t).alias("table"), F.col(k).alias("key"), F.col(n).alias("name"))
+            for t, k, n in (("orders", "o_orderkey", "o_orderpriority"), ("customer", "c_custkey", "c_name"))]
+    columns = [(t, i, c) for t, cols in found.items() for i, c in enumerate(cols)]
+    return rec.union_all(*rows, spark.createDataFrame(columns, "table string, key long, name string"))
+
+
+def q_profile_drops(spark, sf):
+    """Profile of events kept drop by drop (by day) and merged: rows, nulls,
+    and whether the distinct estimate is within 5 % of the exact count."""
+    ev = fx.table(spark, sf, "events")
+    cols = ["event_id", "user_id", "event_type", "value", "ts"]
+    path = scratch_path(spark, "event-profiles")
+    for i in range(3):
+        agg.profile_drop(ev.where(F.col("event_id") % 3 == i), cols).write.parquet(f"{path}/drop={i}")
+    merged = agg.profile_counts(agg.merge_profiles(spark.read.parquet(path)))
+    exact = agg.distinct_profile(ev, cols)
+    long = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}_distinct").alias("n")) for c in cols])))
+    near = F.abs(F.col("distinct_estimate") - F.col("n")) <= 0.05 * F.col("n")
+    return merged.join(F.broadcast(long), "column").select("column", "n_rows", "n_nulls", near.alias("near"))  # one row for each column
+
+
 def _files_met(spark, path, col):
     """Whether a filter on a tenth of the column's rows meets at most half of the files."""
     table = spark.read.parquet(path)
@@ -838,6 +872,8 @@ def q_compact_small(spark, sf):
 QUERIES.update({
     "cluster_columns": q_cluster_columns,
     "compact_small": q_compact_small,
+    "cluster_by_indexes": q_cluster_by_indexes,
+    "profile_drops": q_profile_drops,
     "load_ranges": q_load_ranges,
     "merged_types": q_merged_types,
     "stream_typed_drops": q_stream_typed_drops,

@@ -396,4 +396,12 @@ WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_or
     "lookup_keys": f"""
 SELECT * FROM ({SQL['apply_changes']})
 WHERE user_id IN (SELECT user_id FROM events ORDER BY event_id DESC LIMIT 10)""",
+    "cluster_by_indexes": """
+SELECT 'orders' AS "table", o_orderkey AS key, o_orderpriority AS name FROM orders
+UNION ALL SELECT 'customer', c_custkey, c_name FROM customer
+UNION ALL SELECT t, i, c FROM (VALUES ('orders', 0, 'o_custkey'), ('orders', 1, 'o_orderpriority'), ('orders', 2, 'o_orderdate'),
+                                      ('customer', 0, 'c_nationkey')) v(t, i, c)""",
+    "profile_drops": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_nulls, true AS near FROM events"
+        for c in ("event_id", "user_id", "event_type", "value", "ts")),
 })

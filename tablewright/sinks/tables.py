@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StructType, TimestampNTZType, TimestampType
 
 from ..functions.casts import cast_by_type
+from ..functions.text import index_column_list
 from ..session import default_parallelism
 from ..sources.files import parse_delimited, scan_text_records
 from ..util import as_list, qcol
@@ -127,6 +128,7 @@ def interleaved_key(df: DataFrame, cols, bits: int = CODE_BITS) -> Column:
     is coded by how many of its 2^bits - 1 quantiles its value reaches (NULL:
     none), and the codes' bits are interleaved, highest first."""
     cols = as_list(cols)
+    bits = max(1, min(bits, 62 // len(cols)))
     codes = []
     for c in cols:
         codes.append(_code(qcol(c), df.schema[c].dataType, _bounds(df, c, 1 << bits)))
@@ -230,3 +232,33 @@ def load_delimited(spark: SparkSession, path, target: str, sep: str, skip_patter
     lines = scan_text_records(spark, path, record_sep)
     fields = parse_delimited(lines, sep, [f.name for f in schema.fields], skip_pattern)
     insert_positional(fields, target, mode=mode)
+
+
+def index_clustering(spark: SparkSession, index_path) -> DataFrame:
+    """Per table of the index definitions under ``index_path`` (statements that
+    end with ';'): (table, columns), the plain columns its indexes are on in
+    order of file and place, each once.  Statements that drop something, and
+    other text, are passed over."""
+    statements = spark.read.option("lineSep", ";").text(index_path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    table, columns = index_column_list("value")
+    found = (statements.withColumn("at", F.monotonically_increasing_id()).where(~F.col("value").rlike(r"(?is)^\s*drop\b"))
+             .select("file", "start", "at", table.alias("table"), columns.alias("columns")).where("table <> '' AND size(columns) > 0"))
+    # a table has few indexes: its definitions are one small group
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("file", "start", "at", "columns"))), lambda s: s["columns"])
+    return found.groupBy("table").agg(F.array_distinct(F.flatten(listed)).alias("columns"))
+
+
+def cluster_by_indexes(spark: SparkSession, index_path, tables: dict[str, DataFrame], out_path: str, files: int) -> dict[str, list[str]]:
+    """Write each of ``tables`` that has index definitions under
+    ``<out_path>/<table>``, clustered on the columns of its indexes
+    (``cluster_write``).  Returns the columns by table.  A column that the
+    table lacks is an error, before anything is written."""
+    found = {r["table"]: r["columns"] for r in index_clustering(spark, index_path).collect()}  # one row for each table
+    wanted = {t: found[t.lower()] for t in tables if t.lower() in found}
+    for t, cols in wanted.items():
+        missing = set(cols) - {c.lower() for c in tables[t].columns}
+        if missing:
+            raise ValueError(f"{t} lacks the indexed columns {sorted(missing)}")
+    for t, cols in wanted.items():
+        cluster_write(tables[t], [next(c for c in tables[t].columns if c.lower() == x) for x in cols], f"{out_path}/{t}", files)
+    return wanted
