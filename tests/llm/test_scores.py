@@ -74,6 +74,60 @@ def test_license_with_words_put_in(spark):
     assert [s["label"] for s in got[3]["spans"]] == ["apache-2.0", "apache-2.0", "mit", "mit"]
 
 
+def test_license_identifiers_and_openings(spark):
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+    texts = ["Licensed under Apache-2.0", "// SPDX-License-Identifier: MIT", 'THE SOFTWARE IS PROVIDED "AS IS"', "GPL-3.0-or-later", "LGPL-3.0-or-later",
+             f"{isc}, provided that the above copyright notice and this permission notice appear in all copies.", "Licensed under Apache-1.0",
+             "SPDX-License-Identifier: GPL-2.0-only", "the software is good", "version 3.0 or later"]
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == ["apache-2.0", "mit", "as-is", "gpl-3.0-or-later", "lgpl-3.0-or-later", "isc", "", "gpl-2.0-only", "", ""]
+
+
+def edited(words, kind, rng):
+    """A body with words put in, cut out or reworded, one in twenty."""
+    out = []
+    for w in words:
+        if rng.random() >= 0.05:
+            out.append(w)
+        elif kind == "put in":
+            out += [w, f"new{rng.randrange(999)}"]
+        elif kind == "reworded":
+            out.append(f"other{rng.randrange(999)}")
+    return out
+
+
+def test_license_bodies_edited(spark):
+    """Bodies among other words, one word in twenty changed: nine in ten at least are found, and no label but theirs."""
+    rng, rows, expected = random.Random(5), [], {}
+    bodies = [(WORD.findall(text.lower()), label) for text, label in license_scan.BODIES.items() if len(text.split()) > 20]
+    for kind in ("whole", "put in", "cut", "reworded"):
+        for words, label in bodies:
+            for _ in range(1 if kind == "whole" else 5):
+                own = words if kind == "whole" else edited(words, kind, rng)
+                around = [[f"w{rng.randrange(500)}" for _ in range(40)] for _ in range(2)]
+                expected[len(rows)] = (kind, label)
+                rows.append((len(rows), " ".join([*around[0], *own, *around[1]]).upper()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for k in (2, 3):
+        got = {r["doc_id"]: r for r in license_scan.scan(docs, k=k).collect()}
+        for kind in ("whole", "put in", "cut", "reworded"):
+            of_kind = [i for i, e in expected.items() if e[0] == kind]
+            found = sum(expected[i][1] in got[i]["labels"].split(",") for i in of_kind)
+            assert found >= (1 if kind == "whole" else 0.9) * len(of_kind), (k, kind, found, len(of_kind))
+        assert all(s["start"] >= 38 for r in got.values() for s in r["spans"])
+
+
+def test_license_templates_as_a_table(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "one two x three four"), (3, "one two three five")], "doc_id long, text string")
+    templates = spark.createDataFrame([("a", "One, two; three four.", 1.0), ("b", "two three", None), ("b", "two three", None)], "label string, text string, least double")
+    got = {r["doc_id"]: (r["labels"], len(r["spans"])) for r in license_scan.scan(docs, templates=templates).collect()}
+    assert got == {1: ("a,b", 2), 2: ("a", 1), 3: ("b", 1)}
+    with pytest.raises(Exception, match="two words"):
+        license_scan.scan(docs, templates={"one": "x"}).collect()
+    none = license_scan.scan(docs, base={}, templates=templates.limit(0)).collect()
+    assert sorted((r["doc_id"], r["labels"], r["n_words"]) for r in none) == [(1, "", 4), (2, "", 5), (3, "", 4)]
+
+
 def test_license_letters_that_fold_onto_ascii(spark):
     docs = spark.createDataFrame([(1, "all rights reſerved"), (2, "PUBLIC general public licenİse"), (3, "Kind of MOZILLA public license")], "doc_id long, text string")
     phrases = {"kind of mozilla": "x"}
