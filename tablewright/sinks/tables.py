@@ -97,6 +97,8 @@ def create_empty_like(spark: SparkSession, template_path: str, target: str, drop
 
 #: Bits of a column's quantile code in an interleaved clustering key.
 CODE_BITS = 6
+#: Column of the interleaved key in rows on their way to the files.
+KEY_COL = "__cluster_key"
 
 
 def _bounds(df: DataFrame, col: str, cells: int) -> list:
@@ -156,11 +158,15 @@ def cluster_write(df: DataFrame, cols, path: str, files: int, mode: str = "overw
     files instead of one."""
     names = as_list(cols)
     keys = [qcol(c) for c in names]
+    rows, key = df, KEY_COL
+    while key in {c.lower() for c in df.columns}:
+        key += "_"
     if interleave or interleave is None and len(names) > 1:
-        keys = [interleaved_key(df, names), *keys]
+        rows = df.withColumn(key, interleaved_key(df, names))  # stored: a sort works out an expression anew in every comparison
+        keys = [qcol(key), *keys]
     spread = F.xxhash64(*[qcol(c) for c in df.columns])
-    (df.repartitionByRange(files, *keys, spread).sortWithinPartitions(*keys)
-       .write.mode(mode).parquet(path))
+    (rows.repartitionByRange(files, *keys, spread).sortWithinPartitions(*keys)
+         .select(*[qcol(c) for c in df.columns]).write.mode(mode).parquet(path))
     return path
 
 

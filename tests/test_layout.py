@@ -45,3 +45,27 @@ def test_large_files_are_left_alone(spark):
     assert sorted(sizes) == sorted(f"{path}/{f}" for f in os.listdir(local_path(path)) if f.endswith(".parquet"))
     again = sink.compact_small(spark, out, scratch_path(spark, "again"), file_bytes=1 << 20)
     assert len(again) == 1 and again[0] in files
+
+
+def seen_calls(monkeypatch, df, method):
+    """The frames that a DataFrame method returns from here on."""
+    seen, real = [], getattr(type(df), method)
+
+    def called(self, *args):
+        seen.append(real(self, *args))
+        return seen[-1]
+
+    monkeypatch.setattr(type(df), method, called)
+    return seen
+
+
+def test_files_are_sorted_by_stored_keys(spark, monkeypatch):
+    df = spark.range(3_000).select((F.col("id") * 7919 % 3_001).alias("a"), (F.col("id") % 50).alias("b"), F.lit("kept").alias("__Cluster_Key"))
+    seen = seen_calls(monkeypatch, df, "sortWithinPartitions")
+    for rows in (df.drop("__Cluster_Key"), df):
+        path = sink.cluster_write(rows, ["a", "b"], scratch_path(spark, "stored-keys"), 4)
+        written = spark.read.parquet(path)
+        assert written.columns == rows.columns and written.count() == 3_000 and written.exceptAll(rows).isEmpty()
+    for sort in (x._jdf.queryExecution().analyzed() for x in seen):
+        order = [sort.order().apply(i).child().getClass().getSimpleName() for i in range(sort.order().size())]
+        assert order == ["AttributeReference"] * 3
