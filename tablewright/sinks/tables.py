@@ -8,6 +8,10 @@ directory keeps the old version readable until the caller switches.
 
 from __future__ import annotations
 
+from functools import reduce
+from math import isqrt
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StructType, TimestampNTZType, TimestampType
@@ -113,37 +117,39 @@ def _bounds(df: DataFrame, col: str, cells: int) -> list:
         spread = df.select(qcol(col).alias("v")).where(qcol("v").isNotNull()).repartitionByRange(cells, "v")
         lowest = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v")).orderBy("p").collect()  # one row for each cell
         found = [r["v"] for r in lowest[1:]]
-    return sorted(set(found))
+    return sorted(set(found), key=lambda x: (x != x, x))  # NaN is last, as in Spark
 
 
 def _code(value: Column, kind: DataType, bounds: list) -> Column:
-    """How many of the bounds a value reaches; NULL reaches none."""
+    """How many of the sorted bounds a value reaches; NULL reaches none.  Two
+    short steps of plain comparisons: whole blocks of bounds, then the bounds
+    of the next block."""
     if not bounds:
-        return F.lit(0).cast("long")
+        return F.lit(0)
     text = isinstance(kind, (DateType, TimestampNTZType))
-    literals = F.array(*[(F.lit(str(x)) if text else F.lit(x)).cast(kind) for x in bounds])
-    return F.when(value.isNull(), F.lit(0)).otherwise(F.size(F.filter(literals, lambda x: x <= value))).cast("long")
+    literals = [(F.lit(str(x)) if text else F.lit(x)).cast(kind) for x in bounds]
+    block = isqrt(len(bounds)) + 1
+
+    def reached(limits: list[Column]) -> Column:
+        return reduce(add, [F.coalesce((value >= x).cast("int"), F.lit(0)) for x in limits], F.lit(0))
+
+    whole = reached(literals[block - 1::block]) * block
+    return whole + reached([F.get(F.array(*literals), whole + i) for i in range(block - 1)])
 
 
 def interleaved_key(df: DataFrame, cols, bits: int = CODE_BITS) -> Column:
     """A number that is near for rows near in every one of ``cols``: each column
     is coded by how many of its 2^bits - 1 quantiles its value reaches (NULL:
-    none), and the codes' bits are interleaved, highest first."""
-    cols = as_list(cols)
-    bits = max(1, min(bits, 62 // len(cols)))
-    codes = []
-    for c in cols:
-        codes.append(_code(qcol(c), df.schema[c].dataType, _bounds(df, c, 1 << bits)))
-
-    def interleaved(code: Column) -> Column:
-        key = F.lit(0).cast("long")
-        for level in range(bits):
-            for i in range(len(cols)):
-                bit = F.shiftright(F.get(code, F.lit(i)), level).bitwiseAND(F.lit(1).cast("long"))
-                key = key + F.shiftleft(bit, level * len(cols) + len(cols) - 1 - i)
-        return key
-
-    return F.transform(F.array(F.array(*codes)), interleaved)[0]  # each code is computed once
+    none), and the codes' bits are interleaved, highest first (of more than 62
+    columns, the first 62's)."""
+    cols = as_list(cols)[:62]
+    bits = min(bits, 62 // len(cols))
+    key = F.lit(0).cast("long")
+    for i, c in enumerate(cols):
+        bounds = _bounds(df, c, 1 << bits)
+        places = [sum((code >> level & 1) << level * len(cols) + len(cols) - 1 - i for level in range(bits)) for code in range(len(bounds) + 1)]
+        key = key + F.get(F.array(*[F.lit(x).cast("long") for x in places]), _code(qcol(c), df.schema[c].dataType, bounds))
+    return key
 
 
 def cluster_write(df: DataFrame, cols, path: str, files: int, mode: str = "overwrite", interleave: bool | None = None) -> str:

@@ -69,3 +69,17 @@ def test_files_are_sorted_by_stored_keys(spark, monkeypatch):
     for sort in (x._jdf.queryExecution().analyzed() for x in seen):
         order = [sort.order().apply(i).child().getClass().getSimpleName() for i in range(sort.order().size())]
         assert order == ["AttributeReference"] * 3
+
+
+def test_codes_count_the_bounds_reached(spark):
+    df = spark.createDataFrame([(float(x),) for x in range(-3, 70)] + [(None,), (float("nan"),), (float("-inf"),)], "v double")
+    for n in (0, 1, 2, 7, 8, 63, 64):
+        bounds = [2.0 * i for i in range(n)]
+        code = sink._code(F.col("v"), df.schema["v"].dataType, bounds)
+        for r in df.select("v", code.alias("c")).collect():
+            assert r.c == (0 if r.v is None else n if r.v != r.v else sum(b <= r.v for b in bounds))
+    many_nan = df.union(df.where("isnan(v)").crossJoin(spark.range(30)).select("v"))
+    assert many_nan.select(sink.interleaved_key(many_nan, ["v"], 3).alias("k")).where("isnan(v) AND k < 6").isEmpty()
+    words = df.select("v", F.col("v").cast("string").alias("w"))
+    plan = words.select(sink.interleaved_key(words, ["v", "w"]).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
