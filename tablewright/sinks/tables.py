@@ -105,19 +105,23 @@ CODE_BITS = 6
 KEY_COL = "__cluster_key"
 
 
-def _bounds(df: DataFrame, col: str, cells: int) -> list:
-    """At most cells - 1 values that cut the column's rows into equal shares:
-    percentiles of numbers and times; of other types the lowest values of
-    Spark's own range partitions of the column."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        shares = [k / cells for k in range(1, cells)]
-        found = df.agg(F.percentile_approx(qcol(col), shares, 10_000).alias("b")).first()["b"] or []
-    else:
-        spread = df.select(qcol(col).alias("v")).where(qcol("v").isNotNull()).repartitionByRange(cells, "v")
+def _bounds(df: DataFrame, cols: list[str], cells: int) -> list[list]:
+    """For each column at most cells - 1 values that cut its rows into equal
+    shares: percentiles of numbers and times, of all such columns in one pass;
+    of other types the lowest values of Spark's own range partitions of the
+    column, in which a frequent value is spread over several partitions."""
+    ranked = [c for c in cols if isinstance(df.schema[c].dataType, (NumericType, DateType, TimestampType, TimestampNTZType))]
+    shares = [k / cells for k in range(1, cells)]
+    found = {}
+    if ranked:
+        row = df.agg(*[F.percentile_approx(qcol(c), shares, 10_000) for c in ranked]).first()
+        found = {c: set(b or []) for c, b in zip(ranked, row)}
+    for c in set(cols) - set(ranked):
+        values = df.select(qcol(c).alias("v")).where(qcol("v").isNotNull()).withColumn("at", F.monotonically_increasing_id())
+        spread = values.repartitionByRange(cells, "v", "at")
         lowest = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.min("v").alias("v")).orderBy("p").collect()  # one row for each cell
-        found = [r["v"] for r in lowest[1:]]
-    return sorted(set(found), key=lambda x: (x != x, x))  # NaN is last, as in Spark
+        found[c] = {r["v"] for r in lowest} - {r["v"] for r in lowest[:1]}
+    return [sorted(found[c], key=lambda x: (x != x, x)) for c in cols]  # NaN is last, as in Spark
 
 
 def _code(value: Column, kind: DataType, bounds: list) -> Column:
@@ -145,8 +149,7 @@ def interleaved_key(df: DataFrame, cols, bits: int = CODE_BITS) -> Column:
     cols = as_list(cols)[:62]
     bits = min(bits, 62 // len(cols))
     key = F.lit(0).cast("long")
-    for i, c in enumerate(cols):
-        bounds = _bounds(df, c, 1 << bits)
+    for i, (c, bounds) in enumerate(zip(cols, _bounds(df, cols, 1 << bits))):
         places = [sum((code >> level & 1) << level * len(cols) + len(cols) - 1 - i for level in range(bits)) for code in range(len(bounds) + 1)]
         key = key + F.get(F.array(*[F.lit(x).cast("long") for x in places]), _code(qcol(c), df.schema[c].dataType, bounds))
     return key

@@ -83,3 +83,14 @@ def test_codes_count_the_bounds_reached(spark):
     words = df.select("v", F.col("v").cast("string").alias("w"))
     plan = words.select(sink.interleaved_key(words, ["v", "w"]).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
+
+
+def test_a_frequent_text_is_spread_over_the_cells(spark, monkeypatch):
+    df = spark.range(6_400).select(F.when(F.col("id") % 8 > 0, F.lit("often")).otherwise(F.format_string("x%05d", "id")).alias("w"), F.col("id").alias("n"))
+    seen = seen_calls(monkeypatch, df, "repartitionByRange")
+    sink.interleaved_key(df, ["w", "n"])
+    [spread] = seen
+    assert max(r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()) <= 6_400 // 16
+    monkeypatch.undo()
+    [few, same, none] = sink._bounds(df.select(F.concat(F.lit("p"), (F.col("n") % 5).cast("string")).alias("few"), F.lit("one").alias("same"), F.lit(None).cast("string").alias("none")), ["few", "same", "none"], 64)
+    assert few == ["p1", "p2", "p3", "p4"] and same == none == []
